@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revmill.config import ReviewConfig
 from revmill.functions import values as V
 from revmill.operators import cleaning
 from revmill.operators.limits import head_sample
-from revmill.schemas import BUSINESS, CORRUPT, REVIEW_RAW, REVIEW_STORE
+from revmill.schemas import BUSINESS, BUSINESS_RAW, CORRUPT, REVIEW_CLEAN, REVIEW_RAW, REVIEW_STORE
 from revmill.session import drop_stage, stage_table
 from revmill.sources import files, sinks
 
@@ -27,6 +28,17 @@ class Prepared:
     summary: str
 
 
+def typed_entities(df: DataFrame) -> DataFrame:
+    """Each column in its own type; a value that does not fit becomes null."""
+
+    def typed(field: T.StructField):
+        if isinstance(field.dataType, T.MapType):
+            return F.from_json(field.name, field.dataType)
+        return F.col(field.name).try_cast(field.dataType)
+
+    return df.select(*[typed(f).alias(f.name) for f in BUSINESS.fields])
+
+
 def typed_reviews(df: DataFrame) -> DataFrame:
     """Numbers cast where they are readable; the raw text of useful stays beside its integer."""
     raw = df.withColumn("useful_raw", F.when(V.soft_int(F.col("useful")).isNull(), F.col("useful")))
@@ -36,12 +48,12 @@ def typed_reviews(df: DataFrame) -> DataFrame:
 
 def prepare_entities(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) -> DataFrame:
     """Write the clean entities; return the counters (one row)."""
-    lines = files.read_jsonl_lines(spark, src, BUSINESS)
+    lines = files.read_jsonl_lines(spark, src, BUSINESS_RAW)
     rows = lines.withColumn(
         "business_id", F.when(F.col(CORRUPT).isNull(), F.col("business_id"))
     ).drop(CORRUPT)
     kept = cleaning.prepare_entities(rows, "business_id", files.LINE_ORDER, cfg=cfg)
-    sinks.write_jsonl(kept.drop(*files.LINE_ORDER), dst)
+    sinks.write_jsonl(typed_entities(kept.drop(*files.LINE_ORDER)), dst)
     return cleaning.entity_counters(
         cleaning.entity_reasons(rows, "business_id", files.LINE_ORDER, cfg=cfg)
     )
@@ -111,8 +123,7 @@ def prepare(
     elif paths.sample:
         review_counts = prepare_reviews(spark, review, paths.reviews, cfg)
         mode = "force" if rebuild_sample else "skip"
-        schema = spark.read.json(paths.reviews, schema=REVIEW_STORE).schema
-        files.build_sample(spark, paths.reviews, paths.sample, schema, cfg.sample_rows, mode)
+        files.build_sample(spark, paths.reviews, paths.sample, REVIEW_CLEAN, cfg.sample_rows, mode)
     if paths.sample:
         sample_rows = files.read_jsonl(spark, paths.sample, REVIEW_STORE).count()
     write_documents(spark, paths, entity_counts, review_counts, sample_rows, fast, cfg)

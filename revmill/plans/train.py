@@ -65,6 +65,7 @@ def train(
     if 0 in (balance["positive_count"], balance["negative_count"]):
         raise OneClassError("need both classes")
     balanced = undersample(data, KEY, seed=cfg.seed)
+    # The thinning keeps positives by a fraction of their key, so the split must draw with another seed.
     train_rows, test_rows = hash_split(balanced, KEY, cfg.train_fraction, cfg.seed + 2)
 
     stages = feature_stages(cfg)

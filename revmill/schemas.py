@@ -25,6 +25,12 @@ BUSINESS = T.StructType(
     ]
 )
 
+# Only the key, the stars and the categories may reject a business. A typed column would mark the whole line
+# as malformed when its value does not fit, so all others arrive as text and are cast later.
+BUSINESS_RAW = T.StructType(
+    [T.StructField(f.name, f.dataType if f.name == "stars" else T.StringType()) for f in BUSINESS.fields]
+)
+
 # Only business_id and text may reject a review, so the numeric fields arrive as text and are cast later.
 REVIEW_RAW = T.StructType(
     [
@@ -63,6 +69,7 @@ REVIEW_STORE = T.StructType(
         T.StructField("date", T.StringType()),
     ]
 )
+REVIEW_CLEAN = T.StructType(REVIEW_STORE.fields + [T.StructField("useful_raw", T.StringType())])
 REVIEW_STORE_NARROW = T.StructType(
     [REVIEW_STORE[n] for n in ("review_id", "business_id", "user_id", "stars", "text")]
 )

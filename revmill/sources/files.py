@@ -35,17 +35,18 @@ def read_jsonl_tolerant(
 def read_jsonl_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All non-blank lines with the corrupt-record column and the line order.
 
-    A block is read by one task from front to back, so the running number rises with the position in it.
+    Lines are read as text and parsed against the whole schema: the JSON source parses only the columns a
+    query uses, so whether a line counts as malformed would change from query to query. A block is read by
+    one task from front to back, so the running number rises with the position in it.
     """
-    rows = spark.read.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT
-    ).json(path)
-    return rows.select(
-        "*",
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    return lines.select(
+        F.from_json("value", with_corrupt(schema), options).alias("row"),
         F.col("_metadata.file_path").alias("line_file"),
         F.col("_metadata.file_block_start").alias("line_block"),
         F.monotonically_increasing_id().alias("line_no"),
-    )
+    ).select("row.*", *LINE_ORDER)
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

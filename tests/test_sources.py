@@ -1,0 +1,118 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from revmill import schemas
+from revmill.session import cut_lineage, drop_stage, shared_dir, stage_table
+from revmill.sources import files, sinks
+
+
+@pytest.fixture
+def lines(tmp_path):
+    path = tmp_path / "in.json"
+    good = {"business_id": "b1", "name": "A", "stars": 4.5, "review_count": 3, "categories": "x"}
+    quoted = {"business_id": "b2", "name": "B", "stars": "4.5"}
+    path.write_text("\n".join([json.dumps(good), "", "{broken", json.dumps(quoted), json.dumps(good)]) + "\n")
+    return str(path)
+
+
+def test_tolerant_read(spark, lines):
+    good, bad = files.read_jsonl_tolerant(spark, lines, schemas.BUSINESS_RAW)
+    assert [r.business_id for r in good.collect()] == ["b1", "b1"]
+    assert good.schema == schemas.BUSINESS_RAW
+    assert bad.count() == 2
+
+
+def test_line_order_follows_the_file(spark, tmp_path):
+    path = tmp_path / "many.json"
+    path.write_text("".join(json.dumps({"review_id": f"{i:06d}", "text": "x" * 50}) + "\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = files.read_jsonl_lines(spark, str(path), schemas.REVIEW_RAW)
+        assert rows.rdd.getNumPartitions() > 4
+        ids = [r.review_id for r in rows.orderBy(*files.LINE_ORDER).collect()]
+        sample = files.build_sample(spark, str(path), str(tmp_path / "s"), schemas.REVIEW_RAW, 700)
+        assert sorted(r.review_id for r in sample.collect()) == [f"{i:06d}" for i in range(700)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert ids == [f"{i:06d}" for i in range(5000)]
+
+
+def test_sample_modes(spark, lines, tmp_path):
+    dst = str(tmp_path / "sample")
+
+    def build(n, mode):
+        return files.build_sample(spark, lines, dst, schemas.BUSINESS_RAW, n, mode).count()
+
+    assert build(1, "skip") == 1
+    assert build(4, "skip") == 1
+    assert build(4, "force") == 2
+    with pytest.raises(ValueError):
+        build(1, "other")
+
+
+def test_optional_and_required(spark, lines, tmp_path):
+    assert files.read_optional(spark, str(tmp_path / "none"), schemas.BUSINESS).count() == 0
+    assert files.read_optional(spark, lines, schemas.BUSINESS_RAW).count() == 4
+    files.require_inputs(spark, [lines])
+    with pytest.raises(FileNotFoundError):
+        files.require_inputs(spark, [lines, str(tmp_path / "none")])
+
+
+def test_jsonl_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("é", 1.5, None)], "a string, b double, c string")
+    sinks.write_jsonl(df, str(tmp_path / "o"))
+    assert files.read_jsonl(spark, str(tmp_path / "o"), df.schema).collect() == df.collect()
+
+
+def test_metric_document_round_trip(spark, tmp_path):
+    doc = spark.range(1).select(
+        F.lit(0.5).alias("auc"), F.create_map(F.lit("LR"), F.lit(0.6)).alias("aucs"), F.lit(None).cast("int").alias("n")
+    )
+    path = str(tmp_path / "m")
+    sinks.save_metrics(doc, path)
+    got = files.load_metrics(spark, path).first()
+    assert got.auc == 0.5 and got.aucs.LR == 0.6 and "n" in got.asDict()
+    assert files.load_metrics(spark, str(tmp_path / "none")) is None
+
+
+def test_store_tables(spark):
+    sinks.ensure_table(spark, "store_reviews", schemas.REVIEW_STORE_NARROW)
+    sinks.ensure_table(spark, "store_reviews", schemas.REVIEW_STORE_NARROW)
+    row = spark.createDataFrame([("r", "b", "u", 4.0, "t")], schemas.REVIEW_STORE_NARROW)
+    sinks.append_table(row, "store_reviews")
+    sinks.append_table(row, "store_reviews")
+    counts = {r.table_name: r.n for r in sinks.verify_counts(spark, ["store_reviews", "no_such"]).collect()}
+    assert counts == {"store_reviews": 2, "no_such": 0}
+    sinks.overwrite_table(row, "store_reviews")
+    assert spark.table("store_reviews").count() == 1
+    spark.sql("DROP TABLE store_reviews")
+
+
+def test_append_to_another_format(spark, tmp_path):
+    out = str(tmp_path / "csv")
+    sinks.append_table(spark.range(3), "ignored", "csv", {"path": out})
+    assert spark.read.csv(out).count() == 3
+
+
+def test_upsert_files(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame([("k", 1)], "k string, v int").write.parquet(a)
+    sinks.upsert_files(spark, a, spark.createDataFrame([("k", 2), ("m", 3)], "k string, v int"), "k", ["v"], b)
+    assert {r.k: r.v for r in spark.read.parquet(b).collect()} == {"k": 2, "m": 3}
+
+
+def test_describe(spark):
+    got = files.describe_table(spark.createDataFrame([], "a int, b array<string>")).collect()
+    assert [tuple(r) for r in got] == [("a", "int", True), ("b", "array<string>", True)]
+
+
+def test_shared_folder(spark):
+    assert shared_dir(spark)
+    df = cut_lineage(spark.range(5))
+    assert df.count() == 5
+    staged, path = stage_table(spark.range(7))
+    assert staged.count() == 7 and files.path_exists(spark, path)
+    drop_stage(spark, path)
+    assert not files.path_exists(spark, path)
