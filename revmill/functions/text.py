@@ -16,12 +16,12 @@ SPACE_CHARS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Characters that NFKC leaves alone whatever stands beside them within this set: ASCII, Latin-1 letters,
-# basic Greek and Cyrillic letters, dashes and quotes, CJK ideographs.
-NFKC_STABLE = (
-    "\u0001-\u007f\u00a1-\u00a7\u00a9\u00ab-\u00ae\u00b0\u00b1\u00b6\u00b7\u00bb\u00bf-\u00ff"
-    "\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0400-\u045f"
-    "\u2012-\u2015\u2018-\u201e\u2020-\u2022\u4e00-\u9fa5"
+# Characters beyond ASCII that NFKC leaves alone whatever stands beside them within this set: Latin, Greek
+# and Cyrillic letters, dashes, quotes and other marks of those blocks, none of them combining.
+NFKC_STABLE = "".join(
+    chr(i)
+    for i in [*range(0xA1, 0x300), *range(0x391, 0x460), *range(0x2010, 0x2028)]
+    if unicodedata.normalize("NFKC", chr(i)) == chr(i)
 )
 
 # Characters a word may hold. The dotless i stays because case-insensitive matching pairs it with i.
@@ -35,7 +35,8 @@ def _nfkc_batch(values: pd.Series) -> pd.Series:
 
 def nfkc(c: Column) -> Column:
     """Unicode NFKC. Only rows holding a character NFKC may change are sent to Python."""
-    return F.coalesce(_nfkc_batch(F.when(c.rlike(f"[^{NFKC_STABLE}]"), c)), c)
+    others = F.translate(c, NFKC_STABLE, "")
+    return F.coalesce(_nfkc_batch(F.when(others.rlike("[^\\x00-\\x7f]"), c)), c)
 
 
 def flatten_space(c: Column) -> Column:
@@ -93,6 +94,11 @@ def normalise_categories(c: Column) -> Column:
     return F.nullif(joined, F.lit(""))
 
 
+def has_category(c: Column) -> Column:
+    """True where a name is left after normalising: some character other than comma and white space."""
+    return F.coalesce(c.rlike(f"[^, {SPACE_CHARS}]"), F.lit(False))
+
+
 def squeeze_ends(c: Column) -> Column:
     """Trim any white space at both ends and leave the inside alone."""
     return F.trim(c, F.lit(" " + SPACE_CHARS))

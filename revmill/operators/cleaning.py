@@ -9,6 +9,7 @@ from revmill.config import ReviewConfig
 from revmill.functions import text as X
 from revmill.functions import values as V
 from revmill.operators.dedupe import keep_first
+from revmill.operators.joins import spread_join
 from revmill.operators.rows import compute_once
 
 DUPLICATE_ID = "dropped_duplicate_id"
@@ -43,7 +44,7 @@ def valid_entity(key: str, stars: str, categories: str, cfg: ReviewConfig = Revi
     return (
         V.has_key(F.col(key))
         & V.valid_range(F.col(stars), cfg.star_min, cfg.star_max)
-        & X.normalise_categories(F.col(categories)).isNotNull()
+        & X.has_category(F.col(categories))
     )
 
 
@@ -73,19 +74,18 @@ def entity_reasons(
     """Narrow table (order columns, key, reason); reason is null for rows that are kept.
 
     A row after the first valid row of its key is a duplicate even if it is itself invalid; before it, or in
-    a key with no valid row, it is invalid. Only the key and the order columns are shuffled, the first
-    position is pre-aggregated per task, and a key with a large share of the rows is split by the adaptive
-    skew join, as nothing after the join needs rows grouped by key.
+    a key with no valid row, it is invalid. Only the key and the order columns are shuffled, and the first
+    position per key is pre-aggregated per task.
     """
     at = F.struct(*order)
     rows = df.select(
         *order, F.col(key), valid_entity(key, stars, categories, cfg).alias("_ok")
     )
-    first = (
-        rows.filter("_ok").groupBy(F.col(key).alias("_key")).agg(F.min(at).alias("_first"))
+    first = rows.groupBy(key).agg(
+        F.min(F.when(F.col("_ok"), at)).alias("_first"), F.count("*").alias("_n")
     )
     reason = F.when(at == F.col("_first"), None).when(at > F.col("_first"), DUPLICATE_ID)
-    return rows.join(first, F.col(key) == F.col("_key"), "left").select(
+    return spread_join(rows, first, key, "_n", order, "left").select(
         *order, key, reason.otherwise(INVALID).alias("reason")
     )
 

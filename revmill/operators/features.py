@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.ml import Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import (
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmill.config import ReviewConfig
+from revmill.operators.joins import spread_join
 from revmill.operators.limits import top_k
 
 # The default English stop words.
@@ -37,14 +40,14 @@ STOP_WORDS = (
 
 
 def feature_stages(cfg: ReviewConfig = ReviewConfig()) -> list[Transformer | Estimator]:
-    """Words, bigrams and categories to one sparse vector."""
+    """Words, bigrams and categories to one sparse vector. Stages that need no fitting come first."""
     return [
         Tokenizer(inputCol="text", outputCol="words_raw"),
         StopWordsRemover(inputCol="words_raw", outputCol="words"),
         NGram(n=2, inputCol="words", outputCol="bigrams"),
         HashingTF(inputCol="words", outputCol="word_tf", numFeatures=cfg.word_buckets),
-        IDF(inputCol="word_tf", outputCol="word_tfidf", minDocFreq=cfg.word_min_df),
         HashingTF(inputCol="bigrams", outputCol="bigram_tf", numFeatures=cfg.bigram_buckets),
+        IDF(inputCol="word_tf", outputCol="word_tfidf", minDocFreq=cfg.word_min_df),
         IDF(inputCol="bigram_tf", outputCol="bigram_tfidf", minDocFreq=cfg.bigram_min_df),
         CountVectorizer(inputCol="cat_array", outputCol="cat_counts", vocabSize=cfg.category_vocab),
         VectorAssembler(
@@ -55,6 +58,18 @@ def feature_stages(cfg: ReviewConfig = ReviewConfig()) -> list[Transformer | Est
     ]
 
 
+def split_stages(stages: list) -> tuple[list[Transformer], list, list[str]]:
+    """(leading stages that need no fitting, the others, the columns the others read from before them)."""
+    fixed = list(itertools.takewhile(lambda s: isinstance(s, Transformer), stages))
+    rest = stages[len(fixed):]
+    read, made = [], set()
+    for stage in rest:
+        names = stage.getInputCols() if isinstance(stage, VectorAssembler) else [stage.getInputCol()]
+        read += [n for n in names if n not in made and n not in read]
+        made.add(stage.getOutputCol())
+    return fixed, rest, read
+
+
 def embedding_stages(size: int = 50, min_count: int = 5, seed: int = 42) -> list[Transformer | Estimator]:
     """Word embeddings averaged per review."""
     return [
@@ -83,16 +98,18 @@ def term_counts(df: DataFrame, key: str, words: str) -> DataFrame:
 def tfidf(df: DataFrame, key: str, words: str, min_df: int = 0) -> DataFrame:
     """Exact (key, term, tf, df, tfidf) with idf = ln((rows + 1) / (df + 1)), 0 below min_df.
 
-    Rows without words still count as rows. The join with the term frequencies is a plain equi-join: small
-    vocabularies are broadcast at run time, and a term found in most rows is split by the adaptive skew join.
+    The key is unique per row; rows without words still count as rows. The table is read three times, so
+    hand in staged words if they are costly to make. A term found in most rows is split for the join.
     """
     rows = df.agg(F.count("*")).scalar()
-    tf = term_counts(df, key, words)
-    per_term = tf.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.when(F.col("df") >= min_df, F.log((rows + 1.0) / (F.col("df") + 1.0))).otherwise(0.0)
-    return tf.join(per_term, "term").select(
-        key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf")
+    per_term = (
+        df.select(F.explode(F.array_distinct(words)).alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("df"))
     )
+    idf = F.when(F.col("df") >= min_df, F.log((rows + 1.0) / (F.col("df") + 1.0))).otherwise(0.0)
+    joined = spread_join(term_counts(df, key, words), per_term, "term", "df", [key])
+    return joined.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
 
 
 def category_vocab(df: DataFrame, items: str, size: int = 150) -> DataFrame:

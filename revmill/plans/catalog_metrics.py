@@ -166,9 +166,7 @@ def tier_tree(v):
 def _lr_scores(v: Views) -> tuple[DataFrame, DataFrame]:
     data = keyed_training_set(v).persist()
     train, test = hash_split(data, "sample_key", CFG.train_fraction, CFG.seed)
-    stages = feature_stages(CFG)
-    result = M.search_all(train, "sample_key", stages, small_candidates()[:1], CFG)[0]
-    model = M.refit(result, train, stages)
+    model = M.select_model(train, "sample_key", feature_stages(CFG), small_candidates()[:1], CFG).model
     keep = ["entity_id", "sample_key", "label"]
     return M.score_table(model, train, keep), M.score_table(model, test, keep)
 
@@ -188,8 +186,8 @@ def gap_report(v):
 def best_model(v):
     data = keyed_training_set(v).persist()
     train, _ = hash_split(data, "sample_key", CFG.train_fraction, CFG.seed)
-    results = M.search_all(train, "sample_key", feature_stages(CFG), small_candidates(), CFG)
+    chosen = M.select_model(train, "sample_key", feature_stages(CFG), small_candidates(), CFG)
     data.unpersist()
-    table = M.compare_models(v.spark, results)
+    table = M.compare_models(v.spark, chosen.results)
     best = EV.best_by(table, "model", "validation_auc").select("model").scalar()
     return table.withColumn("is_best", F.col("model") == best)

@@ -287,7 +287,7 @@ SQL_UNIQUE = f"""{SQL_CLEAN},
 
 @query("q_dedupe_reviews", f"WITH {SQL_UNIQUE} SELECT * FROM unique_reviews", "reviews")
 def dedupe_reviews(v):
-    return cleaning.dedupe_reviews(v.reviews(), "entity_id", "text", ["review_id"])
+    return cleaning.dedupe_reviews(v.review_texts(), "entity_id", "text", ["review_id"])
 
 
 @query(
@@ -384,7 +384,7 @@ def prepare_entities(v):
 
 @query("q_prepare_reviews", f"WITH {SQL_UNIQUE} SELECT * FROM unique_reviews", "reviews")
 def prepare_reviews(v):
-    states = cleaning.review_states(v.reviews(), "entity_id", "text")
+    states = cleaning.review_states(v.review_texts(), "entity_id", "text")
     return cleaning.kept_reviews(states, "entity_id", ["review_id"])
 
 
@@ -409,7 +409,7 @@ def quality_counters(v):
         F.col("dropped_duplicate_id").alias("dropped_duplicate"),
         "dropped_invalid",
     )
-    states = cleaning.review_states(v.reviews(), "entity_id", "text")
+    states = cleaning.review_states(v.review_texts(), "entity_id", "text")
     reviews = cleaning.review_counters(states, "entity_id").select(
         F.lit("reviews").alias("table_name"),
         "records_written",
@@ -428,7 +428,7 @@ SELECT '2.1' AS cleaning_version, (SELECT count(*) FROM entities) AS n_businesse
     "reviews entities",
 )
 def eda_summary(v):
-    kept = cleaning.dedupe_reviews(v.reviews(), "entity_id", "text", ["review_id"])
+    kept = cleaning.dedupe_reviews(v.review_texts(), "entity_id", "text", ["review_id"])
     small = limits.head_sample(kept, 500, ["review_id"])
     return counts.eda_summary(v.entities(), kept, small, CFG.cleaning_version)
 

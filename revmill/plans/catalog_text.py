@@ -11,6 +11,7 @@ from revmill.operators import cleaning
 from revmill.operators import features as FE
 from revmill.plans.registry import query
 from revmill.plans.views import Views
+from revmill.session import cut_lineage
 
 # The cleaning rule in SQL, step by step.
 SQL_NORMAL = """trim(regexp_replace(lower(regexp_replace(regexp_replace(text,
@@ -33,7 +34,7 @@ SQL_WORDS = f"""{SQL_CLEAN},
 
 
 def clean_reviews(v: Views):
-    return cleaning.clean_text(v.reviews(), "text", "text")
+    return cleaning.clean_text(v.review_texts(), "text", "text")
 
 
 def review_words(v: Views):
@@ -300,7 +301,7 @@ FROM tf JOIN dfs USING (term)""",
     "reviews",
 )
 def tfidf(v):
-    table = FE.tfidf(kept_words(v), "review_id", "words", min_df=2)
+    table = FE.tfidf(cut_lineage(kept_words(v)), "review_id", "words", min_df=2)
     return table.withColumn("tfidf", F.round("tfidf", 6))
 
 

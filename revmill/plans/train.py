@@ -68,10 +68,10 @@ def train(
     # The thinning keeps positives by a fraction of their key, so the split must draw with another seed.
     train_rows, test_rows = hash_split(balanced, KEY, cfg.train_fraction, cfg.seed + 2)
 
-    stages = feature_stages(cfg)
-    results = M.search_all(train_rows, KEY, stages, candidates or M.default_candidates(cfg), cfg)
-    winner = max(results, key=lambda r: r.best_score)
-    model = M.refit(winner, train_rows, stages)
+    chosen = M.select_model(
+        train_rows, KEY, feature_stages(cfg), candidates or M.default_candidates(cfg), cfg
+    )
+    model, winner, results = chosen.model, chosen.winner, chosen.results
 
     keep = [KEY, "label"]
     scored_train = M.score_table(model, train_rows, keep).persist()

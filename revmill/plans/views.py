@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revmill.sources.files import spread
+
 
 class Views:
     """Business and review tables derived from the Parquet files of one folder."""
@@ -54,6 +56,10 @@ class Views:
             "text",
         )
 
+    def review_texts(self) -> DataFrame:
+        """Reviews for costly work on the text, spread over the cores if the files give too few tasks."""
+        return spread(self.reviews(), "review_id")
+
     def users(self) -> DataFrame:
         return self.table("events").select("user_id")
 

@@ -49,6 +49,16 @@ def read_jsonl_lines(spark: SparkSession, path: str, schema: T.StructType) -> Da
     ).select("row.*", *LINE_ORDER)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Shuffle a plain file scan by a unique key if it has at most as many tasks as there are cores.
+
+    A few large row groups would otherwise keep costly per-row work on a few cores. A large input has more
+    tasks than cores and is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() <= cores else scan
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty one of the same schema when the path is missing."""
     if path_exists(spark, path):

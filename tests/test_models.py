@@ -101,15 +101,20 @@ def test_features_fitted_once_score_like_the_whole_pipeline(spark):
 
     rows = prepared(spark)
     stages, lr = feature_stages(CFG), candidates()[0]
-    results = M.search_all(rows, "review_id", stages, [lr], CFG)
+    chosen = M.select_model(rows, "review_id", stages, [lr], CFG)
     inner, held = M.hash_split(rows, "review_id", CFG.validation_fraction, CFG.seed + 1)
-    whole = [
-        M.auc_evaluator().evaluate(Pipeline(stages=stages + [lr.estimator.copy(p)]).fit(inner).transform(held))
-        for p in lr.grid
-    ]
-    assert results[0].scores == pytest.approx(whole, abs=1e-9)
-    assert results[0].best_score == max(results[0].scores)
-    assert results[0].best_estimator.getRegParam() in (0.01, 0.1)
+
+    def whole(part, params):
+        return Pipeline(stages=stages + [lr.estimator.copy(params)]).fit(part)
+
+    want = [M.auc_evaluator().evaluate(whole(inner, p).transform(held)) for p in lr.grid]
+    assert chosen.winner.scores == pytest.approx(want, abs=1e-9)
+    assert chosen.winner.best_score == max(want)
+
+    refitted = whole(rows, lr.grid[chosen.winner.best])
+    ours = M.score_table(chosen.model, rows, ["review_id"]).orderBy("review_id").collect()
+    theirs = M.score_table(refitted, rows, ["review_id"]).orderBy("review_id").collect()
+    assert [r.score for r in ours] == pytest.approx([r.score for r in theirs], abs=1e-9)
 
 
 def test_built_in_searches(spark):

@@ -190,11 +190,95 @@ def test_top_k_plan(spark, folder):
 def test_no_python_outside_nfkc(spark, folder):
     from revmill.plans.catalog import QUERIES
 
-    uses_text = {"q_clean_text", "q_nfkc", "q_tokens", "q_stopwords", "q_bigrams", "q_tfidf", "q_training_set",
+    uses_text = {"q_clean_text", "q_nfkc", "q_tokens", "q_stopwords", "q_bigrams", "q_training_set",
                  "q_dedupe_reviews", "q_fast_sample", "q_prepare_reviews", "q_quality_counters", "q_eda_summary"}
-    eager = {"q_lr", "q_gap_report", "q_best_model", "q_tier_tree", "q_roc_curve", "q_auc", "q_metrics_long",
+    eager = {"q_tfidf", "q_lr", "q_gap_report", "q_best_model", "q_tier_tree", "q_roc_curve", "q_auc", "q_metrics_long",
              "q_metric_breakdown"}
     for name in set(QUERIES) - uses_text - eager:
         plan = executed(QUERIES[name](spark, folder))
         assert "EvalPython" not in plan and "InPandas" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """Skew handling at test size: no broadcasts, small partitions, low thresholds."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    yield
+    for k in confs:
+        spark.conf.unset(k)
+
+
+def final_plan(df) -> str:
+    """The plan after the run-time decisions."""
+    df.write.format("noop").mode("overwrite").save()
+    rows = df.collect()
+    assert rows is not None
+    return executed(df)
+
+
+def hot_rows(spark, n=60_000):
+    """A third of the rows hold one key."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    return spark.range(0, n, 1, 6).select(F.col("id").alias("seq"), key.alias("entity_id"), F.uuid().alias("text"))
+
+
+def test_hot_entity_is_split_in_the_label_join(spark, small_skew_limits):
+    labels = spark.range(5000).select(
+        F.col("id").alias("entity_id"), F.lit(1.0).alias("label"), F.lit("a").alias("categories")
+    )
+    joined = joins.label_reviews(hot_rows(spark), labels, "entity_id")
+    assert "skew=true" in final_plan(joined).replace("isSkewJoin", "skew")
+
+
+def largest_share(df) -> float:
+    """Share of the rows in the fullest partition."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """No broadcasts by size and no run-time changes, so that partitions show where rows went."""
+    for k, v in {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}.items():
+        spark.conf.set(k, v)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("hot", ["x", "", None])
+def test_hot_entity_is_spread_in_the_reasons(spark, plain_shuffles, hot):
+    hot_key = F.lit(hot).cast("string")
+    raw = spark.range(0, 30_000, 1, 6).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 2 == 0, hot_key).otherwise((F.col("id") % 5000).cast("string")).alias("id"),
+        F.lit(4.0).alias("stars"),
+        F.lit("a").alias("categories"),
+    )
+    reasons = cleaning.entity_reasons(raw, "id", ["seq"])
+    assert largest_share(reasons) < 0.35  # four shuffle partitions; half of the rows hold one key
+    counts = cleaning.entity_counters(reasons).first()
+    kept = 2501 if hot == "x" else 2500
+    assert (counts.records_written, sum(counts)) == (kept, 30_000)
+    assert counts.dropped_invalid == (0 if hot == "x" else 15_000)
+
+
+def test_hot_term_is_spread(spark, plain_shuffles):
+    from revmill.operators.features import tfidf
+
+    docs = spark.range(0, 6000, 1, 4).select(
+        "id", F.array(F.lit("the"), F.concat(F.lit("w"), F.col("id").cast("string"))).alias("words")
+    )
+    table = tfidf(docs, "id", "words")
+    assert largest_share(table) < 0.35
+    assert table.count() == 12_000 and table.filter("term = 'the'").select("df").distinct().first().df == 6000
