@@ -9,6 +9,7 @@ from revmill.config import ReviewConfig
 from revmill.functions import values as V
 from revmill.operators import counts, histograms, limits, models, rows
 from revmill.operators.dedupe import keep_first
+from revmill.session import cut_lineage
 from revmill.sources import sinks
 
 
@@ -32,6 +33,8 @@ def analyse(
 ) -> dict[str, DataFrame]:
     """Cleaning counts, busiest businesses, top-rated businesses, tier distribution, tier tree accuracy."""
     clean, clean_reviews = clean_tables(entities, reviews, entity_order, review_order)
+    # Several tables are drawn from each; the cleaning runs once and only the columns needed are kept.
+    clean, clean_reviews = cut_lineage(clean), cut_lineage(clean_reviews.select("business_id"))
     features = ["review_count", "is_open", "latitude", "longitude"]
     tiers = clean.select(V.tier_label(F.col("stars"), cfg.high_star, cfg.mid_star).alias("label"))
     out = {

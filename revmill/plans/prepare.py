@@ -47,16 +47,16 @@ def typed_reviews(df: DataFrame) -> DataFrame:
 
 
 def prepare_entities(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) -> DataFrame:
-    """Write the clean entities; return the counters (one row)."""
+    """Write the clean entities; return the counters (one row). The lines are parsed once and staged."""
     lines = files.read_jsonl_lines(spark, src, BUSINESS_RAW)
-    rows = lines.withColumn(
-        "business_id", F.when(F.col(CORRUPT).isNull(), F.col("business_id"))
-    ).drop(CORRUPT)
+    keyless = F.when(F.col(CORRUPT).isNull(), F.col("business_id"))
+    rows, path = stage_table(lines.withColumn("business_id", keyless).drop(CORRUPT))
     kept = cleaning.prepare_entities(rows, "business_id", files.LINE_ORDER, cfg=cfg)
     sinks.write_jsonl(typed_entities(kept.drop(*files.LINE_ORDER)), dst)
-    return cleaning.entity_counters(
-        cleaning.entity_reasons(rows, "business_id", files.LINE_ORDER, cfg=cfg)
-    )
+    reasons = cleaning.entity_reasons(rows, "business_id", files.LINE_ORDER, cfg=cfg)
+    counters = cleaning.entity_counters(reasons).first()
+    drop_stage(spark, path)
+    return spark.createDataFrame([counters])
 
 
 def _states(lines: DataFrame, cfg: ReviewConfig) -> DataFrame:
@@ -82,7 +82,7 @@ def prepare_fast(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) ->
 
     Counters cover the lines up to the one that filled the sample.
     """
-    lines = head_sample(files.read_jsonl_lines(spark, src, REVIEW_RAW), cfg.raw_cap, files.LINE_ORDER)
+    lines = files.head_lines(spark, src, REVIEW_RAW, cfg.raw_cap)
     staged, path = stage_table(_states(lines, cfg))
     kept = cleaning.kept_reviews(staged, "business_id", files.LINE_ORDER)
     sample = head_sample(kept, cfg.sample_rows, files.LINE_ORDER)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from revmill.config import ReviewConfig
 from revmill.operators import evaluation as EV
@@ -14,6 +15,7 @@ from revmill.plans import analyse as A
 from revmill.plans import train as T
 from revmill.plans.prepare import prepare
 from revmill.schemas import BUSINESS, REVIEW_STORE
+from revmill.session import drop_stage, stage_table
 from revmill.sources import files
 
 log = logging.getLogger(__name__)
@@ -40,13 +42,23 @@ def run_all(
     candidates: list[Candidate] | None = None,
     fast: bool = False,
 ) -> list[str]:
-    """Run all stages on raw files; the tables and documents land under out. Returns the failed stages."""
+    """Run all stages on raw files; the tables and documents land under out. Returns the failed stages.
 
-    def entities():
-        return files.read_jsonl(spark, f"{out}/business", BUSINESS)
+    The clean JSON tables are read once into staged columnar tables for the stages after preparation.
+    """
+    staged: dict[str, tuple[DataFrame, str]] = {}
 
-    def sample():
-        return files.read_jsonl(spark, f"{out}/review_small", REVIEW_STORE)
+    def table(name: str, schema: StructType) -> DataFrame:
+        if name not in staged:
+            files.require_inputs(spark, [f"{out}/{name}"])
+            staged[name] = stage_table(files.read_jsonl(spark, f"{out}/{name}", schema))
+        return staged[name][0]
+
+    def entities() -> DataFrame:
+        return table("business", BUSINESS)
+
+    def sample() -> DataFrame:
+        return table("review_small", REVIEW_STORE)
 
     def do_prepare():
         files.require_inputs(spark, [business, review])
@@ -60,7 +72,6 @@ def run_all(
         A.write_tables(A.eda(entities(), sample()), f"{out}/eda")
 
     def do_train():
-        files.require_inputs(spark, [f"{out}/business", f"{out}/review_small"])
         T.save(T.train(entities(), sample(), cfg, candidates), out)
 
     def do_report():
@@ -69,7 +80,7 @@ def run_all(
             raise FileNotFoundError("no metric document")
         A.write_tables({"metrics_long": EV.metrics_long(document)}, f"{out}/report")
 
-    return run_stages(
+    failed = run_stages(
         [
             ("prepare", do_prepare),
             ("analyse", do_analyse),
@@ -78,3 +89,6 @@ def run_all(
             ("report", do_report),
         ]
     )
+    for _, path in staged.values():
+        drop_stage(spark, path)
+    return failed

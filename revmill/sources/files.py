@@ -32,7 +32,7 @@ def read_jsonl_tolerant(
     return good, bad
 
 
-def read_jsonl_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_jsonl_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """All non-blank lines with the corrupt-record column and the line order.
 
     Lines are read as text and parsed against the whole schema: the JSON source parses only the columns a
@@ -40,8 +40,7 @@ def read_jsonl_lines(spark: SparkSession, path: str, schema: T.StructType) -> Da
     one task from front to back, so the running number rises with the position in it.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    return lines.select(
+    return _filled_lines(spark, path).select(
         F.from_json("value", with_corrupt(schema), options).alias("row"),
         F.col("_metadata.file_path").alias("line_file"),
         F.col("_metadata.file_block_start").alias("line_block"),
@@ -49,6 +48,22 @@ def read_jsonl_lines(spark: SparkSession, path: str, schema: T.StructType) -> Da
     ).select("row.*", *LINE_ORDER)
 
 
+def _filled_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+
+
+def head_lines(spark: SparkSession, path: str, schema: T.StructType, n: int) -> DataFrame:
+    """The first n non-blank lines. Only as many files are read as hold them, in path order."""
+    paths = sorted(spark.read.text(path).inputFiles())
+    take = 1
+    while take < len(paths):
+        found = _filled_lines(spark, paths[:take]).count()
+        if found >= n:
+            break
+        take = min(len(paths), max(2 * take, 1 + take * n // max(found, 1)))
+    return head_sample(read_jsonl_lines(spark, paths[:take], schema), n, LINE_ORDER)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Shuffle a plain file scan by a unique key if it has at most as many tasks as there are cores.
 
@@ -92,7 +107,6 @@ def build_sample(
     if mode not in ("skip", "force"):
         raise ValueError(f"unknown mode {mode}")
     if mode == "force" or not path_exists(spark, dst):
-        head = head_sample(read_jsonl_lines(spark, src, schema), n, LINE_ORDER)
-        kept = head.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, *LINE_ORDER)
+        kept = head_lines(spark, src, schema, n).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, *LINE_ORDER)
         kept.write.mode("overwrite").json(dst)
     return read_jsonl(spark, dst, schema)

@@ -39,6 +39,19 @@ def test_line_order_follows_the_file(spark, tmp_path):
     assert ids == [f"{i:06d}" for i in range(5000)]
 
 
+def test_head_lines_reads_only_the_files_it_needs(spark, tmp_path):
+    src = tmp_path / "many"
+    src.mkdir()
+    for part in range(12):
+        rows = [json.dumps({"review_id": f"{part:02d}-{i:03d}"}) for i in range(30)]
+        (src / f"part-{part:02d}.json").write_text("\n\n".join(rows) + "\n")
+    got = files.head_lines(spark, str(src), schemas.REVIEW_RAW, 70)
+    want = [f"{p:02d}-{i:03d}" for p in range(12) for i in range(30)][:70]
+    assert sorted(r.review_id for r in got.collect()) == want
+    assert len(got.inputFiles()) < 12
+    assert files.head_lines(spark, str(src), schemas.REVIEW_RAW, 9999).count() == 360
+
+
 def test_sample_modes(spark, lines, tmp_path):
     dst = str(tmp_path / "sample")
 
