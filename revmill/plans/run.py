@@ -78,7 +78,12 @@ def run_all(
         document = files.load_metrics(spark, f"{out}/model_metrics")
         if document is None:
             raise FileNotFoundError("no metric document")
-        A.write_tables({"metrics_long": EV.metrics_long(document)}, f"{out}/report")
+        tables = {
+            "metrics_long": EV.metrics_long(document),
+            "metric_breakdown": EV.metric_breakdown(document),
+            "verdicts": EV.verdicts(document),
+        }
+        A.write_tables(tables, f"{out}/report")
 
     failed = run_stages(
         [

@@ -1,6 +1,8 @@
 import json
 
+from revmill import schemas
 from revmill.config import ReviewConfig
+from revmill.plans.load import load, load_table
 from revmill.plans.prepare import prepare
 from revmill.plans.run import run_all, run_stages
 from revmill.sources import files
@@ -87,6 +89,8 @@ def test_whole_run(spark, tmp_path):
     assert files.load_metrics(spark, f"{out}/model_metrics").first().dataset_size > 100
     assert spark.read.parquet(f"{out}/report/metrics_long").count() == 5
     assert spark.read.parquet(f"{out}/eda/star_histogram").count() == 9
+    verdict = spark.read.parquet(f"{out}/report/verdicts").first()
+    assert verdict.accuracy.endswith("%") and verdict.status_a in ("good", "monitor", "warning")
     assert files.path_exists(spark, f"{out}/best_model/metadata")
 
 
@@ -96,3 +100,29 @@ def test_a_failed_stage_does_not_stop_the_run(spark, tmp_path):
     assert failed == ["a"] and seen == ["b"]
     missing = str(tmp_path / "none")
     assert "prepare" in run_all(spark, missing, missing, str(tmp_path / "out"), CFG, candidates())
+
+
+def test_load(spark, tmp_path):
+    business, review = raw_files(tmp_path)
+    try:
+        counts = {r.table_name: r.n for r in load(spark, business, review, "t_b", "t_r").collect()}
+        # b1 comes twice and b9 quotes its stars; b10 has an unreadable latitude and r3 an unreadable count.
+        assert counts == {"t_b": 9, "t_r": 201}
+        b1 = spark.table("t_b").filter("business_id = 'b1'").first()
+        assert (b1.stars, b1.city, b1.review_count) == (3.0, "", 0)
+        assert spark.table("t_r").filter("review_id = 'r3'").count() == 0
+
+        extra = tmp_path / "more.json"
+        extra.write_text(json.dumps({"review_id": "r1", "business_id": "b2", "text": "z" * 6000}) + "\n")
+        more = load_table(spark, str(extra), "t_r", schemas.REVIEW_STORE, "review_id", recreate=False)
+        assert (more.rows, more.skipped) == (1, 0)
+        r1 = spark.table("t_r").filter("review_id = 'r1'").first()
+        assert (r1.business_id, r1.stars, len(r1.text)) == ("b2", 0.0, 5015)
+        assert r1.text.endswith("... [truncated]") and spark.table("t_r").count() == 201
+
+        small = load(spark, business, review, "t_nb", "t_nr", narrow=True, review_limit=10)
+        assert {r.table_name: r.n for r in small.collect()} == {"t_nb": 10, "t_nr": 10}
+        assert spark.table("t_nr").columns == ["review_id", "business_id", "user_id", "stars", "text"]
+    finally:
+        for t in ("t_b", "t_r", "t_nb", "t_nr"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")

@@ -134,6 +134,7 @@ def test_best_params_of_trees(spark):
                     (candidates()[2], {"max_iter": 4, "max_depth": 3, "step_size": 0.1})]:
         model = Pipeline(stages=feature_stages(CFG) + [c.estimator.copy(c.grid[0])]).fit(rows)
         assert M.best_params(model) == keys
+        assert {r.parameter: r.value for r in M.params_table(spark, model).collect()} == keys
 
 
 def test_embedding(spark):
