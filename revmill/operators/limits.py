@@ -11,7 +11,7 @@ from revmill.operators.cleaning import dedupe_reviews
 
 
 def head_sample(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first n rows in an order that is unique per row.
+    """The first n rows in an order that is unique per row and never null.
 
     Only the order columns of n rows meet in one task, to find the last position; the rows themselves are
     then filtered where they lie.

@@ -12,7 +12,7 @@ from revmill import schemas
 from revmill.functions import text as X
 from revmill.operators.dedupe import upsert
 from revmill.operators.rows import coerce_defaults, require_key, unreadable
-from revmill.session import drop_stage, stage_table
+from revmill.session import staged
 from revmill.sources import files, sinks
 
 # What a missing or null field becomes, by type.
@@ -59,20 +59,19 @@ def load_table(
         lines = files.read_jsonl_lines(spark, src, raw)
     else:
         lines = files.head_lines(spark, src, raw, limit)
-    rows, rows_path = stage_table(store_rows(lines, schema, key))
-    counts = rows.agg(F.count_if(~F.col("skipped")), F.count_if("skipped")).first()
-    good = rows.filter(~F.col("skipped")).drop("skipped")
-    if recreate:
-        last = upsert(good.limit(0), good, key, files.LINE_ORDER)
-        sinks.overwrite_table(last.drop(*files.LINE_ORDER), table)
-    else:
-        sinks.ensure_table(spark, table, schema)
-        unknown = [F.lit(None).cast(good.schema[c].dataType).alias(c) for c in files.LINE_ORDER]
-        merged = upsert(spark.table(table).select("*", *unknown), good, key, files.LINE_ORDER)
-        staged, path = stage_table(merged.drop(*files.LINE_ORDER))
-        sinks.overwrite_table(staged, table)
-        drop_stage(spark, path)
-    drop_stage(spark, rows_path)
+    with staged(store_rows(lines, schema, key)) as rows:
+        counts = rows.agg(F.count_if(~F.col("skipped")), F.count_if("skipped")).first()
+        good = rows.filter(~F.col("skipped")).drop("skipped")
+        if recreate:
+            last = upsert(good.limit(0), good, key, files.LINE_ORDER)
+            sinks.overwrite_table(last.drop(*files.LINE_ORDER), table)
+        else:
+            sinks.ensure_table(spark, table, schema)
+            unknown = [F.lit(None).cast(good.schema[c].dataType).alias(c) for c in files.LINE_ORDER]
+            before = spark.table(table).select("*", *unknown)
+            merged = upsert(before, good, key, files.LINE_ORDER)
+            with staged(merged.drop(*files.LINE_ORDER)) as result:
+                sinks.overwrite_table(result, table)
     return Loaded(*counts)
 
 

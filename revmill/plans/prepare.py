@@ -13,7 +13,7 @@ from revmill.functions import values as V
 from revmill.operators import cleaning
 from revmill.operators.limits import head_sample
 from revmill.schemas import BUSINESS, BUSINESS_RAW, CORRUPT, REVIEW_CLEAN, REVIEW_RAW, REVIEW_STORE
-from revmill.session import drop_stage, stage_table
+from revmill.session import staged
 from revmill.sources import files, sinks
 
 
@@ -50,12 +50,11 @@ def prepare_entities(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig)
     """Write the clean entities; return the counters (one row). The lines are parsed once and staged."""
     lines = files.read_jsonl_lines(spark, src, BUSINESS_RAW)
     keyless = F.when(F.col(CORRUPT).isNull(), F.col("business_id"))
-    rows, path = stage_table(lines.withColumn("business_id", keyless).drop(CORRUPT))
-    kept = cleaning.prepare_entities(rows, "business_id", files.LINE_ORDER, cfg=cfg)
-    sinks.write_jsonl(typed_entities(kept.drop(*files.LINE_ORDER)), dst)
-    reasons = cleaning.entity_reasons(rows, "business_id", files.LINE_ORDER, cfg=cfg)
-    counters = cleaning.entity_counters(reasons).first()
-    drop_stage(spark, path)
+    with staged(lines.withColumn("business_id", keyless).drop(CORRUPT)) as rows:
+        kept = cleaning.prepare_entities(rows, "business_id", files.LINE_ORDER, cfg=cfg)
+        sinks.write_jsonl(typed_entities(kept.drop(*files.LINE_ORDER)), dst)
+        reasons = cleaning.entity_reasons(rows, "business_id", files.LINE_ORDER, cfg=cfg)
+        counters = cleaning.entity_counters(reasons).first()
     return spark.createDataFrame([counters])
 
 
@@ -69,11 +68,10 @@ def prepare_reviews(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig)
 
     The cleaned rows are staged once, so that the table and the counters do not each clean the text.
     """
-    staged, path = stage_table(_states(files.read_jsonl_lines(spark, src, REVIEW_RAW), cfg))
-    kept = cleaning.kept_reviews(staged, "business_id", files.LINE_ORDER)
-    sinks.write_jsonl(typed_reviews(kept.drop(*files.LINE_ORDER)), dst)
-    counters = cleaning.review_counters(staged, "business_id").first()
-    drop_stage(spark, path)
+    with staged(_states(files.read_jsonl_lines(spark, src, REVIEW_RAW), cfg)) as states:
+        kept = cleaning.kept_reviews(states, "business_id", files.LINE_ORDER)
+        sinks.write_jsonl(typed_reviews(kept.drop(*files.LINE_ORDER)), dst)
+        counters = cleaning.review_counters(states, "business_id").first()
     return spark.createDataFrame([counters])
 
 
@@ -83,19 +81,18 @@ def prepare_fast(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) ->
     Counters cover the lines up to the one that filled the sample.
     """
     lines = files.head_lines(spark, src, REVIEW_RAW, cfg.raw_cap)
-    staged, path = stage_table(_states(lines, cfg))
-    kept = cleaning.kept_reviews(staged, "business_id", files.LINE_ORDER)
-    sample = head_sample(kept, cfg.sample_rows, files.LINE_ORDER)
-    at = F.struct(*files.LINE_ORDER)
-    stop = sample.agg(F.when(F.count("*") == cfg.sample_rows, F.max(at))).scalar()
-    scanned = staged.filter(stop.isNull() | (at <= stop))
-    sinks.write_jsonl(typed_reviews(sample.drop(*files.LINE_ORDER)), dst)
-    counters = (
-        cleaning.review_counters(scanned, "business_id")
-        .withColumn("raw_lines_scanned", scanned.agg(F.count("*")).scalar())
-        .first()
-    )
-    drop_stage(spark, path)
+    with staged(_states(lines, cfg)) as states:
+        kept = cleaning.kept_reviews(states, "business_id", files.LINE_ORDER)
+        sample = head_sample(kept, cfg.sample_rows, files.LINE_ORDER)
+        at = F.struct(*files.LINE_ORDER)
+        stop = sample.agg(F.when(F.count("*") == cfg.sample_rows, F.max(at))).scalar()
+        scanned = states.filter(stop.isNull() | (at <= stop))
+        sinks.write_jsonl(typed_reviews(sample.drop(*files.LINE_ORDER)), dst)
+        counters = (
+            cleaning.review_counters(scanned, "business_id")
+            .withColumn("raw_lines_scanned", scanned.agg(F.count("*")).scalar())
+            .first()
+        )
     return spark.createDataFrame([counters])
 
 

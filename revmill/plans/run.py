@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -15,7 +16,7 @@ from revmill.plans import analyse as A
 from revmill.plans import train as T
 from revmill.plans.prepare import prepare
 from revmill.schemas import BUSINESS, REVIEW_STORE
-from revmill.session import drop_stage, stage_table
+from revmill.session import staged
 from revmill.sources import files
 
 log = logging.getLogger(__name__)
@@ -46,13 +47,15 @@ def run_all(
 
     The clean JSON tables are read once into staged columnar tables for the stages after preparation.
     """
-    staged: dict[str, tuple[DataFrame, str]] = {}
+    tables: dict[str, DataFrame] = {}
+    stack = ExitStack()
 
     def table(name: str, schema: StructType) -> DataFrame:
-        if name not in staged:
+        if name not in tables:
             files.require_inputs(spark, [f"{out}/{name}"])
-            staged[name] = stage_table(files.read_jsonl(spark, f"{out}/{name}", schema))
-        return staged[name][0]
+            rows = files.read_jsonl(spark, f"{out}/{name}", schema)
+            tables[name] = stack.enter_context(staged(rows))
+        return tables[name]
 
     def entities() -> DataFrame:
         return table("business", BUSINESS)
@@ -65,8 +68,8 @@ def run_all(
         prepare(spark, business, review, out, cfg, fast=fast)
 
     def do_analyse():
-        tables = A.analyse(entities(), sample(), ["business_id"], ["review_id"], cfg)
-        A.write_tables(tables, f"{out}/analysis")
+        found = A.analyse(entities(), sample(), ["business_id"], ["review_id"], cfg)
+        A.write_tables(found, f"{out}/analysis")
 
     def do_explore():
         A.write_tables(A.eda(entities(), sample()), f"{out}/eda")
@@ -78,22 +81,20 @@ def run_all(
         document = files.load_metrics(spark, f"{out}/model_metrics")
         if document is None:
             raise FileNotFoundError("no metric document")
-        tables = {
+        report = {
             "metrics_long": EV.metrics_long(document),
             "metric_breakdown": EV.metric_breakdown(document),
             "verdicts": EV.verdicts(document),
         }
-        A.write_tables(tables, f"{out}/report")
-
-    failed = run_stages(
-        [
-            ("prepare", do_prepare),
-            ("analyse", do_analyse),
-            ("explore", do_explore),
-            ("train", do_train),
-            ("report", do_report),
-        ]
-    )
-    for _, path in staged.values():
-        drop_stage(spark, path)
-    return failed
+        A.write_tables(report, f"{out}/report")
+
+    with stack:
+        return run_stages(
+            [
+                ("prepare", do_prepare),
+                ("analyse", do_analyse),
+                ("explore", do_explore),
+                ("train", do_train),
+                ("report", do_report),
+            ]
+        )

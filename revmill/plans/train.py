@@ -16,7 +16,7 @@ from revmill.operators.features import feature_stages
 from revmill.operators.joins import training_reviews
 from revmill.operators.limits import random_k, roc_sample_size
 from revmill.operators.sampling import hash_split, undersample
-from revmill.session import drop_stage, stage_table
+from revmill.session import staged
 from revmill.sources import sinks
 
 KEY = "sample_key"
@@ -54,13 +54,18 @@ def train(
 ) -> Trained:
     """Label, balance, split, search, refit the winner, evaluate.
 
-    The balanced set is written once to the shared folder; search, refit and evaluation read it from there.
+    The labelled set is written once to the shared folder; balancing, search, refit and evaluation read it
+    from there.
     """
-    spark = reviews.sparkSession
     labelled = training_reviews(reviews, entities, key, cfg=cfg).withColumn(
         KEY, F.sha2(F.concat_ws("|", key, "text"), 256)
     )
-    data, data_path = stage_table(labelled)
+    with staged(labelled) as data:
+        return _train_on(data, cfg, candidates or M.default_candidates(cfg))
+
+
+def _train_on(data: DataFrame, cfg: ReviewConfig, candidates: list[M.Candidate]) -> Trained:
+    spark = data.sparkSession
     balance = class_balance(data).first()
     if 0 in (balance["positive_count"], balance["negative_count"]):
         raise OneClassError("need both classes")
@@ -68,9 +73,7 @@ def train(
     # The thinning keeps positives by a fraction of their key, so the split must draw with another seed.
     train_rows, test_rows = hash_split(balanced, KEY, cfg.train_fraction, cfg.seed + 2)
 
-    chosen = M.select_model(
-        train_rows, KEY, feature_stages(cfg), candidates or M.default_candidates(cfg), cfg
-    )
+    chosen = M.select_model(train_rows, KEY, feature_stages(cfg), candidates, cfg)
     model, winner, results = chosen.model, chosen.winner, chosen.results
 
     keep = [KEY, "label"]
@@ -114,7 +117,6 @@ def train(
     metrics = spark.createDataFrame([document.first()], document.schema)
     scored_train.unpersist()
     scored_test.unpersist()
-    drop_stage(spark, data_path)
     return Trained(model, winner.candidate.name, metrics)
 
 

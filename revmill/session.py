@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,7 @@ def local_session(cores: str = "8", app: str = "revmill", memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", "20MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -42,14 +45,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame) -> tuple[DataFrame, str]:
-    """Write the rows as a Parquet table in the shared folder; return the table and its path."""
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows as a Parquet table in the shared folder, removed when the block ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def drop_stage(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revmill import schemas
-from revmill.session import cut_lineage, drop_stage, shared_dir, stage_table
+from revmill.session import cut_lineage, shared_dir, staged
 from revmill.sources import files, sinks
 
 
@@ -125,7 +125,8 @@ def test_shared_folder(spark):
     assert shared_dir(spark)
     df = cut_lineage(spark.range(5))
     assert df.count() == 5
-    staged, path = stage_table(spark.range(7))
-    assert staged.count() == 7 and files.path_exists(spark, path)
-    drop_stage(spark, path)
+    with staged(spark.range(7)) as table:
+        assert table.count() == 7
+        path = table.inputFiles()[0]
+        assert files.path_exists(spark, path)
     assert not files.path_exists(spark, path)
