@@ -47,3 +47,20 @@ def _hadoop(spark: SparkSession, path: str):
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def record_batches(rows, schema, limit: int = 16 << 20):
+    """Tuples as Arrow batches that hold about `limit` bytes of text and binary at most."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 16 + sum(len(x) for x in row if isinstance(x, (bytes, str)))
+        if size > limit or len(held) >= 20_000:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema
+            )
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
