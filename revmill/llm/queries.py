@@ -6,20 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmill.llm import decontam, exact_dedup, pieces, sharding, toxicity, warc
+from revmill.llm import decontam, exact_dedup, pieces, sharding, simhash, substrings, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_ftrl_toxicity": toxicity.op1_ftrl_toxicity,
     "op2_qgram_bands": decontam.op2_qgram_bands,
+    "op3_pigeonhole_simhash": simhash.op3_pigeonhole_simhash,
     "op4_arc_to_warc": warc.op4_arc_to_warc,
     "op6_uniform_shards": sharding.op6_uniform_shards,
     "op7_extendible_hash": exact_dedup.op7_extendible_hash,
+    "op8_level_doubling": substrings.op8_level_doubling,
     "op9_suffix_array_pieces": pieces.op9_suffix_array_pieces,
 }
 
 ORACLES: dict[str, str] = {
     "op4_arc_to_warc": warc.SQL_OP4,
     "op7_extendible_hash": exact_dedup.SQL_OP7,
+    "op8_level_doubling": substrings.SQL_OP8,
 }
