@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmill.llm import decontam, exact_dedup, pieces, sharding, simhash, substrings, toxicity, warc
+from revmill.llm import decontam, exact_dedup, pieces, scoring, sharding, simhash, substrings, surrogates, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,12 @@ QUERIES: dict[str, Query] = {
     "op2_qgram_bands": decontam.op2_qgram_bands,
     "op3_pigeonhole_simhash": simhash.op3_pigeonhole_simhash,
     "op4_arc_to_warc": warc.op4_arc_to_warc,
+    "op5_keyed_surrogates": surrogates.op5_keyed_surrogates,
     "op6_uniform_shards": sharding.op6_uniform_shards,
     "op7_extendible_hash": exact_dedup.op7_extendible_hash,
     "op8_level_doubling": substrings.op8_level_doubling,
     "op9_suffix_array_pieces": pieces.op9_suffix_array_pieces,
+    "op10_cross_entropy_difference": scoring.op10_cross_entropy_difference,
 }
 
 ORACLES: dict[str, str] = {
