@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import record_batches, table, text_or_empty
+from revmill.llm.shelf import keep_rows, record_batches, table, text_or_empty
 
 WORD = re.compile(r"[^\W_]+")
 Q = 8  # characters of a q-gram; eight one-byte codes fill one 64-bit number
@@ -185,11 +185,11 @@ def find_matches(patterns: Patterns, texts: list[str]) -> Iterator[tuple[int, in
 
 
 MATCH = pa.schema(
-    [("doc_id", pa.int64()), ("contaminated", pa.bool_()), ("item_ids", pa.list_(pa.int64()))]
+    [("row", pa.int64()), ("doc_id", pa.int64()), ("contaminated", pa.bool_()), ("item_ids", pa.list_(pa.int64()))]
     + [("spans", pa.list_(pa.struct([(c, pa.int64()) for c in ("item_id", "start", "end", "edits")])))]
 )
 MATCH_DDL = (
-    "doc_id long, contaminated boolean, item_ids array<long>, "
+    "row long, doc_id long, contaminated boolean, item_ids array<long>, "
     "spans array<struct<item_id: long, start: long, `end`: long, edits: long>>"
 )
 
@@ -207,26 +207,64 @@ def overlap_report(
     row, and other columns are not read. The benchmark is broadcast in blocks of bounded size, each with a pass
     over the documents of its own; every document is read whole.
     """
-    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    parts = [_report(rows, patterns) for patterns in pattern_blocks(benchmark, rate)]
+    if len(parts) == 1:
+        return parts[0].drop("row")
+    # The scan numbers rows alike in every pass.
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("row", "doc_id").agg(
+        F.max("contaminated").alias("contaminated"),
+        F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+    ).drop("row")
+
+
+def pattern_blocks(benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> Iterator[Patterns]:
+    """The benchmark's items in blocks of about block_chars characters at most; one block at least, if an empty one."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-2 * chars // BLOCK_CHARS))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    out = None
+    blocks = -(-2 * chars // block_chars) if chars > block_chars else 1
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         texts = sorted((r["item_id"] is None, r["item_id"] or 0, normalise(r["text"])) for r in own)
         texts = [(None if none else i, t) for none, i, t in texts if len(t) >= Q]
-        part = _report(rows, Patterns([i for i, _ in texts], [t for _, t in texts], rate))
-        out = part if out is None else out.unionByName(part)
-    if blocks == 1:
-        return out
-    # Whole documents meet by their own text as well, so that rows that share an id stay apart.
-    return out.groupBy("doc_id", "__text").agg(
-        F.max("contaminated").alias("contaminated"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-    )
+        yield Patterns([i for i, _ in texts], [t for _, t in texts], rate)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+    """The rows, with all their columns, that hold no passage of the benchmark."""
+    for patterns in pattern_blocks(benchmark, rate):
+        shared = docs.sparkSession.sparkContext.broadcast((patterns.ids, patterns.texts, patterns.rate))
+
+        def decider(shared=shared):
+            known = Patterns(*shared.value)
+
+            def clean(texts):
+                held = {k for part in _portions(texts) for k in _holding(known, texts, part)}
+                return [k not in held for k in range(len(texts))]
+
+            return clean
+
+        docs = keep_rows(docs, decider)
+    return docs
+
+
+def _portions(texts: list[str]) -> Iterator[range]:
+    """Consecutive texts of about BATCH_CHARS characters together."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > BATCH_CHARS or i + 1 == len(texts):
+            yield range(begin, i + 1)
+            begin, size = i + 1, 0
+
+
+def _holding(known: Patterns, texts: list[str], part: range) -> set[int]:
+    return {part[0] + m[0] for m in find_matches(known, [normalise(texts[k]) for k in part])}
 
 
 def _report(rows: DataFrame, patterns: Patterns) -> DataFrame:
@@ -253,13 +291,10 @@ def _report(rows: DataFrame, patterns: Patterns) -> DataFrame:
 
         def rows():
             for batch in batches:
-                ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
-                begin, size = 0, 0
-                for i, t in enumerate(texts):
-                    size += len(t)
-                    if size > BATCH_CHARS or i + 1 == len(texts):
-                        yield from matched(ids[begin : i + 1], texts[begin : i + 1])
-                        begin, size = i + 1, 0
+                row, ids, texts = (batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))
+                for part in _portions(texts):
+                    own = slice(part.start, part.stop)
+                    yield from ((r, *m) for r, m in zip(row[own], matched(ids[own], texts[own])))
 
         yield from record_batches(rows(), MATCH)
 

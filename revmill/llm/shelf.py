@@ -64,3 +64,23 @@ def record_batches(rows, schema, limit: int = 16 << 20):
             held, size = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def keep_rows(docs: DataFrame, make_decider) -> DataFrame:
+    """The rows, with all their columns, whose text a decider accepts.
+
+    make_decider is called once in each task and gives a function from a list of texts (null as empty) to a list of
+    booleans. Rows stay where they are: nothing is exchanged.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        decide = make_decider()
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(decide(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

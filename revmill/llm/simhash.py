@@ -30,7 +30,9 @@ ROW_COST = 1.0  # of a block row that is exchanged
 PAIR_COST = 0.01  # of a pair that is compared inside a block
 LARGE_BLOCK = 20_000  # a block with more fingerprints is probed again on its other bits
 LEVELS = 4
-ODD = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+ODD = (
+    0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD,
+)
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -71,21 +73,30 @@ def names(count: int) -> list[str]:
 def fingerprints(
     docs: DataFrame, words: int, count: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, f0, f1, ...) of every row: `count` independent 64-bit fingerprints of the whole text, as signed longs."""
-    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in names(count))])
+    """(doc_id, mark, f0, f1, ...) of every row: `count` independent 64-bit fingerprints of the whole text, as signed longs.
+
+    mark is a hash of the text, which tells rows with one id apart. Texts without words, null ones among them, have
+    fingerprint zero; texts with fewer words than a shingle are one shingle. Other columns are not read.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "mark", *names(count))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids, marks = (batch.column(c).to_pylist() for c in ("doc_id", "mark"))
+                for doc_id, mark, text in zip(ids, marks, batch.column("text")):
                     h = shingle_hashes(text.as_py(), words)
                     found = [majority(remixed(h, ODD[i])) for i in range(count)]
-                    yield doc_id, *(f - (1 << 64) if f >> 63 else f for f in found)
+                    yield doc_id, mark, *(f - (1 << 64) if f >> 63 else f for f in found)
 
         yield from record_batches(rows(), schema)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in names(count)))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_or_empty(text_col)).alias("mark"),
+        text_or_empty(text_col).cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "mark", *names(count))))
 
 
 def bit_counts(classes: DataFrame, column: str) -> np.ndarray:
@@ -225,11 +236,11 @@ def _verify(blocks: DataFrame, count: int, keep: int) -> DataFrame:
     return blocks.select("key", "node", *names(count)).mapInArrow(run, "a long, b long")
 
 
-def links(classes: DataFrame, count: int, tau: int, keep: int) -> DataFrame:
+def links(classes: DataFrame, count: int, tau: int, keep: int, probed: int) -> DataFrame:
     """Edges (a, b) between nodes that connect what the search finds.
 
     classes: (node, f0, ...), one row for each distinct fingerprint. All pairs are found that differ in at most tau bits of
-    one of their `count` words, and of those the ones within `keep` bits over all words count. A block with more than
+    one of the first `probed` words, and of those the ones within `keep` bits over all `count` words count. A block with more than
     LARGE_BLOCK fingerprints is split by pieces of its other bits, of which one must agree; only what
     LEVELS splits leave together is compared as it is. Inside a block no pair is emitted that earlier edges connect,
     so a group of near copies gives no more edges than block rows.
@@ -238,7 +249,7 @@ def links(classes: DataFrame, count: int, tau: int, keep: int) -> DataFrame:
     if total < 2:
         return classes.sparkSession.createDataFrame([], "a long, b long")
     rows = None
-    for w, c in enumerate(names(count)):
+    for w, c in enumerate(names(probed)):
         probes = plan(bit_counts(classes, c), total, tau)
 
         def entry(i: int, mask: int, whole: int, c: str = c, w: int = w) -> Column:
@@ -285,8 +296,8 @@ def _split(rows: DataFrame, count: int, tau: int, level: int) -> DataFrame:
     )
 
 
-def near_groups(prints: DataFrame, count: int, tau: int, keep: int) -> DataFrame:
-    """(doc_id, f0, ..., component_id) of every row of prints; component_id is the smallest doc_id of the group.
+def near_groups(prints: DataFrame, count: int, tau: int, keep: int, probed: int | None = None) -> DataFrame:
+    """(doc_id, mark, f0, ..., component_id) of every row of prints; component_id is the smallest doc_id of the group.
 
     Rows with equal fingerprints are one class, made by an aggregate, so copies cost no pairs. A null doc_id is larger than
     any other; a group of such rows alone has the component null.
@@ -297,14 +308,33 @@ def near_groups(prints: DataFrame, count: int, tau: int, keep: int) -> DataFrame
         F.shiftleft(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"), 40)
         .bitwiseOR(F.col("_metadata.row_index")).alias("node"),
     )
-    joined = components(links(classes.drop("first"), count, tau, keep))
+    joined = components(links(classes.drop("first"), count, tau, keep, probed or count))
     members = classes.join(joined, "node")
     least = members.groupBy("root").agg(F.min("first").alias("component_id"))
     merged = members.join(least, "root").select(*names(count), "component_id")
     grouped = prints.join(merged, names(count), "left").join(
         classes.select(*names(count), "first"), names(count)
     )
-    return grouped.select("doc_id", *names(count), F.coalesce("component_id", "first").alias("component_id"))
+    return grouped.select("doc_id", "mark", *names(count), F.coalesce("component_id", "first").alias("component_id"))
+
+
+# Near copies for a corpus: five-word shingles, 384 bits. 56 differing bits stand for an angle at which two
+# shingle sets of one size have a Jaccard similarity of 0.8.
+CORPUS = {"words": 5, "count": 6, "tau": 5, "keep": 56, "probed": 3}
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """One row, with all its columns, for each group of near copies: the one with the smallest doc_id.
+
+    Rows that share the smallest id of a group all stay, and so do groups whose rows have no id.
+    """
+    prints = fingerprints(docs, CORPUS["words"], CORPUS["count"])
+    groups = near_groups(prints, CORPUS["count"], CORPUS["tau"], CORPUS["keep"], CORPUS["probed"])
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")
+    ).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__mark"))
+    return docs.join(gone, same, "left_anti")
 
 
 def op3_pigeonhole_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9]{4}(?:([ -]?)[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])",
     "secret": r"(?i:(?<=\b(?:token|secret|password|passwd|api_key|apikey|api-key) {0,2}[=:] {0,2}[\"']))"
     r"[A-Za-z0-9+/_.=-]{8,}(?=[\"'])",
-    "person": "(?i:(?<![\\p{L}])(?:" + "|".join(t for g in TITLES.values() for t in g) + "))\\.? " + NAME,
+    "person": "(?iu:(?<![\\p{L}])(?:" + "|".join(t for g in TITLES.values() for t in g) + "))\\.? " + NAME,
 }
 ANY = "|".join(PATTERNS[k] for k in ("email", "secret", "phone", "ip", "card", "person"))
 GATE = "[0-9@\"']"  # every entity but a person holds one of these
@@ -109,7 +109,7 @@ def _surrogate() -> Column:
     digits = _each(
         "entity",
         f"case when kind = 'phone' and i < length(entity) - 10 then c when i = 0 and kind = 'card' then c "
-        f"when c = '0' and i = 0 then c when i = 0 or i = length(entity) - 10 then char(50 + pmod({_byte('i')}, 8)) "
+        f"when c = '0' and i = 0 then c when i = 0 or kind = 'phone' and i = length(entity) - 10 then char(50 + pmod({_byte('i')}, 8)) "
         f"else {digit} end",
     )
     # A number that passed the Luhn check goes on passing it.

@@ -12,9 +12,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import record_batches, remove, stage, table, text_or_empty
+from revmill.llm.shelf import keep_rows, remove, stage, table, text_or_empty
 
 WORD = re.compile(r"[^\W_]+")
+STEMS = (4, 6)  # letters; inflected and compound words share them
 BIAS = 0  # the coordinate that every text has
 
 
@@ -23,10 +24,10 @@ class FtrlSettings:
     """Hash width, FTRL-proximal rates and penalties, and the bounds of the fit."""
 
     bits: int = 20
-    alpha: float = 0.1
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 2.0
-    l2: float = 1.0
+    l1: float = 3.0
+    l2: float = 0.1
     rounds: int = 4
     shards: int = 4
     max_fit_rows: int = 50_000  # the fit takes at most so many labels, drawn by a hash of the id
@@ -34,21 +35,23 @@ class FtrlSettings:
 
 
 class Hasher:
-    """Words to 64-bit hashes, remembered up to a bound; n-grams to coordinates."""
+    """Words to 64-bit hashes, of the word and of its stems, remembered up to a bound; n-grams to coordinates."""
 
     def __init__(self, bits: int):
         self.bits, self.known = bits, {}
 
     def words(self, text: str) -> np.ndarray:
+        """A row for each word: the hash of the word, then those of its first STEMS letters (0 if it has no more)."""
         known, out = self.known, []
         for word in WORD.findall(text.lower()):
             h = known.get(word)
             if h is None:
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
-                h = known[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 1)
+                parts = [word, *(f"{word[:n]}-" if len(word) > n else "" for n in STEMS)]
+                h = known[word] = tuple(xxhash.xxh64_intdigest(p.encode("utf-8", "replace"), 1) if p else 0 for p in parts)
             out.append(h)
-        return np.array(out, dtype=np.uint64)
+        return np.array(out, dtype=np.uint64).reshape(-1, 1 + len(STEMS))
 
     def _coordinate(self, h: np.ndarray) -> np.ndarray:
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -56,11 +59,15 @@ class Hasher:
         return np.where(at == BIAS, 1, at)
 
     def features(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(row, coordinate) of every word, word pair and pair with one word skipped, repeats included."""
+        """(row, coordinate) of every word, stem, word pair and pair with one word skipped, repeats included."""
         per_text = [self.words(t) for t in texts]
         rows = np.repeat(np.arange(len(per_text)), [len(w) for w in per_text])
-        h = np.concatenate([np.zeros(0, np.uint64), *per_text])
+        every = np.concatenate([np.zeros((0, 1 + len(STEMS)), np.uint64), *per_text])
+        h = np.ascontiguousarray(every[:, 0])
         found = [(rows, self._coordinate(h))]
+        for stem in every[:, 1:].T:
+            has = stem != 0
+            found.append((rows[has], self._coordinate(stem[has])))
         for gap, odd in ((1, 0xD6E8FEB86659FD93), (2, 0xA0761D6478BD642F)):
             same = rows[gap:] == rows[:-gap]
             pair = h[:-gap] * np.uint64(odd) + (h[gap:] ^ (h[gap:] >> np.uint64(29)))
@@ -180,8 +187,21 @@ def fit(labelled: DataFrame, settings: FtrlSettings | None = None) -> Weights:
     return Weights(s.bits, keep.astype(np.int32), w[keep].astype(np.float32))
 
 
+def scores(hasher: Hasher, dense: np.ndarray, texts: list[str]) -> list[float]:
+    """A feature counts once in a text, however often it occurs."""
+    out: list[float] = []
+    for start in range(0, len(texts), 64):
+        part = texts[start : start + 64]
+        row, at = hasher.features(part)
+        used = dense[at] != 0
+        keys = np.unique(row[used] << np.int64(32) | at[used])
+        sums = np.bincount(keys >> 32, dense[keys & 0xFFFFFFFF], minlength=len(part)) + dense[BIAS]
+        out += sigmoid(sums).tolist()
+    return out
+
+
 def score(docs: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row, over the whole text; a feature counts once however often it occurs.
+    """(doc_id, score) of every row, over the whole text.
 
     Null and empty texts have the bias only. Rows that repeat are scored alike, row by row. Other columns are not read.
     """
@@ -190,24 +210,25 @@ def score(docs: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
         hasher, dense = Hasher(model.value[0]), Weights(*model.value).dense()
-
-        def rows():
-            for batch in batches:
-                ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
-                for start in range(0, len(ids), 64):
-                    part = texts[start : start + 64]
-                    row, at = hasher.features(part)
-                    used = dense[at] != 0
-                    keys = np.unique(row[used] << np.int64(32) | at[used])
-                    sums = np.bincount(keys >> 32, dense[keys & 0xFFFFFFFF], minlength=len(part)) + dense[BIAS]
-                    yield from zip(ids[start : start + 64], sigmoid(sums).tolist())
-
-        yield from record_batches(rows(), schema)
+        for batch in batches:
+            found = scores(hasher, dense, batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def drop_toxic(docs: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """The rows that score below the threshold, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast((weights.bits, weights.at, weights.value))
+
+    def decider():
+        hasher, dense = Hasher(model.value[0]), Weights(*model.value).dense()
+        return lambda texts: [s < threshold for s in scores(hasher, dense, texts)]
+
+    return keep_rows(docs, decider)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """True for the rows whose labels are never learned. A null id is not held out."""
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
