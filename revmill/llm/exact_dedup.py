@@ -186,9 +186,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """One row, with all its columns, for each distinct text: the one with the largest doc_id."""
-    entries = build_index(docs).select(F.col("hash").alias("__hash"), F.col("sha256").alias("__sha"), "keep_id")
+    entries = build_index(docs).select(
+        F.col("hash").alias("__hash"), F.col("sha256").alias("__sha"), F.col("keep_id").alias("__keep")
+    )
     rows = docs.withColumns({"__hash": F.xxhash64(text_or_empty()), "__sha": F.sha2(text_or_empty(), 256)})
-    kept = rows.join(entries, ["__hash", "__sha"]).where(F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")))
+    kept = rows.join(entries, ["__hash", "__sha"]).where(F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")))
     # Rows that repeat with the same id are still together; one of them is enough.
     return kept.dropDuplicates(["__hash", "__sha"]).select(*(f"`{c}`" for c in docs.columns))
 

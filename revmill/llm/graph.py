@@ -34,7 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
         remove(now)
         now = following
         if new_mark == mark:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            )
         mark = new_mark
 
 

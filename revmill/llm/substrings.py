@@ -206,13 +206,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     )
     every = marked.join(cut, ["doc", "mark"], "left").join(longest, ["doc", "mark"], "left")
     by_copy = F.col("copy")
+    doublings = F.expr(f"{length} * shiftleft(1L, length(bin(n_words div {length})) - 1)")
     return every.select(
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
         "n_words",
         F.when(by_copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(by_copy, F.lit("")).otherwise(F.col("cut_text")).alias("kept_text"),
         "words_sha256",
-        F.coalesce("longest", F.lit(0)).cast("long").alias("longest"),
+        F.when(by_copy, doublings).otherwise(F.coalesce("longest", F.lit(0))).cast("long").alias("longest"),
     )
 
 

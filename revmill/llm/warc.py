@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import new_path, record_batches, table
+from revmill.llm.shelf import new_path, record_batches, remove_path, table
 
 # Fixed values of the two formats.
 ARC_FIELDS = {
@@ -336,6 +336,7 @@ def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     write_arc(table(spark, sf_dir, "pages"), arc)
     convert_arc(spark, arc, warc)
+    remove_path(spark, arc)
     records = read_warc(spark, warc, payloads=False).drop("payload")
     target = records.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")

@@ -1,0 +1,99 @@
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from cases import awkward, empty
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from revmill.llm import pieces as P
+
+
+@pytest.fixture(scope="module")
+def model():
+    return P.PieceModel.load()
+
+
+@pytest.fixture(scope="module")
+def encoder(model):
+    return P.Encoder(model)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=P.MODEL)
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(0)
+    code = rng.integers(97, 100, 400).astype(np.int64)
+    order = P.suffix_order(code, 400)
+    text = "".join(map(chr, code))
+    assert [text[i:] for i in order] == sorted(text[i:] for i in range(400))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\tabcdetheing▁éß漢😀.,'0", max_size=30), min_size=1, max_size=5))
+def test_same_ids_as_the_library(texts):
+    model = P.PieceModel.load() if "m" not in CACHE else CACHE["m"]
+    CACHE["m"] = model
+    e = CACHE.setdefault("e", P.Encoder(model))
+    sp = CACHE.setdefault("s", sentencepiece.SentencePieceProcessor(model_file=P.MODEL))
+    assert [t.tolist() for t in e.encode(texts)] == sp.encode(texts)
+
+
+CACHE: dict = {}
+
+
+def test_long_words_and_runs(model, encoder, library):
+    rng = random.Random(2)
+    texts = ["", " ", " " * 60 + "the" * 30, "a" * 5000, "漢字" * 700, "the" * 2000, "".join(rng.choice("abcdefgh") for _ in range(9000)), "\0 \0"]
+    got = encoder.encode(texts)
+    assert [t.tolist() for t in got] == library.encode(texts)
+    decoder = P.Decoder(model)
+    assert [decoder.decode(t) for t in got] == texts
+
+
+def test_merging_with_a_heap_is_the_same(model):
+    rng = random.Random(5)
+    for _ in range(200):
+        text = "▁" * rng.randint(0, 5) + "".join(rng.choice("etainshr▁"[:8]) for _ in range(rng.randint(1, 25)))
+        assert P.merge_long(text, model.scores) == P.merge(text, model.scores)
+
+
+def test_words_are_forgotten_and_learned_again(model, library, monkeypatch):
+    monkeypatch.setattr(P, "KNOWN_WORDS", 5)
+    e = P.Encoder(model)
+    texts = ["one two three four", "five six seven eight nine", "one two"]
+    for t in texts:
+        assert e.encode([t])[0].tolist() == library.encode(t)
+    assert len(e.known) <= 5
+
+
+def test_awkward_rows(spark, model, library):
+    rows = {}
+    for r in P.encode(awkward(spark), model).collect():
+        rows.setdefault(r.doc_id, []).append(r)
+        assert r.n_tokens == len(r.ids) and r.round_trip
+    assert sum(map(len, rows.values())) == 13 and rows[3][0].ids == rows[4][0].ids == []
+    assert rows[2][0].ids == library.encode("a plain text with some words in it")
+    texts = P.decode(P.encode(awkward(spark), model), model).collect()
+    assert sorted(r.text for r in texts) == sorted((r.text or "") for r in awkward(spark).collect())
+    assert P.encode(empty(spark), model).count() == 0
+    assert P.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), model).first().text == ""
+
+
+def test_text_with_the_mark_itself(spark, model):
+    docs = spark.createDataFrame([(1, "a▁b")], "doc_id long, text string")
+    assert not P.encode(docs, model).first().round_trip
+
+
+def test_query_against_the_library(spark, folder, library):
+    from revmill.llm.shelf import table
+
+    texts = {r.doc_id: r.text for r in table(spark, folder, "documents").collect()}
+    got = P.op9_suffix_array_pieces(spark, folder).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.ids == library.encode(texts[r.doc_id]) and r.round_trip

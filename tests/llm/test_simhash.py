@@ -1,0 +1,157 @@
+import re
+from itertools import product
+
+import numpy as np
+import pytest
+import xxhash
+from cases import awkward, empty, frame
+
+from revmill.llm import graph
+from revmill.llm import simhash as S
+from revmill.llm.shelf import table
+
+
+def plain_fingerprint(text, words=3):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    shingles = [" ".join(found[i : i + words]) for i in range(len(found) - words + 1)] or ([" ".join(found)] if found else [])
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_components(ids, prints, most):
+    parent = list(range(len(ids)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= most:
+                parent[find(i)] = find(j)
+    groups = {}
+    for i in range(len(ids)):
+        groups.setdefault(find(i), []).append(ids[i])
+    return {i: min(g) for g in groups.values() for i in g}
+
+
+def test_allocation_is_the_best():
+    rng = np.random.default_rng(0)
+    for _ in range(20):
+        costs = [[0.0, *np.cumsum(rng.random(3)).tolist()] for _ in range(4)]
+        best = min(
+            sum(c[t + 1] for c, t in zip(costs, ts)) for ts in product(range(-1, 3), repeat=4) if sum(ts) == 1
+        )
+        cost, chosen = S.allocate(costs, 1)
+        assert abs(cost - best) < 1e-12 and sum(chosen) == 1
+
+
+@pytest.mark.parametrize("total", [2, 1000, 10**7, 10**11])
+@pytest.mark.parametrize("tau", [1, 2, 3])
+def test_probes_meet_for_all_near_pairs(total, tau):
+    rng = np.random.default_rng(1)
+    both = rng.random((64, 64)) * total / 2
+    both = (both + both.T) / 2
+    np.fill_diagonal(both, rng.random(64) * total)
+    probes = S.plan(both, total, tau)
+    assert len({w for _, w in probes}) <= tau + 1
+    for _ in range(300):
+        diff = sum(1 << int(b) for b in rng.choice(64, tau, replace=False))
+        assert any(diff & mask == 0 for mask, _ in probes)
+
+
+def test_groups_hold_correlated_bits():
+    rng = np.random.default_rng(2)
+    seeds = rng.random((5000, 4)) < 0.5
+    owner = rng.permutation(np.repeat(np.arange(4), 16))
+    bits = np.where(rng.random((5000, 64)) < 0.9, seeds[:, owner], rng.random((5000, 64)) < 0.5).astype(float)
+    for group in S.correlated_groups(bits.T @ bits, 5000, 4):
+        assert len(set(owner[group])) == 1
+
+
+def test_forest_connects():
+    rng = np.random.default_rng(3)
+    f = (rng.integers(0, 1 << 8, (200, 1))).astype(np.uint64)
+    edges = S.forest(f, 1)
+    want = plain_components(list(range(200)), [int(x) for x in f[:, 0]], 1)
+    root = list(range(200))
+    for i, j in edges:
+        root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    assert root == [want[i] for i in range(200)] and len(edges) <= 199
+
+
+def test_components_of_long_paths_and_stars(spark):
+    rng = np.random.default_rng(4)
+    names = rng.permutation(400).tolist()
+    edges = [(names[i], names[i + 1]) for i in range(150)] + [(names[200], names[i]) for i in range(201, 300)]
+    edges += [(5, 5), edges[0], edges[0][::-1]]
+    got = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).select("node", "root").collect())
+    for part in (names[:151], names[200:300]):
+        assert {got[n] for n in part} == {min(part)}
+    assert len(got) == 151 + 100
+
+
+@pytest.mark.parametrize("large", [20_000, 4])
+def test_groups_against_brute_force(spark, monkeypatch, large):
+    """With the bound of a block at 4 nearly all blocks are split, level after level."""
+    monkeypatch.setattr(S, "LARGE_BLOCK", large)
+    rng = np.random.default_rng(5)
+    centres = rng.integers(0, 1 << 63, 12)
+    prints = []
+    for i in range(400):
+        f = int(centres[i % 12])
+        for b in rng.choice(64, rng.integers(0, 3), replace=False):
+            f ^= 1 << int(b)
+        prints.append(f)
+    prints += [0] * 5 + [prints[0]] * 20
+    rows = [(i, i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
+    got = S.near_groups(spark.createDataFrame(rows, "doc_id long, mark long, f0 long"), 1, 2, 2)
+    want = plain_components(list(range(len(prints))), prints, 2)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
+def test_query_against_brute_force(spark, folder):
+    texts = {r.doc_id: r.text for r in table(spark, folder, "documents").collect()}
+    prints = {i: plain_fingerprint(t) for i, t in texts.items()}
+    got = S.op3_pigeonhole_simhash(spark, folder).collect()
+    want = plain_components(list(prints), list(prints.values()), 2)
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {i: (f"{p:016x}", want[i]) for i, p in prints.items()}
+
+
+def test_awkward_rows(spark):
+    got = S.near_groups(S.fingerprints(awkward(spark), 3), 1, 2, 2).collect()
+    assert len(got) == 13
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[2].component_id == 1 and by_id[6].component_id == 5
+    assert by_id[3].f0 == by_id[4].f0 == by_id[7].f0 == 0 and by_id[7].component_id == 3
+    assert sorted(r.component_id or 0 for r in got if r.doc_id is None) == [0, 3]
+    assert S.near_groups(S.fingerprints(empty(spark), 3), 1, 2, 2).count() == 0
+    kept = S.drop_near_copies(awkward(spark))
+    assert kept.columns == awkward(spark).columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 5, 8, 9, 10]
+    assert S.drop_near_copies(empty(spark)).count() == 0
+
+
+def jaccard(a, b):
+    return len(a & b) / max(1, len(a | b))
+
+
+def test_near_copies_of_a_corpus(spark):
+    """Copies with few changed words go, half-equal texts stay."""
+    rng = np.random.default_rng(6)
+    texts, kind = [], []
+    for i in range(60):
+        words = [f"w{k}" for k in rng.integers(0, 5000, 300)]
+        texts.append(" ".join(words))
+        kind.append("first")
+        for changes, name in ((4, "near"), (60, "far")):
+            copy = list(words)
+            for at in rng.choice(300, changes, replace=False):
+                copy[at] = f"c{rng.integers(0, 5000)}"
+            texts.append(" ".join(copy))
+            kind.append(name)
+    left = {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()}
+    gone = {k: sum(i not in left for i in range(180) if kind[i] == k) for k in ("first", "near", "far")}
+    assert gone["first"] == 0 and gone["far"] == 0 and gone["near"] >= 57

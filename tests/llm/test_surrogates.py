@@ -1,0 +1,115 @@
+import re
+
+import pytest
+from cases import awkward, empty, frame
+from pyspark.sql import functions as F
+
+from revmill.llm import surrogates as S
+from revmill.llm.shelf import table
+
+
+def run(spark, texts, key="k"):
+    got = {r.doc_id: r for r in S.replace_entities(frame(spark, texts), key).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+FORMS = [
+    ("mail ann.b+c@mail.example.com now", "email", r"mail [a-z]{3}\.[a-z]\+[a-z]@[a-z]{4}\.[a-z]{7}\.com now"),
+    ("Mail ANN@X.ORG.", "email", r"Mail [A-Z]{3}@[A-Z]\.ORG\."),
+    ("at 10.20.30.255, then", "ip", r"at (\d{1,3}\.){3}\d{1,3}, then"),
+    ("call +1 (212) 555-0199!", "phone", r"call \+1 \([2-9]\d\d\) \d{3}-\d{4}!"),
+    ("call (212) 555-0199", "phone", r"call \([2-9]\d\d\) \d{3}-\d{4}"),
+    ("card 4111-1111-1111-1111.", "card", r"card 4\d{3}-\d{4}-\d{4}-\d{4}\."),
+    ("card 4785380592391139", "card", r"card 4\d{15}"),
+    ('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x', "secret", r'token = "[0-9a-f]{40}" x'),
+    ("PASSWORD: 'Ab12Cd34Ef'", "secret", r"PASSWORD: '[A-Z][a-z]\d\d[A-Z][a-z]\d\d[A-Z][a-z]'"),
+    ("Dear Mrs. Miller,", "person", r"Dear Mrs\. [A-Z][a-z]+lina,"),
+    ("Herr Schmidt kam", "person", r"Herr [A-Z][a-z]+rik kam"),
+    ("MR. JONES", "person", r"MR\. [A-Z]+RIK"),
+    ("г-жа Иванова и", "person", r"г-жа [А-Я][а-я]+лина и"),
+]
+
+
+def test_forms(spark):
+    for r, (text, kind, form) in zip(run(spark, [f[0] for f in FORMS]), FORMS):
+        assert r.kinds == [kind] and r.n_replaced == 1, text
+        assert re.fullmatch(form, r.text), (text, r.text)
+        assert r.text != text
+
+
+def test_what_is_no_entity_stays(spark):
+    texts = ["version 1.2.3.4.5 of 2024", "a @ b", "numbers 123 4567", "Mr and Mrs", 'say "hello there you"', "300.1.1.1", "name@host"]
+    for r, text in zip(run(spark, texts), texts):
+        assert r.text == text and r.n_replaced == 0 and r.kinds == []
+
+
+def test_one_entity_one_surrogate(spark):
+    texts = ["a.b@c.org and A.B@C.ORG", "again a.b@c.org", "4111 1111 1111 1111 or 4111111111111111", "Mr. Poe; Mrs. Poe; mr Poe"]
+    got = run(spark, texts)
+    one, two = got[0].text.split(" and ")
+    assert one == two.lower() and got[1].text == f"again {one}"
+    one, two = got[2].text.split(" or ")
+    assert one.replace(" ", "") == two
+    his, her, him = (t.split(" ")[1] for t in got[3].text.split("; "))
+    assert his == him != her
+
+
+def test_numbers_that_pass_the_luhn_check_go_on_passing(spark):
+    (r,) = run(spark, ["4111111111111111"])
+    assert spark.range(1).select(F.expr(f"luhn_check('{r.text}')")).first()[0]
+
+
+def test_the_key_decides(spark):
+    text = ["a.b@c.org 10.0.0.1"]
+    assert run(spark, text)[0].text == run(spark, text)[0].text != run(spark, text, "other")[0].text
+
+
+def test_collisions_are_drawn_again(spark, monkeypatch):
+    """Two-letter addresses: so few surrogates that many collide, with each other and with entities."""
+    entities = spark.createDataFrame([("email", f"{a}@{b}.x") for a in "abcdefghijklm" for b in "abcdefghijklm"], "kind string, entity string")
+    got = S.surrogate_table(entities, "k").collect()
+    assert len(got) == 169 == len({r.surrogate for r in got})
+    assert not {r.surrogate for r in got} & {r.entity for r in got}
+    monkeypatch.setattr(S, "RETRIES", 3)
+    full = spark.createDataFrame([("email", f"{a}@1.x") for a in "0123456789"], "kind string, entity string")
+    with pytest.raises(ValueError, match="too few"):
+        S.surrogate_table(full.unionByName(full.withColumn("entity", F.regexp_replace("entity", "@1", "@2"))).unionByName(
+            spark.createDataFrame([("email", f"{a}@{b}.x") for a in "0123456789" for b in "03456789"], "kind string, entity string")
+        ), "k")
+
+
+def test_native_plan(spark, folder):
+    df = S.op5_keyed_surrogates(spark, folder)
+    plan = df._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)
+
+
+def test_awkward_rows(spark):
+    rows = S.replace_entities(awkward(spark), "k").collect()
+    before = sorted((r.doc_id or 0, r.text or "") for r in awkward(spark).collect())
+    assert sorted((r.doc_id or 0, r.text or "") for r in rows) == before and sum(r.text is None for r in rows) == 2
+    assert S.replace_entities(empty(spark), "k").count() == 0
+
+
+def test_long_text_with_very_many_entities(spark):
+    text = " ".join(f"u{i}@h.org" for i in range(5000))
+    (r,) = run(spark, [text])
+    assert r.n_replaced == 5000 and len(set(r.text.split())) == 5000 and len(r.text) == len(text)
+
+
+def test_query_leaves_no_entity_and_changes_nothing_else(spark, folder):
+    """By an own search over the whole small table, segment by segment."""
+    own = re.compile(
+        r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b"
+        r"|(?<=token = \")\w+(?=\")|(?<=TOKEN = \")\w+(?=\")"
+    )
+    texts = {r.doc_id: r.text for r in table(spark, folder, "documents").collect()}
+    got = {r.doc_id: r for r in S.op5_keyed_surrogates(spark, folder).collect()}
+    mapping, count = {}, 0
+    for i, text in texts.items():
+        assert own.split(text) == own.split(got[i].text)
+        for a, b in zip(own.findall(text), own.findall(got[i].text)):
+            count += 1
+            assert a != b and mapping.setdefault(a.lower(), b.lower()) == b.lower()
+        assert got[i].n_replaced == len(own.findall(text))
+    assert count > 10 and len(set(mapping.values())) == len(mapping) and not set(mapping) & set(mapping.values())
