@@ -9,9 +9,9 @@ from dataclasses import dataclass
 class ReviewConfig:
     cleaning_version: str = "2.1"
 
-    # Review text bounds, in characters of the cleaned text.
+    # Review text bounds, in characters of the cleaned text. Texts stay whole unless max_chars is set.
     min_chars: int = 15
-    max_chars: int = 8000
+    max_chars: int | None = None
 
     # Star scale and label cuts.
     star_min: float = 1.0
@@ -19,7 +19,7 @@ class ReviewConfig:
     high_star: float = 4.0
     mid_star: float = 3.0
 
-    # Sample sizes: clean rows kept, raw rows scanned.
+    # The small sample, the first clean rows of the input: rows kept, and raw rows scanned in fast mode.
     sample_rows: int = 100_000
     raw_cap: int = 600_000
 
@@ -37,7 +37,9 @@ class ReviewConfig:
     word_min_df: int = 2
     bigram_min_df: int = 3
 
-    # Sample behind the ROC arrays in the metric document: 15 % of the rows, kept between the bounds.
-    roc_sample_min: int = 2_000
-    roc_sample_max: int = 20_000
-    roc_sample_share: float = 0.15
+    # Labelled rows that a fit may use, drawn by a hash of their key; None: all. Counts, baseline and test metrics
+    # always cover all rows.
+    max_fit_rows: int | None = None
+
+    # Points of the ROC arrays in the metric document; the curve itself is of all rows.
+    roc_points: int = 1_000

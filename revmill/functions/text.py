@@ -77,8 +77,10 @@ def normalise_text(c: Column) -> Column:
     return words_only(strip_emails(strip_urls(flatten_space(nfkc(c)))))
 
 
-def bound_text(c: Column, min_chars: int, max_chars: int) -> Column:
-    """Null below the minimum; above the maximum, cut there and drop the last, possibly broken, word."""
+def bound_text(c: Column, min_chars: int, max_chars: int | None = None) -> Column:
+    """Null below the minimum; above the maximum, if there is one, cut there and drop the last, possibly broken, word."""
+    if max_chars is None:
+        return F.when(F.length(c) >= min_chars, c)
     cut = F.regexp_replace(F.substring(c, 1, max_chars), " [^ ]*$", "")
     return F.when(F.length(c) < min_chars, None).when(F.length(c) > max_chars, cut).otherwise(c)
 

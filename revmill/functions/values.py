@@ -28,6 +28,26 @@ def soft_int(c: Column) -> Column:
     return c.try_cast("int")
 
 
+def json_integer(line: Column, field: str, text: Column) -> Column:
+    """text, the field's value as read from a JSON line, with number and truth tokens as whole numbers.
+
+    An unquoted 4.0 or 4.7 is 4 and true is 1; a quoted "4.0" stays as it is, and so is unreadable as an integer.
+    """
+    token = F.regexp_extract(
+        line, rf'(?<!\\)"{field}"\s*:\s*(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false)\s*[,}}]', 1
+    )
+    number = token.try_cast("double")
+    whole = F.when(number.between(-9.0e18, 9.0e18), number.try_cast("long").cast("string"))
+    return (
+        F.when(token == "", text).when(token == "true", "1").when(token == "false", "0").otherwise(F.coalesce(whole, text))
+    )
+
+
+def json_null(line: Column, fields: list[str]) -> Column:
+    """True where a JSON line gives one of the fields as null, other than leaving it out."""
+    return F.coalesce(line.rlike(rf'(?<!\\)"(?:{"|".join(fields)})"\s*:\s*null\s*[,}}]'), F.lit(False))
+
+
 def or_default(c: Column, dtype: str, default) -> Column:
     return F.coalesce(c.try_cast(dtype), F.lit(default).cast(dtype))
 

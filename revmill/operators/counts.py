@@ -55,22 +55,21 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def eda_summary(
-    entities: DataFrame,
-    reviews: DataFrame | None,
-    sample: DataFrame,
-    cleaning_version: str,
+    entities: DataFrame, reviews: DataFrame, sample_rows: int, cleaning_version: str, fast: bool = False
 ) -> DataFrame:
-    """One row: cleaning version and table sizes; the full review count is null in fast mode."""
+    """One row: cleaning version and table sizes; the full review count is null in fast mode.
 
-    def size(df: DataFrame):
-        return df.agg(F.count("*")).scalar()
-
-    full = F.lit(None).cast("long") if reviews is None else size(reviews)
+    The sample is the first sample_rows of the reviews, so its size follows from theirs, which are counted once.
+    """
+    found = reviews.agg(F.count("*").alias("n")).select(
+        F.when(F.lit(not fast), F.col("n")).alias("full"), F.least("n", F.lit(sample_rows)).cast("long").alias("small")
+    )
+    sizes = found.select(F.struct("full", "small").alias("s")).scalar()
     return entities.agg(
         F.lit(cleaning_version).alias("cleaning_version"), F.count("*").alias("n_businesses")
     ).select(
         "*",
-        full.alias("n_reviews_full"),
-        F.lit(reviews is None).alias("fast_mode"),
-        size(sample).alias("n_reviews_small"),
+        sizes["full"].alias("n_reviews_full"),
+        F.lit(fast).alias("fast_mode"),
+        sizes["small"].alias("n_reviews_small"),
     )

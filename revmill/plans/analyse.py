@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from revmill.config import ReviewConfig
 from revmill.functions import values as V
 from revmill.operators import counts, histograms, limits, models, rows
+from revmill.operators import evaluation as EV
 from revmill.operators.dedupe import keep_first
 from revmill.session import cut_lineage
 from revmill.sources import sinks
@@ -35,6 +36,7 @@ def analyse(
     clean, clean_reviews = clean_tables(entities, reviews, entity_order, review_order)
     # Several tables are drawn from each; the cleaning runs once and only the columns needed are kept.
     clean, clean_reviews = cut_lineage(clean), cut_lineage(clean_reviews.select("business_id"))
+    # The columns the tier tree learns from.
     features = ["review_count", "is_open", "latitude", "longitude"]
     tiers = clean.select(V.tier_label(F.col("stars"), cfg.high_star, cfg.mid_star).alias("label"))
     out = {
@@ -90,6 +92,28 @@ def eda(entities: DataFrame, reviews: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def report_tables(document: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the report, all from the metric document (one row)."""
+    matrix = document.select(*(F.col(f"confusion_{c}").cast("long").alias(c) for c in ("tn", "fp", "fn", "tp")))
+    balance = ["positive_count", "negative_count", "raw_dataset_size", "baseline_accuracy"]
+    scores = document.select("model_type", F.explode(models.auc_entries(document)).alias("e"))
+    return {
+        "metrics_long": EV.metrics_long(document),
+        "metric_breakdown": EV.metric_breakdown(document),
+        "verdicts": EV.verdicts(document),
+        "model_comparison": scores.select(
+            F.col("e.name").alias("model"), F.col("e.score").alias("validation_auc"),
+            (F.col("e.name") == F.col("model_type")).alias("is_best"),
+        ),
+        "tuned_parameters": document.select(F.explode(models.tuned_entries(document)).alias("e")).select(
+            F.col("e.name").alias("parameter"), F.col("e.value").alias("value")
+        ).filter(F.col("value").isNotNull()),
+        "confusion": matrix,
+        "confusion_rates": EV.confusion_stats(matrix),
+        "class_balance": document.select(*(c for c in balance if c in document.columns)),
+    }
+
+
 def write_tables(tables: dict[str, DataFrame], out: str) -> None:
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{out}/{name}")

@@ -25,9 +25,9 @@ def head_sample(v):
     return limits.head_sample(v.reviews(), 300, ["review_id"])
 
 
-@query("q_column_scan", "SELECT city FROM entities LIMIT 100000", "entities")
+@query("q_column_scan", "SELECT city FROM entities", "entities")
 def column_scan(v):
-    return limits.column_scan(v.entities(), "city", 100_000)
+    return limits.column_scan(v.entities(), "city")
 
 
 @query("q_project", "SELECT entity_id, name, stars, city FROM entities", "entities")
@@ -424,13 +424,12 @@ def quality_counters(v):
     f"""WITH {SQL_UNIQUE}
 SELECT '2.1' AS cleaning_version, (SELECT count(*) FROM entities) AS n_businesses,
        (SELECT count(*) FROM unique_reviews) AS n_reviews_full, false AS fast_mode,
-       (SELECT count(*) FROM (SELECT * FROM unique_reviews LIMIT 500)) AS n_reviews_small""",
+       (SELECT least(count(*), {CFG.sample_rows}) FROM unique_reviews) AS n_reviews_small""",
     "reviews entities",
 )
 def eda_summary(v):
     kept = cleaning.dedupe_reviews(v.review_texts(), "entity_id", "text", ["review_id"])
-    small = limits.head_sample(kept, 500, ["review_id"])
-    return counts.eda_summary(v.entities(), kept, small, CFG.cleaning_version)
+    return counts.eda_summary(v.entities(), kept, CFG.sample_rows, CFG.cleaning_version)
 
 
 # --- class samples ---------------------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from revmill.config import ReviewConfig
 from revmill.functions import ratings as R
 from revmill.functions import text as X
 from revmill.functions import values as V
@@ -18,7 +19,13 @@ SQL_NORMAL = """trim(regexp_replace(lower(regexp_replace(regexp_replace(text,
     'https?://\\S+|www\\.\\S+', ' ', 'gi'), '\\S+@\\S+\\.\\S+', ' ', 'g')), '[^a-z0-9ı'']+', ' ', 'g'))"""
 
 
-def sql_bound(column: str, lo: int = 15, hi: int = 8000) -> str:
+# The bound that q_clean_text shows; all other queries clean whole texts.
+BOUNDED = ReviewConfig(max_chars=8000)
+
+
+def sql_bound(column: str, lo: int = 15, hi: int | None = None) -> str:
+    if hi is None:
+        return f"CASE WHEN length({column}) < {lo} THEN NULL ELSE {column} END"
     return (
         f"CASE WHEN length({column}) < {lo} THEN NULL WHEN length({column}) > {hi} "
         f"THEN regexp_replace(substr({column}, 1, {hi}), ' [^ ]*$', '') ELSE {column} END"
@@ -28,6 +35,7 @@ def sql_bound(column: str, lo: int = 15, hi: int = 8000) -> str:
 SQL_CLEAN = f"""cleaned AS (
   SELECT review_id, entity_id, {sql_bound('t')} AS text
   FROM (SELECT review_id, entity_id, {SQL_NORMAL} AS t FROM reviews))"""
+SQL_CLEAN_BOUNDED = SQL_CLEAN.replace(sql_bound("t"), sql_bound("t", hi=8000))
 
 SQL_WORDS = f"""{SQL_CLEAN},
   words AS (SELECT review_id, string_split(text, ' ') AS words FROM cleaned WHERE text IS NOT NULL)"""
@@ -42,9 +50,9 @@ def review_words(v: Views):
     return kept.select("review_id", X.tokens(F.col("text")).alias("words"))
 
 
-@query("q_clean_text", f"WITH {SQL_CLEAN} SELECT review_id, text FROM cleaned", "reviews")
+@query("q_clean_text", f"WITH {SQL_CLEAN_BOUNDED} SELECT review_id, text FROM cleaned", "reviews")
 def clean_text(v):
-    return clean_reviews(v).select("review_id", "text")
+    return cleaning.clean_text(v.review_texts(), "text", "text", BOUNDED).select("review_id", "text")
 
 
 @query("q_nfkc")
@@ -60,7 +68,7 @@ def nfkc(v):
         FROM pages""",
 )
 def strip_urls(v):
-    line = F.concat(F.lit("see "), "url", F.lit(" or WWW."), F.col("url").substr(9, 100000), F.lit(" now"))
+    line = F.concat(F.lit("see "), "url", F.lit(" or WWW."), F.expr("substr(url, 9)"), F.lit(" now"))
     html = X.strip_urls(X.flatten_space(F.col("html")))
     return v.table("pages").select("page_id", X.strip_urls(line).alias("url_text"), html.alias("html_text"))
 

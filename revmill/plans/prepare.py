@@ -12,7 +12,7 @@ from revmill.config import ReviewConfig
 from revmill.functions import values as V
 from revmill.operators import cleaning
 from revmill.operators.limits import head_sample
-from revmill.schemas import BUSINESS, BUSINESS_RAW, CORRUPT, REVIEW_CLEAN, REVIEW_RAW, REVIEW_STORE
+from revmill.schemas import BUSINESS, BUSINESS_RAW, CORRUPT, REVIEW_RAW, REVIEW_STORE
 from revmill.session import staged
 from revmill.sources import files, sinks
 
@@ -48,7 +48,7 @@ def typed_reviews(df: DataFrame) -> DataFrame:
 
 def prepare_entities(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) -> DataFrame:
     """Write the clean entities; return the counters (one row). The lines are parsed once and staged."""
-    lines = files.read_jsonl_lines(spark, src, BUSINESS_RAW)
+    lines = files.read_jsonl_lines(spark, src, BUSINESS_RAW).drop(files.NULL_NUMBER)
     keyless = F.when(F.col(CORRUPT).isNull(), F.col("business_id"))
     with staged(lines.withColumn("business_id", keyless).drop(CORRUPT)) as rows:
         kept = cleaning.prepare_entities(rows, "business_id", files.LINE_ORDER, cfg=cfg)
@@ -60,17 +60,19 @@ def prepare_entities(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig)
 
 def _states(lines: DataFrame, cfg: ReviewConfig) -> DataFrame:
     broken = F.col(CORRUPT).isNotNull()
-    return cleaning.review_states(lines, "business_id", "text", broken, cfg).drop(CORRUPT)
+    return cleaning.review_states(lines, "business_id", "text", broken, cfg).drop(CORRUPT, files.NULL_NUMBER)
 
 
-def prepare_reviews(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) -> DataFrame:
-    """Write all clean reviews; return the counters (one row).
+def prepare_reviews(spark: SparkSession, src: str, dst: str, small: str, cfg: ReviewConfig) -> DataFrame:
+    """Write all clean reviews, and the first of them in input order as the small sample; return the counters (one row).
 
-    The cleaned rows are staged once, so that the table and the counters do not each clean the text.
+    The cleaned rows are staged once, so that the tables and the counters do not each clean the text.
     """
     with staged(_states(files.read_jsonl_lines(spark, src, REVIEW_RAW), cfg)) as states:
         kept = cleaning.kept_reviews(states, "business_id", files.LINE_ORDER)
         sinks.write_jsonl(typed_reviews(kept.drop(*files.LINE_ORDER)), dst)
+        sample = head_sample(kept, cfg.sample_rows, files.LINE_ORDER)
+        sinks.write_jsonl(typed_reviews(sample.drop(*files.LINE_ORDER)), small)
         counters = cleaning.review_counters(states, "business_id").first()
     return spark.createDataFrame([counters])
 
@@ -103,9 +105,8 @@ def prepare(
     out: str,
     cfg: ReviewConfig = ReviewConfig(),
     fast: bool = False,
-    rebuild_sample: bool = False,
 ) -> Prepared:
-    """Clean both tables, build the small sample, write the quality and summary documents."""
+    """Clean both tables, build the small sample anew, write the quality and summary documents."""
     paths = Prepared(
         f"{out}/business" if files.path_exists(spark, business) else None,
         f"{out}/review" if files.path_exists(spark, review) and not fast else None,
@@ -118,19 +119,17 @@ def prepare(
     if paths.sample and fast:
         review_counts = prepare_fast(spark, review, paths.sample, cfg)
     elif paths.sample:
-        review_counts = prepare_reviews(spark, review, paths.reviews, cfg)
-        mode = "force" if rebuild_sample else "skip"
-        files.build_sample(spark, paths.reviews, paths.sample, REVIEW_CLEAN, cfg.sample_rows, mode)
+        review_counts = prepare_reviews(spark, review, paths.reviews, paths.sample, cfg)
     if paths.sample:
         sample_rows = files.read_jsonl(spark, paths.sample, REVIEW_STORE).count()
     write_documents(spark, paths, entity_counts, review_counts, sample_rows, fast, cfg)
     return paths
 
 
-def _as_struct(counters: DataFrame | None):
-    """The counter row as literals of one struct, or null when the table was missing."""
+def _as_struct(counters: DataFrame | None, name: str):
+    """The counter row as literals of one struct, or an error entry when the table was missing."""
     if counters is None:
-        return F.lit(None).cast("struct<error:string>")
+        return F.struct(F.lit(f"missing_{name}").alias("error"))
     return F.struct(*[F.lit(v).alias(k) for k, v in counters.first().asDict().items()])
 
 
@@ -144,12 +143,12 @@ def write_documents(
     cfg: ReviewConfig,
 ) -> None:
     """The quality document (limits, counters, files) and the summary document, one row each."""
-    entity, review = _as_struct(entity_counts), _as_struct(review_counts)
+    entity, review = _as_struct(entity_counts, "business"), _as_struct(review_counts, "review")
     one = spark.range(1)
     quality = one.select(
         F.lit(cfg.cleaning_version).alias("cleaning_version"),
         F.lit(cfg.min_chars).alias("min_review_chars"),
-        F.lit(cfg.max_chars).alias("max_review_chars"),
+        F.lit(cfg.max_chars).cast("int").alias("max_review_chars"),
         F.lit(cfg.sample_rows).alias("review_sample_cap"),
         F.lit(cfg.sample_rows).alias("fast_sample_max_lines"),
         F.lit(cfg.raw_cap).alias("fast_sample_raw_cap"),

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from revmill.config import ReviewConfig
-from revmill.operators import evaluation as EV
 from revmill.operators.models import Candidate
 from revmill.plans import analyse as A
 from revmill.plans import train as T
@@ -60,33 +59,29 @@ def run_all(
     def entities() -> DataFrame:
         return table("business", BUSINESS)
 
-    def sample() -> DataFrame:
-        return table("review_small", REVIEW_STORE)
+    def reviews() -> DataFrame:
+        """All clean reviews; in fast mode there are none but the sample."""
+        return table("review_small" if fast else "review", REVIEW_STORE)
 
     def do_prepare():
         files.require_inputs(spark, [business, review])
         prepare(spark, business, review, out, cfg, fast=fast)
 
     def do_analyse():
-        found = A.analyse(entities(), sample(), ["business_id"], ["review_id"], cfg)
+        found = A.analyse(entities(), reviews(), ["business_id"], ["review_id"], cfg)
         A.write_tables(found, f"{out}/analysis")
 
     def do_explore():
-        A.write_tables(A.eda(entities(), sample()), f"{out}/eda")
+        A.write_tables(A.eda(entities(), reviews()), f"{out}/eda")
 
     def do_train():
-        T.save(T.train(entities(), sample(), cfg, candidates), out)
+        T.save(T.train(entities(), reviews(), cfg, candidates), out)
 
     def do_report():
         document = files.load_metrics(spark, f"{out}/model_metrics")
         if document is None:
             raise FileNotFoundError("no metric document")
-        report = {
-            "metrics_long": EV.metrics_long(document),
-            "metric_breakdown": EV.metric_breakdown(document),
-            "verdicts": EV.verdicts(document),
-        }
-        A.write_tables(report, f"{out}/report")
+        A.write_tables(A.report_tables(document), f"{out}/report")
 
     with stack:
         return run_stages(

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmill.config import ReviewConfig
+from revmill.functions import values as V
 from revmill.operators import evaluation as EV
 from revmill.operators import models as M
 from revmill.operators.counts import class_balance
 from revmill.operators.features import feature_stages
 from revmill.operators.joins import training_reviews
-from revmill.operators.limits import random_k, roc_sample_size
 from revmill.operators.sampling import hash_split, undersample
 from revmill.session import staged
 from revmill.sources import sinks
@@ -33,10 +33,15 @@ class OneClassError(ValueError):
     """The training set holds a single class."""
 
 
-def roc_arrays(predictions: DataFrame, rows: int, cfg: ReviewConfig) -> DataFrame:
-    """One row (roc_fpr, roc_tpr): the corners of the curve over a bounded random sample, from the origin."""
-    sample = random_k(predictions.select(KEY, "label", "score"), KEY, roc_sample_size(rows, cfg), cfg.seed)
-    points = EV.roc_curve(sample, drop_collinear=True)
+def roc_arrays(predictions: DataFrame, cfg: ReviewConfig) -> DataFrame:
+    """One row (roc_fpr, roc_tpr): the curve of all rows from the origin, thinned to at most roc_points points.
+
+    Of the corners that fall into one of roc_points equal steps along the curve the last is kept, so both ends stay.
+    """
+    points = EV.roc_curve(predictions, drop_collinear=True)
+    step = F.ceil((F.coalesce("fpr", F.lit(0.0)) + F.coalesce("tpr", F.lit(0.0))) * (cfg.roc_points / 2.0))
+    last = F.max_by(F.struct("fp", "tp", "fpr", "tpr"), F.col("fp") + F.col("tp"))
+    points = points.groupBy(step.alias("step")).agg(last.alias("p")).select("p.*")
     path = F.sort_array(F.collect_list(F.struct("fp", "tp", "fpr", "tpr")))
     origin = F.array(F.lit(0.0))
     return points.agg(path.alias("path")).select(
@@ -73,7 +78,11 @@ def _train_on(data: DataFrame, cfg: ReviewConfig, candidates: list[M.Candidate])
     # The thinning keeps positives by a fraction of their key, so the split must draw with another seed.
     train_rows, test_rows = hash_split(balanced, KEY, cfg.train_fraction, cfg.seed + 2)
 
-    chosen = M.select_model(train_rows, KEY, feature_stages(cfg), candidates, cfg)
+    fit_rows = train_rows
+    if cfg.max_fit_rows is not None:
+        share = F.lit(float(cfg.max_fit_rows)) / F.greatest(train_rows.agg(F.count("*")).scalar(), F.lit(1))
+        fit_rows = train_rows.filter(V.key_fraction(F.col(KEY), cfg.seed + 3) < share)
+    chosen = M.select_model(fit_rows, KEY, feature_stages(cfg), candidates, cfg)
     model, winner, results = chosen.model, chosen.winner, chosen.results
 
     keep = [KEY, "label"]
@@ -85,8 +94,7 @@ def _train_on(data: DataFrame, cfg: ReviewConfig, candidates: list[M.Candidate])
     )
     matrix = EV.confusion(scored_test)
     params = M.best_params(model)
-    known = ("num_trees", "max_depth", "min_instances_per_node", "max_iter", "reg_param", "elastic_net", "step_size")
-    curve = roc_arrays(scored_test, sizes["test_size"], cfg)
+    curve = roc_arrays(scored_test, cfg)
     aucs = [x for r in results for x in (F.lit(r.candidate.name), F.lit(r.best_score))]
     document = report.select(
         "*",
@@ -102,9 +110,10 @@ def _train_on(data: DataFrame, cfg: ReviewConfig, candidates: list[M.Candidate])
         F.lit(cfg.word_buckets + cfg.bigram_buckets).alias("embedding_dimension"),
         *[matrix.select(c).scalar().alias(f"confusion_{c}") for c in ("tn", "fp", "fn", "tp")],
         F.lit(cfg.high_star).alias("star_label_threshold"),
-        *[F.lit(params.get(n)).cast("double").alias(n) for n in known],
+        *[F.lit(params.get(n)).cast("double").alias(n) for n in M.TUNED],
         F.create_map(*aucs).alias("all_validation_aucs"),
         F.struct(
+            F.lit("full" if cfg.max_fit_rows is None else "bounded").alias("mode"),
             F.lit(cfg.word_buckets).alias("word_tfidf_features"),
             F.lit(cfg.bigram_buckets).alias("bigram_tfidf_features"),
             F.lit(cfg.category_vocab).alias("category_features"),

@@ -52,7 +52,7 @@ class Views:
         """Review texts; the source number is the business."""
         return self.table("documents").select(
             F.col("doc_id").alias("review_id"),
-            F.substring("source", 4, 10).cast("bigint").alias("entity_id"),
+            F.expr("substr(source, 4)").cast("bigint").alias("entity_id"),
             "text",
         )
 

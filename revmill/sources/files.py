@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revmill.functions import values as V
 from revmill.operators.limits import head_sample
 from revmill.schemas import CORRUPT, with_corrupt
 
+# The numeric fields of the JSON tables.
+WHOLE_NUMBERS = ("useful", "funny", "cool", "review_count", "is_open")
+NUMBERS = ("stars", "latitude", "longitude")
+NULL_NUMBER = "null_number"
+
 # File, block and running number: the order of the lines in the input, unique per line.
 LINE_ORDER = ["line_file", "line_block", "line_no"]
 
@@ -27,7 +33,7 @@ def read_jsonl_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """(well-formed rows, malformed lines). Blank lines are skipped."""
     rows = read_jsonl_lines(spark, path, schema)
-    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, *LINE_ORDER)
+    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, NULL_NUMBER, *LINE_ORDER)
     bad = rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, *LINE_ORDER)
     return good, bad
 
@@ -39,13 +45,34 @@ def read_jsonl_lines(spark: SparkSession, path: str | list[str], schema: T.Struc
     query uses, so whether a line counts as malformed would change from query to query. A block is read by
     one task from front to back, so the running number rises with the position in it.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return _filled_lines(spark, path).select(
-        F.from_json("value", with_corrupt(schema), options).alias("row"),
+    lines = _filled_lines(spark, path).select(
+        "value",
         F.col("_metadata.file_path").alias("line_file"),
         F.col("_metadata.file_block_start").alias("line_block"),
         F.monotonically_increasing_id().alias("line_no"),
-    ).select("row.*", *LINE_ORDER)
+    )
+    return parse_lines(lines, schema)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON lines in the column value as columns of the schema and the corrupt-record column, beside the others.
+
+    Fields that are read as text but are whole numbers in the tables take number and truth tokens as such.
+    null_number tells lines that give a numeric field as null.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rest = [c for c in lines.columns if c != "value"]
+    row = lines.select("value", *rest, F.from_json("value", with_corrupt(schema), options).alias("row"))
+
+    def column(field: T.StructField):
+        value = F.col("row").getField(field.name)
+        if field.name in WHOLE_NUMBERS and isinstance(field.dataType, T.StringType):
+            value = V.json_integer(F.col("value"), field.name, value)
+        return value.alias(field.name)
+
+    numbers = [f.name for f in schema.fields if f.name in WHOLE_NUMBERS or f.name in NUMBERS]
+    null = V.json_null(F.col("value"), numbers) if numbers else F.lit(False)
+    return row.select(*(column(f) for f in with_corrupt(schema).fields), null.alias(NULL_NUMBER), *rest)
 
 
 def _filled_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -64,14 +91,17 @@ def head_lines(spark: SparkSession, path: str, schema: T.StructType, n: int) ->
     return head_sample(read_jsonl_lines(spark, paths[:take], schema), n, LINE_ORDER)
 
 
+# Scans up to this size may be one row group; larger ones have many and are never shuffled for balance.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Shuffle a plain file scan by a unique key if it has at most as many tasks as there are cores.
+    """Shuffle a small file scan by a unique key, so that costly per-row work is not left to a single task.
 
-    A few large row groups would otherwise keep costly per-row work on a few cores. A large input has more
-    tasks than cores and is left as it is, without a shuffle.
+    A scan over SPREAD_BYTES, on any cluster, is left as it is. The size is the planner's, from the files alone.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() <= cores else scan
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return scan.repartition(key) if int(str(size)) <= SPREAD_BYTES else scan
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -107,6 +137,6 @@ def build_sample(
     if mode not in ("skip", "force"):
         raise ValueError(f"unknown mode {mode}")
     if mode == "force" or not path_exists(spark, dst):
-        kept = head_lines(spark, src, schema, n).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, *LINE_ORDER)
+        kept = head_lines(spark, src, schema, n).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, NULL_NUMBER, *LINE_ORDER)
         kept.write.mode("overwrite").json(dst)
     return read_jsonl(spark, dst, schema)

@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from revmill.config import ReviewConfig
 from revmill.operators.cleaning import review_counters, review_states
 from revmill.schemas import CORRUPT, REVIEW_RAW, with_corrupt
+from revmill.session import staged
+from revmill.sources.files import path_exists
 
 
 def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -20,39 +22,64 @@ def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.json(path)
 
 
+# How long a review is remembered after it has arrived, unless the caller says otherwise.
+KEEP_FOR = "30 days"
+
+
 def stream_clean(
-    rows: DataFrame, cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = None
+    rows: DataFrame, cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = KEEP_FOR
 ) -> DataFrame:
     """Clean, unique reviews of a stream.
 
-    The state holds entity and digest, not the text. With keep_for (such as '30 days') and a readable date,
-    copies are recognised only within that time and the state stays bounded; rows without a readable date
-    are then given the current time.
+    The state holds entity and digest, not the text, for keep_for after a review's arrival; None keeps it for ever.
+    Time is that of arrival, never the review's own date, so no review is late and none is lost: old, undated and
+    unordered ones are treated like all others, and only a copy that comes after keep_for is written again.
     """
     states = review_states(rows, "business_id", "text", F.col(CORRUPT).isNotNull(), cfg)
     clean = states.filter("state = 'clean'").drop("state", CORRUPT)
     if keep_for is None:
         unique = clean.dropDuplicates(["business_id", "digest"])
     else:
-        at = F.coalesce(F.try_to_timestamp("date"), F.current_timestamp())
         unique = (
-            clean.withColumn("event_time", at)
-            .withWatermark("event_time", keep_for)
+            clean.withColumn("arrived", F.current_timestamp())
+            .withWatermark("arrived", keep_for)
             .dropDuplicatesWithinWatermark(["business_id", "digest"])
-            .drop("event_time")
+            .drop("arrived")
         )
     return unique.drop("digest")
 
 
 def stream_quality(
-    rows: DataFrame, out: str, checkpoint: str, cfg: ReviewConfig = ReviewConfig()
+    rows: DataFrame, out: str, checkpoint: str, cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = KEEP_FOR
 ) -> StreamingQuery:
-    """Write one counter row per micro-batch. A batch that runs again overwrites its own row."""
+    """Write one counter row per micro-batch; a review is written in the first batch that holds it, and a duplicate later.
+
+    The keys first seen in each batch are kept beside the counters for as long as the stream remembers them, so the
+    rows written, summed over the batches, are those of stream_clean. A batch that runs again overwrites its own
+    counters and keys and looks at earlier batches only.
+    """
+    keys_path = f"{out.rstrip('/')}_keys"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         states = review_states(batch, "business_id", "text", F.col(CORRUPT).isNotNull(), cfg)
-        counters = review_counters(states.select("business_id", "state", "digest"), "business_id")
-        counters.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        with staged(states.select("business_id", "state", "digest")) as rows:
+            fresh = rows.filter("state = 'clean'").select("business_id", "digest").distinct()
+            if path_exists(spark, keys_path):
+                seen = spark.read.parquet(keys_path).filter(F.col("batch_id") < batch_id)
+                if keep_for is not None:
+                    seen = seen.filter(F.col("arrived") >= F.expr(f"current_timestamp() - INTERVAL {keep_for}"))
+                fresh = fresh.join(seen, ["business_id", "digest"], "left_anti")
+            own = f"{keys_path}/batch_id={batch_id}"
+            fresh.withColumn("arrived", F.current_timestamp()).write.mode("overwrite").parquet(own)
+            written = spark.read.schema("business_id string, digest string").parquet(own).agg(F.count("*")).scalar()
+            total = review_counters(rows, "business_id")
+            clean = F.col("records_written") + F.col("dropped_duplicate")
+            counters = total.select(
+                written.alias("records_written"), "dropped_malformed_json", "dropped_empty_short",
+                (clean - written).alias("dropped_duplicate"),
+            )
+            counters.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(write)

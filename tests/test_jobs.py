@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from revmill import schemas
 from revmill.config import ReviewConfig
 from revmill.plans.load import load, load_table
@@ -94,6 +96,52 @@ def test_whole_run(spark, tmp_path):
     assert files.path_exists(spark, f"{out}/best_model/metadata")
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_sample_is_the_first_clean_rows(spark, tmp_path, parts):
+    """Whatever the shuffle, the sample holds the first rows of the input that are kept."""
+    business, review = raw_files(tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        paths = prepare(spark, business, review, str(tmp_path / "out"), ReviewConfig(sample_rows=50))
+        assert {r.review_id for r in spark.read.json(paths.sample).collect()} == {f"r{i}" for i in range(50)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_analysis_covers_all_reviews(spark, tmp_path):
+    business, review = raw_files(tmp_path)
+    out = str(tmp_path / "out")
+    cfg = ReviewConfig(sample_rows=10, word_buckets=64, bigram_buckets=32)
+    assert run_all(spark, business, review, out, cfg, candidates()) == []
+    assert spark.read.json(f"{out}/review_small").count() == 10
+    lengths = spark.read.parquet(f"{out}/eda/length_histogram")
+    assert lengths.agg({"n": "sum"}).first()[0] == 200
+    balance = spark.read.parquet(f"{out}/report/class_balance").first()
+    assert balance.raw_dataset_size == 200
+    best = [r for r in spark.read.parquet(f"{out}/report/model_comparison").collect() if r.is_best]
+    assert len(best) == 1
+    rates = spark.read.parquet(f"{out}/report/confusion_rates").first()
+    assert rates.total == files.load_metrics(spark, f"{out}/model_metrics").first().test_size
+    assert spark.read.parquet(f"{out}/report/tuned_parameters").count() >= 1
+
+
+def test_load_counts_every_line(spark, tmp_path):
+    """Broken and unreadable lines are skipped, lines without a key are a count of their own, 4.0 is an integer."""
+    lines = ['{"review_id": "a", "useful": 4.0}', '{"review_id": "b", "useful": "4.0"}', "{broken", '{"review_id": ""}',
+             '{"review_id": "c", "useful": null}', '{"review_id": "d", "useful": true, "stars": "2.5"}', '{"useful": 1}']
+    path = tmp_path / "r.json"
+    path.write_text("\n".join(lines) + "\n")
+    try:
+        done = load_table(spark, str(path), "t_lines", schemas.REVIEW_STORE, "review_id")
+        assert (done.rows, done.skipped, done.keyless) == (2, 3, 2)
+        assert {r.review_id: (r.useful, r.stars) for r in spark.table("t_lines").collect()} == {"a": (4, 0.0), "d": (1, 2.5)}
+        narrow = load_table(spark, str(path), "t_lines", schemas.REVIEW_STORE, "review_id", null_skips=False)
+        assert (narrow.rows, narrow.skipped, narrow.keyless) == (3, 2, 2)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS t_lines")
+
+
 def test_a_failed_stage_does_not_stop_the_run(spark, tmp_path):
     seen = []
     failed = run_stages([("a", lambda: 1 / 0), ("b", lambda: seen.append("b"))])

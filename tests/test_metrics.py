@@ -180,3 +180,14 @@ def test_tfidf_with_a_term_in_every_row(spark):
 def test_category_counts(spark):
     df = spark.createDataFrame([("a, b",), ("b,c",), (None,)], "categories string")
     assert {r.category: r.n for r in counts.category_counts(df, "categories").collect()} == {"a": 1, "b": 2, "c": 1}
+
+
+@pytest.mark.parametrize("per_task", [100_000, 20])
+def test_rows_without_a_score_are_in_no_curve(spark, monkeypatch, per_task):
+    """NaN and null alike, with one range of scores and with several."""
+    monkeypatch.setattr(EV, "SCORES_PER_TASK", per_task)
+    rows = [(float(i % 2), i / 200) for i in range(200)]
+    odd = [(1.0, float("nan")), (0.0, float("nan")), (1.0, None)]
+    schema = "label double, score double"
+    whole = EV.auc(spark.createDataFrame(rows + odd, schema)).first().auc
+    assert whole == EV.auc(spark.createDataFrame(rows, schema)).first().auc

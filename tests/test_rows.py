@@ -191,9 +191,10 @@ def test_no_python_outside_nfkc(spark, folder):
     from revmill.plans.catalog import QUERIES
 
     uses_text = {"q_clean_text", "q_nfkc", "q_tokens", "q_stopwords", "q_bigrams", "q_training_set",
-                 "q_dedupe_reviews", "q_fast_sample", "q_prepare_reviews", "q_quality_counters", "q_eda_summary"}
+                 "q_dedupe_reviews", "q_fast_sample", "q_prepare_reviews", "q_quality_counters", "q_eda_summary",
+                 "q_nfkc_wide", "q_training_repeated", "q_hashed_tf"}
     eager = {"q_tfidf", "q_lr", "q_gap_report", "q_best_model", "q_tier_tree", "q_roc_curve", "q_auc", "q_metrics_long",
-             "q_metric_breakdown"}
+             "q_metric_breakdown", "q_category_idf", "q_tier_rows"}
     for name in set(QUERIES) - uses_text - eager:
         plan = executed(QUERIES[name](spark, folder))
         assert "EvalPython" not in plan and "InPandas" not in plan, name
@@ -282,3 +283,29 @@ def test_hot_term_is_spread(spark, plain_shuffles):
     table = tfidf(docs, "id", "words")
     assert largest_share(table) < 0.35
     assert table.count() == 12_000 and table.filter("term = 'the'").select("df").distinct().first().df == 6000
+
+
+def test_head_sample_by_blocks(spark):
+    rows = [(f"f{i % 3}", i % 5, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "file string, block int, no int").repartition(7)
+    for n in (1, 20, 21, 150, 300, 900):
+        got = limits.head_sample(df, n, ["file", "block", "no"]).collect()
+        assert sorted(map(tuple, got)) == sorted(rows)[:n]
+
+
+def test_head_sample_with_ties_and_extremes(spark):
+    rows = [(5, i) for i in range(50)] + [(-(2**62), 0), (2**62, 0)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(5)
+    for n in (1, 2, 30, 51, 52, 99):
+        assert sorted(map(tuple, limits.head_sample(df, n, ["a", "b"]).collect())) == sorted(rows)[:n]
+    assert limits.head_sample(df.limit(0), 3, ["a", "b"]).count() == 0
+
+
+def test_head_sample_sends_few_rows_to_one_task(spark):
+    """5,000 of 400,000 rows over 40 tasks: a small multiple of 5,000 positions meet, not 5,000 of every task."""
+    df = spark.range(400_000, numPartitions=40)
+    keys = df.select("id")
+    total = keys.agg(F.count("*")).scalar()
+    share = F.least(F.lit(1.0), (F.lit(5000) + 2.0 * total / limits.RANK_ERROR + 1) / F.greatest(total, F.lit(1)))
+    assert keys.filter(F.col("id") <= limits._quantile(keys, "id", share)).count() <= 15_000
+    assert limits.head_sample(df, 5000, ["id"]).agg(F.max("id"), F.count("*")).first() == (4999, 5000)

@@ -1,4 +1,5 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -56,3 +57,31 @@ def test_quality_per_batch(spark, tmp_path):
     assert len(rows) == 3
     assert all(r.dropped_malformed_json == 1 and r.dropped_empty_short == 1 for r in rows)
     assert all(r.records_written + r.dropped_duplicate == 40 for r in rows)
+    assert [r.records_written for r in rows] == [40, 40, 20]
+
+
+def arriving(folder, files):
+    folder.mkdir()
+    for n, rows in enumerate(files):
+        lines = [json.dumps({"review_id": str(i), "business_id": b, "text": t, "date": d}) for i, b, t, d in rows]
+        path = folder / f"part{n}.json"
+        path.write_text("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+
+
+def test_late_undated_and_repeated_reviews(spark, tmp_path):
+    """Old reviews after new ones, reviews without a date, and copies in later batches."""
+    src = tmp_path / "in"
+    fine = "a review that is long enough, number"
+    arriving(src, [
+        [(1, "b", f"{fine} one", "2024-06-01 00:00:00"), (2, "b", f"{fine} two", None)],
+        [(3, "b", f"{fine} three", "2004-01-01 00:00:00"), (4, "b", f"{fine} one", "2024-06-01 00:00:00")],
+        [(5, "b", f"{fine} four", "no date"), (6, "b", f"{fine} ONE!", "1999-01-01 00:00:00")],
+    ])
+    out = run(S.stream_clean(S.read_stream(spark, str(src), 1)), tmp_path, "clean")
+    written = spark.read.parquet(out).collect()
+    assert sorted(r.review_id for r in written) == ["1", "2", "3", "5"]
+    counted = str(tmp_path / "q")
+    S.stream_quality(S.read_stream(spark, str(src), 1), counted, str(tmp_path / "c")).awaitTermination(240)
+    rows = spark.read.parquet(counted).orderBy("batch_id").collect()
+    assert [(r.records_written, r.dropped_duplicate) for r in rows] == [(2, 0), (1, 1), (1, 1)]

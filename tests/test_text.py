@@ -9,6 +9,7 @@ from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from conftest import executed
+from revmill.config import ReviewConfig
 from revmill.functions import text as X
 from revmill.operators.cleaning import clean_text
 from revmill.operators.features import STOP_WORDS
@@ -33,9 +34,9 @@ CLEANED = [
 ]
 
 
-def clean(spark, texts):
+def clean(spark, texts, cfg=ReviewConfig()):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    return [r.out for r in clean_text(df, "text", "out").orderBy("i").collect()]
+    return [r.out for r in clean_text(df, "text", "out", cfg).orderBy("i").collect()]
 
 
 def test_cleaner_cases(spark):
@@ -44,7 +45,8 @@ def test_cleaner_cases(spark):
 
 def test_cleaner_bounds(spark):
     texts = ["ab " * 4000, "x" * 9000, "x" * 8500 + " yz", "x" * 7999 + " " + "y" * 20]
-    assert [len(t) for t in clean(spark, texts)] == [7997, 8000, 8000, 7999]
+    assert [len(t) for t in clean(spark, texts, ReviewConfig(max_chars=8000))] == [7997, 8000, 8000, 7999]
+    assert [len(t) for t in clean(spark, texts)] == [11999, 9000, 8503, 8020]
 
 
 def by_the_rules(text):
