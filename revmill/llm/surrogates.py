@@ -92,7 +92,7 @@ def _surrogate() -> Column:
     """The surrogate, in canonical form, from kind, entity and stream."""
     letter = f"char(97 + pmod({_byte('i')}, 26))"
     digit = f"char(48 + pmod({_byte('i')}, 10))"
-    hexed = f"substring('0123456789abcdef', 1 + pmod({_byte('i')}, 16), 1)"
+    hexed = f"char(97 + pmod({_byte('i')}, 6))"
     top = "length(substring_index(entity, '.', -1))"
     email = _each(
         "entity",
@@ -101,7 +101,7 @@ def _surrogate() -> Column:
     )
     secret = _each(
         "entity",
-        f"case when c rlike '[a-f0-9]' and entity rlike '^[a-f0-9]+$' then {hexed} when c rlike '[a-z]' then {letter} "
+        f"case when c rlike '[a-f]' and entity rlike '^[a-f0-9]+$' then {hexed} when c rlike '[a-z]' then {letter} "
         f"when c rlike '[0-9]' then {digit} else c end",
     )
     ip = "concat_ws('.', " + ", ".join(f"1 + pmod({_byte(str(i))}, 254)" for i in range(4)) + ")"
