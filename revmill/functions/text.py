@@ -34,7 +34,7 @@ def _nfkc_batch(values: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column) -> Column:
-    """Unicode NFKC. Only rows holding a character NFKC may change are sent to Python."""
+    """Unicode NFKC. Every row passes the Arrow step, but only texts with a character NFKC may change are in it."""
     others = F.translate(c, NFKC_STABLE, "")
     return F.coalesce(_nfkc_batch(F.when(others.rlike("[^\\x00-\\x7f]"), c)), c)
 
@@ -45,16 +45,18 @@ def flatten_space(c: Column) -> Column:
 
 
 def strip_urls(c: Column) -> Column:
-    """Web addresses become one space. Expects flattened space."""
-    return F.regexp_replace(c, r"(?i)https?://[^ ]+|www\.[^ ]+", " ")
+    """Web addresses become one space. Expects flattened space. Texts without the marks of one skip the pattern."""
+    may = c.contains("://") | F.lower(c).contains("www.")
+    return F.when(may, F.regexp_replace(c, r"(?i)https?://[^ ]+|www\.[^ ]+", " ")).otherwise(c)
 
 
 def strip_emails(c: Column) -> Column:
     """A blank-delimited token that holds x@y.z becomes one space. Expects flattened space.
 
-    Anchoring at the token start keeps the match linear on long tokens without blanks.
+    Anchoring at the token start keeps the match linear on long tokens without blanks. Texts without @ skip the pattern.
     """
-    return F.regexp_replace(c, r"(?<![^ ])(?=[^ ]+@[^ ]+\.[^ ])[^ ]+", " ")
+    out = F.regexp_replace(c, r"(?<![^ ])(?=[^ ]+@[^ ]+\.[^ ])[^ ]+", " ")
+    return F.when(c.contains("@"), out).otherwise(c)
 
 
 def strip_symbols(c: Column) -> Column:

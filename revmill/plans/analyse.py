@@ -10,6 +10,7 @@ from revmill.functions import values as V
 from revmill.operators import counts, histograms, limits, models, rows
 from revmill.operators import evaluation as EV
 from revmill.operators.dedupe import keep_first
+from revmill.schemas import BUSINESS_STORE_NO_GEO, REVIEW_STORE
 from revmill.session import cut_lineage
 from revmill.sources import sinks
 
@@ -67,8 +68,11 @@ def load_store(
     fmt: str = "parquet",
     options: dict[str, dict[str, str]] | None = None,
 ) -> None:
-    """Append both tables to the store, each cut to the columns it has there."""
+    """Append both tables to the store, each cut to the columns it has there: entities without their place on the map."""
     opts = options or {}
+    kept = {t: s.fieldNames() for t, s in ((entity_table, BUSINESS_STORE_NO_GEO), (review_table, REVIEW_STORE))}
+    entities = rows.select_existing(entities, kept[entity_table])
+    reviews = rows.select_existing(reviews, kept[review_table])
     sinks.append_table(entities, entity_table, fmt, opts.get(entity_table))
     sinks.append_table(reviews, review_table, fmt, opts.get(review_table))
 

@@ -166,7 +166,8 @@ def tier_tree(v):
 def _lr_scores(v: Views) -> tuple[DataFrame, DataFrame]:
     data = keyed_training_set(v).persist()
     train, test = hash_split(data, "sample_key", CFG.train_fraction, CFG.seed)
-    model = M.select_model(train, "sample_key", feature_stages(CFG), small_candidates()[:1], CFG).model
+    model = M.select_model(train, "sample_key", feature_stages(CFG), [M.lr_candidate()], CFG).model
+    data.unpersist()
     keep = ["entity_id", "sample_key", "label"]
     return M.score_table(model, train, keep), M.score_table(model, test, keep)
 

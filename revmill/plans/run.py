@@ -41,9 +41,12 @@ def run_all(
     cfg: ReviewConfig = ReviewConfig(),
     candidates: list[Candidate] | None = None,
     fast: bool = False,
+    store: tuple[str, str] | None = None,
 ) -> list[str]:
     """Run all stages on raw files; the tables and documents land under out. Returns the failed stages.
 
+    store names the tables of entities and reviews that the clean rows are appended to, if any.
+
     The clean JSON tables are read once into staged columnar tables for the stages after preparation.
     """
     tables: dict[str, DataFrame] = {}
@@ -71,6 +74,10 @@ def run_all(
         found = A.analyse(entities(), reviews(), ["business_id"], ["review_id"], cfg)
         A.write_tables(found, f"{out}/analysis")
 
+    def do_store():
+        clean = A.clean_tables(entities(), reviews(), ["business_id"], ["review_id"])
+        A.load_store(*clean, *store)
+
     def do_explore():
         A.write_tables(A.eda(entities(), reviews()), f"{out}/eda")
 
@@ -88,6 +95,7 @@ def run_all(
             [
                 ("prepare", do_prepare),
                 ("analyse", do_analyse),
+                *([("store", do_store)] if store else []),
                 ("explore", do_explore),
                 ("train", do_train),
                 ("report", do_report),

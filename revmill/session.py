@@ -30,19 +30,35 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
+        if not sc.master.startswith("local") and configured.startswith("file:"):
+            raise ValueError("spark.checkpoint.dir names a folder of one machine; executors cannot share it")
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="revmill-checkpoint-"))
+    own = tempfile.mkdtemp(prefix="revmill-checkpoint-")
+    remove_at_exit(spark, own)
+    sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the folder deleted when the driver ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder once, so later passes neither recompute nor depend on executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder once, so later passes neither recompute nor depend on executors.
+
+    The table goes when the driver ends; where its end of use is known, staged() removes it earlier.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

@@ -113,7 +113,13 @@ def test_analysis_covers_all_reviews(spark, tmp_path):
     business, review = raw_files(tmp_path)
     out = str(tmp_path / "out")
     cfg = ReviewConfig(sample_rows=10, word_buckets=64, bigram_buckets=32)
-    assert run_all(spark, business, review, out, cfg, candidates()) == []
+    try:
+        assert run_all(spark, business, review, out, cfg, candidates(), store=("t_store_b", "t_store_r")) == []
+        assert spark.table("t_store_r").count() == 199  # r3 has no readable count
+        assert "latitude" not in spark.table("t_store_b").columns
+    finally:
+        spark.sql("DROP TABLE IF EXISTS t_store_b")
+        spark.sql("DROP TABLE IF EXISTS t_store_r")
     assert spark.read.json(f"{out}/review_small").count() == 10
     lengths = spark.read.parquet(f"{out}/eda/length_histogram")
     assert lengths.agg({"n": "sum"}).first()[0] == 200
