@@ -26,13 +26,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: a lost executor costs a read, not a recomputation."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-def remove(df: DataFrame) -> None:
-    """Delete a staged table that nothing reads any more."""
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()[:1]}:
-        remove_path(df.sparkSession, path)
+def remove(staged: DataFrame) -> None:
+    """Delete a table that stage() returned and nothing reads any more."""
+    remove_path(staged.sparkSession, staged.staged_at)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

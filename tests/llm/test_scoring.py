@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 from cases import awkward, empty
 from pyspark.sql import functions as F
 
@@ -39,7 +40,10 @@ def plain(texts, target, s):
     return [(good(r), every(r)) for r in rows]
 
 
-def test_against_plain_counting(spark):
+@pytest.mark.parametrize("bound", [2_000_000, 3])
+def test_against_plain_counting(spark, monkeypatch, bound):
+    """With target ids sent to the tasks, and with more of them than may be."""
+    monkeypatch.setattr(L, "BROADCAST_IDS", bound)
     rng = np.random.default_rng(1)
     texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.5, rng.integers(0, 40)) if k < 500) for _ in range(80)] + ["", None]
     target = [i % 3 == 0 for i in range(82)]
