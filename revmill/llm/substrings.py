@@ -123,7 +123,10 @@ def _first_level(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _whole_windows(candidates: DataFrame, length: int) -> DataFrame:
-    """Windows of the whole length that hold an anchor that repeats: (doc, mark, place, a, b)."""
+    """Windows of the whole length whose least half window repeats: (doc, mark, place, a, b).
+
+    Equal windows have equal least half windows, and those are anchors wherever they stand.
+    """
     half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,13 +134,11 @@ def _whole_windows(candidates: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 words = WORD.findall(batch.column("text")[i].as_py())
-                n = len(words) - length + 1
-                near = np.zeros(n + 1, dtype=np.int64)
-                at = batch.column("place")[i].values.to_numpy().astype(np.int64)
-                np.add.at(near, np.maximum(at - (length - half), 0), 1)
-                np.add.at(near, np.minimum(at, n - 1) + 1, -1)
-                place = np.flatnonzero(np.cumsum(near[:-1]))
-                a, b = (known.windows(known.hashes(words, w), length, w)[place].view(np.int64) for w in (0, 1))
+                hashes = [known.hashes(words, w) for w in (0, 1)]
+                halves = known.windows(hashes[0], half, 0)
+                alive = halves[batch.column("place")[i].values.to_numpy()]
+                place = np.flatnonzero(np.isin(_sliding(halves, length - half + 1, np.minimum), alive))
+                a, b = (known.windows(hashes[w], length, w)[place].view(np.int64) for w in (0, 1))
                 own = [batch.column(c)[i].as_py() for c in ("doc", "mark")]
                 for start in range(0, len(place), 100_000):
                     part = slice(start, start + 100_000)
@@ -153,7 +154,9 @@ def _whole_windows(candidates: DataFrame, length: int) -> DataFrame:
 def _repeated(windows: DataFrame) -> DataFrame:
     """Windows that start in more than one document; later: also in one with a smaller id."""
     ends = windows.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    return windows.join(ends.where("first < last").drop("last"), ["a", "b"]).select(
+    # Written, the few that repeat meet the windows in a join whose large partitions Spark can split.
+    ends = stage(ends.where("first < last").drop("last"), "windows-first")
+    return windows.join(ends, ["a", "b"]).select(
         "doc", "mark", "place", "a", "b", (F.col("doc") > F.col("first")).alias("later")
     )
 
@@ -179,7 +182,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
 
     found = base.select("doc", "mark", F.explode(F.arrays_zip("place", "hash")).alias("w")).select("doc", "mark", "w.*")
     ends = found.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    alive = found.join(ends.select("hash"), "hash").groupBy("doc", "mark").agg(F.collect_set("place").alias("place"))
+    ends = stage(ends.select("hash"), "anchors-first")
+    alive = found.join(ends, "hash").groupBy("doc", "mark").agg(F.collect_set("place").alias("place"))
     alive = alive.join(marked.where("copy").select("doc", "mark").distinct(), ["doc", "mark"], "left_anti")
     candidates = stage(rows.join(alive, ["doc", "mark"]), "candidates")
     remove(base)
