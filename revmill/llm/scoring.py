@@ -20,6 +20,7 @@ from revmill.llm.shelf import record_batches, table, text_or_empty
 
 WORD = re.compile(r"\w+|[^\w\s]")
 UNKNOWN, START, END = 0, 1, 2
+BROADCAST_IDS = 2_000_000  # target ids up to this many, 16 MB, go to the tasks; more are joined with the texts
 
 
 @dataclass(frozen=True)
@@ -82,20 +83,29 @@ def vocabulary(docs: DataFrame, settings: LmSettings) -> list[str]:
     return [r["word"] for r in top.collect()]
 
 
-def counts(docs: DataFrame, words: list[str], settings: LmSettings) -> tuple[np.ndarray, np.ndarray]:
+def counts(
+    docs: DataFrame, words: list[str], settings: LmSettings, target_ids: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Unigram counts (2 by vocabulary) and bigram cell counts (2 by cells): row 0 all documents, row 1 the target.
 
-    docs: (text, target boolean). Every token of every text is counted. Tasks add up dense counts and hand on what
+    docs: (doc_id, text) and, if target_ids is not given, target boolean. Every token of every text is counted. Tasks add up dense counts and hand on what
     is not zero; the sums are made by an aggregate, and the driver takes at most vocabulary + cells rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = docs.sparkSession.sparkContext.broadcast((words, target_ids))
     size, cells = len(words) + 3, settings.cells
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(shared.value)
+        words, named = shared.value
+        ids = Ids(words)
         total = np.zeros((2, size + cells), dtype=np.int64)
         for batch in batches:
-            for text, target in zip(batch.column("text"), batch.column("target").to_pylist()):
+            if named is None:
+                flags = batch.column("target").to_pylist()
+            else:
+                own = batch.column("doc_id")
+                known = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), named)
+                flags = (known & own.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for text, target in zip(batch.column("text"), flags):
                 own = ids.of(text.as_py())
                 at = np.concatenate([own[1:], size + ids.cell(own, cells)])
                 np.add.at(total[0], at, 1)
@@ -109,7 +119,8 @@ def counts(docs: DataFrame, words: list[str], settings: LmSettings) -> tuple[np.
                 names=["at", "every", "target"],
             )
 
-    rows = docs.select(text_or_empty().alias("text"), F.coalesce("target", F.lit(False)).alias("target"))
+    flag = F.coalesce("target", F.lit(False)).alias("target") if target_ids is None else F.col("doc_id")
+    rows = docs.select(text_or_empty().alias("text"), flag)
     sums = rows.mapInArrow(run, "at int, every long, target long").groupBy("at").agg(
         F.sum("every").alias("every"), F.sum("target").alias("target")
     )
@@ -159,8 +170,12 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: L
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     words = vocabulary(rows, s)
-    named = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    unigrams, bigrams = counts(rows.join(named, "doc_id", "left"), words, s)
+    named = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    if named.count() <= BROADCAST_IDS:
+        found = named.toArrow().column("doc_id").to_numpy()
+        unigrams, bigrams = counts(rows, words, s, np.sort(found).astype(np.int64))
+    else:
+        unigrams, bigrams = counts(rows.join(named.withColumn("target", F.lit(True)), "doc_id", "left"), words, s)
     shared = spark.sparkContext.broadcast((words, *smoothed(unigrams, s), bigrams.astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
