@@ -22,8 +22,8 @@ from revmill.llm.shelf import record_batches, table, text_or_empty
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
-BATCH_CHARS = 4_000_000  # text whose new words are indexed together
-KNOWN_WORDS = 300_000  # words whose pieces a task remembers
+BATCH_CHARS = 2_000_000  # text whose new words are indexed together
+KNOWN_WORDS = 250_000  # words whose pieces a task remembers
 MAX_MODEL_PIECES = 1_000_000  # the model is broadcast: refuse what is larger
 
 
@@ -138,7 +138,7 @@ class Encoder:
         keys, back = np.unique((left << 32) + right, return_inverse=True)
         out = np.empty(len(keys), dtype=bool)
         known = self.pairs
-        if len(known) > 1_000_000:
+        if len(known) > 400_000:
             known.clear()
         for i, key in enumerate(keys.tolist()):
             ok = known.get(key)
