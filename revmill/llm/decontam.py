@@ -87,9 +87,9 @@ class Patterns:
         self.bitmap[slot(self.key)] = True
         self.edits = np.array([edit_budget(len(t), self.rate) for t in self.texts], dtype=np.int64)
         self.least = np.array([least_shared(len(t), k) for t, k in zip(self.texts, self.edits)], dtype=np.int64)
-        # Bands overlap by the largest budget, so the diagonals of any match lie in one band.
-        self.overlap = int(self.edits.max(initial=0))
-        self.width = max(64, 1 << (2 * self.overlap).bit_length())
+        # The diagonals of a match lie within its edits of each other. Bands of an item start every `width` diagonals and
+        # are longer by its budget, so they overlap and any match lies in one of them whole.
+        self.width = np.maximum(16, self.edits + 1)
 
     def candidates(self, text: str) -> list[tuple[int, int]]:
         """(item, first diagonal of a band) of the bands that share enough q-grams with the item."""
@@ -102,17 +102,24 @@ class Patterns:
             return []
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
         item = self.item[entry]
-        diagonal = np.repeat(at, many) - self.place[entry] + (1 << 20)
-        band = diagonal // self.width
-        again = diagonal % self.width < self.overlap
-        item, band = np.concatenate([item, item[again]]), np.concatenate([band, band[again] - 1])
+        place = self.place[entry]
+        diagonal = np.repeat(at, many) - place + (1 << 20)
+        band, inside = np.divmod(diagonal, self.width[item])
+        again = inside < self.edits[item]
+        item, band, place = (
+            np.concatenate([x, y]) for x, y in ((item, item[again]), (band, band[again] - 1), (place, place[again]))
+        )
         # A cheap upper bound of the counts first, the exact counts only where that may suffice.
         cell = (band * 0x9E3779B1 + item * 0x85EBCA6B) & 0xFFFFF
         may = np.bincount(cell, minlength=1 << 20)[cell] >= self.least[item]
-        keys, counts = np.unique(item[may] << 40 | band[may], return_counts=True)
+        keys, group, counts = np.unique(item[may] << 40 | band[may], return_inverse=True, return_counts=True)
         item, band = keys >> 40, keys & ((1 << 40) - 1)
+        # A q-gram of the item counts once, however often the text repeats it.
         keep = counts >= self.least[item]
-        return list(zip(item[keep].tolist(), (band[keep] * self.width - (1 << 20)).tolist()))
+        own = keep[group]
+        places = np.unique(group[own] << 32 | place[may][own])
+        keep &= np.bincount(places >> 32, minlength=len(keys)) >= self.least[item]
+        return list(zip(item[keep].tolist(), (band[keep] * self.width[item[keep]] - (1 << 20)).tolist()))
 
 
 def align(item: np.ndarray, region: np.ndarray, first: int, band: int, limit: int) -> tuple[int, int, int] | None:
@@ -164,7 +171,7 @@ def find_matches(patterns: Patterns, texts: list[str]) -> Iterator[tuple[int, in
     starts = np.array(starts)
     for item, diagonal in patterns.candidates("".join(parts)):
         pattern, limit = patterns.texts[item], int(patterns.edits[item])
-        low, band = diagonal - limit, patterns.width + patterns.overlap + 2 * limit
+        low, band = diagonal, int(patterns.width[item]) + limit
         # A band may touch several short texts.
         first = max(0, int(np.searchsorted(starts, low, side="right")) - 1)
         last = int(np.searchsorted(starts, low + band + len(pattern), side="left"))
@@ -174,7 +181,9 @@ def find_matches(patterns: Patterns, texts: list[str]) -> Iterator[tuple[int, in
             region = text[begin : max(0, low + band + len(pattern) - int(starts[k]))]
             exact = region.find(pattern)
             if exact >= 0:
-                yield k, item, begin + exact, begin + exact + len(pattern), 0
+                while exact >= 0:
+                    yield k, item, begin + exact, begin + exact + len(pattern), 0
+                    exact = region.find(pattern, exact + len(pattern))
                 continue
             if len(region) < len(pattern) - limit:
                 continue
