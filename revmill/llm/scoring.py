@@ -1,67 +1,57 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background bigram model share one vocabulary, one set of n-gram cells and one smoothing, and differ only
-in the documents they are counted over. A document's score is the mean, over its tokens, of its loss under the target model
-minus its loss under the background model: the lower, the more it is like the target.
+A target and a background bigram model share one vocabulary and one smoothing, and differ only in the documents they are
+counted over. A document's score is the mean, over its tokens, of its loss under the target model minus its loss under
+the background model: the lower, the more it is like the target.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import record_batches, table, text_or_empty
+from revmill.llm.shelf import record_batches, stage, table, text_or_empty
 
 WORD = re.compile(r"\w+|[^\w\s]")
-UNKNOWN, START, END = 0, 1, 2
+START, END, UNKNOWN = "<s>", "</s>", "<unk>"  # no token has two such characters
 BROADCAST_IDS = 2_000_000  # target ids up to this many, 16 MB, go to the tasks; more are joined with the texts
+HEAD = 400_000  # losses of the most frequent bigrams that go to the tasks; the others are joined
 
 
 @dataclass(frozen=True)
 class LmSettings:
-    """Bounds of the models, which are broadcast: vocabulary words, and cells that bigrams are hashed to."""
+    """vocabulary None keeps every word; a number keeps the most frequent words and takes the others as one."""
 
-    vocabulary: int = 65_536
-    cells: int = 1 << 21
+    vocabulary: int | None = None
     bigram_weight: float = 0.7
     add: float = 0.5
-    flush: int = 400_000  # distinct words a task counts before it hands them on
+    flush: int = 400_000  # distinct words or bigrams a task counts before it hands them on
 
 
 def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-class Ids:
-    """Word ids of texts, with a start and an end mark; words outside the vocabulary are one unknown word."""
-
-    def __init__(self, words: list[str]):
-        self.ids = {w: i + 3 for i, w in enumerate(words)}
-        self.size = len(words) + 3
-
-    def of(self, text: str) -> np.ndarray:
-        get = self.ids.get
-        return np.array([START, *[get(w, UNKNOWN) for w in tokens(text)], END], dtype=np.int64)
-
-    def cell(self, ids: np.ndarray, cells: int) -> np.ndarray:
-        pair = (ids[:-1].astype(np.uint64) << np.uint64(32)) | ids[1:].astype(np.uint64)
-        pair = (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        return ((pair >> np.uint64(20)) % np.uint64(cells)).astype(np.int64)
+def bigrams(text: str, known: frozenset | None) -> zip:
+    """(context, word) of every token and of the end mark."""
+    words = tokens(text)
+    if known is not None:
+        words = [w if w in known else UNKNOWN for w in words]
+    return zip([START, *words], [*words, END])
 
 
 def vocabulary(docs: DataFrame, settings: LmSettings) -> list[str]:
     """The most frequent words of all documents, ties in order of the word; counts cover every word of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
         held: Counter = Counter()
 
         def out():
@@ -84,76 +74,98 @@ def vocabulary(docs: DataFrame, settings: LmSettings) -> list[str]:
 
 
 def counts(
-    docs: DataFrame, words: list[str], settings: LmSettings, target_ids: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Unigram counts (2 by vocabulary) and bigram cell counts (2 by cells): row 0 all documents, row 1 the target.
+    docs: DataFrame, known: frozenset | None, settings: LmSettings, target_ids: np.ndarray | None = None
+) -> DataFrame:
+    """(a, b, every, target): how often b follows a in all documents and in the target, one row for each distinct bigram.
 
-    docs: (doc_id, text) and, if target_ids is not given, target boolean. Every token of every text is counted. Tasks add up dense counts and hand on what
-    is not zero; the sums are made by an aggregate, and the driver takes at most vocabulary + cells rows.
+    docs: (doc_id, text) and, if target_ids is not given, target boolean. Every token of every text is counted; tasks add up
+    before the exchange.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((words, target_ids))
-    size, cells = len(words) + 3, settings.cells
+    shared = docs.sparkSession.sparkContext.broadcast((known, target_ids))
+    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("every", pa.int64()), ("target", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, named = shared.value
-        ids = Ids(words)
-        total = np.zeros((2, size + cells), dtype=np.int64)
+        known, named = shared.value
+        every: Counter = Counter()
+        good: Counter = Counter()
+
+        def out():
+            keys = list(every)
+            for start in range(0, len(keys), 50_000):
+                part = keys[start : start + 50_000]
+                columns = [[k[0] for k in part], [k[1] for k in part], [every[k] for k in part], [good[k] for k in part]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
         for batch in batches:
             if named is None:
                 flags = batch.column("target").to_pylist()
             else:
                 own = batch.column("doc_id")
-                known = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), named)
-                flags = (known & own.is_valid().to_numpy(zero_copy_only=False)).tolist()
+                hit = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), named)
+                flags = (hit & own.is_valid().to_numpy(zero_copy_only=False)).tolist()
             for text, target in zip(batch.column("text"), flags):
-                own = ids.of(text.as_py())
-                at = np.concatenate([own[1:], size + ids.cell(own, cells)])
-                np.add.at(total[0], at, 1)
+                pairs = list(bigrams(text.as_py(), known))
+                every.update(pairs)
                 if target:
-                    np.add.at(total[1], at, 1)
-        at = np.flatnonzero(total[0])
-        for start in range(0, len(at), 200_000):
-            part = at[start : start + 200_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(total[0][part]), pa.array(total[1][part])],
-                names=["at", "every", "target"],
-            )
+                    good.update(pairs)
+                if len(every) > settings.flush:
+                    yield from out()
+                    every.clear()
+                    good.clear()
+        yield from out()
 
     flag = F.coalesce("target", F.lit(False)).alias("target") if target_ids is None else F.col("doc_id")
     rows = docs.select(text_or_empty().alias("text"), flag)
-    sums = rows.mapInArrow(run, "at int, every long, target long").groupBy("at").agg(
+    return rows.mapInArrow(run, "a string, b string, every long, target long").groupBy("a", "b").agg(
         F.sum("every").alias("every"), F.sum("target").alias("target")
     )
-    out = np.zeros((2, size + cells), dtype=np.int64)
-    found = sums.toArrow()
-    at = found.column("at").to_numpy()
-    out[0, at], out[1, at] = found.column("every").to_numpy(), found.column("target").to_numpy()
-    return out[:, :size], out[:, size:]
-
-
-def smoothed(unigrams: np.ndarray, settings: LmSettings) -> tuple[np.ndarray, np.ndarray]:
-    """Per model the unigram probabilities, and how often each word is a context."""
-    size = unigrams.shape[1]
-    chance = (unigrams + settings.add) / (unigrams.sum(axis=1, keepdims=True) + settings.add * size)
-    # A token is a context as often as it occurs; the start mark as often as texts end.
-    context = unigrams.copy()
-    context[:, START] = unigrams[:, END]
-    context[:, END] = 0
-    return chance.astype(np.float32), context.astype(np.float32)
-
-
-def losses(own: np.ndarray, cell: np.ndarray, chance, context, bigrams, weight: float) -> np.ndarray:
-    """Mean loss per token under each model, in nats: bigrams interpolated with unigrams."""
-    seen = context[:, own[:-1]]
-    share = np.divide(np.minimum(bigrams[:, cell], seen), seen, out=np.zeros(seen.shape), where=seen > 0)
-    mix = np.where(seen > 0, weight, 0.0)
-    return -np.log(mix * share + (1 - mix) * chance[:, own[1:]]).mean(axis=1)
-
-
-SCORE_DDL = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-SCORE = pa.schema(
-    [("doc_id", pa.int64()), ("n_tokens", pa.int64())]
-    + [(c, pa.float64()) for c in ("target_loss", "background_loss", "score")]
+
+
+def losses(grams: DataFrame, settings: LmSettings) -> DataFrame:
+    """(a, b, every, target_loss, background_loss) of every distinct bigram, in nats: bigrams interpolated with unigrams.
+
+    Words and contexts are sums over the bigrams. grams and the sums are staged, so a word of many bigrams meets its
+    sums in a join whose large partitions Spark splits.
+    """
+    sums = [F.sum("every").alias("n_every"), F.sum("target").alias("n_target")]
+    words = stage(grams.groupBy("b").agg(*sums), "lm-words")
+    contexts = stage(
+        grams.groupBy("a").agg(*sums).withColumnsRenamed({"n_every": "c_every", "n_target": "c_target"}), "lm-contexts"
+    )
+    whole = words.agg(
+        F.coalesce(F.sum("n_every"), F.lit(0)).alias("every"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target"),
+        F.count_if(~F.col("b").isin(UNKNOWN, END)).alias("words"),
+    ).first()
+    size, weight = whole["words"] + 3, settings.bigram_weight
+
+    def loss(model: str):
+        seen = F.col(f"c_{model}")
+        chance = (F.col(f"n_{model}") + settings.add) / F.lit(float(whole[model] + settings.add * size))
+        both = F.lit(weight) * F.col(model) / seen + F.lit(1 - weight) * chance
+        return -F.log(F.when(seen > 0, both).otherwise(chance))
+
+    return grams.join(words, "b").join(contexts, "a").select(
+        "a", "b", "every", loss("target").alias("target_loss"), loss("every").alias("background_loss")
+    )
+
+
+def most_frequent(table: DataFrame, most: int) -> DataFrame:
+    """The rows whose count reaches a bound that at most `most` rows reach; none is left out by order."""
+    step = F.floor(F.log2("every") * 16).alias("step")
+    found = sorted(table.groupBy(step).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"])
+    least, total = None, 0
+    for r in found:
+        total += r["n"]
+        if total > most:
+            break
+        least = r["step"]
+    return table.where(F.lit(False) if least is None else F.floor(F.log2("every") * 16) >= least)
+
+
+PART_DDL = "row long, doc_id long, n_tokens long, t double, e double, a string, b string, n long"
+PART = pa.schema(
+    [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("t", pa.float64()), ("e", pa.float64())]
+    + [("a", pa.string()), ("b", pa.string()), ("n", pa.int64())]
 )
 
 
@@ -161,37 +173,68 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: L
     """(doc_id, n_tokens, target_loss, background_loss, score) of every document, over its whole text.
 
     The target is what target_ids (doc_id) names; the background is all documents. Both models are counted over all
-    of their documents and share the vocabulary, the cells and the smoothing. A null or empty text has one token, its
-    end. Rows that repeat are counted and scored row by row; a null id is never in the target; without a target the
-    target model is uniform. Other columns are not read. The models are of fixed size (see LmSettings), whatever the
-    input; bigrams that share a cell share their counts.
+    of their documents and share the vocabulary and the smoothing. A null or empty text has one token, its end. Rows that
+    repeat are counted and scored row by row; a null id is never in the target; without a target the target model is
+    uniform. Other columns are not read. The models are tables of exact counts that grow with the input. Losses of the most
+    frequent bigrams are sent to the tasks, so the join has no hot keys; all others are joined.
     """
     s = settings or LmSettings()
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    words = vocabulary(rows, s)
+    known = None if s.vocabulary is None else frozenset(vocabulary(rows, s))
     named = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     if named.count() <= BROADCAST_IDS:
         found = named.toArrow().column("doc_id").to_numpy()
-        unigrams, bigrams = counts(rows, words, s, np.sort(found).astype(np.int64))
+        grams = counts(rows, known, s, np.sort(found).astype(np.int64))
     else:
-        unigrams, bigrams = counts(rows.join(named.withColumn("target", F.lit(True)), "doc_id", "left"), words, s)
-    shared = spark.sparkContext.broadcast((words, *smoothed(unigrams, s), bigrams.astype(np.float32)))
+        grams = counts(rows.join(named.withColumn("target", F.lit(True)), "doc_id", "left"), known, s)
+    lost = stage(losses(stage(grams, "lm-bigrams"), s), "lm-losses")
+    head = most_frequent(lost, HEAD).toArrow()
+    shared = spark.sparkContext.broadcast(
+        (known, *(head.column(c).to_pylist() for c in ("a", "b", "target_loss", "background_loss")))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, chance, context, cells = shared.value
-        ids = Ids(words)
+        known, a, b, t, e = shared.value
+        losses = dict(zip(zip(a, b), zip(t, e)))
+        first = TaskContext.get().partitionId() << 40
 
         def out():
+            row = first
             for batch in batches:
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    own = ids.of(text.as_py())
-                    target = losses(own, ids.cell(own, s.cells), chance, context, cells, s.bigram_weight)
-                    yield doc_id, len(own) - 1, float(target[1]), float(target[0]), float(target[1] - target[0])
-
-        yield from record_batches(out(), SCORE)
-
-    return rows.mapInArrow(run, SCORE_DDL)
+                    held = Counter(bigrams(text.as_py(), known))
+                    t = e = 0.0
+                    for pair, n in held.items():
+                        loss = losses.get(pair)
+                        if loss is None:
+                            yield row, None, None, None, None, *pair, n
+                        else:
+                            t += n * loss[0]
+                            e += n * loss[1]
+                    yield row, doc_id, held.total(), t, e, None, None, None
+                    row += 1
+
+        yield from record_batches(out(), PART)
+
+    # Row numbers are given once: what is written is read by both sides.
+    parts = stage(rows.mapInArrow(run, PART_DDL), "lm-parts")
+    rest = (
+        parts.where("n IS NOT NULL").select("row", "a", "b", "n").join(lost.drop("every"), ["a", "b"])
+        .groupBy("row").agg(
+            F.sum(F.col("n") * F.col("target_loss")).alias("rest_t"),
+            F.sum(F.col("n") * F.col("background_loss")).alias("rest_e"),
+        )
+    )
+
+    def mean(own: str, rest: str):
+        return (F.col(own) + F.coalesce(rest, F.lit(0.0))) / F.col("n_tokens")
+
+    return (
+        parts.where("n IS NULL").join(rest, "row", "left")
+        .select("doc_id", "n_tokens", mean("t", "rest_t").alias("target_loss"), mean("e", "rest_e").alias("background_loss"))
+        .withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    )
 
 
 def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,3 +87,28 @@ def test_query_separates_labels(spark):
     got = L.op10_cross_entropy_difference(spark, folder).join(labels, "doc_id").groupBy("quality").agg(F.avg("score").alias("s"))
     mean = {r.quality: r.s for r in got.collect()}
     assert mean[1] < mean[0]
+
+
+@pytest.mark.parametrize("head", [400_000, 40, 0])
+def test_every_word_and_bigram_counts(spark, monkeypatch, head):
+    """No word is unknown by default, and no two bigrams share a count, wherever their losses are looked up."""
+    monkeypatch.setattr(L, "HEAD", head)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{int(k)}" for k in rng.integers(0, 70_000, 1500)) for _ in range(60)] + ["w1 w2 " * 50, None]
+    target = [i % 4 == 0 for i in range(62)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    ids = spark.createDataFrame([(i,) for i in range(62) if target[i]], "doc_id long")
+    want = plain(texts, target, L.LmSettings())
+    for r in L.cross_entropy_difference(docs, ids).collect():
+        assert np.allclose((r.target_loss, r.background_loss), want[r.doc_id], rtol=1e-9)
+        assert r.n_tokens == len(L.tokens(texts[r.doc_id] or "")) + 1
+
+
+def test_more_words_than_a_fixed_width(spark):
+    """The words of the last text are rarer than 70,000 others; they keep counts of their own."""
+    texts = [" ".join(f"w{k}" for k in range(70_000))] * 2 + ["zz1 zz2 zz1 zz2 zz3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = spark.createDataFrame([(2,)], "doc_id long")
+    want = plain(texts, [False, False, True], L.LmSettings())
+    for r in L.cross_entropy_difference(docs, ids).collect():
+        assert np.allclose((r.target_loss, r.background_loss), want[r.doc_id], rtol=1e-9)
