@@ -318,19 +318,198 @@ def near_groups(prints: DataFrame, count: int, tau: int, keep: int, probed: int
     return grouped.select("doc_id", "mark", *names(count), F.coalesce("component_id", "first").alias("component_id"))
 
 
-# Near copies for a corpus: five-word shingles, 384 bits. 56 differing bits stand for an angle at which two
-# shingle sets of one size have a Jaccard similarity of 0.8.
-CORPUS = {"words": 5, "count": 6, "tau": 5, "keep": 56, "probed": 3}
+# Near copies for a corpus: five-word shingles whose Jaccard similarity is 0.8 or more. 384 bits differ in 58 places at
+# 0.8 on average, with a spread of 7; the loose cut leaves five spreads, and shingles counted one by one decide.
+CORPUS = {"words": 5, "count": 6, "keep": 96}
+SIMILAR = 4, 5
+IN_TASK = 4_000_000  # shingles, 32 MB, of a group that one task decides
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set, common ones last, of which two similar sets share at least one.
+
+    Sets of a similarity s share s of the larger one at least, so each has a shared one among its first n - ceil(s n) + 1
+    in any order that all sets have in common.
+    """
+    if not len(shingles):
+        return np.zeros(1, dtype=np.uint64)
+    if len(common):
+        late = np.isin(shingles, common)
+        shingles = np.concatenate([shingles[~late], shingles[late]])
+    num, den = SIMILAR
+    return shingles[: len(shingles) + (-num * len(shingles)) // den + 1]
+
+
+def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(doc_id, mark, f0, ..., sign, prefix) of every row: fingerprints, a hash of the set of shingles, and its prefix."""
+    count, words = CORPUS["count"], CORPUS["words"]
+    longs = ("doc_id", "mark", *names(count), "sign")
+    schema = pa.schema([*((c, pa.int64()) for c in longs), ("prefix", pa.list_(pa.int64()))])
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                ids, marks = (batch.column(c).to_pylist() for c in ("doc_id", "mark"))
+                for doc_id, mark, text in zip(ids, marks, batch.column("text")):
+                    h = shingle_hashes(text.as_py(), words)
+                    found = [majority(remixed(h, ODD[i])) for i in range(count)]
+                    own = np.unique(h)
+                    found.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
+                    first = prefix(own, shared.value).view(np.int64).tolist()
+                    yield doc_id, mark, *(_signed(f) for f in found), first
+
+        # A prefix holds a fifth of a text's shingles.
+        yield from record_batches(rows(), schema)
+
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("mark"),
+        text_or_empty().cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", prefix array<long>")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (doc_id, mark, ...) with the sorted distinct shingles of those texts."""
+    words = CORPUS["words"]
+    others = [c for c in wanted.columns if c not in ("doc_id", "mark")]
+    ddl = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in others)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 200):
+                batch = whole.slice(start, 200)
+                found = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in batch.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in others), pa.array(found, pa.list_(pa.int64()))], [*others, "shingles"]
+                )
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_or_empty().alias("text")).withColumn(
+        "__mark", F.xxhash64("text")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark"))
+    # Rows that repeat have one text and one set.
+    return wanted.join(texts, same).select(*others, F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, f"{ddl}, shingles array<long>"
+    ).dropDuplicates(["node"])
+
+
+def _loose_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signatures, classes, edges): texts with one set of shingles are one class; edges connect every two classes
+    that share a shingle of their prefixes and differ in at most CORPUS["keep"] bits.
+
+    Shingles in the prefixes of more than LARGE_BLOCK classes go to the end of the common order, which leaves them out of
+    nearly all prefixes; only what LEVELS such turns leave together is compared as it is.
+    """
+    count = CORPUS["count"]
+    own = [*names(count), "sign"]
+    common = np.zeros(0, dtype=np.uint64)
+    for level in range(LEVELS + 1):
+        prints = stage(_signatures(docs, common), "signatures")
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
+        classes = stage(
+            prints.groupBy(*own).agg(F.min(order).alias("first"), F.any_value("prefix").alias("prefix")), "shingle-classes"
+        ).select(
+            "*",
+            F.shiftleft(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"), 40)
+            .bitwiseOR(F.col("_metadata.row_index")).alias("node"),
+        )
+        rows = classes.select("node", F.explode("prefix").alias("key"))
+        sizes = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "prefix-sizes")
+        large = sizes.where(F.col("n") > LARGE_BLOCK).select("key").toArrow().column("key").to_numpy().view(np.uint64)
+        fresh = np.setdiff1d(large, common)
+        if level == LEVELS or not len(fresh):
+            break
+        common = np.union1d(common, fresh)
+    met = rows.join(sizes.drop("n"), "key").join(classes.select("node", *names(count)), "node")
+    dealt = met.repartition(F.col("key")).sortWithinPartitions("key")
+    return prints, classes, _verify(dealt, count, CORPUS["keep"])
+
+
+def _in_order(members: DataFrame) -> DataFrame:
+    """(node, leader) of members whose groups fit a task; a task holds the sets of one group's leaders."""
+    num, den = SIMILAR
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            root, held = None, []
+            for batch in batches:
+                columns = [batch.column(c).to_pylist() for c in ("root", "node", "doc_id")]
+                for of, node, doc_id, own in zip(*columns, batch.column("shingles")):
+                    own = own.values.to_numpy()
+                    if of != root:
+                        root, held = of, []
+                    for theirs, leader in held:
+                        if num * max(len(own), len(theirs)) > den * min(len(own), len(theirs)):
+                            continue
+                        both = len(np.intersect1d(own, theirs, assume_unique=True))
+                        if den * both >= num * (len(own) + len(theirs) - both):
+                            yield node, leader
+                            break
+                    else:
+                        held.append((own, doc_id))
+                        yield node, doc_id
+
+        yield from record_batches(rows(), pa.schema([("node", pa.int64()), ("leader", pa.int64())]))
+
+    dealt = members.repartition(F.col("root")).sortWithinPartitions("root", "first")
+    return dealt.select("root", "node", "first.doc_id", "shingles").mapInArrow(run, "node long, leader long")
+
+
+def leaders(members: DataFrame) -> DataFrame:
+    """(node, leader) of members (root, node, first, shingles): each takes the doc_id of the least leader, by `first`, that it
+    is similar to; who is similar to none is a leader itself. Only members of one root are compared.
+
+    Groups of up to IN_TASK shingles are decided in one task each. Of larger ones a round compares all members with the
+    least, wherever they lie, and goes on with those that are left; so a group of copies costs a comparison each.
+    """
+    num, den = SIMILAR
+    out, rest = None, stage(members, "near-members")
+    while True:
+        sizes = rest.groupBy("root").agg(F.sum(F.size("shingles")).alias("n"), F.min(F.struct("first", "node")).alias("lead"))
+        sizes = stage(sizes, "near-sizes")
+        found = stage(_in_order(rest.join(sizes.where(F.col("n") <= IN_TASK).select("root"), "root")), "near-leaders")
+        out = found if out is None else out.unionByName(found)
+        least = sizes.where(F.col("n") > IN_TASK).select(
+            F.col("root").alias("of"), F.col("lead.node").alias("node"), F.col("lead.first").alias("leader")
+        )
+        if least.isEmpty():
+            return out
+        lead = least.join(rest.select("node", F.col("shingles").alias("theirs")), "node").drop("node")
+        both = F.size(F.array_intersect("shingles", "theirs"))
+        judged = stage(
+            rest.join(lead, F.col("root") == F.col("of")).withColumn(
+                "similar", den * both >= num * (F.size("shingles") + F.size("theirs") - both)
+            ).select("root", "node", "first", "leader", "similar", F.when(~F.col("similar"), F.col("shingles")).alias("shingles")),
+            "near-judged",
+        )
+        out = out.unionByName(judged.where("similar").select("node", "leader.doc_id").toDF("node", "leader"))
+        rest = judged.where("NOT similar").select("root", "node", "first", "shingles")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, component_id) of every row; component_id is the doc_id of the text that stays for it.
+
+    The search is complete at any size: every two texts whose sets of shingles have a similarity of SIMILAR or more share a
+    shingle of their prefixes. The fingerprints are a loose filter, and the sets decide.
+    """
+    prints, classes, edges = _loose_links(docs)
+    own = [*names(CORPUS["count"]), "sign"]
+    joined = classes.join(components(edges), "node").select("root", "node", "first", "first.doc_id", "first.mark")
+    chosen = leaders(_sets(docs, joined)).select("node", "leader", F.lit(True).alias("met"))
+    merged = classes.join(chosen, "node", "left").select(
+        *own, F.when(F.col("met"), F.col("leader")).otherwise(F.col("first.doc_id")).alias("component_id")
+    )
+    return prints.join(merged, own).select("doc_id", "mark", "component_id")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One row, with all its columns, for each group of near copies: the one with the smallest doc_id.
 
-    Rows that share the smallest id of a group all stay, and so do groups whose rows have no id.
+    No two rows that stay are near copies, and each that goes is a near copy of one that stays. Rows that share the smallest
+    id of a group all stay, and so do groups whose rows have no id.
     """
-    prints = fingerprints(docs, CORPUS["words"], CORPUS["count"])
-    groups = near_groups(prints, CORPUS["count"], CORPUS["tau"], CORPUS["keep"], CORPUS["probed"])
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+    gone = near_copies(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")
     ).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__mark"))

@@ -66,6 +66,22 @@ def test_near_dedup(steps):
     assert all(partner[i] >= 0.6 for i in ids if i not in left)
 
 
+def test_near_dedup_is_exact(steps):
+    """No two texts of 0.8 or more stay, and each that goes has such a partner that stays."""
+    before, after = steps["near_dedup"]
+    left, shingles = texts(after), {}
+    for i, t in texts(before).items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
+        shingles[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
+
+    def similar(a, b):
+        return 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])
+
+    kept = sorted(left)
+    assert not any(similar(a, b) for k, a in enumerate(kept) for b in kept[:k])
+    assert all(any(similar(a, b) for b in kept) for a in shingles if a not in left)
+
+
 def test_decontamination(steps, spark, folder):
     before, after = steps["decontamination"]
     items = [decontam.normalise(r.text) for r in table(spark, folder, "benchmark").collect()]

@@ -155,3 +155,30 @@ def test_near_copies_of_a_corpus(spark):
     left = {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()}
     gone = {k: sum(i not in left for i in range(180) if kind[i] == k) for k in ("first", "near", "far")}
     assert gone["first"] == 0 and gone["far"] == 0 and gone["near"] >= 57
+
+
+def shingle_set(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+@pytest.mark.parametrize("in_task", [4_000_000, 400])
+def test_near_copies_are_decided_by_shingles(spark, monkeypatch, in_task):
+    """Pairs from 0.6 to 1: none of 0.8 or more stays whole, and nothing below 0.8 goes, whatever the bits say."""
+    monkeypatch.setattr(S, "IN_TASK", in_task)
+    rng = np.random.default_rng(7)
+    texts = []
+    for i in range(150):
+        words = [f"w{k}" for k in rng.integers(0, 50_000, 304)]
+        texts.append(" ".join(words))
+        copy = list(words)
+        for at in rng.choice(300, 4 + i % 10, replace=False):
+            copy[at] = f"c{rng.integers(0, 50_000)}"
+        texts.append(" ".join(copy))
+    left = {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()}
+    kinds = set()
+    for i in range(0, 300, 2):
+        close = 5 * len(shingle_set(texts[i]) & shingle_set(texts[i + 1])) >= 4 * len(shingle_set(texts[i]) | shingle_set(texts[i + 1]))
+        kinds.add(close)
+        assert i in left and (i + 1 in left) == (not close)
+    assert kinds == {True, False}
