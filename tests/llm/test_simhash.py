@@ -182,3 +182,30 @@ def test_near_copies_are_decided_by_shingles(spark, monkeypatch, in_task):
         kinds.add(close)
         assert i in left and (i + 1 in left) == (not close)
     assert kinds == {True, False}
+
+
+def test_prefixes_of_similar_sets_meet():
+    """At any similarity of 0.8 or more and any choice of common shingles."""
+    rng = np.random.default_rng(8)
+    for _ in range(500):
+        n = int(rng.integers(1, 120))
+        both = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        most = n // 4  # 5 n >= 4 (n + more)
+        more = rng.integers(0, 1 << 62, most).astype(np.uint64)
+        cut = int(rng.integers(0, most + 1))
+        a, b = np.unique(np.concatenate([both, more[:cut]])), np.unique(np.concatenate([both, more[cut:]]))
+        common = rng.choice(both, int(rng.integers(0, n + 1)), replace=False)
+        assert len(np.intersect1d(S.prefix(a, common), S.prefix(b, common)))
+
+
+def test_common_shingles_leave_the_blocks(spark, monkeypatch):
+    """A passage that all texts share makes large blocks; without it the same copies are found."""
+    rng = np.random.default_rng(9)
+    passage, texts = " ".join(f"p{k}" for k in range(40)), []
+    for i in range(40):
+        words = [f"w{k}" for k in rng.integers(0, 50_000, 200)]
+        texts += [f"{passage} {' '.join(words)}", f"{passage} {' '.join([*words[:100], 'x', *words[101:]])}"]
+    want = set(range(0, 80, 2))
+    for large in (20_000, 10):
+        monkeypatch.setattr(S, "LARGE_BLOCK", large)
+        assert {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()} == want
