@@ -147,15 +147,6 @@ def keyed_training_set(v: Views) -> DataFrame:
     return training_set(v).withColumn("sample_key", key)
 
 
-def small_candidates() -> list[M.Candidate]:
-    """One or two grid points per kind, so that the check stays short."""
-    return [
-        M.lr_candidate(max_iter=20, reg=(0.05, 0.1), elastic=(0.0,)),
-        M.rf_candidate(trees=(20,), depth=(5,)),
-        M.gbt_candidate(iterations=(8,), depth=(4,)),
-    ]
-
-
 @query("q_tier_tree")
 def tier_tree(v):
     columns = ["review_count", "is_open", "num1", "num2"]
@@ -187,7 +178,7 @@ def gap_report(v):
 def best_model(v):
     data = keyed_training_set(v).persist()
     train, _ = hash_split(data, "sample_key", CFG.train_fraction, CFG.seed)
-    chosen = M.select_model(train, "sample_key", feature_stages(CFG), small_candidates(), CFG)
+    chosen = M.select_model(train, "sample_key", feature_stages(CFG), M.default_candidates(CFG), CFG)
     data.unpersist()
     table = M.compare_models(v.spark, chosen.results)
     best = EV.best_by(table, "model", "validation_auc").select("model").scalar()

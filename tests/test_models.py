@@ -162,3 +162,21 @@ def test_analysis_and_exploration(spark):
     assert {r.category: r.n for r in tables["top_categories"].collect()} == {"food": 8, "bars": 8}
     assert sum(r.n for r in tables["length_histogram"].collect()) == 240
     assert len(tables["top_reviewers"].collect()) == 5
+
+
+def test_best_model_searches_the_default_grids(spark, folder, monkeypatch):
+    from revmill.plans import catalog_metrics
+    from revmill.plans.views import Views
+
+    class Seen(Exception):
+        pass
+
+    def search(train, key, stages, candidates, cfg):
+        raise Seen([(c.name, [{p.name: x for p, x in point.items()} for point in c.grid]) for c in candidates])
+
+    monkeypatch.setattr(catalog_metrics.M, "select_model", search)
+    with pytest.raises(Seen) as seen:
+        catalog_metrics.best_model(Views(spark, folder))
+    want = catalog_metrics.M.default_candidates(catalog_metrics.CFG)
+    assert seen.value.args[0] == [(c.name, [{p.name: x for p, x in point.items()} for point in c.grid]) for c in want]
+    assert sum(len(grid) for _, grid in seen.value.args[0]) == 18
