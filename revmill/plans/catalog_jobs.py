@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,12 +148,12 @@ FROM items GROUP BY term""",
     "entities",
 )
 def category_idf(v):
-    """The count vectorizer and the IDF stage, read out term by term."""
-    items = v.entities().select(X.category_array(F.col("categories")).alias("items"))
-    counter = CountVectorizer(inputCol="items", outputCol="counts", vocabSize=1 << 18).fit(items)
-    idf = IDF(inputCol="counts", outputCol="tfidf").fit(counter.transform(items))
-    found = list(zip(counter.vocabulary, map(float, idf.idf.toArray())))
-    return v.spark.createDataFrame(found, "term string, idf double").withColumn("idf", F.round("idf", 6))
+    """The weights that the count vectorizer and the IDF stage fit, of every term and without a limit of the vocabulary."""
+    items = v.entities().select(F.array_distinct(X.category_array(F.col("categories"))).alias("items"))
+    total = items.agg(F.count("*").alias("total"))
+    found = items.select(F.explode("items").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    idf = F.log((total.scalar() + 1) / (F.col("n") + 1).cast("double"))
+    return found.select("term", F.round(idf, 6).alias("idf"))
 
 
 @query(

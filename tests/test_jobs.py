@@ -180,3 +180,36 @@ def test_load(spark, tmp_path):
     finally:
         for t in ("t_b", "t_r", "t_nb", "t_nr"):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def _category_idf(spark, entities):
+    from types import SimpleNamespace
+
+    from revmill.plans.catalog_jobs import category_idf
+
+    return {r.term: r.idf for r in category_idf(SimpleNamespace(spark=spark, entities=lambda: entities)).collect()}
+
+
+def test_category_idf_has_every_term(spark):
+    """More terms than the vocabulary of 262,144 that a fitted stage was given."""
+    from pyspark.sql import functions as F
+
+    terms = F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.concat(F.lit("t"), F.col("id") * 1000 + k))
+    entities = spark.range(270).select(F.array_join(terms, ", ").alias("categories"))
+    assert len(_category_idf(spark, entities)) == 270_000
+
+
+def test_category_idf_is_what_the_stages_fit(spark, folder):
+    from pyspark.ml.feature import IDF, CountVectorizer
+    from pyspark.sql import functions as F
+
+    from revmill.plans.catalog_jobs import X
+    from revmill.plans.views import Views
+
+    entities = Views(spark, folder).entities()
+    items = entities.select(X.category_array(F.col("categories")).alias("items"))
+    counter = CountVectorizer(inputCol="items", outputCol="counts", vocabSize=1 << 30).fit(items)
+    idf = IDF(inputCol="counts", outputCol="tfidf").fit(counter.transform(items)).idf.toArray()
+    got = _category_idf(spark, entities)
+    assert got.keys() == set(counter.vocabulary)
+    assert all(abs(got[t] - x) < 1e-6 for t, x in zip(counter.vocabulary, idf))
