@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 from itertools import groupby
@@ -29,15 +30,16 @@ ARC_FIELDS = {
 ARC_END = "\n"
 WARC_VERSION = "WARC/1.1"
 WARC_END = "\r\n\r\n"
+PAYLOAD_LENGTH = "X-Payload-Length"  # of the payload that a revisit leaves out; HTTP heads need not tell it
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARC_ROW = pa.schema(
-    [("part", pa.int32()), ("seq", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string())]
-    + [("head", pa.binary()), ("payload", pa.binary()), ("digest", pa.string()), ("payload_bytes", pa.int64())]
+    [("part", pa.string()), ("seq", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string())]
+    + [("mime", pa.string()), ("head", pa.binary()), ("payload", pa.binary()), ("digest", pa.string()), ("payload_bytes", pa.int64())]
     + [("page_id", pa.int64()), ("record_id", pa.string())]
 )
 ARC_DDL = (
-    "part int, seq long, url string, ip string, date string, head binary, payload binary, digest string, "
+    "part string, seq long, url string, ip string, date string, mime string, head binary, payload binary, digest string, "
     "payload_bytes long, page_id long, record_id string"
 )
 WARC_ROW = pa.schema(
@@ -125,12 +127,30 @@ def parse_warc(stream: ByteStream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, stream.take(int(fields["Content-Length"]))
 
 
-def http_fields(head: bytes) -> dict[str, str]:
-    lines = head.decode("latin-1").split("\r\n")
-    return {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:]) if k}
+PAGE_ID = re.compile(r"-?[0-9]{1,18}")
+HTTP_END = re.compile(rb"\r?\n\r?\n")
 
 
-def _streams(batches: Iterator[pa.RecordBatch], end: str) -> Iterator[tuple[int, ByteStream]]:
+def http_parts(block: bytes) -> tuple[bytes | None, bytes]:
+    """Head, with the blank line that ends it, and payload of an HTTP response; other blocks have no head.
+
+    A head ends at the first blank line, with CRLF or bare LF. A block that breaks off before it is passed on whole.
+    """
+    found = HTTP_END.search(block) if block.startswith(b"HTTP/") else None
+    return (block[: found.end()], block[found.end() :]) if found else (None, block)
+
+
+def http_fields(head: bytes | None) -> dict[str, str]:
+    lines = (head or b"").decode("latin-1").replace("\r\n", "\n").split("\n")
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:]) if k}
+
+
+def page_number(fields: dict[str, str]) -> int | None:
+    page = fields.get("x-page-id", "")
+    return int(page) if PAGE_ID.fullmatch(page) else None
+
+
+def _streams(batches: Iterator[pa.RecordBatch], end: str) -> Iterator[tuple[str, ByteStream]]:
     """The archives of a task, one after the other. Rows of a file are adjacent and in order."""
     mark = end.encode()
 
@@ -146,7 +166,7 @@ def _streams(batches: Iterator[pa.RecordBatch], end: str) -> Iterator[tuple[int,
 
 def _pieces(spark: SparkSession, path: str, end: str) -> DataFrame:
     return spark.read.option("lineSep", end).text(path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("part"),
+        F.col("_metadata.file_path").alias("part"),
         F.col("value").cast("binary").alias("value"),
     )
 
@@ -200,21 +220,25 @@ def write_arc(
 
 
 def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Records of all ARC files below path; part and seq are a record's address."""
+    """Records of all ARC files below path; part (the file's path) and seq are a record's address.
+
+    head is null for what is no HTTP response: other schemes, as dns:, and bodies without a head. Their payload is the block.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for part, stream in _streams(batches, ARC_END):
                 for seq, (record, body) in enumerate(parse_arc(stream)):
-                    head, _, payload = body.partition(b"\r\n\r\n")
-                    page = http_fields(head).get("x-page-id")
+                    web = record["URL"].lower().startswith(("http:", "https:")) or record["URL"] == "-"
+                    head, payload = http_parts(body) if web else (None, body)
+                    page = page_number(http_fields(head))
                     url = None if record["URL"] == "-" else record["URL"]
                     # The same archive always gives the same identifiers.
                     name = f"{part}/{seq} {record['URL']} {record['Archive-date']} {page}"
                     yield (
-                        part, seq, url, record["IP-address"], record["Archive-date"], head,
+                        part, seq, url, record["IP-address"], record["Archive-date"], record["Content-type"], head,
                         payload if payloads else None, sha1_base32(payload), len(payload),
-                        None if page is None else int(page), f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}",
+                        page, f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}",
                     )
 
         yield from record_batches(rows(), ARC_ROW)
@@ -247,20 +271,22 @@ def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes]]:
                     + [("WARC-Date", date), ("Content-Type", "application/warc-fields")],
                     block,
                 )
-            revisit = row["refers_id"] is not None
-            block = row["head"] + b"\r\n\r\n" + (b"" if revisit else row["payload"])
+            revisit, web = row["refers_id"] is not None, row["head"] is not None
+            block = (row["head"] or b"") + (b"" if revisit else row["payload"])
+            mime = row["mime"] if "/" in row["mime"] else "application/octet-stream"
             fields = [
-                ("WARC-Type", "revisit" if revisit else "response"),
+                ("WARC-Type", "revisit" if revisit else "response" if web else "resource"),
                 ("WARC-Record-ID", f"<{row['record_id']}>"),
                 ("WARC-Date", date),
                 ("WARC-Target-URI", row["url"]),
                 ("WARC-IP-Address", row["ip"]),
-                ("Content-Type", "application/http;msgtype=response"),
+                ("Content-Type", "application/http;msgtype=response" if web else mime),
                 ("WARC-Payload-Digest", f"sha1:{row['digest']}"),
                 ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"),
             ]
             if revisit:
                 fields += [
+                    (PAYLOAD_LENGTH, str(row["payload_bytes"])),
                     ("WARC-Profile", REVISIT_PROFILE),
                     ("WARC-Refers-To", f"<{row['refers_id']}>"),
                     ("WARC-Refers-To-Target-URI", row["refers_url"]),
@@ -271,7 +297,8 @@ def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes]]:
 
 def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = 0) -> None:
     """ARC files to WARC files. Of records with equal payloads of at least min_bytes, the one with the smallest page id
-    is a response and the others revisit it; smaller payloads are all responses.
+    is a response and the others revisit it; smaller payloads are all responses. What is no HTTP response becomes a
+    resource record of its declared type with the whole block, and neither revisits nor is revisited.
 
     A record without a page id comes after all others; among equal ids the first in the archive is the response.
     The first pass reads digests only. Copies are found by an aggregate over narrow rows, which combines before the
@@ -281,11 +308,12 @@ def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: i
     order = F.struct(
         F.col("page_id").isNull().alias("last"), "page_id", "part", "seq", "record_id", "url", "date",
     )
-    heads = first.where(F.col("payload_bytes") >= min_bytes).groupBy("digest", "payload_bytes").agg(
+    web = first.where("head IS NOT NULL")
+    heads = web.where(F.col("payload_bytes") >= min_bytes).groupBy("digest", "payload_bytes").agg(
         F.min(order).alias("head"), F.count("*").alias("n")
     )
     revisits = (
-        first.select("part", "seq", "digest", "payload_bytes")
+        web.select("part", "seq", "digest", "payload_bytes")
         .join(heads.where("n > 1").drop("n"), ["digest", "payload_bytes"])
         .where((F.col("part") != F.col("head.part")) | (F.col("seq") != F.col("head.seq")))
         .select(
@@ -303,27 +331,28 @@ def convert_arc(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: i
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Response and revisit records of all WARC files below path. A payload that its digest contradicts is an error."""
+    """Response, revisit and resource records of all WARC files below path. A payload that its digest contradicts is an error."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for _, stream in _streams(batches, WARC_END):
                 for fields, block in parse_warc(stream):
                     kind = fields["WARC-Type"]
-                    if kind == "warcinfo":
+                    if kind not in ("response", "revisit", "resource"):
                         continue
-                    head, _, payload = block.partition(b"\r\n\r\n")
+                    web = fields.get("Content-Type", "").startswith("application/http")
+                    head, payload = http_parts(block) if web and kind != "resource" else (None, block)
                     http = http_fields(head)
-                    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if kind == "response" and sha1_base32(payload) != digest:
+                    digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+                    if kind != "revisit" and sha1_base32(payload) != (digest := digest or sha1_base32(payload)):
                         raise ValueError(f"damaged payload in {fields['WARC-Record-ID']}")
-                    page = http.get("x-page-id")
+                    length = fields.get(PAYLOAD_LENGTH, http.get("content-length"))
                     refers = fields.get("WARC-Refers-To")
                     yield (
                         fields["WARC-Record-ID"].strip("<>"), kind, fields["WARC-Date"], fields.get("WARC-Target-URI"),
-                        None if page is None else int(page),
-                        len(payload) if kind == "response" else int(http["content-length"]), digest,
-                        refers and refers.strip("<>"), payload if payloads and kind == "response" else None,
+                        page_number(http),
+                        len(payload) if kind != "revisit" else None if length is None else int(length), digest,
+                        refers and refers.strip("<>"), payload if payloads and kind != "revisit" else None,
                     )
 
         yield from record_batches(rows(), WARC_ROW)

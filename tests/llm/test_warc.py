@@ -102,3 +102,37 @@ def test_unknown_header_and_damage():
 
 def test_empty(spark):
     assert convert(spark, spark.createDataFrame([], SCHEMA))[1] == []
+
+
+def test_legacy_records(spark):
+    """dns: records, bodies without a head and heads with bare LF, in files of any name, as other crawlers wrote them."""
+    dns = [b"20200101000000\na.example. 60 IN A 192.0.2.1\n", b"20200101000000\nb.example. 60 IN A 192.0.2.2\n"]
+    old = b"<html>no head</html>"
+    bare = b"HTTP/1.0 200 OK\nContent-Type: text/plain\n\nsame body\n\nrest"
+    crlf = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\n\r\nsame body\n\nrest"
+    cut = b"HTTP/1.1 200 OK\r\nX-Page-Id: 7"
+    records = [
+        ("dns:a.example", "text/dns", dns[0]), ("dns:b.example", "text/dns", dns[1]), ("http://a/old", "text/html", old),
+        ("http://a/bare", "text/plain", bare), ("http://a/crlf", "text/plain", crlf), ("http://a/cut", "no-type", cut),
+    ]
+    intro = f"1 0 o\n{W.ARC_FIELDS[1]}\n"
+    text = f"filedesc://f 0.0.0.0 20200101000000 text/plain {len(intro)}\n{intro}\n"
+    for url, mime, body in records:
+        text += f"{url} 192.0.2.1 20200101000000 {mime} {len(body)}\n{body.decode()}\n"
+    folder, warc = new_path(spark, "t-arc"), new_path(spark, "t-warc")
+    for name in ("first", "second"):
+        row = spark.createDataFrame([(text[:-1],)], "record string").coalesce(1)
+        row.write.option("lineSep", "\n").option("compression", "gzip").text(f"{folder}/crawl={name}")
+    W.convert_arc(spark, f"{folder}/*", warc)
+    got = W.read_warc(spark, warc).collect()
+    assert len(got) == 12 and len({r.record_id for r in got}) == 12
+    by_url = {}
+    for r in got:
+        by_url.setdefault(r.url, []).append(r)
+    for url, body in (("dns:a.example", dns[0]), ("dns:b.example", dns[1]), ("http://a/old", old), ("http://a/cut", cut)):
+        assert [(r.record_type, bytes(r.payload), r.payload_bytes) for r in by_url[url]] == [("resource", body, len(body))] * 2
+    pages = by_url["http://a/bare"] + by_url["http://a/crlf"]
+    assert sorted(r.record_type for r in pages) == ["response", "revisit", "revisit", "revisit"]
+    assert {(r.payload_bytes, r.payload_digest) for r in pages} == {(15, W.sha1_base32(b"same body\n\nrest"))}
+    whole = "".join(r.value for r in spark.read.option("lineSep", W.WARC_END).text(warc).collect())
+    assert whole.count("Content-Type: text/dns") == 4 and whole.count("Content-Type: application/octet-stream") == 2
