@@ -20,8 +20,13 @@ TITLES = {
 SYLLABLES = {
     "latin": ("ba", "ce", "do", "fi", "ga", "he", "jo", "ki", "lu", "ma", "ne", "po", "ra", "si", "to", "va"),
     "cyrillic": ("ба", "ве", "до", "фи", "га", "же", "зо", "ки", "лу", "ма", "не", "по", "ра", "си", "то", "ва"),
+    "greek": ("βα", "γε", "δο", "φι", "κα", "λε", "μο", "νι", "πα", "ρε", "σο", "τι", "ζα", "θε", "ξο", "χι"),
+    "armenian": ("բա", "գե", "դո", "զի", "թա", "լե", "խո", "կի", "հա", "մե", "նո", "շի", "պա", "ռե", "սո", "տի"),
 }
-ENDINGS = {"latin": {"f": "lina", "m": "rik"}, "cyrillic": {"f": "лина", "m": "рик"}}
+ENDINGS = {
+    "latin": {"f": "lina", "m": "rik"}, "cyrillic": {"f": "лина", "m": "рик"},
+    "greek": {"f": "λινα", "m": "ρικ"}, "armenian": {"f": "լինա", "m": "րիկ"},
+}
 
 NAME = r"\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"
 PATTERNS = {
@@ -67,7 +72,9 @@ def _canonical(kind: Column, value: Column) -> Column:
     """What two mentions of one entity have in common: no case, for numbers no punctuation, for persons gender and name."""
     title = F.lower(F.regexp_replace(_title(value), r"\.", ""))
     gender = F.when(title.isin([t.lower() for t in TITLES["f"]]), "f").otherwise("m")
-    script = F.when(_name(value).rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    script = F.lit("latin")
+    for own in ("Armenian", "Greek", "Cyrillic"):
+        script = F.when(_name(value).rlike(rf"\p{{Is{own}}}"), own.lower()).otherwise(script)
     return (
         F.when(kind.isin("phone", "card"), F.regexp_replace(value, "[^0-9]", ""))
         .when(kind == "person", F.concat_ws("|", gender, script, F.lower(_name(value))))
@@ -119,10 +126,15 @@ def _surrogate() -> Column:
         f"else {digits} end"
     )
 
+    # As many words as the name has. The first grows with the attempts, so there are names for any number of entities.
     def name(script: str, gender: str) -> str:
         own = "array(" + ", ".join(f"'{s}'" for s in SYLLABLES[script]) + ")"
-        parts = [f"{own}[pmod({_byte(str(i))}, {len(SYLLABLES[script])})]" for i in range(5)]
-        return f"concat({', '.join(parts)}, '{ENDINGS[script][gender]}')"
+
+        def word(first: int, last: str) -> str:
+            syllable = f"{own}[pmod({_byte(f'i + {first}')}, {len(SYLLABLES[script])})]"
+            return f"concat(array_join(transform(sequence(0, {last}), i -> {syllable}), ''), '{ENDINGS[script][gender]}')"
+
+        return f"concat({word(0, '4 + attempt')}, case when entity like '% %' then concat(' ', {word(40, '2')}) else '' end)"
 
     person = "concat(substring_index(entity, '|', 2), '|', case substring_index(entity, '|', 2) " + " ".join(
         f"when '{g}|{s}' then {name(s, g)}" for s in SYLLABLES for g in ("f", "m")

@@ -113,3 +113,27 @@ def test_query_leaves_no_entity_and_changes_nothing_else(spark, folder):
             assert a != b and mapping.setdefault(a.lower(), b.lower()) == b.lower()
         assert got[i].n_replaced == len(own.findall(text))
     assert count > 10 and len(set(mapping.values())) == len(mapping) and not set(mapping) & set(mapping.values())
+
+
+def test_names_keep_words_and_script(spark):
+    import re
+
+    from revmill.llm import surrogates
+
+    texts = ["Mrs. Anna Miller", "Mr. Miller", "Frau Ελένη Παππά", "Herr Արամ", "Госпожа Анна Иванова"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(docs, "k").collect()}
+    letters = ("[A-Za-z]", "[A-Za-z]", "[\u0370-\u03ff]", "[\u0530-\u058f]", "[\u0400-\u04ff]")
+    for i, text in enumerate(texts):
+        title, *names = text.split(" ")
+        assert re.fullmatch(" ".join([re.escape(title), *[f"{letters[i]}+"] * len(names)]), got[i]) and got[i] != text
+
+
+def test_names_do_not_run_out(spark, monkeypatch):
+    """More names than five syllables of a short list make."""
+    from revmill.llm import surrogates
+
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ("ba", "ce"))
+    rows = [("person", f"f|latin|name{i}") for i in range(100)]
+    got = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, entity string"), "k").collect()
+    assert len({r.surrogate for r in got}) == len(got) == 100
