@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revmill.llm import decontam, exact_dedup, pieces, scoring, sharding, simhash, substrings, surrogates, toxicity, warc
+from revmill.llm import (
+    decontam,
+    exact_dedup,
+    periods,
+    pieces,
+    scoring,
+    sharding,
+    simhash,
+    substrings,
+    surrogates,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,10 +33,12 @@ QUERIES: dict[str, Query] = {
     "op8_level_doubling": substrings.op8_level_doubling,
     "op9_suffix_array_pieces": pieces.op9_suffix_array_pieces,
     "op10_cross_entropy_difference": scoring.op10_cross_entropy_difference,
+    "op13_dyadic_squares": periods.op13_dyadic_squares,
 }
 
 ORACLES: dict[str, str] = {
     "op4_arc_to_warc": warc.SQL_OP4,
     "op7_extendible_hash": exact_dedup.SQL_OP7,
     "op8_level_doubling": substrings.SQL_OP8,
+    "op13_dyadic_squares": periods.SQL_OP13,
 }
