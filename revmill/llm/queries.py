@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revmill.llm import (
     decontam,
     exact_dedup,
+    merges,
     periods,
     pieces,
     scoring,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Query] = {
     "op8_level_doubling": substrings.op8_level_doubling,
     "op9_suffix_array_pieces": pieces.op9_suffix_array_pieces,
     "op10_cross_entropy_difference": scoring.op10_cross_entropy_difference,
+    "op12_bounded_lookahead": merges.op12_bounded_lookahead,
     "op13_dyadic_squares": periods.op13_dyadic_squares,
 }
 
