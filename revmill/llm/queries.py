@@ -18,6 +18,7 @@ from revmill.llm import (
     substrings,
     surrogates,
     toxicity,
+    variants,
     warc,
 )
 
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "op8_level_doubling": substrings.op8_level_doubling,
     "op9_suffix_array_pieces": pieces.op9_suffix_array_pieces,
     "op10_cross_entropy_difference": scoring.op10_cross_entropy_difference,
+    "op11_reduced_alphabet": variants.op11_reduced_alphabet,
     "op12_bounded_lookahead": merges.op12_bounded_lookahead,
     "op13_dyadic_squares": periods.op13_dyadic_squares,
 }
@@ -42,5 +44,6 @@ ORACLES: dict[str, str] = {
     "op4_arc_to_warc": warc.SQL_OP4,
     "op7_extendible_hash": exact_dedup.SQL_OP7,
     "op8_level_doubling": substrings.SQL_OP8,
+    "op11_reduced_alphabet": variants.SQL_OP11,
     "op13_dyadic_squares": periods.SQL_OP13,
 }
