@@ -4,7 +4,8 @@ Letters are hashed to a few symbols, so each word has a reduced word. Words that
 letter have reduced words that are equal or differ in the same way. So the full one-edit neighbourhood of each reduced
 word is generated and joined with the reduced words of the vocabulary; the pairs found are compared letter by letter.
 Reduced words travel as polynomial hashes: those of all neighbours follow from the word's own in constant time
-each, and a collision only costs a comparison.
+each, and a collision only costs a comparison. A filter of fixed size, made of the reduced words, keeps most neighbours that are none
+of them out of the join.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from revmill.llm.periods import SQL_CRC, sql_crc
 from revmill.llm.shelf import remove, stage, table
 
-SYMBOLS = 6  # size of the reduced alphabet: more symbols give more neighbours and fewer false candidates
+SYMBOLS = 8  # size of the reduced alphabet: more symbols give more neighbours and fewer false candidates
+FILTER_BITS, SEGMENT_BITS = 27, 19  # the broadcast filter has 2^27 bits (16 MiB), made in segments of 2^19
 MIN_LETTERS, MIN_COUNT, FACTOR = 5, 3, 2
 COMBINE_WORDS = 200_000  # distinct words that a task counts before it passes them on
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
@@ -124,12 +126,15 @@ def _by_length(words: list[str]) -> Iterator[list[int]]:
             begin = i
 
 
-def _keys(vocabulary: DataFrame, symbols: int, neighbours: bool) -> DataFrame:
-    """(id, key) of the reduced words, or of their neighbourhoods."""
+def _keys(vocabulary: DataFrame, symbols: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(id, key) of the reduced words or, with a filter, of all in their neighbourhoods that it lets through."""
+    neighbours = wanted is not None
+    shared = vocabulary.sparkSession.sparkContext.broadcast(wanted) if neighbours else None
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        bits = shared.value if neighbours else None
         for batch in batches:
             ids = batch.column("id").to_numpy()
             words = batch.column("word").to_pylist()
@@ -137,6 +142,10 @@ def _keys(vocabulary: DataFrame, symbols: int, neighbours: bool) -> DataFrame:
                 reduced, own = reduce_letters([words[i] for i in places], symbols), ids[places]
                 found = neighbour_keys(reduced, symbols) if neighbours else [(np.arange(len(own)), own_keys(reduced))]
                 for row, key in found:
+                    if neighbours:
+                        slot = key >> np.uint64(64 - FILTER_BITS)
+                        known = np.nonzero(bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                        row, key = row[known], key[known]
                     for a in range(0, len(row), 100_000):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(own[row[a : a + 100_000]]), pa.array(key[a : a + 100_000].astype(np.int64))],
@@ -146,6 +155,35 @@ def _keys(vocabulary: DataFrame, symbols: int, neighbours: bool) -> DataFrame:
     return vocabulary.select("id", "word").mapInArrow(run, "id long, key long")
 
 
+def key_filter(vocabulary: DataFrame, symbols: int = SYMBOLS) -> np.ndarray:
+    """A bit for each value of the first FILTER_BITS bits of a key, set if a reduced word has it.
+
+    Its size is fixed. It lets every neighbour through that is a reduced word, so no pair is lost; in a very large
+    vocabulary it lets more of the others through, which the join then drops.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            for segment in np.unique(slot >> SEGMENT_BITS).tolist():
+                place = slot[slot >> SEGMENT_BITS == segment] & ((1 << SEGMENT_BITS) - 1)
+                bits = found.setdefault(segment, np.zeros(1 << (SEGMENT_BITS - 3), dtype=np.uint8))
+                np.bitwise_or.at(bits, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
+        for segment, bits in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int64()), pa.array([bits.tobytes()])], names=["segment", "bits"])
+
+    slots = _keys(vocabulary, symbols).select(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("slot"))
+    dealt = slots.repartition(1 << (FILTER_BITS - SEGMENT_BITS), F.shiftright("slot", SEGMENT_BITS))
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    for segment, bits in dealt.mapInArrow(run, "segment long, bits binary").collect():
+        begin = segment << (SEGMENT_BITS - 3)
+        out[begin : begin + len(bits)] = np.frombuffer(bits, dtype=np.uint8)
+    return out
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether just one letter is inserted, deleted or replaced between two words."""
     if a == b or abs(len(a) - len(b)) > 1:
@@ -171,8 +209,8 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def near_words(vocabulary: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """(id, word, n, other_id, other, other_n): every ordered pair of words one edit apart, from a staged (id, word, n)."""
-    pairs = _keys(vocabulary, symbols, True).join(
-        _keys(vocabulary, symbols, False).select(F.col("id").alias("other_id"), "key"), "key"
+    pairs = _keys(vocabulary, symbols, key_filter(vocabulary, symbols)).join(
+        _keys(vocabulary, symbols).select(F.col("id").alias("other_id"), "key"), "key"
     ).filter("id <> other_id")
     other = vocabulary.select(
         F.col("id").alias("other_id"), F.col("word").alias("other"), F.col("n").alias("other_n")
