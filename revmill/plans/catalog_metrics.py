@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmill.config import ReviewConfig
+from revmill.operators import ensembles as EN
 from revmill.operators import evaluation as EV
 from revmill.operators import models as M
 from revmill.operators.features import feature_stages
 from revmill.operators.sampling import hash_split
-from revmill.plans.catalog_rows import SQL_U, training_set
+from revmill.plans.catalog_rows import SQL_TRAINING, SQL_U, training_set
+from revmill.plans.catalog_text import SQL_CLEAN
 from revmill.plans.registry import query
 from revmill.plans.views import Views
+from revmill.session import cut_lineage
 
 CFG = ReviewConfig()
 
@@ -155,10 +161,8 @@ def tier_tree(v):
 
 
 def _lr_scores(v: Views) -> tuple[DataFrame, DataFrame]:
-    data = keyed_training_set(v).persist()
-    train, test = hash_split(data, "sample_key", CFG.train_fraction, CFG.seed)
+    train, test = hash_split(cut_lineage(keyed_training_set(v)), "sample_key", CFG.train_fraction, CFG.seed)
     model = M.select_model(train, "sample_key", feature_stages(CFG), [M.lr_candidate()], CFG).model
-    data.unpersist()
     keep = ["entity_id", "sample_key", "label"]
     return M.score_table(model, train, keep), M.score_table(model, test, keep)
 
@@ -176,10 +180,82 @@ def gap_report(v):
 
 @query("q_best_model")
 def best_model(v):
-    data = keyed_training_set(v).persist()
-    train, _ = hash_split(data, "sample_key", CFG.train_fraction, CFG.seed)
-    chosen = M.select_model(train, "sample_key", feature_stages(CFG), M.default_candidates(CFG), CFG)
-    data.unpersist()
+    """The best validation score of each kind of model over the default grids, and the kind with the highest of them."""
+    train, _ = hash_split(cut_lineage(keyed_training_set(v)), "sample_key", CFG.train_fraction, CFG.seed)
+    busy = replace(CFG, parallel_fits=6)
+    chosen = M.select_model(train, "sample_key", feature_stages(CFG), M.default_candidates(CFG), busy)
     table = M.compare_models(v.spark, chosen.results)
     best = EV.best_by(table, "model", "validation_auc").select("model").scalar()
     return table.withColumn("is_best", F.col("model") == best)
+
+
+# --- models against their tables: test rows, labels, and whether the tables give the model's own scores -----
+
+SQL_KEYED = f"""WITH {SQL_CLEAN}, {SQL_TRAINING},
+  keyed AS (SELECT entity_id, sha256(concat_ws('|', entity_id, text)) AS sample_key, label FROM training)"""
+SQL_TEST = f"""{SQL_KEYED}
+SELECT entity_id, sample_key, label::DOUBLE AS label, true AS same FROM keyed
+WHERE {SQL_U.replace("doc_id", "sample_key")} >= 0.8::DOUBLE"""
+
+
+def checked_test_rows(v: Views, estimator) -> DataFrame:
+    """Fit on the training rows; (entity_id, sample_key, label, same) of the test rows."""
+    keyed = cut_lineage(keyed_training_set(v))
+    train, test = hash_split(keyed, "sample_key", CFG.train_fraction, CFG.seed)
+    features = Pipeline(stages=feature_stages(CFG)).fit(train)
+    columns = ["entity_id", "sample_key", F.col("label").cast("double").alias("label"), "features"]
+    fit_on, score_on = (cut_lineage(features.transform(part).select(*columns)) for part in (train, test))
+    checked = EN.checked_scores(score_on, "sample_key", estimator.fit(M.packed(fit_on)))
+    return score_on.select("entity_id", "sample_key").join(checked, "sample_key").select(
+        "entity_id", "sample_key", "label", "same"
+    )
+
+
+@query("q_forest_rows", SQL_TEST, "reviews entities")
+def forest_rows(v):
+    """The first forest of the grid, scored by its node table."""
+    forest = M.rf_candidate(seed=CFG.seed)
+    return checked_test_rows(v, forest.estimator.copy(forest.grid[0]))
+
+
+@query("q_boosted_rows", SQL_TEST, "reviews entities")
+def boosted_rows(v):
+    """The first boosted model of the grid, scored by its node table."""
+    boosted = M.gbt_candidate(seed=CFG.seed)
+    return checked_test_rows(v, boosted.estimator.copy(boosted.grid[0]))
+
+
+@query("q_lr_rows", SQL_TEST, "reviews entities")
+def lr_rows(v):
+    """The first linear model of the grid, scored by its coefficient table."""
+    linear = M.lr_candidate()
+    return checked_test_rows(v, linear.estimator.copy(linear.grid[0]))
+
+
+@query(
+    "q_tree_rows",
+    f"""SELECT entity_id, CASE WHEN stars >= 4.0 THEN 0.0 WHEN stars >= 3.0 THEN 1.0 ELSE 2.0 END::DOUBLE AS label,
+              true AS same FROM counted_entities WHERE {SQL_U.replace("doc_id", "entity_id")} >= 0.8::DOUBLE""",
+    "counted_entities",
+)
+def tree_rows(v):
+    """The tier tree, scored by its node table."""
+    fitted = M.fit_tier_tree(v.counted_entities(), "entity_id", ["review_count", "is_open", "num1", "num2"])
+    return EN.checked_scores(fitted.test, "entity_id", fitted.tree).select("entity_id", "label", "same")
+
+
+@query(
+    "q_cv_rows",
+    f"""{SQL_KEYED}
+SELECT entity_id, sample_key, label::DOUBLE AS label, floor({SQL_U.replace("doc_id", "sample_key")} * 3)::INTEGER AS fold,
+       true AS scored FROM keyed""",
+    "reviews entities",
+)
+def cv_rows(v):
+    """Every training row with the fold that held it out, and whether that fold's best model gave it a probability."""
+    data = cut_lineage(keyed_training_set(v))
+    linear = M.lr_candidate(reg=(0.01, 0.1), elastic=(0.0,))
+    found = M.keyed_cross_validation(data, "sample_key", feature_stages(CFG), linear, 3, CFG)
+    rows = found.held_out.join(data.select("sample_key", "entity_id"), "sample_key")
+    scored = F.col("score").between(0, 1) & F.col("prediction").isin(0.0, 1.0)
+    return rows.select("entity_id", "sample_key", F.col("label").cast("double").alias("label"), "fold", scored.alias("scored"))

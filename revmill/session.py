@@ -49,14 +49,20 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name in the shared folder; what is written there goes when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once, so later passes neither recompute nor depend on executors.
 
     The table goes when the driver ends; where its end of use is known, staged() removes it earlier.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-    remove_at_exit(spark, path)
+    path = new_folder(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
