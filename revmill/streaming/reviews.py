@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from revmill.config import ReviewConfig
-from revmill.operators.cleaning import review_counters, review_states
+from revmill.operators.cleaning import review_states
 from revmill.schemas import CORRUPT, REVIEW_RAW, with_corrupt
-from revmill.session import staged
-from revmill.sources.files import path_exists
 
 
 def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -49,41 +48,127 @@ def stream_clean(
     return unique.drop("digest")
 
 
-def stream_quality(
-    rows: DataFrame, out: str, checkpoint: str, cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = KEEP_FOR
+FLAGS = T.StructType([T.StructField("state", T.StringType()), T.StructField("first", T.BooleanType())])
+
+
+def first_seen(
+    rows: DataFrame, order: list[str], cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = KEEP_FOR
+) -> DataFrame:
+    """Every arriving row with its cleaned text, its state (clean, malformed, empty_short) and whether it is the first of its kind.
+
+    The first clean row of an entity and text is true, of several in a batch the one that comes first in `order`; all other rows are
+    false and keep their state only. Entity and digest are remembered in keyed state for keep_for after that row has arrived;
+    None keeps them for ever. Rejected rows pass through a few groups that keep no state. Rows of a group are
+    read in portions, and only the first found so far is held.
+    """
+    states = review_states(rows, "business_id", "text", F.col(CORRUPT).isNotNull(), cfg).drop(CORRUPT)
+    clean = F.col("state") == "clean"
+    spread = (F.xxhash64(*order) % 64).cast("string")
+    keyed = states.withColumns(
+        {"_e": F.when(clean, F.col("business_id")), "_d": F.when(clean, F.col("digest")).otherwise(spread)}
+    ).drop("digest")
+    kept = [f for f in keyed.schema.fields if f.name not in ("_e", "_d", "state")]
+    names = [f.name for f in kept]
+    # State expires by the time of arrival, which never runs ahead of itself: no row is late.
+    timed = keyed.withColumn("_at", F.current_timestamp()).withColumn("_ms", F.unix_millis("_at"))
+    if keep_for is not None:
+        timed = timed.withWatermark("_at", "1 minute")
+    wait = None if keep_for is None else _milliseconds(rows.sparkSession, keep_for)
+
+    def flag(key, frames, state):
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        expires = state.get[0] if state.exists else None
+        best, now = None, 0
+        for frame in frames:
+            now = int(frame["_ms"].max())
+            out = pd.DataFrame({n: pd.Series([None] * len(frame), dtype=object) for n in names})
+            out["state"], out["first"] = frame["state"].to_numpy(), False
+            if key[0] is not None and (expires is None or (wait is not None and expires <= now)):
+                top = frame.sort_values(order, kind="stable").iloc[[0]]
+                if best is None or tuple(top[order].iloc[0]) < tuple(best[order].iloc[0]):
+                    best = top
+            yield out
+        if best is not None:
+            # The first was passed on above as one of many; this row takes its place.
+            out = best[names].reset_index(drop=True).astype(object)
+            out["state"], out["first"] = "clean", True
+            yield out
+            expires = now + (wait or 0)
+        if key[0] is not None:
+            state.update((expires,))
+            if wait is not None:
+                state.setTimeoutTimestamp(expires)
+
+    out_schema = T.StructType([*kept, *FLAGS.fields])
+    timeout = "NoTimeout" if keep_for is None else "EventTimeTimeout"
+    return timed.groupBy("_e", "_d").applyInPandasWithState(flag, out_schema, "expires long", "update", timeout)
+
+
+def _milliseconds(spark: SparkSession, interval: str) -> int:
+    end = F.expr(f"timestamp'2000-01-01' + INTERVAL {interval}")
+    start = F.expr("timestamp'2000-01-01'")
+    return spark.range(1).select((F.unix_millis(end) - F.unix_millis(start)).alias("ms")).first()["ms"]
+
+
+def stream_reviews(
+    rows: DataFrame,
+    out: str | None,
+    counters: str,
+    checkpoint: str,
+    order: list[str],
+    cfg: ReviewConfig = ReviewConfig(),
+    keep_for: str | None = KEEP_FOR,
 ) -> StreamingQuery:
-    """Write one counter row per micro-batch; a review is written in the first batch that holds it, and a duplicate later.
+    """Write the clean, unique reviews of each micro-batch (unless out is None) and one row of counters.
 
-    The keys first seen in each batch are kept beside the counters for as long as the stream remembers them, so the
-    rows written, summed over the batches, are those of stream_clean. A batch that runs again overwrites its own
-    counters and keys and looks at earlier batches only.
+    Both come from one pass: the state says which rows are the first of their kind, and the counters are observed while these
+    are written. No batch reads what an earlier one has written. A batch that runs again overwrites its own folders.
     """
-    keys_path = f"{out.rstrip('/')}_keys"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        states = review_states(batch, "business_id", "text", F.col(CORRUPT).isNotNull(), cfg)
-        with staged(states.select("business_id", "state", "digest")) as rows:
-            fresh = rows.filter("state = 'clean'").select("business_id", "digest").distinct()
-            if path_exists(spark, keys_path):
-                seen = spark.read.parquet(keys_path).filter(F.col("batch_id") < batch_id)
-                if keep_for is not None:
-                    seen = seen.filter(F.col("arrived") >= F.expr(f"current_timestamp() - INTERVAL {keep_for}"))
-                fresh = fresh.join(seen, ["business_id", "digest"], "left_anti")
-            own = f"{keys_path}/batch_id={batch_id}"
-            fresh.withColumn("arrived", F.current_timestamp()).write.mode("overwrite").parquet(own)
-            written = spark.read.schema("business_id string, digest string").parquet(own).agg(F.count("*")).scalar()
-            total = review_counters(rows, "business_id")
-            clean = F.col("records_written") + F.col("dropped_duplicate")
-            counters = total.select(
-                written.alias("records_written"), "dropped_malformed_json", "dropped_empty_short",
-                (clean - written).alias("dropped_duplicate"),
-            )
-            counters.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        seen = Observation()
+        first, state = F.col("first"), F.col("state")
+        # A first row stands beside the row that it was, so it counts as written and not as one more clean row.
+        observed = batch.observe(
+            seen, F.count_if(first).alias("written"), F.count_if(~first & (state == "clean")).alias("clean"),
+            F.count_if(state == "malformed").alias("malformed"), F.count_if(state == "empty_short").alias("short"),
+        )
+        kept = observed.filter("first").drop("first", "state")
+        if out is None:
+            kept.write.format("noop").mode("overwrite").save()
+        else:
+            kept.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        n = seen.get
+        row = (n["written"], n["malformed"], n["short"], n["clean"] - n["written"])
+        if sum(row) == 0:  # a batch without rows, in which state may expire
+            return
+        batch.sparkSession.createDataFrame([row], COUNTERS).write.mode("overwrite").parquet(
+            f"{counters}/batch_id={batch_id}"
+        )
 
+    flagged = first_seen(rows, order, cfg, keep_for)
     return (
-        rows.writeStream.foreachBatch(write)
+        flagged.writeStream.foreachBatch(write)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+COUNTERS = "records_written long, dropped_malformed_json long, dropped_empty_short long, dropped_duplicate long"
+
+
+def stream_quality(
+    rows: DataFrame, out: str, checkpoint: str, cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = KEEP_FOR
+) -> StreamingQuery:
+    """Write one counter row per micro-batch; a review is written in the first batch that holds it, and a duplicate later.
+
+    What has been seen is in the state of the query, so the rows written, summed over the batches, are those of
+    stream_clean, and no batch reads the folders of earlier ones.
+    """
+    return stream_reviews(rows, None, out, checkpoint, ["review_id"], cfg, keep_for)

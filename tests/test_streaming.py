@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -20,7 +21,9 @@ def write_files(folder):
             n += 1
             lines.append(json.dumps(row))
         lines += ["{broken", json.dumps({"review_id": "x", "business_id": "b1", "text": "no"})]
-        (folder / f"part{part}.json").write_text("\n".join(lines) + "\n")
+        path = folder / f"part{part}.json"
+        path.write_text("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + part, 1_700_000_000 + part))  # the order of arrival
 
 
 def run(df, tmp_path, name):
@@ -85,3 +88,52 @@ def test_late_undated_and_repeated_reviews(spark, tmp_path):
     S.stream_quality(S.read_stream(spark, str(src), 1), counted, str(tmp_path / "c")).awaitTermination(240)
     rows = spark.read.parquet(counted).orderBy("batch_id").collect()
     assert [(r.records_written, r.dropped_duplicate) for r in rows] == [(2, 0), (1, 1), (1, 1)]
+
+
+def one_wave(spark, src, tmp_path, name, rows, keep_for):
+    """Let rows arrive as one more file and run the stream; what it wrote for them, and their counters."""
+    src.mkdir(exist_ok=True)
+    lines = [json.dumps({"review_id": str(i), "business_id": b, "text": t}) for i, b, t in rows]
+    (src / f"{name}.json").write_text("\n".join(lines) + "\n")
+    out, counters = str(tmp_path / "out"), str(tmp_path / "counters")
+    before = 0 if not os.path.exists(counters) else len(os.listdir(counters))
+    stream = S.read_stream(spark, str(src)).withColumn("id", F.col("review_id").cast("long"))
+    S.stream_reviews(stream, out, counters, str(tmp_path / "ckpt"), ["id"], keep_for=keep_for).awaitTermination(120)
+    assert len(os.listdir(counters)) == before + 1
+    last = spark.read.parquet(counters).orderBy(F.desc("batch_id")).first()
+    ids = [r.id for r in spark.read.parquet(out).filter(F.col("batch_id") == last.batch_id).collect()]
+    return sorted(ids), (last.records_written, last.dropped_empty_short, last.dropped_duplicate)
+
+
+FINE = "a review that is long enough"
+
+
+def test_state_lives_through_restarts_and_expires(spark, tmp_path):
+    src = tmp_path / "in"
+    many = [(i, "b", FINE) for i in range(90, 40, -1)] + [(7, None, FINE), (8, "b", "short"), (9, "c", FINE)]
+    assert one_wave(spark, src, tmp_path, "one", many, "5 seconds") == ([9, 41], (2, 2, 49))
+    assert one_wave(spark, src, tmp_path, "two", [(1, "b", FINE), (2, "d", FINE)], "5 seconds")[0] in ([2], [1, 2])
+    time.sleep(6)
+    assert one_wave(spark, src, tmp_path, "three", [(3, "b", FINE), (4, "b", FINE)], "5 seconds") == ([3], (1, 0, 1))
+
+
+def test_state_without_an_end(spark, tmp_path):
+    src = tmp_path / "in"
+    assert one_wave(spark, src, tmp_path, "one", [(1, "b", FINE), (2, "b", FINE)], None) == ([1], (1, 0, 1))
+    assert one_wave(spark, src, tmp_path, "two", [(0, "b", FINE)], None) == ([], (0, 0, 1))
+
+
+def test_no_batch_reads_what_another_wrote(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    src = tmp_path / "in"
+    write_files(src)
+    rows = S.read_stream(spark, str(src), 1)
+
+    def refused(*args, **kwargs):
+        raise AssertionError("a batch reads files")
+
+    monkeypatch.setattr(DataFrameReader, "parquet", refused)
+    query = S.stream_quality(rows, str(tmp_path / "q"), str(tmp_path / "c"))
+    query.awaitTermination(120)
+    assert query.exception() is None
