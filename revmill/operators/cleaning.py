@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from revmill.config import ReviewConfig
@@ -140,3 +140,26 @@ def review_counters(states: DataFrame, entity: str) -> DataFrame:
         total("empty_short", F.col("n")).alias("dropped_empty_short"),
         total("clean", F.col("n") - 1).alias("dropped_duplicate"),
     )
+
+
+def observe_states(states: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and the counts of their states, which whatever writes the rows gathers in passing."""
+    seen, state = Observation(), F.col("state")
+    return states.observe(
+        seen, F.count_if(state == "clean").alias("clean"), F.count_if(state == "malformed").alias("malformed"),
+        F.count_if(state == "empty_short").alias("short"),
+    ), seen
+
+
+def observe_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+def observed_counters(states: Observation, written: Observation) -> dict[str, int]:
+    """The counters of review_counters from what was observed while states and kept reviews were written."""
+    found, kept = states.get, written.get["n"]
+    return {
+        "records_written": kept, "dropped_malformed_json": found["malformed"], "dropped_empty_short": found["short"],
+        "dropped_duplicate": found["clean"] - kept,
+    }

@@ -16,6 +16,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
     Word2Vec,
 )
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +83,23 @@ def embedding_stages(size: int = 50, min_count: int = 5, seed: int = 42) -> list
     ]
 
 
+def embed(df: DataFrame, key: str, words: str, vectors: DataFrame) -> DataFrame:
+    """(key, embedding): the mean vector of each row's words from a table (word, vector) of a fitted embedding.
+
+    Words without a vector count as zero, as in the fitted stage; a row without words has an empty embedding. The key is unique. A word
+    found in most rows is split for the join, and equal words of a row are one row of it.
+    """
+    tf = term_counts(df, key, words)
+    df_ = tf.groupBy("term").agg(F.count("*").alias("rows"))
+    table = vectors.select(F.col("word").alias("term"), "vector").join(df_, "term")
+    found = spread_join(tf, table, "term", "rows", [key])
+    sums = found.groupBy(key).agg(Summarizer.sum(F.col("vector"), F.col("tf").cast("double")).alias("s"))
+    sums = sums.select(key, vector_to_array("s").alias("s"))
+    sizes = df.select(key, F.size(words).alias("_n"))
+    total = F.coalesce("s", F.array().cast("array<double>"))
+    return sizes.join(sums, key, "left").select(key, F.transform(total, lambda x: x / F.col("_n")).alias("embedding"))
+
+
 def numeric_assembler(columns: list[str]) -> VectorAssembler:
     """Numeric columns to a vector; an invalid value is an error."""
     return VectorAssembler(inputCols=columns, outputCol="features")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revmill.config import ReviewConfig
+from revmill.functions import text as X
 from revmill.functions import values as V
 from revmill.operators import counts, histograms, limits, models, rows
 from revmill.operators import evaluation as EV
@@ -77,22 +79,48 @@ def load_store(
     sinks.append_table(reviews, review_table, fmt, opts.get(review_table))
 
 
+def _keys(table: str, column: str) -> Column:
+    return F.array(F.struct(F.lit(table).alias("table_name"), F.col(column).cast("string").alias("key")))
+
+
+def eda_long(entities: DataFrame, reviews: DataFrame) -> DataFrame:
+    """(table_name, key, n): how often each city, category, star value, review count, reviewer and text length occurs.
+
+    Each input is read once: a row is expanded to its keys, and one aggregation, combined within the tasks, counts
+    the keys of all tables. Null values are not counted.
+    """
+    items = F.transform(
+        X.category_items(F.col("categories")), lambda c: F.struct(F.lit("category").alias("table_name"), c.alias("key"))
+    )
+    of_entity = [_keys(c, c) for c in ("city", "stars", "review_count")]
+    none = F.array().cast("array<struct<table_name: string, key: string>>")
+    pairs = entities.select(F.concat(*of_entity, F.coalesce(items, none)).alias("pairs"))
+    lengths = reviews.select("user_id", F.length("text").alias("chars"))
+    more = lengths.select(F.concat(_keys("user_id", "user_id"), _keys("chars", "chars")).alias("pairs"))
+    found = pairs.unionAll(more).select(F.inline("pairs")).filter("key IS NOT NULL")
+    return found.groupBy("table_name", "key").agg(F.count("*").alias("n"))
+
+
 def eda(entities: DataFrame, reviews: DataFrame) -> dict[str, DataFrame]:
-    """Every exploration table: top lists, distributions, shares, histograms, density."""
-    categories = counts.category_counts(entities, "categories")
-    stars = counts.value_counts(entities, "stars")
-    lengths = reviews.select(F.length("text").alias("chars"))
+    """Every exploration table: top lists, distributions, shares, histograms, density, all from the staged eda_long."""
+    long = cut_lineage(eda_long(entities, reviews))
+
+    def table(name: str, kind: T.DataType) -> DataFrame:
+        return long.filter(F.col("table_name") == name).select(F.col("key").cast(kind).alias(name), "n")
+
+    categories = table("category", T.StringType())
+    stars, sizes = (table(c, entities.schema[c].dataType) for c in ("stars", "review_count"))
     return {
-        "top_cities": limits.top_k(counts.value_counts(entities, "city"), 10),
+        "top_cities": limits.top_k(table("city", entities.schema["city"].dataType), 10),
         "top_categories": limits.top_k(categories, 10),
         "category_share": counts.with_share(limits.top_k(categories, 5)),
         "star_distribution": stars.orderBy("stars"),
         "star_share": counts.with_share(stars),
-        "star_histogram": histograms.histogram(entities, "stars", 9),
-        "star_density": histograms.kde(entities, "stars"),
-        "review_count_histogram": histograms.histogram(entities, "review_count", 50, upper=500),
-        "length_histogram": histograms.histogram(lengths, "chars", 50),
-        "top_reviewers": limits.top_k(counts.value_counts(reviews, "user_id"), 5),
+        "star_histogram": histograms.histogram(stars, "stars", 9, weight="n"),
+        "star_density": histograms.kde(stars, "stars", weight="n"),
+        "review_count_histogram": histograms.histogram(sizes, "review_count", 50, upper=500, weight="n"),
+        "length_histogram": histograms.histogram(table("chars", T.IntegerType()), "chars", 50, weight="n"),
+        "top_reviewers": limits.top_k(table("user_id", reviews.schema["user_id"].dataType), 5),
     }
 
 

@@ -66,15 +66,19 @@ def _states(lines: DataFrame, cfg: ReviewConfig) -> DataFrame:
 def prepare_reviews(spark: SparkSession, src: str, dst: str, small: str, cfg: ReviewConfig) -> DataFrame:
     """Write all clean reviews, and the first of them in input order as the small sample; return the counters (one row).
 
-    The cleaned rows are staged once, so that the tables and the counters do not each clean the text.
+    The cleaned rows are staged once, so that the tables do not each clean the text. The counters are observed while the staged
+    rows and the clean reviews are written; no table is read again for them.
     """
-    with staged(_states(files.read_jsonl_lines(spark, src, REVIEW_RAW), cfg)) as states:
+    states, seen = cleaning.observe_states(_states(files.read_jsonl_lines(spark, src, REVIEW_RAW), cfg))
+    with staged(states) as states:
         kept = cleaning.kept_reviews(states, "business_id", files.LINE_ORDER)
-        sinks.write_jsonl(typed_reviews(kept.drop(*files.LINE_ORDER)), dst)
+        reviews, written = cleaning.observe_rows(typed_reviews(kept.drop(*files.LINE_ORDER)))
+        sinks.write_jsonl(reviews, dst)
         sample = head_sample(kept, cfg.sample_rows, files.LINE_ORDER)
         sinks.write_jsonl(typed_reviews(sample.drop(*files.LINE_ORDER)), small)
-        counters = cleaning.review_counters(states, "business_id").first()
-    return spark.createDataFrame([counters])
+    counters = cleaning.observed_counters(seen, written)
+    schema = ", ".join(f"{name} long" for name in counters)
+    return spark.createDataFrame([tuple(counters.values())], schema)
 
 
 def prepare_fast(spark: SparkSession, src: str, dst: str, cfg: ReviewConfig) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,39 @@ def append_table(
         writer.save()
 
 
+def append_batch(df: DataFrame, store: str, batch: str) -> bool:
+    """Append rows to a Parquet store under a batch id; False, and nothing written, if the store has the batch already.
+
+    The rows lie in a folder of the batch, and a manifest entry, written last, makes them part of the store. An append that
+    stopped halfway has no entry, so its rows are not read, and a repeat replaces them. One writer a batch.
+    """
+    spark, name = df.sparkSession, quote(batch, safe="")
+    entry = f"{store}/manifest/batch={name}"
+    if path_exists(spark, f"{entry}/_SUCCESS"):
+        return False
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{store}/rows/{name}")
+    line = [(batch, f"rows/{name}", seen.get["n"])]
+    spark.createDataFrame(line, MANIFEST).coalesce(1).write.mode("overwrite").json(entry)
+    return True
+
+
+MANIFEST = "batch string, folder string, n long"
+
+
+def read_manifest(spark: SparkSession, store: str) -> DataFrame:
+    """(batch, folder, n) of the batches of a store; empty for a store that has none."""
+    if not path_exists(spark, f"{store}/manifest"):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).option("recursiveFileLookup", True).json(f"{store}/manifest")
+
+
+def read_batches(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
+    """The rows of all batches that were appended whole. The driver holds the names of the batches only."""
+    folders = [f"{store}/{r.folder}" for r in read_manifest(spark, store).select("folder").collect()]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").saveAsTable(table)
 
