@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from revmill.llm.shelf import table, text_or_empty
 
 MODEL = "word_bpe_49k.json"  # below the folder of the public tokenizers
-BATCH_CHARS = 4_000_000  # text whose tokens leave a task together
-KNOWN_WORDS = 300_000  # words of up to KNOWN_CHARS characters whose tokens a task remembers
-KNOWN_CHARS = 64
-FEW = 24  # up to so many symbols, all pairs are looked at for each merge
+BATCH_CHARS = 1_000_000  # text that is encoded together
+KNOWN_WORDS = 200_000  # short words in each of the two generations that a task remembers
+FEW = 24  # up to so many symbols, all pairs are looked at for each merge; words of so many bytes are remembered
 STEP = 256  # symbols that a full transducer takes before it looks for stable tokens
 MAX_MERGES = 1_000_000  # the merge list is broadcast: refuse what is larger
+ID_BITS = 21  # of a token's id in the key of a pair
 
 # What the model's file must say of normalisation, word splitting and decoding to be supported.
 NORMALIZERS = [
@@ -105,15 +105,16 @@ class Merges:
     pairs: list[tuple[str, str]]
     word_end: str
     special: dict[str, int]
+    lookahead: int | None = None  # computed here if not given, as is the next
+    longest: int | None = None  # symbols of the longest token
     ranks: dict[tuple[str, str], int] = field(init=False)
-    lookahead: int = field(init=False)
-    longest: int = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "ranks", {p: r for r, p in enumerate(self.pairs)})
-        widths, lookahead = self._analyse()
-        object.__setattr__(self, "longest", max(widths.values(), default=1))
-        object.__setattr__(self, "lookahead", lookahead)
+        if self.lookahead is None or self.longest is None:
+            widths, lookahead = self._analyse()
+            object.__setattr__(self, "longest", max(widths.values(), default=1))
+            object.__setattr__(self, "lookahead", lookahead)
 
     def _analyse(self) -> tuple[dict[str, int], int]:
         """Symbols of each token, and how far from the end of what is read tokens can still change.
@@ -191,7 +192,7 @@ class Merges:
         return [p for p in parts if p is not None]
 
     def plain(self) -> tuple:
-        return self.ids, self.pairs, self.word_end, self.special
+        return self.ids, self.pairs, self.word_end, self.special, self.lookahead, self.longest
 
     @staticmethod
     def load(path: str | None = None) -> Merges:
@@ -264,20 +265,83 @@ class Encoder:
         self.new_small = _new_small()
         self.any_new = re.compile("[" + "".join(map(chr, self.new_small)) + "]").search
         self.symbols = byte_symbols()
+        # The same list by ids, for words that fit into one portion: first symbols, ranks of pairs, what a merge gives.
+        ids, end = merges.ids, merges.word_end
+        self.inner, self.last = (np.array([ids[s + e] for s in self.symbols], dtype=np.int64) for e in ("", end))
+        pairs = np.array([ids[a] << ID_BITS | ids[b] for a, b in merges.pairs], dtype=np.int64)
+        self.rank_order = np.argsort(pairs)
+        self.sorted_pairs = np.append(pairs[self.rank_order], np.iinfo(np.int64).max)
+        self.rank_order = np.append(self.rank_order, MAX_MERGES)
+        self.made = np.array([ids[a + b] for a, b in merges.pairs], dtype=np.int64)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << ID_BITS | right
+        at = np.searchsorted(self.sorted_pairs, pair)
+        return np.where(self.sorted_pairs[at] == pair, self.rank_order[at], MAX_MERGES)
+
+    def _merge_all(self, raws: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """Merges.merge() on ids for words of one number of bytes, one merge a round in all that still have one.
+
+        Gives the place of each word and its ids.
+        """
+        code = np.frombuffer(b"".join(raws), dtype=np.uint8).reshape(len(raws), -1)
+        parts = self.inner[code]
+        parts[:, -1] = self.last[code[:, -1]]
+        place = np.arange(len(raws))
+        ranks = self._ranks(parts[:, :-1], parts[:, 1:])
+        while len(place):
+            if parts.shape[1] > 1:
+                at = ranks.argmin(axis=1)
+                best = ranks[np.arange(len(at)), at]
+                more = best < MAX_MERGES
+            else:
+                more = np.zeros(len(place), dtype=bool)
+            done = parts[~more].astype(np.int32)
+            yield from zip(place[~more].tolist(), (row.tobytes() for row in done))
+            parts, ranks, place = parts[more], ranks[more], place[more]
+            if not len(place):
+                return
+            at, best, every = at[more], best[more], np.arange(len(place))
+            parts[every, at] = self.made[best]
+            column = np.arange(parts.shape[1] - 1)
+            parts = np.take_along_axis(parts, column + (column > at[:, None]), axis=1)
+            column = column[:-1]
+            ranks = np.take_along_axis(ranks, column + (column >= at[:, None]), axis=1)
+            for side in (at - 1, at):
+                ok = np.flatnonzero((side >= 0) & (side < ranks.shape[1]))
+                where = side[ok]
+                ranks[ok, where] = self._ranks(parts[ok, where], parts[ok, where + 1])
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new short words; if too many are known, those not seen since the last time go."""
+        by_size: dict[int, list[tuple[str, bytes]]] = {}
+        for word in words:
+            raw = word.encode()
+            by_size.setdefault(len(raw), []).append((word, raw))
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        for group in by_size.values():
+            for i, out in self._merge_all([raw for _, raw in group]):
+                self.known[group[i][0]] = out
+
+    def _ids(self, word: str) -> bytes:
+        """The ids of a word that is not in the younger generation of those remembered."""
+        out = self.older.get(word)
+        if out is None:
+            return self.word_ids(word)
+        self.known[word] = out
+        return out
 
     def word_ids(self, word: str) -> bytes:
+        raw = word.encode()
         machine = Transducer(self.merges)
-        tokens = machine.feed("".join([self.symbols[b] for b in word.encode()]))
+        tokens = machine.feed("".join([self.symbols[b] for b in raw]))
         tokens += machine.finish()
-        out = array("i", [self.merges.ids[t] for t in tokens]).tobytes()
-        if len(word) <= KNOWN_CHARS:
-            if len(self.known) >= KNOWN_WORDS:
-                self.known = {}
-            self.known[word] = out
-        return out
+        return array("i", [self.merges.ids[t] for t in tokens]).tobytes()
 
-    def _plain(self, text: str) -> bytes:
+    def _words(self, text: str) -> list[str]:
         split = self.words
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
@@ -286,19 +350,27 @@ class Encoder:
             if self.beyond(text):
                 split = self.all_words
         # Characters become lower case one by one: a sigma at the end of a word is one like others.
-        words = split(text.replace("Σ", "σ").lower())
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            return b"".join([self.known.get(w) or self.word_ids(w) for w in words])
+        return split(text.replace("Σ", "σ").lower())
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, 4 bytes each. The strings of special tokens are these tokens, wherever they stand."""
+        parts: list[list] = []
+        for text in texts:
+            own, begin = [], 0
+            for m in self.special.finditer(text):
+                own += [self._words(text[begin : m.start()]), np.int32(self.merges.special[m.group()]).tobytes()]
+                begin = m.end()
+            parts.append([*own, self._words(text[begin:])])
+        new = {w for own in parts for p in own if isinstance(p, list) for w in p}
+        new = [w for w in new if w not in self.known and w not in self.older and len(w) <= FEW and len(w.encode()) <= FEW]
+        self._learn(new)
+        get, slow = self.known.get, self._ids
+        return [
+            b"".join([p if isinstance(p, bytes) else b"".join([get(w) or slow(w) for w in p]) for p in own]) for own in parts
+        ]
 
     def encode(self, text: str) -> bytes:
-        """The ids, 4 bytes each. The strings of special tokens are these tokens, wherever they stand."""
-        out, begin = [], 0
-        for m in self.special.finditer(text):
-            out += [self._plain(text[begin : m.start()]), np.int32(self.merges.special[m.group()]).tobytes()]
-            begin = m.end()
-        return b"".join([*out, self._plain(text[begin:])])
+        return self.encode_all([text])[0]
 
 
 class Decoder:
@@ -350,7 +422,7 @@ def encode(docs: DataFrame, merges: Merges, id_col: str = "doc_id", text_col: st
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
         def out(ids, texts):
-            tokens = [encoder.encode(t) for t in texts]
+            tokens = encoder.encode_all(texts)
             offsets = np.concatenate([[0], np.cumsum([len(t) // 4 for t in tokens])]).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(tokens), dtype=np.int32))
             lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
@@ -373,7 +445,9 @@ def decode(
     tokens: DataFrame, merges: Merges, spelled: bool = False, id_col: str = "doc_id", ids_col: str = "ids"
 ) -> DataFrame:
     """(doc_id, ids, text) of every row of ids; null ids give an empty text. For `spelled` see Decoder."""
-    shared = tokens.sparkSession.sparkContext.broadcast(merges.plain())
+    # Decoding needs no merges.
+    ids, _, *rest = merges.plain()
+    shared = tokens.sparkSession.sparkContext.broadcast((ids, [], *rest))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -382,12 +456,14 @@ def decode(
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
         for batch in batches:
             begin, size = 0, 0
-            lists = batch.column("ids")
-            for i, n in enumerate(lists.value_lengths().to_pylist()):
+            for i, n in enumerate(batch.column("ids").value_lengths().to_pylist()):
                 size += n or 0
-                if size > BATCH_CHARS // 4 or i + 1 == batch.num_rows:
+                if size > BATCH_CHARS or i + 1 == batch.num_rows:
                     part = batch.slice(begin, i + 1 - begin)
-                    texts = [decoder.decode(t or []) for t in part.column("ids").to_pylist()]
+                    # Lists by their ends in the flat column: much faster than as Python lists at once.
+                    lists = part.column("ids").fill_null(pa.scalar([], pa.list_(pa.int32())))
+                    flat, ends = lists.flatten().tolist(), lists.value_lengths().to_numpy().cumsum().tolist()
+                    texts = [decoder.decode(flat[a:b]) for a, b in zip([0, *ends], ends)]
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], schema=schema
                     )
