@@ -180,3 +180,17 @@ def test_best_model_searches_the_default_grids(spark, folder, monkeypatch):
     want = catalog_metrics.M.default_candidates(catalog_metrics.CFG)
     assert seen.value.args[0] == [(c.name, [{p.name: x for p, x in point.items()} for point in c.grid]) for c in want]
     assert sum(len(grid) for _, grid in seen.value.args[0]) == 18
+
+
+def test_models_score_after_an_observed_write(spark, tmp_path):
+    """A session that has observed a write cannot be sent to tasks, so no model may hold it."""
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(10).observe(seen, F.count("*").alias("n")).write.parquet(str(tmp_path / "w"))
+    assert seen.get["n"] == 10
+    rows = spark.createDataFrame([(float(i % 2), Vectors.dense(i % 2 + 0.1 * i)) for i in range(40)], ["label", "features"])
+    for c in (M.lr_candidate(5, (0.1,), (0.0,)), M.rf_candidate((3,), (2,)), M.gbt_candidate((2,), (2,))):
+        assert M.grid_search(c, rows, rows).best_score > 0.5
+        assert M.score_table(c.estimator.fit(rows), rows, ["label"]).count() == 40
