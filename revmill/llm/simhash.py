@@ -190,14 +190,20 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def forest(f: np.ndarray, keep: int) -> list[tuple[int, int]]:
-    """Edges that join all rows of f that a chain of steps of at most `keep` bits connects; no more than rows."""
+def forest(f: np.ndarray, keep: int, n: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Edges that join all rows of f that a chain of steps of at most `keep` bits connects; no more than rows.
+
+    With the sizes n of sets, steps lead to sets that may be similar.
+    """
     out, rest, todo = [], np.arange(1, len(f)), [0]
     while len(rest):
         if not todo:
             todo, rest = [int(rest[0])], rest[1:]
         i = todo.pop()
-        near = np.bitwise_count(f[rest] ^ f[i]).sum(axis=1) <= keep
+        if n is None:
+            near = np.bitwise_count(f[rest] ^ f[i]).sum(axis=1) <= keep
+        else:
+            near = may_be_similar(f, n, i, rest, keep)
         found = rest[near].tolist()
         out += [(i, j) for j in found]
         todo += found
@@ -205,14 +211,17 @@ def forest(f: np.ndarray, keep: int) -> list[tuple[int, int]]:
     return out
 
 
-def _verify(blocks: DataFrame, count: int, keep: int) -> DataFrame:
-    """Edges inside blocks of (key, node, f0, ...); a task holds one block at a time."""
+def _verify(blocks: DataFrame, count: int, keep: int, sized: bool = False) -> DataFrame:
+    """Edges inside blocks of (key, node, f0, ...), with n if sized; a task holds one block at a time."""
+    more = ["n"] if sized else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def finished(parts):
             node = np.concatenate([p[0] for p in parts])
-            f = np.concatenate([p[1] for p in parts])
-            return [(int(node[i]), int(node[j])) for i, j in forest(f, keep)] if len(node) > 1 else []
+            if len(node) < 2:
+                return []
+            n = np.concatenate([p[2] for p in parts]) if sized else None
+            return [(int(node[i]), int(node[j])) for i, j in forest(np.concatenate([p[1] for p in parts]), keep, n)]
 
         def edges():
             key, parts = None, []
@@ -221,19 +230,20 @@ def _verify(blocks: DataFrame, count: int, keep: int) -> DataFrame:
                     continue
                 keys, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
                 f = np.stack([batch.column(c).to_numpy() for c in names(count)], axis=1).view(np.uint64)
+                n = batch.column("n").to_numpy() if sized else node
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     if keys[a] != key:
                         if parts:
                             yield from finished(parts)
                         key, parts = keys[a], []
-                    parts.append((node[a:b], f[a:b]))
+                    parts.append((node[a:b], f[a:b], n[a:b]))
             if parts:
                 yield from finished(parts)
 
         yield from record_batches(edges(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return blocks.select("key", "node", *names(count)).mapInArrow(run, "a long, b long")
+    return blocks.select("key", "node", *names(count), *more).mapInArrow(run, "a long, b long")
 
 
 def links(classes: DataFrame, count: int, tau: int, keep: int, probed: int) -> DataFrame:
@@ -318,13 +328,35 @@ def near_groups(prints: DataFrame, count: int, tau: int, keep: int, probed: int
     return grouped.select("doc_id", "mark", *names(count), F.coalesce("component_id", "first").alias("component_id"))
 
 
-# Near copies for a corpus: five-word shingles whose Jaccard similarity is 0.8 or more. 384 bits differ in 58 places at
-# 0.8 on average, with a spread of 7; the loose cut leaves five spreads, and shingles counted one by one decide.
-CORPUS = {"words": 5, "count": 6, "keep": 96}
+# Near copies for a corpus: five-word shingles whose Jaccard similarity is 0.8 or more. Sets of shingles decide; loose
+# links come before that, from 384 bits of each set:
+# - up to SMALL shingles, the parities of the shingles in 384 cells. A shingle that one set alone holds changes one parity,
+#   so similar sets, which have at most a ninth of their sizes' sum to themselves, differ in no more cells. Never wrong.
+# - from 4/5 of SMALL on, fingerprints of the set. At 0.8 they differ in 58 bits with a spread of 7; keep leaves eight
+#   spreads, so a similar pair is lost with a chance below 10^-15, less than that of equal 64-bit hashes.
+# Sizes in between have both, so every two similar sets meet in one of them.
+CORPUS = {"words": 5, "count": 6, "keep": 116}
+SMALL = 640
 SIMILAR = 4, 5
 IN_TASK = 4_000_000  # shingles, 32 MB, of a group that one task decides
 
 
+def parities(shingles: np.ndarray, count: int) -> list[int]:
+    """Whether an odd number of shingles is in each of 64 count cells, as `count` words."""
+    odd = np.bincount((remixed(shingles, ODD[1]) % np.uint64(BITS * count)).astype(np.int64), minlength=BITS * count) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64).tolist()
+
+
+def may_be_similar(f: np.ndarray, n: np.ndarray, i: int, rest: np.ndarray, keep: int) -> np.ndarray:
+    """True wherever sets may have the similarity of SIMILAR; n is the size of a set, negative with a fingerprint."""
+    num, den = SIMILAR
+    size, own = np.abs(n[rest]), abs(int(n[i]))
+    bits = np.bitwise_count(f[rest] ^ f[i]).sum(axis=1).astype(np.int64)
+    # Both sets have (sum - apart) / 2 in common and (sum + apart) / 2 together.
+    most = (den - num) * (size + own) // (den + num) if n[i] >= 0 else keep
+    return ((n[rest] >= 0) == (n[i] >= 0)) & (den * np.minimum(size, own) >= num * np.maximum(size, own)) & (bits <= most)
+
+
 def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The first shingles of a sorted set, common ones last, of which two similar sets share at least one.
 
@@ -341,10 +373,12 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(doc_id, mark, f0, ..., sign, prefix) of every row: fingerprints, a hash of the set of shingles, and its prefix."""
+    """(doc_id, mark, sign, n, prints, prefix) of every row: a hash of the set of shingles, its size, its parities, its
+    fingerprints or both, one after the other, and its prefix."""
     count, words = CORPUS["count"], CORPUS["words"]
-    longs = ("doc_id", "mark", *names(count), "sign")
-    schema = pa.schema([*((c, pa.int64()) for c in longs), ("prefix", pa.list_(pa.int64()))])
+    longs = ("doc_id", "mark", "sign", "n")
+    lists = ("prints", "prefix")
+    schema = pa.schema([*((c, pa.int64()) for c in longs), *((c, pa.list_(pa.int64())) for c in lists)])
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,12 +386,13 @@ def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
             for batch in batches:
                 ids, marks = (batch.column(c).to_pylist() for c in ("doc_id", "mark"))
                 for doc_id, mark, text in zip(ids, marks, batch.column("text")):
-                    h = shingle_hashes(text.as_py(), words)
-                    found = [majority(remixed(h, ODD[i])) for i in range(count)]
-                    own = np.unique(h)
-                    found.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
+                    own = np.unique(shingle_hashes(text.as_py(), words))
+                    found = parities(own, count) if len(own) <= SMALL else []
+                    if SIMILAR[1] * len(own) >= SIMILAR[0] * SMALL:
+                        found += [majority(remixed(own, ODD[i])) for i in range(count)]
+                    sign = _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
                     first = prefix(own, shared.value).view(np.int64).tolist()
-                    yield doc_id, mark, *(_signed(f) for f in found), first
+                    yield doc_id, mark, sign, len(own), [_signed(f) for f in found], first
 
         # A prefix holds a fifth of a text's shingles.
         yield from record_batches(rows(), schema)
@@ -366,7 +401,7 @@ def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("mark"),
         text_or_empty().cast("binary").alias("text"),
     )
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", prefix array<long>")
+    return rows.mapInArrow(run, ", ".join([f"{c} long" for c in longs] + [f"{c} array<long>" for c in lists]))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -395,20 +430,22 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _loose_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(signatures, classes, edges): texts with one set of shingles are one class; edges connect every two classes
-    that share a shingle of their prefixes and differ in at most CORPUS["keep"] bits.
+    """(signatures, classes, edges): texts with one set of shingles are one class; edges connect, by chains, every two
+    classes that share a shingle of their prefixes and may be similar by their sizes and bits.
 
     Shingles in the prefixes of more than LARGE_BLOCK classes go to the end of the common order, which leaves them out of
     nearly all prefixes; only what LEVELS such turns leave together is compared as it is.
     """
     count = CORPUS["count"]
-    own = [*names(count), "sign"]
     common = np.zeros(0, dtype=np.uint64)
     for level in range(LEVELS + 1):
         prints = stage(_signatures(docs, common), "signatures")
         order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
         classes = stage(
-            prints.groupBy(*own).agg(F.min(order).alias("first"), F.any_value("prefix").alias("prefix")), "shingle-classes"
+            prints.groupBy("sign", "n").agg(
+                F.min(order).alias("first"), F.any_value("prints").alias("prints"), F.any_value("prefix").alias("prefix")
+            ),
+            "shingle-classes",
         ).select(
             "*",
             F.shiftleft(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"), 40)
@@ -421,9 +458,15 @@ def _loose_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if level == LEVELS or not len(fresh):
             break
         common = np.union1d(common, fresh)
-    met = rows.join(sizes.drop("n"), "key").join(classes.select("node", *names(count)), "node")
+    met = rows.join(sizes.drop("n"), "key").join(classes.select("node", "n", "prints"), "node")
+    # Its parities, if it has them, come first.
+    parts = F.when(F.size("prints") > count, F.array(F.lit(0), F.lit(count))).otherwise(F.array(F.lit(0)))
+    met = met.withColumn("at", F.explode(parts)).select(
+        "key", "node", F.when((F.col("at") > 0) | (F.col("n") > SMALL), -F.col("n")).otherwise(F.col("n")).alias("n"),
+        *(F.get("prints", F.col("at") + i).alias(c) for i, c in enumerate(names(count))),
+    )
     dealt = met.repartition(F.col("key")).sortWithinPartitions("key")
-    return prints, classes, _verify(dealt, count, CORPUS["keep"])
+    return prints, classes, _verify(dealt, count, CORPUS["keep"], sized=True)
 
 
 def _in_order(members: DataFrame) -> DataFrame:
@@ -491,10 +534,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, component_id) of every row; component_id is the doc_id of the text that stays for it.
 
     The search is complete at any size: every two texts whose sets of shingles have a similarity of SIMILAR or more share a
-    shingle of their prefixes. The fingerprints are a loose filter, and the sets decide.
+    shingle of their prefixes. Their bits are a loose filter (see CORPUS), and the sets decide.
     """
     prints, classes, edges = _loose_links(docs)
-    own = [*names(CORPUS["count"]), "sign"]
+    own = ["sign", "n"]
     joined = classes.join(components(edges), "node").select("root", "node", "first", "first.doc_id", "first.mark")
     chosen = leaders(_sets(docs, joined)).select("node", "leader", F.lit(True).alias("met"))
     merged = classes.join(chosen, "node", "left").select(

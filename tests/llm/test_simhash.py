@@ -209,3 +209,45 @@ def test_common_shingles_leave_the_blocks(spark, monkeypatch):
     for large in (20_000, 10):
         monkeypatch.setattr(S, "LARGE_BLOCK", large)
         assert {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()} == want
+
+
+def test_parities_never_rule_out_similar_sets():
+    """At 0.8 exactly, for all sizes, and fingerprints from 4/5 of SMALL on; every two sizes meet in one kind."""
+    rng = np.random.default_rng(10)
+    for _ in range(1500):
+        both = int(rng.integers(1, 160)) * int(rng.integers(1, 12))
+        apart = both // 4
+        cut = int(rng.integers(0, apart + 1))
+        h = rng.integers(0, 1 << 62, both + apart).astype(np.uint64)
+        sets = h[: both + cut], np.concatenate([h[:both], h[both + cut :]])
+        sizes = np.array([len(s) for s in sets])
+        met = False
+        if sizes.max() <= S.SMALL:
+            f = np.array([S.parities(s, 6) for s in sets], dtype=np.uint64)
+            met = S.may_be_similar(f, sizes, 0, np.array([1]), 116)[0]
+        elif 5 * sizes.min() >= 4 * S.SMALL:
+            f = np.array([[S.majority(S.remixed(s, o)) for o in S.ODD] for s in sets], dtype=np.uint64)
+            met = S.may_be_similar(f, -sizes, 0, np.array([1]), 116)[0]
+        assert met, sizes
+
+
+@pytest.mark.parametrize("small", [640, 60])
+def test_lines_repeated_any_number_of_times(spark, monkeypatch, small):
+    """Sets of shingles decide, so texts that repeat one line from 1 to 500 times are near copies; against brute force."""
+    monkeypatch.setattr(S, "SMALL", small)
+    rng = np.random.default_rng(11)
+    texts = []
+    for i in range(40):
+        words = [f"w{k}" for k in rng.integers(0, 50_000, int(rng.integers(12, 160)))]
+        for times in (1, 3, 200, 500):
+            own = list(words)
+            for at in rng.choice(len(words), int(rng.integers(0, 3)), replace=False):
+                own[at] = f"c{rng.integers(0, 50_000)}"
+            texts.append(" ".join(own + ["say", "it", "once", "more", f"l{i}"] * times))
+    left = {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()}
+    sets = [shingle_set(t) for t in texts]
+    want = []
+    for i, own in enumerate(sets):  # in order of the ids, as drop_near_copies decides
+        if not any(5 * len(own & sets[j]) >= 4 * len(own | sets[j]) for j in want):
+            want.append(i)
+    assert left == set(want) and 40 < len(want) < 160
