@@ -232,10 +232,7 @@ class Encoder:
         spaced = [w for w in words if w.startswith(SPACE * 2)]
         plain = [w for w in words if not w.startswith(SPACE * 2)]
         for w in spaced:  # runs of blanks are pieces of equal rank, which only merging in order settles
-            head = w[: len(w) - len(w.lstrip(SPACE))]
-            parts = merge(head + w[len(head) : len(head) + 2 * self.depth], self.model.scores)
-            if len(w) > len(head) + 2 * self.depth:
-                parts = merge_long(w, self.model.scores)
+            parts = (merge_long if len(w) > 2 * self.depth else merge)(w, self.model.scores)
             self.known[w] = self._ids([self.model.ids.get(p, -ord(p[0]) - 2) for p in parts])
         if plain:
             tokens, sizes = self._relax(plain)

@@ -97,3 +97,15 @@ def test_query_against_the_library(spark, folder, library):
     assert len(got) == len(texts)
     for r in got:
         assert r.ids == library.encode(texts[r.doc_id]) and r.round_trip
+
+
+def test_very_long_runs_of_blanks(model, encoder, library):
+    """100,000 blanks take a second or so, not time by their square."""
+    import time
+
+    texts = [" " * 100_000, "a" + " " * 99_999 + "b", "  x" * 5]
+    start = time.perf_counter()
+    got = encoder.encode(texts)
+    assert time.perf_counter() - start < 20
+    for ids, text in zip(got, texts):
+        assert ids.tolist() == library.encode(text)
