@@ -42,6 +42,7 @@ PATTERNS = {
 ANY = "|".join(PATTERNS[k] for k in ("email", "secret", "phone", "ip", "card", "person"))
 GATE = "[0-9@\"']"  # every entity but a person holds one of these
 RETRIES = 64
+ROOM = 8  # attempts after which mails grow and secrets take any letter or digit in any place
 
 
 def _may_hold(text: Column) -> Column:
@@ -106,9 +107,14 @@ def _surrogate() -> Column:
         f"case when i >= length(entity) - {top} then c when c rlike '[a-z]' then {letter} "
         f"when c rlike '[0-9]' then {digit} else c end",
     )
+    # Short mails have few surrogates of their length.
+    grown = f"transform(sequence(1, attempt - {ROOM - 1}), i -> char(97 + pmod({_byte('i + 40')}, 26)))"
+    email = f"concat(case when attempt < {ROOM} then '' else array_join({grown}, '') end, {email})"
+    mark = f"substring('+/_.=-', 1 + pmod({_byte('i')}, 6), 1)"
     secret = _each(
         "entity",
-        f"case when c rlike '[a-f]' and entity rlike '^[a-f0-9]+$' then {hexed} when c rlike '[a-z]' then {letter} "
+        f"case when attempt >= {ROOM} then substring('abcdefghijklmnopqrstuvwxyz0123456789', 1 + pmod({_byte('i')}, 36), 1) "
+        f"when not entity rlike '[a-z0-9]' then {mark} when c rlike '[a-f]' and entity rlike '^[a-f0-9]+$' then {hexed} when c rlike '[a-z]' then {letter} "
         f"when c rlike '[0-9]' then {digit} else c end",
     )
     ip = "concat_ws('.', " + ", ".join(f"1 + pmod({_byte(str(i))}, 254)" for i in range(4)) + ")"
@@ -151,6 +157,7 @@ def _in_form_of() -> Column:
         "array_join(transform(sequence(1, length(value)), i -> case when substring(value, i, 1) rlike '[A-Z]' "
         "then upper(substring(surrogate, i, 1)) else substring(surrogate, i, 1) end), '')"
     )
+    cased = f"concat({cased}, substring(surrogate, length(value) + 1, length(surrogate)))"
     before = "length(regexp_replace(substring(value, 1, i), '[^0-9]', ''))"
     spaced = (
         "array_join(transform(sequence(1, length(value)), i -> case when substring(value, i, 1) rlike '[0-9]' "
@@ -171,7 +178,8 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, entity, surrogate) for distinct (kind, entity): keyed, all different, and none an entity itself.
 
     Where two entities draw one surrogate, the smaller entity keeps it and the others draw again; so does
-    whatever draws an entity of the input. Rounds go on until no collision is left.
+    whatever draws an entity of the input. Rounds go on until no collision is left. Mails, secrets and names get more room as
+    attempts grow; numbers and addresses of a fixed length cannot, and raise an error if they hold nearly all of their form.
     """
     stream = F.concat(*(F.sha2(F.concat_ws("\u0001", F.lit(key), "kind", "entity", "attempt", F.lit(i)), 256) for i in (0, 1)))
 

@@ -137,3 +137,29 @@ def test_names_do_not_run_out(spark, monkeypatch):
     rows = [("person", f"f|latin|name{i}") for i in range(100)]
     got = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, entity string"), "k").collect()
     assert len({r.surrogate for r in got}) == len(got) == 100
+
+
+def test_secrets_without_letters_and_full_forms_of_mails(spark):
+    """Secrets of marks alone, and all 676 addresses of one short form."""
+    texts = ['password = "--------"', 'token: "--------a"', 'PASSWORD = "........"', "Mail A@B.org"]
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    texts += [" ".join(f"{a}@{b}.org" for b in abc) for a in abc]
+    got = run(spark, texts)
+    assert all(r.n_replaced == n for r, n in zip(got, [1] * 4 + [26] * 26))
+    for r, text in zip(got[:3], texts):
+        own, new = (re.search('"(.*)"', t).group(1) for t in (text, r.text))
+        assert new != own and re.fullmatch(r"[A-Za-z0-9+/_.=-]{%d}" % len(own), new)
+    known = {a: b for r, text in zip(got[4:], texts[4:]) for a, b in zip(text.split(), r.text.split())}
+    assert len(known) == 676 == len(set(known.values())) and not set(known) & set(known.values())
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.org", m) for m in known.values())
+    assert got[3].text.lower() == f"mail {known['a@b.org']}"
+
+
+def test_awkward_rows_with_entities(spark):
+    """Null ids, repeated rows, clashing columns and a null text beside entities."""
+    rows = [(None, "to a.b@c.org", "x", 1), (None, "to a.b@c.org", "x", 1), (3, None, "y", 2), (3, "A.B@C.ORG", "z", 3), (4, "", "", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string, row int")
+    got = S.replace_entities(docs, "k").collect()
+    assert sorted((r.doc_id or 0, r.n_replaced) for r in got) == [(0, 1), (0, 1), (3, 0), (3, 1), (4, 0)]
+    (mail,) = {r.text for r in got if r.doc_id is None}
+    assert {r.text for r in got if r.doc_id == 3} == {None, mail.removeprefix("to ").upper()}
