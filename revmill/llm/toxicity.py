@@ -129,15 +129,17 @@ def fit(labelled: DataFrame, settings: FtrlSettings | None = None) -> Weights:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(s.bits)
         schema = pa.schema([("draw", pa.int64()), ("label", pa.float64()), ("at", pa.list_(pa.int32()))])
-        for batch in batches:
-            draws, texts, labels = (batch.column(c).to_pylist() for c in ("draw", "text", "label"))
-            out = []
-            for text in texts:
-                out.append(np.unique(np.append(hasher.features([text])[1], BIAS)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(draws, pa.int64()), pa.array(labels, pa.float64()), pa.array(out, pa.list_(pa.int32()))],
-                schema=schema,
-            )
+        for whole in batches:
+            # Coordinates take several times the room of their texts, so few rows are held at once.
+            for start in range(0, whole.num_rows, 200):
+                batch = whole.slice(start, 200)
+                out = [
+                    np.unique(np.append(hasher.features([text.as_py()])[1], BIAS)).astype(np.int32)
+                    for text in batch.column("text")
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("draw"), batch.column("label"), pa.array(out, pa.list_(pa.int32()))], schema=schema
+                )
 
     size = 1 << s.bits
     z, n = np.zeros(size, dtype=np.float32), np.zeros(size, dtype=np.float32)
