@@ -9,21 +9,22 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import record_batches, stage, table, text_or_empty
+from revmill.llm.shelf import remove, stage, table, text_or_empty
 
 WORD = re.compile(r"\w+|[^\w\s]")
-START, END, UNKNOWN = "<s>", "</s>", "<unk>"  # no token has two such characters
 BROADCAST_IDS = 2_000_000  # target ids up to this many, 16 MB, go to the tasks; more are joined with the texts
 HEAD = 400_000  # losses of the most frequent bigrams that go to the tasks; the others are joined
+HEAD_WORDS = 400_000  # counts of the most frequent words that go to the tasks; the others are joined
+START_ID, END_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2, 3  # numbers of words go on from there, by falling count
 
 
 @dataclass(frozen=True)
@@ -33,120 +34,187 @@ class LmSettings:
     vocabulary: int | None = None
     bigram_weight: float = 0.7
     add: float = 0.5
-    flush: int = 400_000  # distinct words or bigrams a task counts before it hands them on
+    flush: int = 400_000  # distinct words a task counts before it hands them on
+    chunk: int = 1_000_000  # tokens whose bigrams a task adds up before it hands them on
 
 
 def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def bigrams(text: str, known: frozenset | None) -> zip:
-    """(context, word) of every token and of the end mark."""
-    words = tokens(text)
-    if known is not None:
-        words = [w if w in known else UNKNOWN for w in words]
-    return zip([START, *words], [*words, END])
-
-
-def vocabulary(docs: DataFrame, settings: LmSettings) -> list[str]:
-    """The most frequent words of all documents, ties in order of the word; counts cover every word of every text."""
+def word_counts(docs: DataFrame, settings: LmSettings) -> DataFrame:
+    """(word, every, target): counts over every word of every text, and of those with target; tasks add up first."""
+    names = ["word", "every", "target"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        every: Counter = Counter()
+        good: Counter = Counter()
 
         def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held.keys()), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
-            )
+            words = list(every)
+            columns = [pa.array(words, pa.string())]
+            columns += [pa.array([held[w] for w in words], pa.int64()) for held in (every, good)]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            for text in batch.column(0):
-                held.update(tokens(text.as_py()))
-                if len(held) > settings.flush:
+            for text, target in zip(batch.column("text"), batch.column("target").to_pylist()):
+                found = tokens(text.as_py())
+                every.update(found)
+                if target:
+                    good.update(found)
+                if len(every) > settings.flush:
                     yield out()
-                    held.clear()
-        if held:
+                    every.clear()
+                    good.clear()
+        if every:
             yield out()
 
-    counts = docs.select(text_or_empty().alias("text")).mapInArrow(run, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(settings.vocabulary)
-    return [r["word"] for r in top.collect()]
+    rows = docs.select(text_or_empty().alias("text"), "target").mapInArrow(run, "word string, every long, target long")
+    return rows.groupBy("word").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
 
 
-def counts(
-    docs: DataFrame, known: frozenset | None, settings: LmSettings, target_ids: np.ndarray | None = None
-) -> DataFrame:
-    """(a, b, every, target): how often b follows a in all documents and in the target, one row for each distinct bigram.
+def vocabulary(docs: DataFrame, settings: LmSettings) -> list[str]:
+    """The most frequent words of all documents, ties in order of the word; counts cover every word of every text."""
+    counts = word_counts(docs.withColumn("target", F.lit(False)), settings)
+    return [r["word"] for r in counts.orderBy(F.desc("every"), "word").limit(settings.vocabulary).collect()]
 
-    docs: (doc_id, text) and, if target_ids is not given, target boolean. Every token of every text is counted; tasks add up
-    before the exchange.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((known, target_ids))
-    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("every", pa.int64()), ("target", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, named = shared.value
-        every: Counter = Counter()
-        good: Counter = Counter()
+class Numbers(dict):
+    """The number of each frequent word; others have UNKNOWN_ID in a closed vocabulary, else a negative 64-bit hash."""
 
-        def out():
-            keys = list(every)
-            for start in range(0, len(keys), 50_000):
-                part = keys[start : start + 50_000]
-                columns = [[k[0] for k in part], [k[1] for k in part], [every[k] for k in part], [good[k] for k in part]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    def __init__(self, words: list[str], closed: bool):
+        super().__init__(zip(words, range(FIRST_ID, FIRST_ID + len(words))))
+        self.closed = closed
 
-        for batch in batches:
-            if named is None:
-                flags = batch.column("target").to_pylist()
-            else:
-                own = batch.column("doc_id")
-                hit = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), named)
-                flags = (hit & own.is_valid().to_numpy(zero_copy_only=False)).tolist()
-            for text, target in zip(batch.column("text"), flags):
-                pairs = list(bigrams(text.as_py(), known))
-                every.update(pairs)
-                if target:
-                    good.update(pairs)
-                if len(every) > settings.flush:
-                    yield from out()
-                    every.clear()
-                    good.clear()
-        yield from out()
+    def __missing__(self, word: str) -> int:
+        return UNKNOWN_ID if self.closed else (xxhash.xxh64_intdigest(word.encode(), 42) | 1 << 63) - (1 << 64)
 
-    flag = F.coalesce("target", F.lit(False)).alias("target") if target_ids is None else F.col("doc_id")
-    rows = docs.select(text_or_empty().alias("text"), flag)
-    return rows.mapInArrow(run, "a string, b string, every long, target long").groupBy("a", "b").agg(
-        F.sum("every").alias("every"), F.sum("target").alias("target")
-    )
 
+def rare_number(word: str) -> Column:
+    return F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63)))
 
-def losses(grams: DataFrame, settings: LmSettings) -> DataFrame:
-    """(a, b, every, target_loss, background_loss) of every distinct bigram, in nats: bigrams interpolated with unigrams.
 
-    Words and contexts are sums over the bigrams. grams and the sums are staged, so a word of many bigrams meets its
-    sums in a join whose large partitions Spark splits.
+@dataclass(frozen=True)
+class Words:
+    """One vocabulary with its counts. every[i] and target[i] belong to number i of the frequent words and the marks: as
+    every token but the end is a context once, a count is that of the word and of the context alike."""
+
+    names: list[str]
+    closed: bool
+    every: np.ndarray
+    target: np.ndarray
+    rare: DataFrame | None  # (number, every, target) of all other words
+    totals: dict[str, int]
+    size: int
+
+
+def count_words(docs: DataFrame, settings: LmSettings) -> Words:
+    """The vocabulary of docs (text, target). Words whose hash meets that of another word count as frequent ones."""
+    words = stage(word_counts(docs, settings), "lm-words")
+    whole = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("every", "target")), F.count("*").alias("n")).first()
+    rows = docs.agg(F.count("*").alias("every"), F.count_if("target").alias("target")).first()
+    closed = settings.vocabulary is not None
+    top = words.orderBy(F.desc("every"), "word").limit(settings.vocabulary if closed else HEAD_WORDS).toArrow()
+    rare = None
+    if not closed and whole["n"] > top.num_rows:
+        last = {c: top.column(c)[-1].as_py() for c in ("word", "every")}
+        rare = words.where(
+            (F.col("every") < last["every"]) | ((F.col("every") == last["every"]) & (F.col("word") > last["word"]))
+        ).withColumn("number", rare_number("word"))
+        met = rare.groupBy("number").agg(F.count("*").alias("n"), F.collect_list(F.struct(*words.columns)).alias("w")).where("n > 1")
+        met = met.select(F.inline("w")).toArrow()  # about V ** 2 / 2 ** 64 of V words: none below 10 ** 9
+        top = pa.concat_tables([top, met.cast(top.schema)])
+        rare = rare.select("number", "every", "target")
+    counted = {c: top.column(c).to_numpy() for c in ("every", "target")}
+    full = {
+        c: np.concatenate([[rows[c], rows[c], whole[c] - n.sum() if closed else 0], n]).astype(np.int64)
+        for c, n in counted.items()
+    }
+    size = (top.num_rows if closed else whole["n"]) + FIRST_ID
+    totals = {c: whole[c] + rows[c] for c in ("every", "target")}
+    return Words(top.column("word").to_pylist(), closed, full["every"], full["target"], rare, totals, size)
+
+
+def pair_batches(batches: Iterator[pa.RecordBatch], numbers: Numbers, chunk: int) -> Iterator[tuple]:
+    """Rows of about `chunk` tokens at a time: (batch of rows, place of the row of each bigram, first, second number)."""
+    for whole in batches:
+        start = 0
+        while start < whole.num_rows:
+            a, b, sizes, held = [], [], [], 0
+            end = start
+            while end < whole.num_rows and held < chunk:
+                words = tokens(whole.column("text")[end].as_py())
+                own = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                a += [[START_ID], own]
+                b += [own, [END_ID]]
+                sizes.append(len(words) + 1)
+                held += len(words) + 1
+                end += 1
+            place = np.repeat(np.arange(end - start), sizes)
+            yield whole.slice(start, end - start), place, np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
+            start = end
+
+
+def counts(docs: DataFrame, words: Words, settings: LmSettings) -> DataFrame:
+    """(a, b, every, target): how often b follows a in all documents and in the target, one row for each bigram that occurs
+    more than once. A bigram of the documents that is not here occurs once, where it stands."""
+    shared = docs.sparkSession.sparkContext.broadcast((words.names, words.closed))
+    names = ["a", "b", "every", "target"]
+
+    def add(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        a, b, every, target = (np.concatenate(p) for p in zip(*parts))
+        frequent = not len(a) or min(a.min(), b.min()) >= 0
+        order = np.argsort(a << 32 | b) if frequent else np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)])
+        return [a[first], b[first], *(np.add.reduceat(n[order], first) for n in (every, target))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, held, size = Numbers(*shared.value), [], 0
+        for batch, place, a, b in pair_batches(batches, numbers, settings.chunk):
+            target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
+            held.append([a, b, np.ones(len(a), np.int64), target[place]])
+            size += len(a)
+            if size >= settings.chunk:
+                held, size = [add(held)], 0
+                yield from pa.Table.from_arrays([pa.array(c) for c in held.pop()], names=names).to_batches(50_000)
+        if held:
+            yield from pa.Table.from_arrays([pa.array(c) for c in add(held)], names=names).to_batches(50_000)
+
+    rows = docs.select("text", "target").mapInArrow(run, "a long, b long, every long, target long")
+    sums = rows.groupBy("a", "b").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
+    return sums.where("every > 1")
+
+
+def loss(n, seen, following, total: int, size: int, s: LmSettings, log: Callable, choose: Callable):
+    """Nats of a bigram counted n times: interpolated with its second word; by that alone if the context was never seen.
+
+    The same formula for columns and for arrays, which differ in log and choose(condition, then, otherwise).
     """
-    sums = [F.sum("every").alias("n_every"), F.sum("target").alias("n_target")]
-    words = stage(grams.groupBy("b").agg(*sums), "lm-words")
-    contexts = stage(
-        grams.groupBy("a").agg(*sums).withColumnsRenamed({"n_every": "c_every", "n_target": "c_target"}), "lm-contexts"
-    )
-    whole = words.agg(
-        F.coalesce(F.sum("n_every"), F.lit(0)).alias("every"), F.coalesce(F.sum("n_target"), F.lit(0)).alias("target"),
-        F.count_if(~F.col("b").isin(UNKNOWN, END)).alias("words"),
-    ).first()
-    size, weight = whole["words"] + 3, settings.bigram_weight
-
-    def loss(model: str):
-        seen = F.col(f"c_{model}")
-        chance = (F.col(f"n_{model}") + settings.add) / F.lit(float(whole[model] + settings.add * size))
-        both = F.lit(weight) * F.col(model) / seen + F.lit(1 - weight) * chance
-        return -F.log(F.when(seen > 0, both).otherwise(chance))
-
-    return grams.join(words, "b").join(contexts, "a").select(
-        "a", "b", "every", loss("target").alias("target_loss"), loss("every").alias("background_loss")
-    )
+    chance = (following + s.add) * (1.0 / (total + s.add * size))
+    return -log(choose(seen > 0, s.bigram_weight * n / choose(seen > 0, seen, 1) + (1 - s.bigram_weight) * chance, chance))
+
+
+def with_counts(pairs: DataFrame, words: Words) -> DataFrame:
+    """The rows (a, b, ...) with c_every, c_target of the first and n_every, n_target of the second word."""
+    spark = pairs.sparkSession
+    known = pa.table({"number": np.arange(len(words.every)), "every": words.every, "target": words.target})
+    frequent = F.broadcast(spark.createDataFrame(known))  # at most HEAD_WORDS rows, or the closed vocabulary
+    for own, c in (("a", "c"), ("b", "n")):
+        named = [F.col("number").alias(own), F.col("every").alias(f"{c}_every"), F.col("target").alias(f"{c}_target")]
+        met = pairs.join(frequent.select(*named), own, "left" if words.rare is not None else "inner")
+        if words.rare is not None:
+            # Frequent words meet nothing here; a key of their own for each row keeps them from one task.
+            key = F.when(F.col(own) < 0, F.col(own)).otherwise(F.abs(F.xxhash64(*pairs.columns) % (1 << 62)))
+            few = words.rare.select(
+                F.col("number").alias("_key"), F.col("every").alias("_every"), F.col("target").alias("_target")
+            )
+            met = met.withColumn("_key", key).join(few, "_key", "left")
+            for model in ("every", "target"):
+                met = met.withColumn(f"{c}_{model}", F.coalesce(f"{c}_{model}", f"_{model}"))
+            met = met.drop("_key", "_every", "_target")
+        pairs = met
+    return pairs
 
 
 def most_frequent(table: DataFrame, most: int) -> DataFrame:
@@ -162,79 +230,123 @@ def most_frequent(table: DataFrame, most: int) -> DataFrame:
     return table.where(F.lit(False) if least is None else F.floor(F.log2("every") * 16) >= least)
 
 
-PART_DDL = "row long, doc_id long, n_tokens long, t double, e double, a string, b string, n long"
-PART = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("t", pa.float64()), ("e", pa.float64())]
-    + [("a", pa.string()), ("b", pa.string()), ("n", pa.int64())]
-)
-
-
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: LmSettings | None = None) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of every document, over its whole text.
 
     The target is what target_ids (doc_id) names; the background is all documents. Both models are counted over all
     of their documents and share the vocabulary and the smoothing. A null or empty text has one token, its end. Rows that
     repeat are counted and scored row by row; a null id is never in the target; without a target the target model is
-    uniform. Other columns are not read. The models are tables of exact counts that grow with the input. Losses of the most
-    frequent bigrams are sent to the tasks, so the join has no hot keys; all others are joined.
+    uniform. Other columns are not read. The models are tables of exact counts that grow with the input.
+
+    Words are numbers; frequent ones and their counts are known to every task, all others are joined. Each document is
+    first scored as if its bigrams occurred once in all documents, but for the most frequent, whose losses the tasks know. Those of
+    its bigrams that the table of repeated ones holds then add the difference. So no bigram is stored that occurs once,
+    and the join has no hot keys. Rows are told apart by id and text; equal rows share their sum.
     """
     s = settings or LmSettings()
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    known = None if s.vocabulary is None else frozenset(vocabulary(rows, s))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
+        F.xxhash64(text_or_empty(), F.col("doc_id").cast("long").isNull()).alias("mark"),
+    )
     named = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    if named.count() <= BROADCAST_IDS:
-        found = named.toArrow().column("doc_id").to_numpy()
-        grams = counts(rows, known, s, np.sort(found).astype(np.int64))
-    else:
-        grams = counts(rows.join(named.withColumn("target", F.lit(True)), "doc_id", "left"), known, s)
-    lost = stage(losses(stage(grams, "lm-bigrams"), s), "lm-losses")
-    head = most_frequent(lost, HEAD).toArrow()
-    shared = spark.sparkContext.broadcast(
-        (known, *(head.column(c).to_pylist() for c in ("a", "b", "target_loss", "background_loss")))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, a, b, t, e = shared.value
-        losses = dict(zip(zip(a, b), zip(t, e)))
-        first = TaskContext.get().partitionId() << 40
+    few = named.count() <= BROADCAST_IDS
+    named = named.withColumn("target", F.lit(True))
+    rows = rows.join(F.broadcast(named) if few else named, "doc_id", "left").select(
+        F.coalesce("doc_id", F.lit(-1)).alias("doc"), "mark", F.col("doc_id").isNull().alias("no_id"), "text",
+        F.coalesce("target", F.lit(False)).alias("target"),
+    )
+    rows = rows if few else stage(rows, "lm-rows")
+    words = count_words(rows, s)
+    repeated = stage(counts(rows, words, s), "lm-bigrams")
+    grams = with_counts(repeated, words)
+
+    def column_loss(n, model):
+        return loss(
+            n, F.col(f"c_{model}"), F.col(f"n_{model}"), words.totals[model], words.size, s, F.log,
+            lambda test, then, other: F.when(test, then).otherwise(other),
+        )
+
+    target, every = column_loss(F.col("target"), "target"), column_loss(F.col("every"), "every")
+    losses = stage(
+        grams.select(
+            "a", "b", F.col("every"), target.alias("t"), every.alias("e"), (every - column_loss(F.lit(1), "every")).alias("more_e"),
+            (target - column_loss(F.lit(0), "target")).alias("more_t0"), (target - column_loss(F.lit(1), "target")).alias("more_t1"),
+        ),
+        "lm-losses",
+    )
+    remove(repeated)
+    head = most_frequent(losses.where("a >= 0 AND b >= 0").select("a", "b", "t", "e", "every"), HEAD).toArrow()
+    keys = head.column("a").to_numpy() << 32 | head.column("b").to_numpy()
+    order = np.argsort(keys)
+    known = (keys[order], head.column("t").to_numpy()[order], head.column("e").to_numpy()[order])
+    model = (words.every, words.target, words.totals, words.size)
+    shared = spark.sparkContext.broadcast((words.names, words.closed, known, model))
+
+    def in_head(a, b, keys):
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+        return at, (keys[at] == key) & (a >= 0) & (b >= 0) if len(keys) else np.zeros(len(a), bool)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, closed, (keys, head_t, head_e), (every, target, totals, size) = shared.value
+        for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
+            at, hit = in_head(a, b, keys)
+            frequent = (a >= 0) & (b >= 0)
+            first, second = np.where(frequent, a, 0), np.where(frequent, b, 0)
+            own = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)[place]
+            sums = []
+            for n, counts_, total, best in ((own, target, totals["target"], head_t), (1, every, totals["every"], head_e)):
+                x = loss(n, counts_[first], counts_[second], total, size, s, np.log, np.where)
+                x = np.where(frequent, x, 0.0)
+                x[hit] = best[at[hit]]
+                sums.append(np.bincount(place, x, batch.num_rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("doc", "mark", "no_id")]
+                + [pa.array(np.bincount(place, minlength=batch.num_rows).astype(np.int64)), *map(pa.array, sums)],
+                names=["doc", "mark", "no_id", "n_tokens", "t", "e"],
+            )
 
-        def out():
-            row = first
-            for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    held = Counter(bigrams(text.as_py(), known))
-                    t = e = 0.0
-                    for pair, n in held.items():
-                        loss = losses.get(pair)
-                        if loss is None:
-                            yield row, None, None, None, None, *pair, n
-                        else:
-                            t += n * loss[0]
-                            e += n * loss[1]
-                    yield row, doc_id, held.total(), t, e, None, None, None
-                    row += 1
-
-        yield from record_batches(out(), PART)
-
-    # Row numbers are given once: what is written is read by both sides.
-    parts = stage(rows.mapInArrow(run, PART_DDL), "lm-parts")
-    rest = (
-        parts.where("n IS NOT NULL").select("row", "a", "b", "n").join(lost.drop("every"), ["a", "b"])
-        .groupBy("row").agg(
-            F.sum(F.col("n") * F.col("target_loss")).alias("rest_t"),
-            F.sum(F.col("n") * F.col("background_loss")).alias("rest_e"),
+    def others(rare: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, closed, (keys, _, _), _ = shared.value
+            for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
+                kept = np.flatnonzero((a < 0) | (b < 0) if rare else ~in_head(a, b, keys)[1])
+                at = pa.array(place[kept])
+                columns = [batch.column(c).take(at) for c in ("doc", "mark", "target")]
+                out = pa.Table.from_arrays([*columns, pa.array(a[kept]), pa.array(b[kept])], names=["doc", "mark", "own", "a", "b"])
+                yield from out.to_batches(50_000)
+
+        return rows.select("doc", "mark", "target", "text").mapInArrow(run, "doc long, mark long, own boolean, a long, b long")
+
+    base = stage(rows.mapInArrow(score, "doc long, mark long, no_id boolean, n_tokens long, t double, e double"), "lm-rows")
+    more_t = F.when(F.col("own"), F.col("more_t1")).otherwise(F.col("more_t0"))
+    more = others(False).join(losses.select("a", "b", "more_e", "more_t0", "more_t1"), ["a", "b"])
+    more = more.select("doc", "mark", more_t.alias("t"), F.col("more_e").alias("e"))
+    if words.rare is not None:
+        once = with_counts(others(True), words)
+        more = more.unionByName(
+            once.select(
+                "doc", "mark", column_loss(F.col("own").cast("int"), "target").alias("t"), column_loss(F.lit(1), "every").alias("e")
+            )
         )
-    )
+    more = more.groupBy("doc", "mark").agg(F.sum("t").alias("more_t"), F.sum("e").alias("more_e"))
+    copies = base.groupBy("doc", "mark").agg(F.count("*").alias("copies"))
+    # Written, they meet the rows in a join whose large partitions Spark can split.
+    more = stage(more.join(copies, ["doc", "mark"]), "lm-more")
+    remove(losses)
 
     def mean(own: str, rest: str):
-        return (F.col(own) + F.coalesce(rest, F.lit(0.0))) / F.col("n_tokens")
+        return (F.col(own) + F.coalesce(F.col(rest) / F.col("copies"), F.lit(0.0))) / F.col("n_tokens")
 
     return (
-        parts.where("n IS NULL").join(rest, "row", "left")
-        .select("doc_id", "n_tokens", mean("t", "rest_t").alias("target_loss"), mean("e", "rest_e").alias("background_loss"))
+        base.join(more, ["doc", "mark"], "left")
+        .select(
+            F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"), "n_tokens",
+            mean("t", "more_t").alias("target_loss"), mean("e", "more_e").alias("background_loss"),
+        )
         .withColumn("score", F.col("target_loss") - F.col("background_loss"))
-    )
+    )
 
 
 def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

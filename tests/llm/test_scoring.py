@@ -112,3 +112,33 @@ def test_more_words_than_a_fixed_width(spark):
     want = plain(texts, [False, False, True], L.LmSettings())
     for r in L.cross_entropy_difference(docs, ids).collect():
         assert np.allclose((r.target_loss, r.background_loss), want[r.doc_id], rtol=1e-9)
+
+
+@pytest.mark.parametrize("head", [400_000, 3])
+def test_rare_words_are_joined(spark, monkeypatch, head):
+    """Few words go to the tasks; rows that repeat, have no id or share one with another text keep their own scores."""
+    monkeypatch.setattr(L, "HEAD_WORDS", 5)
+    monkeypatch.setattr(L, "HEAD", head)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.4, 60) if k < 300) for _ in range(40)]
+    ids = [*range(40), 7, 7, None, None, 9, None]
+    texts += [texts[7], texts[7], texts[7], "w1 w1 w1 w2", "once only here", None]
+    target = [i is not None and i % 3 == 1 for i in ids]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(4)
+    chosen = spark.createDataFrame([(i,) for i in range(40) if i % 3 == 1], "doc_id long")
+    want = plain(texts, target, L.LmSettings())
+    got = L.cross_entropy_difference(docs, chosen, L.LmSettings(chunk=100, flush=50)).collect()
+
+    def rows(found):
+        return sorted((i is None, i or 0, round(t, 8), round(e, 8)) for i, t, e in found)
+
+    assert rows((r.doc_id, r.target_loss, r.background_loss) for r in got) == rows((i, *w) for i, w in zip(ids, want))
+
+
+def test_words_with_equal_hashes_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(L, "HEAD_WORDS", 1)
+    monkeypatch.setattr(L, "rare_number", lambda word: F.lit(-5).cast("long"))
+    docs = spark.createDataFrame([(1, "a a a b c b d"), (2, "a d c")], "doc_id long, text string")
+    want = plain(["a a a b c b d", "a d c"], [True, False], L.LmSettings())
+    for r in L.cross_entropy_difference(docs, docs.where("doc_id = 1").select("doc_id")).collect():
+        assert np.allclose((r.target_loss, r.background_loss), want[r.doc_id - 1], rtol=1e-9)
