@@ -84,10 +84,13 @@ class Numbers(dict):
 
     def __init__(self, words: list[str], closed: bool):
         super().__init__(zip(words, range(FIRST_ID, FIRST_ID + len(words))))
-        self.closed = closed
+        self.closed, self.most = closed, len(words) + 200_000
 
     def __missing__(self, word: str) -> int:
-        return UNKNOWN_ID if self.closed else (xxhash.xxh64_intdigest(word.encode(), 42) | 1 << 63) - (1 << 64)
+        number = UNKNOWN_ID if self.closed else (xxhash.xxh64_intdigest(word.encode(), 42) | 1 << 63) - (1 << 64)
+        if len(self) < self.most:
+            self[word] = number
+        return number
 
 
 def rare_number(word: str) -> Column:
@@ -163,8 +166,7 @@ def counts(docs: DataFrame, words: Words, settings: LmSettings) -> DataFrame:
 
     def add(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
         a, b, every, target = (np.concatenate(p) for p in zip(*parts))
-        frequent = not len(a) or min(a.min(), b.min()) >= 0
-        order = np.argsort(a << 32 | b) if frequent else np.lexsort((b, a))
+        order = np.argsort(a * 0x2545F4914F6CDD1D + b)  # a bigram that another one parts is handed on twice, and added up
         a, b = a[order], b[order]
         first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)])
         return [a[first], b[first], *(np.add.reduceat(n[order], first) for n in (every, target))]
@@ -288,6 +290,11 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: L
         at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
         return at, (keys[at] == key) & (a >= 0) & (b >= 0) if len(keys) else np.zeros(len(a), bool)
 
+    def pairs(batch, place, a, b, chosen) -> pa.Table:
+        at = np.flatnonzero(chosen)
+        columns = [batch.column(c).take(pa.array(place[at])) for c in ("doc", "mark", "target")]
+        return pa.Table.from_arrays([*columns, pa.array(a[at]), pa.array(b[at])], names=["doc", "mark", "own", "a", "b"])
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, closed, (keys, head_t, head_e), (every, target, totals, size) = shared.value
         for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
@@ -301,30 +308,30 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: L
                 x = np.where(frequent, x, 0.0)
                 x[hit] = best[at[hit]]
                 sums.append(np.bincount(place, x, batch.num_rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc", "mark", "no_id")]
-                + [pa.array(np.bincount(place, minlength=batch.num_rows).astype(np.int64)), *map(pa.array, sums)],
+            sizes = pa.array(np.bincount(place, minlength=batch.num_rows).astype(np.int64))
+            base = pa.Table.from_arrays(
+                [*(batch.column(c) for c in ("doc", "mark", "no_id")), sizes, *map(pa.array, sums)],
                 names=["doc", "mark", "no_id", "n_tokens", "t", "e"],
             )
+            both = pa.concat_tables([base, pairs(batch, place, a, b, ~frequent)], promote_options="default")
+            yield from both.select(["doc", "mark", "no_id", "n_tokens", "t", "e", "own", "a", "b"]).to_batches(50_000)
 
-    def others(rare: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names, closed, (keys, _, _), _ = shared.value
-            for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
-                kept = np.flatnonzero((a < 0) | (b < 0) if rare else ~in_head(a, b, keys)[1])
-                at = pa.array(place[kept])
-                columns = [batch.column(c).take(at) for c in ("doc", "mark", "target")]
-                out = pa.Table.from_arrays([*columns, pa.array(a[kept]), pa.array(b[kept])], names=["doc", "mark", "own", "a", "b"])
-                yield from out.to_batches(50_000)
-
-        return rows.select("doc", "mark", "target", "text").mapInArrow(run, "doc long, mark long, own boolean, a long, b long")
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, closed, (keys, _, _), _ = shared.value
+        for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
+            yield from pairs(batch, place, a, b, ~in_head(a, b, keys)[1]).to_batches(50_000)
 
-    base = stage(rows.mapInArrow(score, "doc long, mark long, no_id boolean, n_tokens long, t double, e double"), "lm-rows")
+    # Rows and, beside them, their bigrams with a rare word, whose counts no task knows.
+    ddl = "doc long, mark long, no_id boolean, n_tokens long, t double, e double, own boolean, a long, b long"
+    scored = stage(rows.mapInArrow(score, ddl), "lm-rows")
+    base = scored.where("a IS NULL").drop("own", "a", "b")
     more_t = F.when(F.col("own"), F.col("more_t1")).otherwise(F.col("more_t0"))
-    more = others(False).join(losses.select("a", "b", "more_e", "more_t0", "more_t1"), ["a", "b"])
+    rest = rows.select("doc", "mark", "target", "text")
+    rest = rest.mapInArrow(others, "doc long, mark long, own boolean, a long, b long")
+    more = rest.join(losses.select("a", "b", "more_e", "more_t0", "more_t1"), ["a", "b"])
     more = more.select("doc", "mark", more_t.alias("t"), F.col("more_e").alias("e"))
     if words.rare is not None:
-        once = with_counts(others(True), words)
+        once = with_counts(scored.where("a IS NOT NULL").select("doc", "mark", "own", "a", "b"), words)
         more = more.unionByName(
             once.select(
                 "doc", "mark", column_loss(F.col("own").cast("int"), "target").alias("t"), column_loss(F.lit(1), "every").alias("e")
