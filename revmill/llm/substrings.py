@@ -1,9 +1,9 @@
 """Substring deduplication by level-wise doubling.
 
-Level one takes windows of half the length. Only those that repeat are extended to windows of the whole length, only those of
-them that repeat to twice the length, and so on, until no candidates survive. The first level looks at anchors only: a
-half window whose hash is least among its neighbours. Every whole window holds one, chosen by its words alone,
-so equal windows hold equal anchors and none is lost.
+Level one takes windows of a quarter of the length. Only those that repeat are extended to windows of half the length, only
+those of them that repeat to the whole length, and so on, until no candidates survive. The levels below the whole length look
+at anchors only: a shorter window whose hash is least among those in a whole window. Every whole window holds one, chosen by
+its words alone, so equal windows hold equal anchors and none is lost.
 """
 
 from __future__ import annotations
@@ -25,24 +25,28 @@ BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so that powers can be u
 NO_ID = (1 << 63) - 1  # a null id comes after all others
 
 
+class WordHashes(dict):
+    def __init__(self, digest):
+        super().__init__()
+        self.digest = digest
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        h = self[word] = self.digest(word)
+        return h
+
+
 class Words:
-    """128-bit hashes of words, remembered up to a bound, and hashes of windows of them."""
+    """Two 64-bit hashes of words, remembered up to a bound, and hashes of windows of them."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.known = [WordHashes(f) for f in (xxhash.xxh3_64_intdigest, xxhash.xxh64_intdigest)]
         self.powers = [np.ones(1, dtype=np.uint64) for _ in BASES]
         self.inverse = [np.ones(1, dtype=np.uint64) for _ in BASES]
 
     def hashes(self, words: list[bytes], which: int) -> np.ndarray:
-        known, out = self.known, []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                if len(known) > 300_000:
-                    known.clear()
-                h = known[w] = xxhash.xxh3_128_intdigest(w)
-            out.append(h >> 64 if which else h & 0xFFFFFFFFFFFFFFFF)
-        return np.array(out, dtype=np.uint64)
+        return np.fromiter(map(self.known[which].__getitem__, words), np.uint64, len(words))
 
     def windows(self, h: np.ndarray, length: int, which: int) -> np.ndarray:
         """A hash of each run of `length` words, by differences of prefix sums."""
@@ -91,9 +95,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _first_level(rows: DataFrame, length: int) -> DataFrame:
-    """Per row the number of words, the digest of all words, and its anchors."""
-    half, ddl = length // 2, "doc long, mark long, n_words long, words_sha256 string, place array<int>, hash array<long>"
+def _first_level(rows: DataFrame, length: int, size: int) -> DataFrame:
+    """Per row the number of words, the digest of all words, and its anchors among the windows of `size` words."""
+    ddl = "doc long, mark long, n_words long, words_sha256 string, place array<int>, hash array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
@@ -108,8 +112,8 @@ def _first_level(rows: DataFrame, length: int) -> DataFrame:
                     if len(words) < length:
                         at, h = np.zeros(0, np.int64), np.zeros(0, np.uint64)
                     else:
-                        h = known.windows(known.hashes(words, 0), half, 0)
-                        at = anchors(h, length - half + 1)
+                        h = known.windows(known.hashes(words, 0), size, 0)
+                        at = anchors(h, length - size + 1)
                         h = h[at]
                     places.append(at.astype(np.int32))
                     values.append(h.view(np.int64))
@@ -122,12 +126,49 @@ def _first_level(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, ddl)
 
 
-def _whole_windows(candidates: DataFrame, length: int) -> DataFrame:
-    """Windows of the whole length whose least half window repeats: (doc, mark, place, a, b).
+def _alive(hashes: np.ndarray, place: np.ndarray, length: int, size: int) -> np.ndarray:
+    """For each whole window, whether its least window of `size` words is one of those at the places."""
+    alive = hashes[place]
+    return np.isin(_sliding(hashes, length - size + 1, np.minimum), alive)
+
+
+def _next_level(candidates: DataFrame, length: int, size: int, following: int) -> DataFrame:
+    """Anchors of `following` words in the whole windows whose least window of `size` words repeats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
+        for batch in batches:
+            places, values = [], []
+            for i in range(batch.num_rows):
+                words = known.hashes(WORD.findall(batch.column("text")[i].as_py()), 0)
+                place = batch.column("place")[i].values.to_numpy()
+                alive = _alive(known.windows(words, size, 0), place, length, size)
+                h = known.windows(words, following, 0)
+                least = np.unique(_sliding(h, length - following + 1, np.minimum)[alive])
+                at = np.flatnonzero(np.isin(h, least))
+                places.append(at.astype(np.int32))
+                values.append(h[at].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), batch.column("mark"), _list(places, pa.int32()), _list(values, pa.int64())],
+                names=["doc", "mark", "place", "hash"],
+            )
+
+    return candidates.mapInArrow(run, "doc long, mark long, place array<int>, hash array<long>")
+
+
+def _repeated_anchors(level: DataFrame) -> DataFrame:
+    """(doc, mark, places of the anchors that more than one document holds)."""
+    found = level.select("doc", "mark", F.explode(F.arrays_zip("place", "hash")).alias("w")).select("doc", "mark", "w.*")
+    ends = found.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    ends = stage(ends.select("hash"), "anchors-first")
+    return found.join(ends, "hash").groupBy("doc", "mark").agg(F.collect_set("place").alias("place"))
+
+
+def _whole_windows(candidates: DataFrame, length: int, size: int) -> DataFrame:
+    """Windows of the whole length whose least window of `size` words repeats: (doc, mark, place, a, b).
 
-    Equal windows have equal least half windows, and those are anchors wherever they stand.
+    Equal windows have equal least ones, and those are anchors wherever they stand.
     """
-    half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
@@ -135,9 +176,8 @@ def _whole_windows(candidates: DataFrame, length: int) -> DataFrame:
             for i in range(batch.num_rows):
                 words = WORD.findall(batch.column("text")[i].as_py())
                 hashes = [known.hashes(words, w) for w in (0, 1)]
-                halves = known.windows(hashes[0], half, 0)
-                alive = halves[batch.column("place")[i].values.to_numpy()]
-                place = np.flatnonzero(np.isin(_sliding(halves, length - half + 1, np.minimum), alive))
+                shorter = known.windows(hashes[0], size, 0)
+                place = np.flatnonzero(_alive(shorter, batch.column("place")[i].values.to_numpy(), length, size))
                 a, b = (known.windows(hashes[w], length, w)[place].view(np.int64) for w in (0, 1))
                 own = [batch.column(c)[i].as_py() for c in ("doc", "mark")]
                 for start in range(0, len(place), 100_000):
@@ -161,12 +201,15 @@ def _repeated(windows: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", longest: bool = True
+) -> DataFrame:
     """Remove the words of every window that also starts in a document with a smaller id.
 
     One row for each input row: doc_id, n_words, n_removed, kept_text (the kept words with one blank between, null where
     nothing goes), words_sha256 (of all words, joined likewise) and longest (the longest level, length times a power of
-    two, at which a window of the document repeats in an earlier one; 0 if none). Windows are judged on the input.
+    two, at which a window of the document repeats in an earlier one; 0 if none; without `longest` the doubling ends at
+    the length, and there is no such column). Windows are judged on the input.
     Null and empty texts have no words, texts shorter than a window keep all. A null id is larger than any other, and
     rows with the same id are not earlier than each other. Other columns are not read.
 
@@ -175,50 +218,62 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     join whose large partitions Spark splits. Texts move once, and afterwards only those of candidates.
     """
     rows = _rows(docs, id_col, text_col)
-    base = stage(_first_level(rows, length), "windows-half")
+    sizes = [n for n in (length // 4, length // 2) if n]
+    base = stage(_first_level(rows, length, sizes[0]), "windows-short")
     equal = base.where(F.col("n_words") >= length).groupBy("words_sha256").agg(F.min("doc").alias("first_doc"))
+    # Written, the many copies of one text meet their first in a join whose large partitions Spark can split.
+    equal = stage(equal, "equal-first")
     marked = base.select("doc", "mark", "n_words", "words_sha256").join(equal, "words_sha256", "left")
     marked = stage(marked.withColumn("copy", F.coalesce(F.col("doc") > F.col("first_doc"), F.lit(False))), "copies")
 
-    found = base.select("doc", "mark", F.explode(F.arrays_zip("place", "hash")).alias("w")).select("doc", "mark", "w.*")
-    ends = found.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    ends = stage(ends.select("hash"), "anchors-first")
-    alive = found.join(ends, "hash").groupBy("doc", "mark").agg(F.collect_set("place").alias("place"))
-    alive = alive.join(marked.where("copy").select("doc", "mark").distinct(), ["doc", "mark"], "left_anti")
+    alive = _repeated_anchors(base).join(marked.where("copy").select("doc", "mark").distinct(), ["doc", "mark"], "left_anti")
     candidates = stage(rows.join(alive, ["doc", "mark"]), "candidates")
     remove(base)
-
-    level, size = stage(_repeated(_whole_windows(candidates, length)), "windows-1"), length
-    whole = level.where("later")
-    longest = None
-    while True:
-        reached = level.where("later").select("doc", "mark").distinct().withColumn("size", F.lit(size).cast("long"))
-        longest = reached if longest is None else longest.unionByName(reached)
-        second = level.select("doc", "mark", (F.col("place") - size).alias("place"), F.col("a").alias("a2"), F.col("b").alias("b2"))
-        twice = level.drop("later").join(second, ["doc", "mark", "place"]).select(
-            "doc", "mark", "place", F.xxhash64("a", "a2").alias("a"), F.xxhash64("b2", "b").alias("b")
-        ).distinct()
-        level, size = stage(_repeated(twice), "windows-2"), 2 * size
-        if level.isEmpty():
-            break
-    longest = longest.groupBy("doc", "mark").agg(F.max("size").alias("longest"))
+    for size, following in zip(sizes, sizes[1:]):
+        level = stage(_next_level(candidates, length, size, following), "windows-half")
+        fewer = stage(candidates.drop("place").join(_repeated_anchors(level), ["doc", "mark"]), "candidates")
+        remove(candidates)
+        remove(level)
+        candidates = fewer
+
+    windows = stage(_whole_windows(candidates, length, sizes[-1]), "windows-whole")
+    if longest:
+        level, size = stage(_repeated(windows), "windows-1"), length
+        whole, reached = level.where("later"), None
+        while True:
+            now = level.where("later").select("doc", "mark").distinct().withColumn("size", F.lit(size).cast("long"))
+            reached = now if reached is None else reached.unionByName(now)
+            second = level.select("doc", "mark", (F.col("place") - size).alias("place"), F.col("a").alias("a2"), F.col("b").alias("b2"))
+            twice = level.drop("later").join(second, ["doc", "mark", "place"]).select(
+                "doc", "mark", "place", F.xxhash64("a", "a2").alias("a"), F.xxhash64("b2", "b").alias("b")
+            ).distinct()
+            level, size = stage(_repeated(twice), "windows-2"), 2 * size
+            if level.isEmpty():
+                break
+        reached = reached.groupBy("doc", "mark").agg(F.max("size").alias("longest"))
+    else:
+        whole = _repeated(windows).where("later")
 
     gone = whole.groupBy("doc", "mark").agg(F.collect_set("place").alias("place"))
     once = candidates.select("doc", "mark", "text").dropDuplicates(["doc", "mark"])
     cut = once.join(gone, ["doc", "mark"]).mapInArrow(
         _cutter(length), "doc long, mark long, removed long, cut_text string"
     )
-    every = marked.join(cut, ["doc", "mark"], "left").join(longest, ["doc", "mark"], "left")
+    every = marked.join(cut, ["doc", "mark"], "left")
+    if longest:
+        every = every.join(reached, ["doc", "mark"], "left")
     by_copy = F.col("copy")
     doublings = F.expr(f"{length} * shiftleft(1L, length(bin(n_words div {length})) - 1)")
-    return every.select(
+    out = [
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
-        "n_words",
+        F.col("n_words"),
         F.when(by_copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(by_copy, F.lit("")).otherwise(F.col("cut_text")).alias("kept_text"),
-        "words_sha256",
-        F.when(by_copy, doublings).otherwise(F.coalesce("longest", F.lit(0))).cast("long").alias("longest"),
-    )
+        F.col("words_sha256"),
+    ]
+    if longest:
+        out.append(F.when(by_copy, doublings).otherwise(F.coalesce("longest", F.lit(0))).cast("long").alias("longest"))
+    return every.select(*out)
 
 
 def _cutter(length: int):
@@ -243,7 +298,7 @@ def _cutter(length: int):
 
 
 def op8_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(table(spark, sf_dir, "documents"))
+    found = remove_repeats(table(spark, sf_dir, "documents"), longest=False)
     digest = F.when(F.col("kept_text").isNull(), F.col("words_sha256")).otherwise(F.sha2("kept_text", 256))
     return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
 

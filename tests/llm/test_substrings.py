@@ -102,3 +102,16 @@ def test_rows_that_share_an_id_or_have_none(spark):
     rows = [(1, a), (1, f"{a} tail"), (2, f"{b} {a}"), (None, b), (None, f"{b} {b}"), (3, a), (3, a)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     same(found(B.remove_repeats(df, 6)), brute(rows, 6))
+
+
+def test_without_longest_the_rest_is_the_same(spark):
+    rng = np.random.default_rng(5)
+    passage = [" ".join(f"p{i}{k}" for k in rng.integers(0, 900, n)) for i, n in enumerate((49, 50, 51, 70, 120))]
+    texts = [" ".join([f"w{k}" for k in rng.integers(0, 99, 30)] + [passage[n % 5], f"end{n}"]) for n in range(30)]
+    docs = frame(spark, [*texts, texts[2], "", None]).repartition(4)
+    want = brute(list(enumerate([*texts, texts[2], "", None])), 50)
+    got = B.remove_repeats(docs, longest=False)
+    assert got.columns == ["doc_id", "n_words", "n_removed", "kept_text", "words_sha256"]
+    level = {i: longest for i, _, _, _, longest in want}
+    same([(*r, level[r.doc_id]) for r in got.collect()], want)
+    assert sum(r.n_removed > 0 for r in got.collect()) == 21  # five of each passage of 50 words or more, and the copy
