@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,21 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Actions inside hand Arrow batches of about `limit` bytes to Python, where Spark counts rows only by default."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def record_batches(rows, schema, limit: int = 16 << 20):
     """Tuples as Arrow batches that hold about `limit` bytes of text and binary at most."""
     import pyarrow as pa

@@ -12,11 +12,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import keep_rows, remove, stage, table, text_or_empty
+from revmill.llm.shelf import keep_rows, remove, small_batches, stage, table, text_or_empty
 
 WORD = re.compile(r"[^\W_]+")
 STEMS = (4, 6)  # letters; inflected and compound words share them
 BIAS = 0  # the coordinate that every text has
+BATCH_BYTES = 4 << 20  # of texts or coordinates that the fit hands to a task at once; Spark's 10,000 rows may be 100 MB
 
 
 @dataclass(frozen=True)
@@ -143,13 +144,14 @@ def fit(labelled: DataFrame, settings: FtrlSettings | None = None) -> Weights:
 
     size = 1 << s.bits
     z, n = np.zeros(size, dtype=np.float32), np.zeros(size, dtype=np.float32)
-    data = stage(
-        rows.mapInArrow(encode, "draw long, label double, at array<int>")
-        .repartitionById(s.shards, F.pmod("draw", F.lit(s.shards)).cast("int"))
-        .sortWithinPartitions("draw")
-        .drop("draw"),
-        "ftrl-rows",
-    )
+    with small_batches(spark, BATCH_BYTES):
+        data = stage(
+            rows.mapInArrow(encode, "draw long, label double, at array<int>")
+            .repartitionById(s.shards, F.pmod("draw", F.lit(s.shards)).cast("int"))
+            .sortWithinPartitions("draw")
+            .drop("draw"),
+            "ftrl-rows",
+        )
     block = min(size, 1 << 16)
     for turn in range(s.rounds):
         start = spark.sparkContext.broadcast((z, n))
@@ -170,7 +172,8 @@ def fit(labelled: DataFrame, settings: FtrlSettings | None = None) -> Weights:
                 )
 
         # A staged file is one shard and one row group, so one task reads it; tasks without rows say nothing.
-        states = data.mapInArrow(train, "first int, z binary, n binary").toArrow()
+        with small_batches(spark, BATCH_BYTES):
+            states = data.mapInArrow(train, "first int, z binary, n binary").toArrow()
         if states.num_rows:
             tasks = states.num_rows * block // size
             z, n = np.zeros(size, dtype=np.float32), np.zeros(size, dtype=np.float32)

@@ -101,6 +101,23 @@ def test_fit_is_bounded(spark, monkeypatch):
     assert 350 < seen[0] <= 500
 
 
+def test_the_fit_holds_few_rows_at_once(spark, tmp_path, monkeypatch):
+    """A batch of coordinates is bounded by its bytes; 600 texts of 3,000 coordinates are 7 MB."""
+    noted = str(tmp_path / "sizes")
+
+    def note(rows, z, n, s):
+        with open(noted, "a") as out:
+            out.write(f"{sum(4 * len(at) for at, _ in rows)}\n")
+
+    monkeypatch.setattr(T, "ftrl_pass", note)
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda k: F.concat(F.lit("word"), F.col("id") * 1000 + k)))
+    docs = spark.range(600).select("id", text.alias("text"), F.lit(0).alias("label"))
+    T.fit(docs, T.FtrlSettings(rounds=1, shards=1))
+    sizes = [int(x) for x in open(noted)]
+    assert sum(sizes) > 6_000_000 and max(sizes) < 5_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
 @pytest.mark.parametrize("labels", [[], [(1, None), (None, 1)], [(1, 1), (1, 0), (3, 0), (4, 1), (5, 0), (99, 1)]])
 def test_awkward_rows(spark, labels):
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
