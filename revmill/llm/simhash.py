@@ -212,15 +212,22 @@ def forest(f: np.ndarray, keep: int, n: np.ndarray | None = None) -> list[tuple[
 
 
 def _verify(blocks: DataFrame, count: int, keep: int, sized: bool = False) -> DataFrame:
-    """Edges inside blocks of (key, node, f0, ...), with n if sized; a task holds one block at a time."""
-    more = ["n"] if sized else []
+    """Edges inside blocks of (key, node, f0, ...), with n and near if sized; a task holds one block at a time.
+
+    Nodes of one near group are connected already, so a block that holds one group alone is left out.
+    """
+    more = ["n", "near"] if sized else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def finished(parts):
             node = np.concatenate([p[0] for p in parts])
             if len(node) < 2:
                 return []
-            n = np.concatenate([p[2] for p in parts]) if sized else None
+            n = None
+            if sized:
+                n, near = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
+                if (near == near[0]).all():
+                    return []
             return [(int(node[i]), int(node[j])) for i, j in forest(np.concatenate([p[1] for p in parts]), keep, n)]
 
         def edges():
@@ -230,14 +237,14 @@ def _verify(blocks: DataFrame, count: int, keep: int, sized: bool = False) -> Da
                     continue
                 keys, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
                 f = np.stack([batch.column(c).to_numpy() for c in names(count)], axis=1).view(np.uint64)
-                n = batch.column("n").to_numpy() if sized else node
+                others = [batch.column(c).to_numpy() for c in more]
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     if keys[a] != key:
                         if parts:
                             yield from finished(parts)
                         key, parts = keys[a], []
-                    parts.append((node[a:b], f[a:b], n[a:b]))
+                    parts.append((node[a:b], f[a:b], *(x[a:b] for x in others)))
             if parts:
                 yield from finished(parts)
 
@@ -306,6 +313,17 @@ def _split(rows: DataFrame, count: int, tau: int, level: int) -> DataFrame:
     )
 
 
+def linked_prints(prints: DataFrame, count: int, tau: int, keep: int, probed: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(classes, joined): (f0, ..., first, node) of every distinct fingerprint, first being its smallest doc_id, and (node, root)
+    of those that the search links to others."""
+    classes = stage(prints.groupBy(*names(count)).agg(F.min("doc_id").alias("first")), "fingerprint-classes").select(
+        "*",
+        F.shiftleft(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"), 40)
+        .bitwiseOR(F.col("_metadata.row_index")).alias("node"),
+    )
+    return classes, components(links(classes.drop("first"), count, tau, keep, probed or count))
+
+
 def near_groups(prints: DataFrame, count: int, tau: int, keep: int, probed: int | None = None) -> DataFrame:
     """(doc_id, mark, f0, ..., component_id) of every row of prints; component_id is the smallest doc_id of the group.
 
@@ -313,12 +331,7 @@ def near_groups(prints: DataFrame, count: int, tau: int, keep: int, probed: int
     any other; a group of such rows alone has the component null.
     """
     prints = stage(prints, "fingerprints")
-    classes = stage(prints.groupBy(*names(count)).agg(F.min("doc_id").alias("first")), "fingerprint-classes").select(
-        "*",
-        F.shiftleft(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"), 40)
-        .bitwiseOR(F.col("_metadata.row_index")).alias("node"),
-    )
-    joined = components(links(classes.drop("first"), count, tau, keep, probed or count))
+    classes, joined = linked_prints(prints, count, tau, keep, probed)
     members = classes.join(joined, "node")
     least = members.groupBy("root").agg(F.min("first").alias("component_id"))
     merged = members.join(least, "root").select(*names(count), "component_id")
@@ -329,13 +342,16 @@ def near_groups(prints: DataFrame, count: int, tau: int, keep: int, probed: int
 
 
 # Near copies for a corpus: five-word shingles whose Jaccard similarity is 0.8 or more. Sets of shingles decide; loose
-# links come before that, from 384 bits of each set:
+# links come before that. Most come from the pigeonhole search above, over one fingerprint of each set. It links at NEAR
+# bits, and a pair of similarity 0.8 may be 20 apart, for which no partitions are selective; so the sets that it leaves
+# apart are searched by shared shingles and 384 bits more:
 # - up to SMALL shingles, the parities of the shingles in 384 cells. A shingle that one set alone holds changes one parity,
 #   so similar sets, which have at most a ninth of their sizes' sum to themselves, differ in no more cells. Never wrong.
 # - from 4/5 of SMALL on, fingerprints of the set. At 0.8 they differ in 58 bits with a spread of 7; keep leaves eight
 #   spreads, so a similar pair is lost with a chance below 10^-15, less than that of equal 64-bit hashes.
 # Sizes in between have both, so every two similar sets meet in one of them.
 CORPUS = {"words": 5, "count": 6, "keep": 116}
+NEAR = 3
 SMALL = 640
 SIMILAR = 4, 5
 IN_TASK = 4_000_000  # shingles, 32 MB, of a group that one task decides
@@ -373,10 +389,10 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(doc_id, mark, sign, n, prints, prefix) of every row: a hash of the set of shingles, its size, its parities, its
-    fingerprints or both, one after the other, and its prefix."""
+    """(doc_id, mark, sign, n, f0, prints, prefix) of every row: a hash of the set of shingles, its size, its fingerprint
+    for the search, its parities, its fingerprints or both, one after the other, and its prefix."""
     count, words = CORPUS["count"], CORPUS["words"]
-    longs = ("doc_id", "mark", "sign", "n")
+    longs = ("doc_id", "mark", "sign", "n", "f0")
     lists = ("prints", "prefix")
     schema = pa.schema([*((c, pa.int64()) for c in longs), *((c, pa.list_(pa.int64())) for c in lists)])
     shared = docs.sparkSession.sparkContext.broadcast(common)
@@ -387,12 +403,13 @@ def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 ids, marks = (batch.column(c).to_pylist() for c in ("doc_id", "mark"))
                 for doc_id, mark, text in zip(ids, marks, batch.column("text")):
                     own = np.unique(shingle_hashes(text.as_py(), words))
+                    whole = majority(own)
                     found = parities(own, count) if len(own) <= SMALL else []
                     if SIMILAR[1] * len(own) >= SIMILAR[0] * SMALL:
-                        found += [majority(remixed(own, ODD[i])) for i in range(count)]
+                        found += [whole, *(majority(remixed(own, ODD[i])) for i in range(1, count))]
                     sign = _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
                     first = prefix(own, shared.value).view(np.int64).tolist()
-                    yield doc_id, mark, sign, len(own), [_signed(f) for f in found], first
+                    yield doc_id, mark, sign, len(own), _signed(whole), [_signed(f) for f in found], first
 
         # A prefix holds a fifth of a text's shingles.
         yield from record_batches(rows(), schema)
@@ -431,7 +448,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _loose_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signatures, classes, edges): texts with one set of shingles are one class; edges connect, by chains, every two
-    classes that share a shingle of their prefixes and may be similar by their sizes and bits.
+    classes that the pigeonhole search links, and every two that share a shingle of their prefixes and may be similar by
+    their sizes and bits. Prefixes that only classes of one group of the search share are not compared.
 
     Shingles in the prefixes of more than LARGE_BLOCK classes go to the end of the common order, which leaves them out of
     nearly all prefixes; only what LEVELS such turns leave together is compared as it is.
@@ -441,12 +459,8 @@ def _loose_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     for level in range(LEVELS + 1):
         prints = stage(_signatures(docs, common), "signatures")
         order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
-        classes = stage(
-            prints.groupBy("sign", "n").agg(
-                F.min(order).alias("first"), F.any_value("prints").alias("prints"), F.any_value("prefix").alias("prefix")
-            ),
-            "shingle-classes",
-        ).select(
+        alike = [F.any_value(c).alias(c) for c in ("f0", "prints", "prefix")]
+        classes = stage(prints.groupBy("sign", "n").agg(F.min(order).alias("first"), *alike), "shingle-classes").select(
             "*",
             F.shiftleft(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"), 40)
             .bitwiseOR(F.col("_metadata.row_index")).alias("node"),
@@ -458,15 +472,20 @@ def _loose_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if level == LEVELS or not len(fresh):
             break
         common = np.union1d(common, fresh)
-    met = rows.join(sizes.drop("n"), "key").join(classes.select("node", "n", "prints"), "node")
+    found, joined = linked_prints(prints.select("f0", "doc_id"), 1, NEAR, NEAR)
+    grouped = found.join(joined, "node", "left").select("f0", F.coalesce("root", "node").alias("near"))
+    grouped = stage(classes.select("node", "f0").join(grouped, "f0").select("node", "near"), "near-groups")
+    least = grouped.groupBy("near").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    searched = grouped.join(least, "near").where("node <> b").select(F.col("node").alias("a"), "b")
+    met = rows.join(sizes.drop("n"), "key").join(classes.select("node", "n", "prints").join(grouped, "node"), "node")
     # Its parities, if it has them, come first.
     parts = F.when(F.size("prints") > count, F.array(F.lit(0), F.lit(count))).otherwise(F.array(F.lit(0)))
     met = met.withColumn("at", F.explode(parts)).select(
         "key", "node", F.when((F.col("at") > 0) | (F.col("n") > SMALL), -F.col("n")).otherwise(F.col("n")).alias("n"),
-        *(F.get("prints", F.col("at") + i).alias(c) for i, c in enumerate(names(count))),
+        *(F.get("prints", F.col("at") + i).alias(c) for i, c in enumerate(names(count))), "near",
     )
     dealt = met.repartition(F.col("key")).sortWithinPartitions("key")
-    return prints, classes, _verify(dealt, count, CORPUS["keep"], sized=True)
+    return prints, classes, searched.unionByName(_verify(dealt, count, CORPUS["keep"], sized=True))
 
 
 def _in_order(members: DataFrame) -> DataFrame:
@@ -533,7 +552,8 @@ def leaders(members: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, component_id) of every row; component_id is the doc_id of the text that stays for it.
 
-    The search is complete at any size: every two texts whose sets of shingles have a similarity of SIMILAR or more share a
+    Fingerprints within NEAR bits are found by the pigeonhole search of this module. What it leaves apart is searched to the
+    end at any size: every two texts whose sets of shingles have a similarity of SIMILAR or more share a
     shingle of their prefixes. Their bits are a loose filter (see CORPUS), and the sets decide.
     """
     prints, classes, edges = _loose_links(docs)

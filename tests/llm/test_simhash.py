@@ -251,3 +251,21 @@ def test_lines_repeated_any_number_of_times(spark, monkeypatch, small):
         if not any(5 * len(own & sets[j]) >= 4 * len(own | sets[j]) for j in want):
             want.append(i)
     assert left == set(want) and 40 < len(want) < 160
+
+
+def test_near_copies_come_from_the_pigeonhole_search(spark, monkeypatch):
+    """Texts without a prefix meet nowhere else, so exactly the pairs within NEAR bits go."""
+    monkeypatch.setattr(S, "prefix", lambda shingles, common: shingles[:0])
+    rng = np.random.default_rng(12)
+    texts, want = [], set()
+    for i in range(40):
+        words = [f"w{k}" for k in rng.integers(0, 50_000, 500)]
+        texts.append(" ".join(words))
+        for at in rng.choice(500, 1 + i % 4, replace=False):
+            words[at] = f"c{rng.integers(0, 50_000)}"
+        texts.append(" ".join(words))
+        a, b = (S.majority(np.unique(S.shingle_hashes(t.encode(), 5))) for t in texts[-2:])
+        if (a ^ b).bit_count() <= 3:
+            want.add(2 * i + 1)
+    left = {r.doc_id for r in S.drop_near_copies(frame(spark, texts)).collect()}
+    assert set(range(80)) - left == want and 5 < len(want) < 40
