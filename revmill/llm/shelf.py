@@ -68,13 +68,14 @@ def small_batches(spark: SparkSession, limit: int) -> Iterator[None]:
 
 
 def record_batches(rows, schema, limit: int = 16 << 20):
-    """Tuples as Arrow batches that hold about `limit` bytes of text and binary at most."""
+    """Tuples as Arrow batches that hold about `limit` bytes of text, binary and arrays at most."""
+    import numpy as np
     import pyarrow as pa
 
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += 16 + sum(len(x) for x in row if isinstance(x, (bytes, str)))
+        size += 16 + sum(x.nbytes if isinstance(x, np.ndarray) else len(x) for x in row if isinstance(x, (bytes, str, np.ndarray)))
         if size > limit or len(held) >= 20_000:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmill.llm.graph import components
-from revmill.llm.shelf import record_batches, stage, table, text_or_empty
+from revmill.llm.shelf import record_batches, small_batches, stage, table, text_or_empty
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BITS = 64
@@ -354,6 +354,7 @@ CORPUS = {"words": 5, "count": 6, "keep": 116}
 NEAR = 3
 SMALL = 640
 SIMILAR = 4, 5
+BATCH_BYTES = 4 << 20  # of texts or shingles that a task is handed at once
 IN_TASK = 4_000_000  # shingles, 32 MB, of a group that one task decides
 
 
@@ -408,11 +409,11 @@ def _signatures(docs: DataFrame, common: np.ndarray) -> DataFrame:
                     if SIMILAR[1] * len(own) >= SIMILAR[0] * SMALL:
                         found += [whole, *(majority(remixed(own, ODD[i])) for i in range(1, count))]
                     sign = _signed(xxhash.xxh64_intdigest(own.tobytes(), SEED))
-                    first = prefix(own, shared.value).view(np.int64).tolist()
-                    yield doc_id, mark, sign, len(own), _signed(whole), [_signed(f) for f in found], first
+                    first = prefix(own, shared.value).view(np.int64)
+                    yield doc_id, mark, sign, len(own), _signed(whole), np.array(found, np.uint64).view(np.int64), first
 
         # A prefix holds a fifth of a text's shingles.
-        yield from record_batches(rows(), schema)
+        yield from record_batches(rows(), schema, BATCH_BYTES)
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("mark"),
@@ -556,10 +557,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     end at any size: every two texts whose sets of shingles have a similarity of SIMILAR or more share a
     shingle of their prefixes. Their bits are a loose filter (see CORPUS), and the sets decide.
     """
-    prints, classes, edges = _loose_links(docs)
     own = ["sign", "n"]
-    joined = classes.join(components(edges), "node").select("root", "node", "first", "first.doc_id", "first.mark")
-    chosen = leaders(_sets(docs, joined)).select("node", "leader", F.lit(True).alias("met"))
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        prints, classes, edges = _loose_links(docs)
+        joined = classes.join(components(edges), "node").select("root", "node", "first", "first.doc_id", "first.mark")
+        chosen = leaders(_sets(docs, joined)).select("node", "leader", F.lit(True).alias("met"))
     merged = classes.join(chosen, "node", "left").select(
         *own, F.when(F.col("met"), F.col("leader")).otherwise(F.col("first.doc_id")).alias("component_id")
     )

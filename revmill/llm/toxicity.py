@@ -17,6 +17,7 @@ from revmill.llm.shelf import keep_rows, remove, small_batches, stage, table, te
 WORD = re.compile(r"[^\W_]+")
 STEMS = (4, 6)  # letters; inflected and compound words share them
 BIAS = 0  # the coordinate that every text has
+KNOWN_WORDS = 100_000  # whose hashes a task remembers before it takes the next text; its words come on top
 BATCH_BYTES = 4 << 20  # of texts or coordinates that the fit hands to a task at once; Spark's 10,000 rows may be 100 MB
 
 
@@ -39,20 +40,24 @@ class Hasher:
     """Words to 64-bit hashes, of the word and of its stems, remembered up to a bound; n-grams to coordinates."""
 
     def __init__(self, bits: int):
-        self.bits, self.known = bits, {}
+        self.bits, self.known, self.rows = bits, {}, np.zeros((1024, 1 + len(STEMS)), np.uint64)
 
     def words(self, text: str) -> np.ndarray:
         """A row for each word: the hash of the word, then those of its first STEMS letters (0 if it has no more)."""
+        found = WORD.findall(text.lower())
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
         known, out = self.known, []
-        for word in WORD.findall(text.lower()):
-            h = known.get(word)
-            if h is None:
-                if len(known) > 200_000:
-                    known.clear()
+        for word in found:
+            at = known.get(word)
+            if at is None:
+                at = known[word] = len(known)
+                if at == len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
                 parts = [word, *(f"{word[:n]}-" if len(word) > n else "" for n in STEMS)]
-                h = known[word] = tuple(xxhash.xxh64_intdigest(p.encode("utf-8", "replace"), 1) if p else 0 for p in parts)
-            out.append(h)
-        return np.array(out, dtype=np.uint64).reshape(-1, 1 + len(STEMS))
+                self.rows[at] = [xxhash.xxh64_intdigest(p.encode("utf-8", "replace"), 1) if p else 0 for p in parts]
+            out.append(at)
+        return self.rows[np.array(out, dtype=np.int64)]
 
     def _coordinate(self, h: np.ndarray) -> np.ndarray:
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
