@@ -198,24 +198,37 @@ def loss(n, seen, following, total: int, size: int, s: LmSettings, log: Callable
 
 
 def with_counts(pairs: DataFrame, words: Words) -> DataFrame:
-    """The rows (a, b, ...) with c_every, c_target of the first and n_every, n_target of the second word."""
-    spark = pairs.sparkSession
-    known = pa.table({"number": np.arange(len(words.every)), "every": words.every, "target": words.target})
-    frequent = F.broadcast(spark.createDataFrame(known))  # at most HEAD_WORDS rows, or the closed vocabulary
+    """The rows (a, b, ...) with c_every, c_target of the first and n_every, n_target of the second word.
+
+    Frequent words, or those of the closed vocabulary, are looked up by their number in the tasks; the others are joined.
+    """
+    shared = pairs.sparkSession.sparkContext.broadcast((words.every, words.target))
+    names = [f"{c}_{model}" for c in ("c", "n") for model in ("every", "target")]
+    given = pairs.columns
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [*batch.columns]
+            for own in ("a", "b"):
+                number = batch.column(own).to_numpy()
+                at = np.maximum(number, 0)
+                columns += [pa.array(held[at], pa.int64(), mask=number < 0) for held in shared.value]
+            yield pa.RecordBatch.from_arrays(columns, names=[*given, *names])
+
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema]
+    pairs = pairs.mapInArrow(look_up, ", ".join([*kept, *(f"{n} long" for n in names)]))
+    if words.rare is None:
+        return pairs
     for own, c in (("a", "c"), ("b", "n")):
-        named = [F.col("number").alias(own), F.col("every").alias(f"{c}_every"), F.col("target").alias(f"{c}_target")]
-        met = pairs.join(frequent.select(*named), own, "left" if words.rare is not None else "inner")
-        if words.rare is not None:
-            # Frequent words meet nothing here; a key of their own for each row keeps them from one task.
-            key = F.when(F.col(own) < 0, F.col(own)).otherwise(F.abs(F.xxhash64(*pairs.columns) % (1 << 62)))
-            few = words.rare.select(
-                F.col("number").alias("_key"), F.col("every").alias("_every"), F.col("target").alias("_target")
-            )
-            met = met.withColumn("_key", key).join(few, "_key", "left")
-            for model in ("every", "target"):
-                met = met.withColumn(f"{c}_{model}", F.coalesce(f"{c}_{model}", f"_{model}"))
-            met = met.drop("_key", "_every", "_target")
-        pairs = met
+        # Frequent words meet nothing here; a key of their own for each row keeps them from one task.
+        key = F.when(F.col(own) < 0, F.col(own)).otherwise(F.abs(F.xxhash64(*given) % (1 << 62)))
+        few = words.rare.select(
+            F.col("number").alias("_key"), F.col("every").alias("_every"), F.col("target").alias("_target")
+        )
+        pairs = pairs.withColumn("_key", key).join(few, "_key", "left")
+        for model in ("every", "target"):
+            pairs = pairs.withColumn(f"{c}_{model}", F.coalesce(f"{c}_{model}", f"_{model}"))
+        pairs = pairs.drop("_key", "_every", "_target")
     return pairs
 
 

@@ -142,3 +142,16 @@ def test_words_with_equal_hashes_are_told_apart(spark, monkeypatch):
     want = plain(["a a a b c b d", "a d c"], [True, False], L.LmSettings())
     for r in L.cross_entropy_difference(docs, docs.where("doc_id = 1").select("doc_id")).collect():
         assert np.allclose((r.target_loss, r.background_loss), want[r.doc_id - 1], rtol=1e-9)
+
+
+def test_counts_of_frequent_words_are_no_table_of_the_driver(spark, monkeypatch):
+    rare = spark.createDataFrame([(-5, 7, 2)], "number long, every long, target long")
+    pairs = spark.createDataFrame([(3, -5), (1, 3), (-5, 0)], "a long, b long")
+    words = L.Words(["x"], False, np.array([9, 9, 0, 40]), np.array([4, 4, 0, 30]), rare, {"every": 65, "target": 40}, 5)
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("the driver makes a table")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    got = {tuple(r) for r in L.with_counts(pairs, words).select("a", "b", "c_every", "c_target", "n_every", "n_target").collect()}
+    assert got == {(3, -5, 40, 30, 7, 2), (1, 3, 9, 4, 40, 30), (-5, 0, 7, 2, 9, 4)}
