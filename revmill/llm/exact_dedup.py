@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import new_path, table, text_or_empty
+from revmill.llm.shelf import new_path, record_batches, remove, small_batches, stage, table, text_or_empty
 
 MAX_DEPTH = 16  # the directory has at most 65,536 entries
 BUCKET_KEYS = 20_000  # a bucket with more distinct hashes is split
-COMBINE_BYTES = 48 << 20  # text that a task holds while it folds copies before the exchange
+COMBINE_BYTES = 16 << 20  # text that a task holds while it folds copies before the exchange
+BATCH_BYTES = 4 << 20  # of texts that a task is handed, and hands on, at once
 
 
 @dataclass(frozen=True)
@@ -74,8 +75,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def out():
-        rows = [(h, t, m, n) for (h, t), (m, n) in held.items()]
-        return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
+        return record_batches(((h, t, m, n) for (h, t), (m, n) in held.items()), schema, BATCH_BYTES)
 
     for batch in batches:
         for doc_id, h, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "hash", "text"))):
@@ -84,12 +84,11 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held[h, text] = [doc_id, 1]
                 size += len(text) + 100
                 if size > COMBINE_BYTES:
-                    yield out()
+                    yield from out()
                     held, size = {}, 0
             else:
                 row[0], row[1] = _largest(row[0], doc_id), row[1] + 1
-    if held:
-        yield out()
+    yield from out()
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +98,6 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         + [("keep_id", pa.int64()), ("group_size", pa.int64()), ("text", pa.binary())]
     )
     key, chain = None, []
-    ready, size = [], 0
 
     def close():
         seen = set()
@@ -108,29 +106,26 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if digest in seen:
                 raise ValueError("different texts with one SHA-256")
             seen.add(digest)
-            yield dict(zip(schema.names, (key[0], key[1], i, digest, keep, n, text)))
-
-    for batch in batches:
-        for bucket, h, text, top, n in zip(
-            *(batch.column(c).to_pylist() for c in ("bucket", "hash", "text", "max_id", "n"))
-        ):
-            if (bucket, h) != key:
-                for entry in close():
-                    ready.append(entry)
-                    size += len(entry["text"])
-                if size > 16 << 20:
-                    yield pa.RecordBatch.from_pylist(ready, schema=schema)
-                    ready, size = [], 0
-                key, chain = (bucket, h), []
-            for entry in chain:
-                if entry[0] == text:
-                    entry[1], entry[2] = _largest(entry[1], top), entry[2] + n
-                    break
-            else:
-                chain.append([text, top, n])
-    ready += close()
-    if ready:
-        yield pa.RecordBatch.from_pylist(ready, schema=schema)
+            yield key[0], key[1], i, digest, keep, n, text
+
+    def entries():
+        nonlocal key, chain
+        for batch in batches:
+            for bucket, h, text, top, n in zip(
+                *(batch.column(c).to_pylist() for c in ("bucket", "hash", "text", "max_id", "n"))
+            ):
+                if (bucket, h) != key:
+                    yield from close()
+                    key, chain = (bucket, h), []
+                for entry in chain:
+                    if entry[0] == text:
+                        entry[1], entry[2] = _largest(entry[1], top), entry[2] + n
+                        break
+                else:
+                    chain.append([text, top, n])
+        yield from close()
+
+    yield from record_batches(entries(), schema, BATCH_BYTES)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,8 +155,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .sortWithinPartitions("bucket", "hash")
     )
     path = new_path(spark, "hash-index")
-    owned.mapInArrow(_own, ENTRY).write.partitionBy("bucket").parquet(path)
-    return spark.read.schema(ENTRY).parquet(path)
+    with small_batches(spark, BATCH_BYTES):
+        owned.mapInArrow(_own, ENTRY).write.partitionBy("bucket").parquet(path)
+    index = spark.read.schema(ENTRY).parquet(path)
+    index.staged_at = path
+    return index
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,9 +184,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """One row, with all its columns, for each distinct text: the one with the largest doc_id."""
-    entries = build_index(docs).select(
-        F.col("hash").alias("__hash"), F.col("sha256").alias("__sha"), F.col("keep_id").alias("__keep")
+    index = build_index(docs)
+    entries = stage(
+        index.select(F.col("hash").alias("__hash"), F.col("sha256").alias("__sha"), F.col("keep_id").alias("__keep")),
+        "hash-entries",
     )
+    remove(index)  # its texts take as much room as the documents, and nothing compares them any more
     rows = docs.withColumns({"__hash": F.xxhash64(text_or_empty()), "__sha": F.sha2(text_or_empty(), 256)})
     kept = rows.join(entries, ["__hash", "__sha"]).where(F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")))
     # Rows that repeat with the same id are still together; one of them is enough.

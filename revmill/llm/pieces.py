@@ -11,19 +11,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import record_batches, table, text_or_empty
+from revmill.llm.shelf import portions, record_batches, table, text_or_empty
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}+[^{SPACE}]*")
-BATCH_CHARS = 2_000_000  # text whose new words are indexed together
-KNOWN_WORDS = 250_000  # words whose pieces a task remembers
+BATCH_CHARS = 2_000_000  # text whose new words are learned together
+INDEX_CHARS = 400_000  # of new words that are indexed together: an edge takes some 50 bytes, and there are several a character
+KNOWN_WORDS = 125_000  # words in each of the two generations whose pieces a task remembers
 MAX_MODEL_PIECES = 1_000_000  # the model is broadcast: refuse what is larger
 
 
@@ -117,12 +119,13 @@ class Encoder:
     def __init__(self, model: PieceModel):
         self.model = model
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         own = list(model.ids)
         if not own:
             raise ValueError("the model has no pieces")
         self.strings = model.pieces
-        self.length = np.array([len(p) for p in own])
-        self.token = np.array([model.ids[p] for p in own])
+        self.length = np.array([len(p) for p in own], dtype=np.int32)
+        self.token = np.array([model.ids[p] for p in own], dtype=np.int32)
         self.depth = int(self.length.max())
         self.code = np.zeros((len(own), self.depth), dtype=np.int64)
         for i, p in enumerate(own):
@@ -135,23 +138,21 @@ class Encoder:
         return self.strings[token] if token >= 0 else chr(-token - 2)
 
     def _can_meet(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys, back = np.unique((left << 32) + right, return_inverse=True)
-        out = np.empty(len(keys), dtype=bool)
+        keys, back = np.unique((left.astype(np.int64) << 32) + right, return_inverse=True)
         known = self.pairs
         if len(known) > 400_000:
             known.clear()
-        for i, key in enumerate(keys.tolist()):
-            ok = known.get(key)
-            if ok is None:
-                right_token = (key & 0xFFFFFFFF) - ((key & 0x80000000) << 1)
-                a, b = self._string((key - right_token) >> 32), self._string(right_token)
-                ok = known[key] = merge(a + b, self.model.scores, len(a)) is not None
-            out[i] = ok
-        return out[back]
+        keys = keys.tolist()
+        out = np.array([-1 if ok is None else ok for ok in map(known.get, keys)], dtype=np.int8)
+        for i in np.flatnonzero(out < 0).tolist():
+            right_token = (keys[i] & 0xFFFFFFFF) - ((keys[i] & 0x80000000) << 1)
+            a, b = self._string((keys[i] - right_token) >> 32), self._string(right_token)
+            out[i] = known[keys[i]] = merge(a + b, self.model.scores, len(a)) is not None
+        return out[back].astype(bool)
 
     def _edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, token, length) of every piece wherever it occurs, and of every character that is no piece."""
-        order = suffix_order(text, self.depth)
+        order = suffix_order(text, self.depth).astype(np.int32)
         padded = np.concatenate([text, np.full(self.depth, -1, dtype=np.int64)])
         low = np.zeros(len(self.token), dtype=np.int64)
         high = np.where(self.usable, len(order), 0)
@@ -171,15 +172,16 @@ class Encoder:
                     new_low = a
             low[use] = new_low
         many = np.maximum(high - low, 0)
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        entry = np.repeat((low - np.concatenate([[0], np.cumsum(many)[:-1]])).astype(np.int32), many)
+        entry += np.arange(len(entry), dtype=np.int32)
         start, token, length = order[entry], np.repeat(self.token, many), np.repeat(self.length, many)
         single = np.ones(len(text), dtype=bool)
         single[start[length == 1]] = False
         single[text == 0x110000] = False  # the mark between words
-        alone = np.flatnonzero(single)
+        alone = np.flatnonzero(single).astype(np.int32)
         return (
-            np.concatenate([start, alone]), np.concatenate([token, -text[alone] - 2]),
-            np.concatenate([length, np.ones(len(alone), dtype=np.int64)]),
+            np.concatenate([start, alone]), np.concatenate([token, (-text[alone] - 2).astype(np.int32)]),
+            np.concatenate([length, np.ones(len(alone), dtype=np.int32)]),
         )
 
     def _relax(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -188,14 +190,15 @@ class Encoder:
         sizes = np.array([len(w) for w in words])
         begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
         text[begin[1:] - 1] = 0x110000
-        word = np.repeat(np.arange(len(words)), sizes + 1)[: len(text)]
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes + 1)[: len(text)]
         start, token, length = self._edges(text)
         end = start + length  # a place between characters is named by the character after it
-        offset = end - begin[word[start]]
+        offset = end - begin.astype(np.int32)[word[start]]
         order = np.argsort(offset.astype(np.uint16) if offset.max(initial=0) < 1 << 16 else offset, kind="stable")
+        del length
         start, token, end, offset = start[order], token[order], end[order], offset[order]
         unset = -(1 << 30)
-        last = np.full(len(text) + 1, unset, dtype=np.int64)
+        last = np.full(len(text) + 1, unset, dtype=np.int32)
         at_begin = np.zeros(len(text) + 1, dtype=bool)
         at_begin[begin] = True
         cuts = np.flatnonzero(np.diff(offset, prepend=-1, append=-1))
@@ -234,26 +237,30 @@ class Encoder:
         for w in spaced:  # runs of blanks are pieces of equal rank, which only merging in order settles
             parts = (merge_long if len(w) > 2 * self.depth else merge)(w, self.model.scores)
             self.known[w] = self._ids([self.model.ids.get(p, -ord(p[0]) - 2) for p in parts])
-        if plain:
-            tokens, sizes = self._relax(plain)
+        portion = np.cumsum([len(w) for w in plain], dtype=np.int64) // INDEX_CHARS
+        cuts = [*np.unique(portion, return_index=True)[1].tolist(), len(plain)]
+        for a, b in pairwise(cuts):
+            tokens, sizes = self._relax(plain[a:b])
             ends = np.cumsum(sizes)
             flat = tokens.astype(np.int32).tobytes()
             odd = set(np.searchsorted(ends, np.flatnonzero(tokens < 0), side="right").tolist())
             begin = 0
-            for i, (w, end) in enumerate(zip(plain, ends.tolist())):
+            for i, (w, end) in enumerate(zip(plain[a:b], ends.tolist())):
                 self.known[w] = self._ids(tokens[begin:end].tolist()) if i in odd else flat[4 * begin : 4 * end]
                 begin = end
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [WORDS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = {w for words in split for w in words}
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-        new -= self.known.keys()
-        if new:
-            self._learn(sorted(new))
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words]), dtype=np.int32) for words in split]
+        words = set().union(*split)
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_WORDS:  # words not seen since the last time go
+            self.known, self.older = {}, self.known
+            new = words
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.known.update(again)
+        self._learn(list(new.difference(again)))
+        pieces_of = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(pieces_of, words)), dtype=np.int32) for words in split]
 
 
 def merge_long(text: str, scores: dict[str, float]) -> list[str]:
@@ -327,13 +334,8 @@ def encode(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col:
             )
 
         for batch in batches:
-            ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
-            begin, size = 0, 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size > BATCH_CHARS or i + 1 == len(texts):
-                    yield out(ids[begin : i + 1], texts[begin : i + 1])
-                    begin, size = i + 1, 0
+            for ids, texts in portions(batch, BATCH_CHARS):
+                yield out(ids, texts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, TOKENS_DDL)

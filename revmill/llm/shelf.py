@@ -85,6 +85,22 @@ def record_batches(rows, schema, limit: int = 16 << 20):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
+def portions(batch, limit: int, step: int = 100) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of the rows of a batch (doc_id, text), which become Python's a few at a time: as many rows as have over
+    `limit` characters, or more by `step` rows at most."""
+    ids, texts, size = [], [], 0
+    for start in range(0, batch.num_rows, step):
+        part = batch.slice(start, step)
+        ids += part.column("doc_id").to_pylist()
+        texts += part.column("text").to_pylist()
+        size += sum(map(len, texts[-part.num_rows :]))
+        if size > limit:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def keep_rows(docs: DataFrame, make_decider) -> DataFrame:
     """The rows, with all their columns, whose text a decider accepts.
 

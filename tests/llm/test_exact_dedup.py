@@ -3,6 +3,7 @@ import pytest
 from cases import awkward, empty, frame
 
 from revmill.llm import exact_dedup as X
+from revmill.session import shared_dir
 
 
 def test_directory_doubles_until_buckets_fit():
@@ -31,6 +32,19 @@ def test_collisions_are_chained_and_compared():
     ]
 
 
+def test_batches_are_small():
+    """Tasks hand on some 4 MB at once, however much text they hold."""
+    texts = [bytes([i]) * (1 << 20) for i in range(40)]
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "hash": list(range(40)), "text": texts})
+    folded = list(X._fold(iter([rows])))
+    assert sorted(r["text"] for b in folded for r in b.to_pylist()) == texts
+    assert max(b.nbytes for b in folded) < 6 << 20
+    owned = [b.append_column("bucket", pa.array([0] * b.num_rows, pa.int32())) for b in folded]
+    entries = list(X._own(iter(owned)))
+    assert sorted(r["text"] for b in entries for r in b.to_pylist()) == texts
+    assert max(b.nbytes for b in entries) < 6 << 20
+
+
 def test_folding_is_bounded(monkeypatch):
     monkeypatch.setattr(X, "COMBINE_BYTES", 300)
     ids = list(range(50))
@@ -68,3 +82,19 @@ def test_a_text_that_fills_a_third(spark):
     texts = ["hot"] * 1000 + [str(i) for i in range(2000)]
     got = X.exact_groups(frame(spark, texts).repartition(8)).where("group_size > 1").collect()
     assert len(got) == 1000 and {r.keep_id for r in got} == {999}
+
+
+def test_dropping_copies_leaves_no_texts_in_the_shared_folder(spark, monkeypatch):
+    paths, build = [], X.build_index
+
+    def watched(docs):
+        index = build(docs)
+        paths.append(index.inputFiles()[0].rsplit("/hash-index-", 1)[1].split("/")[0])
+        return index
+
+    monkeypatch.setattr(X, "build_index", watched)
+    kept = X.drop_copies(frame(spark, ["a", "b", "a", None, ""]))
+    assert sorted(r.text or "" for r in kept.collect()) == ["", "a", "b"]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/hash-index-{paths[0]}")
+    assert not path.getFileSystem(conf).exists(path)

@@ -71,6 +71,25 @@ def test_words_are_forgotten_and_learned_again(model, library, monkeypatch):
     assert len(e.known) <= 5
 
 
+def test_new_words_are_indexed_in_portions(model, library, monkeypatch):
+    monkeypatch.setattr(P, "INDEX_CHARS", 40)
+    sizes, relax = [], P.Encoder._relax
+    monkeypatch.setattr(P.Encoder, "_relax", lambda self, words: sizes.append(sum(map(len, words))) or relax(self, words))
+    text = " ".join(f"word{i} 漢{i}" for i in range(30))
+    assert P.Encoder(model).encode([text])[0].tolist() == library.encode(text)
+    assert len(sizes) > 5 and max(sizes) <= 40 + 8
+
+
+def test_words_in_use_are_not_learned_again(model, library, monkeypatch):
+    monkeypatch.setattr(P, "KNOWN_WORDS", 5)
+    learned, learn = [], P.Encoder._learn
+    monkeypatch.setattr(P.Encoder, "_learn", lambda self, words: learned.extend(words) or learn(self, words))
+    e = P.Encoder(model)
+    for text in ("one two three", "one four five six", "one seven eight nine"):
+        assert e.encode([text])[0].tolist() == library.encode(text)
+    assert learned.count(P.SPACE + "one") == 1
+
+
 def test_awkward_rows(spark, model, library):
     rows = {}
     for r in P.encode(awkward(spark), model).collect():
