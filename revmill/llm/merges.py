@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import table, text_or_empty
+from revmill.llm.shelf import portions, table, text_or_empty
 
 MODEL = "word_bpe_49k.json"  # below the folder of the public tokenizers
 BATCH_CHARS = 1_000_000  # text that is encoded together
@@ -314,25 +314,29 @@ class Encoder:
                 where = side[ok]
                 ranks[ok, where] = self._ranks(parts[ok, where], parts[ok, where + 1])
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of new short words; if too many are known, those not seen since the last time go."""
-        by_size: dict[int, list[tuple[str, bytes]]] = {}
-        for word in words:
-            raw = word.encode()
-            by_size.setdefault(len(raw), []).append((word, raw))
-        if len(self.known) + len(words) > KNOWN_WORDS:
+    def _learn(self, words: set[str]) -> list[str]:
+        """Know the ids of all these words. Returns those that are too long to be remembered after the batch."""
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_WORDS:  # words not seen since the last time go
             self.known, self.older = {}, self.known
-        for group in by_size.values():
-            for i, out in self._merge_all([raw for _, raw in group]):
-                self.known[group[i][0]] = out
-
-    def _ids(self, word: str) -> bytes:
-        """The ids of a word that is not in the younger generation of those remembered."""
-        out = self.older.get(word)
-        if out is None:
-            return self.word_ids(word)
-        self.known[word] = out
-        return out
+            new = words
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.known.update(again)
+        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
+        long = []
+        for word in new.difference(again):
+            raw = word.encode()
+            if len(raw) > FEW:
+                long.append(word)
+                self.known[word] = self.word_ids(word)
+                continue
+            own, raws = by_size.setdefault(len(raw), ([], []))
+            own.append(word)
+            raws.append(raw)
+        for own, raws in by_size.values():
+            for i, out in self._merge_all(raws):
+                self.known[own[i]] = out
+        return long
 
     def word_ids(self, word: str) -> bytes:
         raw = word.encode()
@@ -357,17 +361,16 @@ class Encoder:
         parts: list[list] = []
         for text in texts:
             own, begin = [], 0
-            for m in self.special.finditer(text):
+            for m in self.special.finditer(text) if any(s in text for s in self.merges.special) else ():
                 own += [self._words(text[begin : m.start()]), np.int32(self.merges.special[m.group()]).tobytes()]
                 begin = m.end()
-            parts.append([*own, self._words(text[begin:])])
-        new = {w for own in parts for p in own if isinstance(p, list) for w in p}
-        new = [w for w in new if w not in self.known and w not in self.older and len(w) <= FEW and len(w.encode()) <= FEW]
-        self._learn(new)
-        get, slow = self.known.get, self._ids
-        return [
-            b"".join([p if isinstance(p, bytes) else b"".join([get(w) or slow(w) for w in p]) for p in own]) for own in parts
-        ]
+            parts.append([*own, self._words(text[begin:] if begin else text)])
+        long = self._learn(set().union(*(p for own in parts for p in own if isinstance(p, list))))
+        ids_of = self.known.__getitem__
+        out = [b"".join([p if isinstance(p, bytes) else b"".join(map(ids_of, p)) for p in own]) for own in parts]
+        for word in long:
+            del self.known[word]
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -429,13 +432,8 @@ def encode(docs: DataFrame, merges: Merges, id_col: str = "doc_id", text_col: st
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], schema=schema)
 
         for batch in batches:
-            ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
-            begin, size = 0, 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size > BATCH_CHARS or i + 1 == len(texts):
-                    yield out(ids[begin : i + 1], texts[begin : i + 1])
-                    begin, size = i + 1, 0
+            for ids, texts in portions(batch, BATCH_CHARS):
+                yield out(ids, texts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")

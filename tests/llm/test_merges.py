@@ -138,6 +138,16 @@ def test_words_are_forgotten_and_learned_again(merges, library, monkeypatch):
     assert len(e.known) <= 5
 
 
+def test_words_are_looked_up_once_in_a_batch(merges, library, monkeypatch):
+    monkeypatch.setattr(M, "KNOWN_WORDS", 5)
+    slow, word_ids = [], M.Encoder.word_ids
+    monkeypatch.setattr(M.Encoder, "word_ids", lambda self, word: slow.append(word) or word_ids(self, word))
+    e, long = M.Encoder(merges), "etaoinshrdlu" * 5
+    for text in (f"one two {long} {long}", f"one three four five {long}", "one two"):
+        assert ids(e, text) == library.encode(text, add_special_tokens=False).ids
+    assert slow == [long, long] and long not in e.known and long not in e.older
+
+
 def test_plain_decoding(merges, encoder):
     d = M.Decoder(merges, False)
     assert d.decode(ids(encoder, "Déjà vu, 漢字 😀!")) == "déjà vu , 漢字 😀! "
