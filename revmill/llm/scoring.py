@@ -18,11 +18,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import remove, stage, table, text_or_empty
+from revmill.llm.shelf import remove, small_batches, stage, table, text_or_empty
 
 WORD = re.compile(r"\w+|[^\w\s]")
 BROADCAST_IDS = 2_000_000  # target ids up to this many, 16 MB, go to the tasks; more are joined with the texts
 HEAD = 400_000  # losses of the most frequent bigrams that go to the tasks; the others are joined
+BATCH_BYTES = 2 << 20  # of texts that a task is handed at once
 HEAD_WORDS = 400_000  # counts of the most frequent words that go to the tasks; the others are joined
 START_ID, END_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2, 3  # numbers of words go on from there, by falling count
 
@@ -164,24 +165,28 @@ def counts(docs: DataFrame, words: Words, settings: LmSettings) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((words.names, words.closed))
     names = ["a", "b", "every", "target"]
 
-    def add(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-        a, b, every, target = (np.concatenate(p) for p in zip(*parts))
+    def add(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        a, b, own = (np.concatenate(p) for p in zip(*parts))
+        parts.clear()
         order = np.argsort(a * 0x2545F4914F6CDD1D + b)  # a bigram that another one parts is handed on twice, and added up
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)])
-        return [a[first], b[first], *(np.add.reduceat(n[order], first) for n in (every, target))]
+        a, b, own = a[order], b[order], own[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        columns = [a[first], b[first], np.diff(first, append=len(a)), np.add.reduceat(own, first, dtype=np.int64)]
+        del a, b, own, first
+        return iter(pa.Table.from_arrays([pa.array(c) for c in columns], names=names).to_batches(50_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, held, size = Numbers(*shared.value), [], 0
         for batch, place, a, b in pair_batches(batches, numbers, settings.chunk):
-            target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
-            held.append([a, b, np.ones(len(a), np.int64), target[place]])
+            held.append((a, b, batch.column("target").to_numpy(zero_copy_only=False)[place]))
             size += len(a)
+            del a, b, place
             if size >= settings.chunk:
-                held, size = [add(held)], 0
-                yield from pa.Table.from_arrays([pa.array(c) for c in held.pop()], names=names).to_batches(50_000)
+                yield from add(held)
+                size = 0
         if held:
-            yield from pa.Table.from_arrays([pa.array(c) for c in add(held)], names=names).to_batches(50_000)
+            yield from add(held)
 
     rows = docs.select("text", "target").mapInArrow(run, "a long, b long, every long, target long")
     sums = rows.groupBy("a", "b").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
@@ -258,7 +263,11 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: L
     its bigrams that the table of repeated ones holds then add the difference. So no bigram is stored that occurs once,
     and the join has no hot keys. Rows are told apart by id and text; equal rows share their sum.
     """
-    s = settings or LmSettings()
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        return _differences(docs, target_ids, settings or LmSettings())
+
+
+def _differences(docs: DataFrame, target_ids: DataFrame, s: LmSettings) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),

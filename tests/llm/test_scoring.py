@@ -155,3 +155,23 @@ def test_counts_of_frequent_words_are_no_table_of_the_driver(spark, monkeypatch)
     monkeypatch.setattr(type(spark), "createDataFrame", refuse)
     got = {tuple(r) for r in L.with_counts(pairs, words).select("a", "b", "c_every", "c_target", "n_every", "n_target").collect()}
     assert got == {(3, -5, 40, 30, 7, 2), (1, 3, 9, 4, 40, 30), (-5, 0, 7, 2, 9, 4)}
+
+
+def test_tasks_are_handed_small_batches(spark, folder, monkeypatch):
+    name, seen, stage = "spark.sql.execution.arrow.maxBytesPerBatch", [], L.stage
+    monkeypatch.setattr(L, "stage", lambda df, label: seen.append(spark.conf.get(name, None)) or stage(df, label))
+    assert L.op10_cross_entropy_difference(spark, folder).count() > 0
+    assert len(seen) > 3 and set(seen) == {str(L.BATCH_BYTES)}
+    assert spark.conf.get(name, None) is None
+
+
+def test_chunks_and_batches_do_not_change_counts(spark, monkeypatch):
+    texts = [f"a b c {i % 7} a b" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    good = docs.where("doc_id % 3 = 0").select("doc_id")
+    got = []
+    for chunk, limit in ((1_000_000, 1 << 21), (40, 200), (7, 1 << 21)):
+        monkeypatch.setattr(L, "BATCH_BYTES", limit)
+        rows = L.cross_entropy_difference(docs, good, L.LmSettings(chunk=chunk)).collect()
+        got.append({r.doc_id: (r.n_tokens, round(r.score, 9)) for r in rows})
+    assert got[0] == got[1] == got[2] and len(got[0]) == 60
