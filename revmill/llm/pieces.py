@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import portions, record_batches, table, text_or_empty
+from revmill.llm.shelf import give_back, portions, record_batches, table, text_or_empty
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -336,6 +336,8 @@ def encode(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col:
         for batch in batches:
             for ids, texts in portions(batch, BATCH_CHARS):
                 yield out(ids, texts)
+        batch = None
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, TOKENS_DDL)

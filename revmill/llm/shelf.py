@@ -101,6 +101,13 @@ def portions(batch, limit: int, step: int = 100) -> Iterator[tuple[list, list[st
         yield ids, texts
 
 
+def give_back() -> None:
+    """The room of Arrow batches that are gone returns to the system: Python workers outlive their tasks, and keep it else."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def keep_rows(docs: DataFrame, make_decider) -> DataFrame:
     """The rows, with all their columns, whose text a decider accepts.
 
@@ -117,5 +124,7 @@ def keep_rows(docs: DataFrame, make_decider) -> DataFrame:
                 batch = whole.slice(start, 1000)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(decide(texts), pa.bool_()))
+        whole = batch = None
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

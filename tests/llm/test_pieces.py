@@ -128,3 +128,28 @@ def test_very_long_runs_of_blanks(model, encoder, library):
     assert time.perf_counter() - start < 20
     for ids, text in zip(got, texts):
         assert ids.tolist() == library.encode(text)
+
+
+def test_memory_is_given_back_after_the_last_batch(monkeypatch):
+    import pyarrow as pa
+
+    from revmill.llm import shelf
+
+    class Rows:
+        schema = None
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    def batches():
+        for i in range(3):
+            yield pa.RecordBatch.from_pydict({"doc_id": [i], "text": [str(i) * 1_000_000]})
+
+    left = []
+    monkeypatch.setattr(shelf, "give_back", lambda: left.append(pa.total_allocated_bytes() - before))
+    before = pa.total_allocated_bytes()
+    rows = 0
+    for kept in shelf.keep_rows(Rows(), lambda: lambda texts: [t[0] != "1" for t in texts])(batches()):
+        rows += kept.num_rows
+        del kept
+    assert rows == 2 and len(left) == 1 and left[0] < 100_000
