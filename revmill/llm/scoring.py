@@ -15,17 +15,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revmill.llm.shelf import remove, small_batches, stage, table, text_or_empty
+from revmill.llm.shelf import give_back, remove, short_lived_shuffles, small_batches, stage, table, text_or_empty
 
-WORD = re.compile(r"\w+|[^\w\s]")
+SIGN = re.compile(r"([^\w\s])")  # a token of its own
 BROADCAST_IDS = 2_000_000  # target ids up to this many, 16 MB, go to the tasks; more are joined with the texts
-HEAD = 400_000  # losses of the most frequent bigrams that go to the tasks; the others are joined
+SAMPLE = 20_000  # documents in which frequent words and bigrams are looked for; counts are over all documents
+HEAD = 400_000  # bigrams frequent in the sample, which every task counts and scores; the others are exchanged
+HEAD_WORDS = 400_000  # words frequent in the sample, which every task numbers and counts; the others are joined
 BATCH_BYTES = 2 << 20  # of texts that a task is handed at once
-HEAD_WORDS = 400_000  # counts of the most frequent words that go to the tasks; the others are joined
-START_ID, END_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2, 3  # numbers of words go on from there, by falling count
+START_ID, END_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2, 3  # numbers of words go on from there
+START, END = np.array([START_ID]), np.array([END_ID])
 
 
 @dataclass(frozen=True)
@@ -36,11 +39,11 @@ class LmSettings:
     bigram_weight: float = 0.7
     add: float = 0.5
     flush: int = 400_000  # distinct words a task counts before it hands them on
-    chunk: int = 1_000_000  # tokens whose bigrams a task adds up before it hands them on
+    chunk: int = 1_000_000  # tokens, or bigrams, that a task works on at once
 
 
 def tokens(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return " ".join(SIGN.split(text.lower())).split()
 
 
 def word_counts(docs: DataFrame, settings: LmSettings) -> DataFrame:
@@ -112,85 +115,225 @@ class Words:
     size: int
 
 
-def count_words(docs: DataFrame, settings: LmSettings) -> Words:
-    """The vocabulary of docs (text, target). Words whose hash meets that of another word count as frequent ones."""
-    words = stage(word_counts(docs, settings), "lm-words")
-    whole = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("every", "target")), F.count("*").alias("n")).first()
-    rows = docs.agg(F.count("*").alias("every"), F.count_if("target").alias("target")).first()
-    closed = settings.vocabulary is not None
-    top = words.orderBy(F.desc("every"), "word").limit(settings.vocabulary if closed else HEAD_WORDS).toArrow()
-    rare = None
-    if not closed and whole["n"] > top.num_rows:
-        last = {c: top.column(c)[-1].as_py() for c in ("word", "every")}
-        rare = words.where(
-            (F.col("every") < last["every"]) | ((F.col("every") == last["every"]) & (F.col("word") > last["word"]))
-        ).withColumn("number", rare_number("word"))
-        met = rare.groupBy("number").agg(F.count("*").alias("n"), F.collect_list(F.struct(*words.columns)).alias("w")).where("n > 1")
-        met = met.select(F.inline("w")).toArrow()  # about V ** 2 / 2 ** 64 of V words: none below 10 ** 9
-        top = pa.concat_tables([top, met.cast(top.schema)])
-        rare = rare.select("number", "every", "target")
-    counted = {c: top.column(c).to_numpy() for c in ("every", "target")}
-    full = {
-        c: np.concatenate([[rows[c], rows[c], whole[c] - n.sum() if closed else 0], n]).astype(np.int64)
-        for c, n in counted.items()
-    }
-    size = (top.num_rows if closed else whole["n"]) + FIRST_ID
-    totals = {c: whole[c] + rows[c] for c in ("every", "target")}
-    return Words(top.column("word").to_pylist(), closed, full["every"], full["target"], rare, totals, size)
-
-
-def pair_batches(batches: Iterator[pa.RecordBatch], numbers: Numbers, chunk: int) -> Iterator[tuple]:
-    """Rows of about `chunk` tokens at a time: (batch of rows, place of the row of each bigram, first, second number)."""
+# Rows of documents, and beside them the counts a task makes: of a number, of a frequent bigram's place, of a rare word.
+ENCODED = pa.schema(
+    [
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("own", pa.bool_()),
+        ("ids", pa.binary()),  # numbers of the words, 32 bits each, rare ones -1
+        ("hits", pa.binary()),  # a bit for each bigram, set for the frequent ones
+        ("rare", pa.binary()),  # both numbers of each bigram with a rare word, 64 bits each
+        ("number", pa.int64()), ("head", pa.int64()), ("word", pa.string()), ("every", pa.int64()), ("target", pa.int64()),
+    ]
+)
+ENCODED_DDL = (
+    "row long, doc_id long, own boolean, ids binary, hits binary, rare binary, number long, head long, word string, "
+    "every long, target long"
+)
+
+
+def encoded_rows(**columns) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in ENCODED], schema=ENCODED
+    )
+
+
+def sampled_words(sample: DataFrame, settings: LmSettings) -> list[str]:
+    """The most frequent of the words that occur twice or more in the sample."""
+    counts = word_counts(sample, settings).where("every > 1").orderBy(F.desc("every"), "word").limit(HEAD_WORDS)
+    return counts.select("word").toArrow().column("word").to_pylist()
+
+
+def sampled_bigrams(sample: DataFrame, names: list[str], closed: bool, settings: LmSettings) -> np.ndarray:
+    """Keys, in order, of up to HEAD bigrams of frequent words, the most frequent of the sample."""
+    shared = sample.sparkSession.sparkContext.broadcast((names, closed))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers(*shared.value)
+        for _, _, _, a, b in numbered(batches, numbers, settings.chunk):
+            keys, n = np.unique((a << 32 | b)[(a >= 0) & (b >= 0)], return_counts=True)
+            yield from pa.table({"key": keys, "every": n.astype(np.int64)}).to_batches(50_000)
+
+    sums = sample.select("text").mapInArrow(run, "key long, every long").groupBy("key").agg(F.sum("every").alias("every"))
+    found = stage(sums.where("every > 1"), "lm-sampled")
+    keys = most_frequent(found, HEAD).select("key").toArrow().column("key").to_numpy()
+    remove(found)
+    return np.sort(keys)
+
+
+def numbered(batches: Iterator[pa.RecordBatch], numbers: Numbers, chunk: int) -> Iterator[tuple]:
+    """Rows of about `chunk` tokens at a time: (batch of rows, rare words of each row, number of its bigrams, first, second
+    number of each)."""
     for whole in batches:
         start = 0
         while start < whole.num_rows:
-            a, b, sizes, held = [], [], [], 0
+            a, b, rare, sizes, held = [], [], [], [], 0
             end = start
             while end < whole.num_rows and held < chunk:
                 words = tokens(whole.column("text")[end].as_py())
                 own = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-                a += [[START_ID], own]
-                b += [own, [END_ID]]
+                a += [START, own]
+                b += [own, END]
+                rare.append([words[i] for i in np.flatnonzero(own < 0)])
                 sizes.append(len(words) + 1)
                 held += len(words) + 1
                 end += 1
-            place = np.repeat(np.arange(end - start), sizes)
-            yield whole.slice(start, end - start), place, np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
+            yield whole.slice(start, end - start), rare, sizes, np.concatenate(a), np.concatenate(b)
             start = end
 
 
-def counts(docs: DataFrame, words: Words, settings: LmSettings) -> DataFrame:
-    """(a, b, every, target): how often b follows a in all documents and in the target, one row for each bigram that occurs
-    more than once. A bigram of the documents that is not here occurs once, where it stands."""
-    shared = docs.sparkSession.sparkContext.broadcast((words.names, words.closed))
-    names = ["a", "b", "every", "target"]
+def places(keys: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each key among the frequent ones, whether it is one of them)"""
+    if not len(heads):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    order = np.argsort(keys)  # in order, they are found several times faster
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.minimum(np.searchsorted(heads, keys[order]), len(heads) - 1)
+    return at, heads[at] == keys
+
+
+def encoded(rows: DataFrame, names: list[str], closed: bool, heads: np.ndarray, settings: LmSettings) -> DataFrame:
+    """The rows (doc_id, text, target) as numbers, each with a row number of its own, and what the tasks counted."""
+    shared = rows.sparkSession.sparkContext.broadcast((names, closed, heads))
 
-    def add(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        a, b, own = (np.concatenate(p) for p in zip(*parts))
-        parts.clear()
-        order = np.argsort(a * 0x2545F4914F6CDD1D + b)  # a bigram that another one parts is handed on twice, and added up
-        a, b, own = a[order], b[order], own[order]
-        del order
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        columns = [a[first], b[first], np.diff(first, append=len(a)), np.add.reduceat(own, first, dtype=np.int64)]
-        del a, b, own, first
-        return iter(pa.Table.from_arrays([pa.array(c) for c in columns], names=names).to_batches(50_000))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, closed, heads = shared.value
+        numbers, row = Numbers(names, closed), TaskContext.get().partitionId() << 33
+        sums = {"number": np.zeros((2, FIRST_ID + len(names)), np.int64), "head": np.zeros((2, len(heads)), np.int64)}
+        rare: tuple[Counter, Counter] = Counter(), Counter()
+
+        def hand_on():
+            words = list(rare[0] | rare[1])
+            every, target = ([sum(c[w] for c in held) for w in words] for held in (rare, rare[1:]))
+            for held in rare:
+                held.clear()
+            return encoded_rows(word=words, every=every, target=target)
+
+        for batch, words, sizes, a, b in numbered(batches, numbers, settings.chunk):
+            place = np.repeat(np.arange(batch.num_rows), sizes)
+            own = batch.column("target").to_numpy(zero_copy_only=False)
+            common = (a >= 0) & (b >= 0)
+            at, hit = places(a << 32 | b, heads)
+            hit &= common
+            for kind, values, of in (("number", a[a >= 0], place[a >= 0]), ("head", at[hit], place[hit])):
+                for held, chosen in zip(sums[kind], (values, values[own[of]])):
+                    held += np.bincount(chosen, minlength=len(held))
+            short = np.maximum(b, -1).astype(np.int32)
+            ids, hits, pairs = [], [], []
+            for end, size, found, target in zip(np.cumsum(sizes), sizes, words, own):
+                part = slice(end - size, end)
+                ids.append(short[end - size : end - 1].tobytes())
+                hits.append(np.packbits(hit[part]).tobytes())
+                few = np.flatnonzero(~common[part])
+                pairs.append(np.column_stack([a[part][few], b[part][few]]).tobytes())
+                rare[int(target)].update(found)
+            numbers_of_rows = np.arange(row, row + batch.num_rows)
+            row += batch.num_rows
+            yield from pa.Table.from_batches(
+                [encoded_rows(row=numbers_of_rows, doc_id=batch.column("doc_id"), own=own, ids=ids, hits=hits, rare=pairs)]
+            ).to_batches(2_000)
+            if len(rare[0]) + len(rare[1]) > settings.flush:
+                yield hand_on()
+        if rare[0] or rare[1]:
+            yield hand_on()
+        for kind, (every, target) in sums.items():
+            at = np.flatnonzero(every)
+            if len(at):
+                counted = encoded_rows(**{kind: at, "every": every[at], "target": target[at]})
+                yield from pa.Table.from_batches([counted]).to_batches(50_000)
+        give_back()
+
+    return stage(rows.select("doc_id", "text", "target").mapInArrow(run, ENCODED_DDL), "lm-encoded")
+
+
+def summed(table: DataFrame, kind: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """What all tasks counted of the numbers, or of the places, 0 to size - 1: (every, target)."""
+    sums = table.where(F.col(kind).isNotNull()).groupBy(kind).agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
+    found = sums.toArrow()
+    out = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for held, c in zip(out, ("every", "target")):
+        held[found.column(kind).to_numpy()] = found.column(c).to_numpy()
+    return out
+
+
+def count_words(table: DataFrame, names: list[str], closed: bool) -> tuple[Words, list[str]]:
+    """The vocabulary of an encoded table, and the rare words whose hash meets that of another word."""
+    every, target = summed(table, "number", FIRST_ID + len(names))
+    every[END_ID], target[END_ID] = every[START_ID], target[START_ID]
+    totals = {"every": every.sum() - every[START_ID], "target": target.sum() - target[START_ID]}
+    found = table.where("word IS NOT NULL").groupBy("word").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
+    rare = stage(found.withColumn("number", rare_number("word")), "lm-words")
+    whole = rare.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals), F.count("*").alias("n")).first()
+    met = rare.groupBy("number").agg(F.count("*").alias("n"), F.collect_list("word").alias("w")).where("n > 1")
+    met = [w for r in met.collect() for w in r["w"]]  # about V ** 2 / 2 ** 64 of V words: none below 10 ** 9
+    totals = {c: int(n + whole[c]) for c, n in totals.items()}
+    size = len(names) + FIRST_ID + whole["n"]
+    return Words(names, closed, every, target, rare.drop("word") if whole["n"] else None, totals, size), met
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[np.ndarray]]:
+    """Columns of rows that are sorted by the first, about `most` rows at a time, but no key in two of them."""
+    held, size, bound = [], 0, most
+    for batch in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        size += batch.num_rows
+        if size >= bound:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            cut = np.searchsorted(columns[0], columns[0][-1])
+            if cut:
+                yield [c[:cut] for c in columns]
+            held, size = [[c[cut:] for c in columns]], size - cut
+            bound = max(most, 2 * size)
+    if size:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def numbers_in(ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First and second number of each bigram of a row."""
+    own = np.frombuffer(ids, np.int32).astype(np.int64)
+    return np.concatenate([START, own]), np.concatenate([own, END])
+
+
+def bigrams_between(table: DataFrame) -> DataFrame:
+    """(key, row, own, n) of the bigrams of each row that have no rare word and are not among the frequent ones."""
+    names = ["key", "row", "own", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, held, size = Numbers(*shared.value), [], 0
-        for batch, place, a, b in pair_batches(batches, numbers, settings.chunk):
-            held.append((a, b, batch.column("target").to_numpy(zero_copy_only=False)[place]))
-            size += len(a)
-            del a, b, place
-            if size >= settings.chunk:
-                yield from add(held)
-                size = 0
-        if held:
-            yield from add(held)
-
-    rows = docs.select("text", "target").mapInArrow(run, "a long, b long, every long, target long")
-    sums = rows.groupBy("a", "b").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
-    return sums.where("every > 1")
+        for batch in batches:
+            found, sizes = [], []
+            for ids, hits in zip(batch.column("ids").to_pylist(), batch.column("hits").to_pylist()):
+                a, b = numbers_in(ids)
+                left = np.unpackbits(np.frombuffer(hits, np.uint8), count=len(a)) == 0
+                found.append(np.unique((a << 32 | b)[left & (a >= 0) & (b >= 0)], return_counts=True))
+                sizes.append(len(found[-1][0]))
+            if sum(sizes):
+                at = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
+                keys, n = (np.concatenate(c) for c in zip(*found))
+                columns = [pa.array(keys), batch.column("row").take(at), batch.column("own").take(at), pa.array(n.astype(np.int32))]
+                yield from pa.Table.from_arrays(columns, names=names).to_batches(50_000)
+
+    rows = table.where("row IS NOT NULL").select("row", "own", "ids", "hits")
+    return rows.mapInArrow(run, "key long, row long, own boolean, n int")
+
+
+def rare_bigrams(table: DataFrame, both: bool) -> DataFrame:
+    """(a, b, row, own, n) of the bigrams of each row that have one rare word, or two."""
+    names = ["a", "b", "row", "own", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = []
+            for held in batch.column("rare").to_pylist():
+                pairs = np.frombuffer(held, np.int64).reshape(-1, 2)
+                counted.append(Counter(map(tuple, pairs[(pairs < 0).all(axis=1) == both].tolist())))
+            at = pa.array(np.repeat(np.arange(batch.num_rows), [len(c) for c in counted]))
+            a, b = np.array([p for c in counted for p in c], np.int64).reshape(-1, 2).T
+            n = pa.array([k for c in counted for k in c.values()], pa.int32())
+            columns = [pa.array(a), pa.array(b), batch.column("row").take(at), batch.column("own").take(at), n]
+            yield from pa.Table.from_arrays(columns, names=names).to_batches(50_000)
+
+    rows = table.where("row IS NOT NULL AND length(rare) > 0").select("row", "own", "rare")
+    return rows.mapInArrow(run, "a long, b long, row long, own boolean, n int")
 
 
 def loss(n, seen, following, total: int, size: int, s: LmSettings, log: Callable, choose: Callable):
@@ -202,39 +345,42 @@ def loss(n, seen, following, total: int, size: int, s: LmSettings, log: Callable
     return -log(choose(seen > 0, s.bigram_weight * n / choose(seen > 0, seen, 1) + (1 - s.bigram_weight) * chance, chance))
 
 
-def with_counts(pairs: DataFrame, words: Words) -> DataFrame:
+def with_counts(pairs: DataFrame, words: Words, keys: tuple[str, str] | None = None) -> DataFrame:
     """The rows (a, b, ...) with c_every, c_target of the first and n_every, n_target of the second word.
 
     Frequent words, or those of the closed vocabulary, are looked up by their number in the tasks; the others are joined.
+    `keys` names columns that hold a, or b, wherever it is rare; what they hold elsewhere is not read.
     """
     shared = pairs.sparkSession.sparkContext.broadcast((words.every, words.target))
     names = [f"{c}_{model}" for c in ("c", "n") for model in ("every", "target")]
-    given = pairs.columns
+    given, kept = pairs.columns, [f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema]
+    if words.rare is not None:
+        if keys is None:
+            # Frequent words meet nothing here; a key of their own for each row keeps them from one task.
+            keys = ("_a", "_b")
+            for key in keys:
+                own = F.col(key[1:])
+                pairs = pairs.withColumn(key, F.when(own < 0, own).otherwise(F.abs(F.xxhash64(*given) % (1 << 62))))
+        for key in dict.fromkeys(keys):
+            pairs = pairs.join(
+                words.rare.select(F.col("number").alias(key), *(F.col(c).alias(f"{key}_{c}") for c in ("every", "target"))), key, "left"
+            )
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [*batch.columns]
-            for own in ("a", "b"):
+            columns = [batch.column(c) for c in given]
+            for own, key in zip(("a", "b"), keys or (None, None)):
                 number = batch.column(own).to_numpy()
-                at = np.maximum(number, 0)
-                columns += [pa.array(held[at], pa.int64(), mask=number < 0) for held in shared.value]
+                for held, model in zip(shared.value, ("every", "target")):
+                    found = held[np.maximum(number, 0)]
+                    if key is not None:
+                        found = np.where(number < 0, batch.column(f"{key}_{model}").fill_null(0).to_numpy(), found)
+                    columns.append(pa.array(found))
             yield pa.RecordBatch.from_arrays(columns, names=[*given, *names])
 
-    kept = [f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema]
-    pairs = pairs.mapInArrow(look_up, ", ".join([*kept, *(f"{n} long" for n in names)]))
     if words.rare is None:
-        return pairs
-    for own, c in (("a", "c"), ("b", "n")):
-        # Frequent words meet nothing here; a key of their own for each row keeps them from one task.
-        key = F.when(F.col(own) < 0, F.col(own)).otherwise(F.abs(F.xxhash64(*given) % (1 << 62)))
-        few = words.rare.select(
-            F.col("number").alias("_key"), F.col("every").alias("_every"), F.col("target").alias("_target")
-        )
-        pairs = pairs.withColumn("_key", key).join(few, "_key", "left")
-        for model in ("every", "target"):
-            pairs = pairs.withColumn(f"{c}_{model}", F.coalesce(f"{c}_{model}", f"_{model}"))
-        pairs = pairs.drop("_key", "_every", "_target")
-    return pairs
+        keys = None
+    return pairs.mapInArrow(look_up, ", ".join([*kept, *(f"{n} long" for n in names)]))
 
 
 def most_frequent(table: DataFrame, most: int) -> DataFrame:
@@ -256,126 +402,107 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, settings: L
     The target is what target_ids (doc_id) names; the background is all documents. Both models are counted over all
     of their documents and share the vocabulary and the smoothing. A null or empty text has one token, its end. Rows that
     repeat are counted and scored row by row; a null id is never in the target; without a target the target model is
-    uniform. Other columns are not read. The models are tables of exact counts that grow with the input.
+    uniform. Other columns are not read. The counts are exact and grow with the input.
 
-    Words are numbers; frequent ones and their counts are known to every task, all others are joined. Each document is
-    first scored as if its bigrams occurred once in all documents, but for the most frequent, whose losses the tasks know. Those of
-    its bigrams that the table of repeated ones holds then add the difference. So no bigram is stored that occurs once,
-    and the join has no hot keys. Rows are told apart by id and text; equal rows share their sum.
+    Texts are read once into numbers. Which words and bigrams are taken as frequent comes from a sample and changes no
+    result: tasks count those where they stand. Each row's other bigrams are exchanged once, counted where all of one kind
+    meet, and come back as sums of the row. Those with a rare word are few; the counts of their words are joined.
     """
-    with small_batches(docs.sparkSession, BATCH_BYTES):
+    spark = docs.sparkSession
+    with small_batches(spark, BATCH_BYTES), short_lived_shuffles(spark):
         return _differences(docs, target_ids, settings or LmSettings())
 
 
 def _differences(docs: DataFrame, target_ids: DataFrame, s: LmSettings) -> DataFrame:
     spark = docs.sparkSession
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
-        F.xxhash64(text_or_empty(), F.col("doc_id").cast("long").isNull()).alias("mark"),
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     named = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     few = named.count() <= BROADCAST_IDS
     named = named.withColumn("target", F.lit(True))
-    rows = rows.join(F.broadcast(named) if few else named, "doc_id", "left").select(
-        F.coalesce("doc_id", F.lit(-1)).alias("doc"), "mark", F.col("doc_id").isNull().alias("no_id"), "text",
-        F.coalesce("target", F.lit(False)).alias("target"),
-    )
+    rows = rows.join(F.broadcast(named) if few else named, "doc_id", "left")
+    rows = rows.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
     rows = rows if few else stage(rows, "lm-rows")
-    words = count_words(rows, s)
-    repeated = stage(counts(rows, words, s), "lm-bigrams")
-    grams = with_counts(repeated, words)
-
-    def column_loss(n, model):
-        return loss(
-            n, F.col(f"c_{model}"), F.col(f"n_{model}"), words.totals[model], words.size, s, F.log,
-            lambda test, then, other: F.when(test, then).otherwise(other),
-        )
-
-    target, every = column_loss(F.col("target"), "target"), column_loss(F.col("every"), "every")
-    losses = stage(
-        grams.select(
-            "a", "b", F.col("every"), target.alias("t"), every.alias("e"), (every - column_loss(F.lit(1), "every")).alias("more_e"),
-            (target - column_loss(F.lit(0), "target")).alias("more_t0"), (target - column_loss(F.lit(1), "target")).alias("more_t1"),
-        ),
-        "lm-losses",
-    )
-    remove(repeated)
-    head = most_frequent(losses.where("a >= 0 AND b >= 0").select("a", "b", "t", "e", "every"), HEAD).toArrow()
-    keys = head.column("a").to_numpy() << 32 | head.column("b").to_numpy()
-    order = np.argsort(keys)
-    known = (keys[order], head.column("t").to_numpy()[order], head.column("e").to_numpy()[order])
-    model = (words.every, words.target, words.totals, words.size)
-    shared = spark.sparkContext.broadcast((words.names, words.closed, known, model))
-
-    def in_head(a, b, keys):
-        key = a << 32 | b
-        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-        return at, (keys[at] == key) & (a >= 0) & (b >= 0) if len(keys) else np.zeros(len(a), bool)
-
-    def pairs(batch, place, a, b, chosen) -> pa.Table:
-        at = np.flatnonzero(chosen)
-        columns = [batch.column(c).take(pa.array(place[at])) for c in ("doc", "mark", "target")]
-        return pa.Table.from_arrays([*columns, pa.array(a[at]), pa.array(b[at])], names=["doc", "mark", "own", "a", "b"])
+    closed = s.vocabulary is not None
+    sample = stage(rows.sample(min(1.0, SAMPLE / max(rows.count(), 1)), seed=1), "lm-sample")
+    names = vocabulary(docs, s) if closed else sampled_words(sample, s)
+    heads = sampled_bigrams(sample, names, closed, s)
+    remove(sample)
+    table = encoded(rows, names, closed, heads, s)
+    words, met = count_words(table, names, closed)
+    if met:  # rare words that share a number are numbered like frequent ones
+        remove(table)
+        table = encoded(rows, names + met, closed, heads, s)
+        words, _ = count_words(table, names + met, closed)
+    shared = spark.sparkContext.broadcast((words.every, words.target, words.totals, words.size))
+    counted = spark.sparkContext.broadcast((heads, *summed(table, "head", len(heads))))
+
+    def losses(keys, every, target):
+        c_every, c_target, totals, size = shared.value
+        a, b = keys >> 32, keys & 0xFFFFFFFF
+        return [
+            loss(n, c[a], c[b], totals[model], size, s, np.log, np.where)
+            for n, c, model in ((target, c_target, "target"), (every, c_every, "every"))
+        ]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, row, own, n in whole_groups(batches, 200_000):
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            sizes = np.diff(first, append=len(key))
+            every, target = (np.add.reduceat(x, first, dtype=np.int64) for x in (n, n * own))
+            sums = [pa.array(np.repeat(x, sizes) * n) for x in losses(key[first], every, target)]
+            yield from pa.Table.from_arrays([pa.array(row), *sums], names=["row", "t", "e"]).to_batches(50_000)
+        give_back()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, closed, (keys, head_t, head_e), (every, target, totals, size) = shared.value
-        for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
-            at, hit = in_head(a, b, keys)
-            frequent = (a >= 0) & (b >= 0)
-            first, second = np.where(frequent, a, 0), np.where(frequent, b, 0)
-            own = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)[place]
-            sums = []
-            for n, counts_, total, best in ((own, target, totals["target"], head_t), (1, every, totals["every"], head_e)):
-                x = loss(n, counts_[first], counts_[second], total, size, s, np.log, np.where)
-                x = np.where(frequent, x, 0.0)
-                x[hit] = best[at[hit]]
-                sums.append(np.bincount(place, x, batch.num_rows))
-            sizes = pa.array(np.bincount(place, minlength=batch.num_rows).astype(np.int64))
-            base = pa.Table.from_arrays(
-                [*(batch.column(c) for c in ("doc", "mark", "no_id")), sizes, *map(pa.array, sums)],
-                names=["doc", "mark", "no_id", "n_tokens", "t", "e"],
-            )
-            both = pa.concat_tables([base, pairs(batch, place, a, b, ~frequent)], promote_options="default")
-            yield from both.select(["doc", "mark", "no_id", "n_tokens", "t", "e", "own", "a", "b"]).to_batches(50_000)
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, closed, (keys, _, _), _ = shared.value
-        for batch, place, a, b in pair_batches(batches, Numbers(names, closed), s.chunk):
-            yield from pairs(batch, place, a, b, ~in_head(a, b, keys)[1]).to_batches(50_000)
-
-    # Rows and, beside them, their bigrams with a rare word, whose counts no task knows.
-    ddl = "doc long, mark long, no_id boolean, n_tokens long, t double, e double, own boolean, a long, b long"
-    scored = stage(rows.mapInArrow(score, ddl), "lm-rows")
-    base = scored.where("a IS NULL").drop("own", "a", "b")
-    more_t = F.when(F.col("own"), F.col("more_t1")).otherwise(F.col("more_t0"))
-    rest = rows.select("doc", "mark", "target", "text")
-    rest = rest.mapInArrow(others, "doc long, mark long, own boolean, a long, b long")
-    more = rest.join(losses.select("a", "b", "more_e", "more_t0", "more_t1"), ["a", "b"])
-    more = more.select("doc", "mark", more_t.alias("t"), F.col("more_e").alias("e"))
+        heads, every, target = counted.value
+        best = losses(heads, every, target)
+        for batch in batches:
+            keys, sizes, found = [], [], []
+            for ids, hits in zip(batch.column("ids").to_pylist(), batch.column("hits").to_pylist()):
+                a, b = numbers_in(ids)
+                hit = np.flatnonzero(np.unpackbits(np.frombuffer(hits, np.uint8), count=len(a)))
+                keys.append(a[hit] << 32 | b[hit])
+                sizes.append(len(a))
+                found.append(len(hit))
+            at, _ = places(np.concatenate([*keys, np.empty(0, np.int64)]), heads)
+            place = np.repeat(np.arange(batch.num_rows), found)
+            sums = [np.bincount(place, x[at] if len(at) else None, batch.num_rows).astype(float) for x in best]
+            columns = [batch.column("row"), batch.column("doc_id"), *map(pa.array, (sizes, *sums))]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "t", "e"])
+        give_back()
+
+    parts = bigrams_between(table).repartition("key").sortWithinPartitions("key").mapInArrow(add_up, "row long, t double, e double")
     if words.rare is not None:
-        once = with_counts(scored.where("a IS NOT NULL").select("doc", "mark", "own", "a", "b"), words)
-        more = more.unionByName(
-            once.select(
-                "doc", "mark", column_loss(F.col("own").cast("int"), "target").alias("t"), column_loss(F.lit(1), "every").alias("e")
-            )
-        )
-    more = more.groupBy("doc", "mark").agg(F.sum("t").alias("more_t"), F.sum("e").alias("more_e"))
-    copies = base.groupBy("doc", "mark").agg(F.count("*").alias("copies"))
-    # Written, they meet the rows in a join whose large partitions Spark can split.
-    more = stage(more.join(copies, ["doc", "mark"]), "lm-more")
-    remove(losses)
-
-    def mean(own: str, rest: str):
-        return (F.col(own) + F.coalesce(F.col(rest) / F.col("copies"), F.lit(0.0))) / F.col("n_tokens")
-
-    return (
-        base.join(more, ["doc", "mark"], "left")
-        .select(
-            F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"), "n_tokens",
-            mean("t", "more_t").alias("target_loss"), mean("e", "more_e").alias("background_loss"),
-        )
-        .withColumn("score", F.col("target_loss") - F.col("background_loss"))
-    )
+
+        def column_loss(model):
+            return loss(
+                F.col(model), F.col(f"c_{model}"), F.col(f"n_{model}"), words.totals[model], words.size, s, F.log,
+                lambda test, then, other: F.when(test, then).otherwise(other),
+            ) * F.col("n")
+
+        def rare_losses(both: bool) -> DataFrame:
+            group = Window.partitionBy("word", "a", "b")  # one exchange by a rare word serves its counts too
+            pairs = rare_bigrams(table, both).withColumn("word", F.when(F.col("a") < 0, F.col("a")).otherwise(F.col("b")))
+            pairs = pairs.repartition("word").select(
+                "word", "a", "b", "row", "n", F.sum("n").over(group).alias("every"),
+                F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).over(group).alias("target"),
+            )
+            pairs = with_counts(pairs, words, ("word", "b") if both else ("word", "word"))
+            return pairs.select("row", column_loss("target").alias("t"), column_loss("every").alias("e"))
+
+        pairs = rare_losses(False).unionByName(rare_losses(True))
+        # Written by itself, so that its exchanges are gone when the larger one is made.
+        parts = parts.unionByName(stage(pairs.groupBy("row").agg(F.sum("t").alias("t"), F.sum("e").alias("e")), "lm-rare"))
+    base = table.where("row IS NOT NULL").select("row", "doc_id", "ids", "hits")
+    base = base.mapInArrow(score, "row long, doc_id long, n_tokens long, t double, e double")
+    sums = base.unionByName(parts, allowMissingColumns=True).groupBy("row")
+    sums = sums.agg(*(F.max(c).alias(c) for c in ("doc_id", "n_tokens")), *(F.sum(c).alias(c) for c in ("t", "e")))
+    sums = stage(sums, "lm-sums")
+    remove(table)
+    return sums.select(
+        "doc_id", "n_tokens", (F.col("t") / F.col("n_tokens")).alias("target_loss"),
+        (F.col("e") / F.col("n_tokens")).alias("background_loss"),
+    ).withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

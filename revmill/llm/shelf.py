@@ -53,11 +53,9 @@ def text_or_empty(name: str = "text") -> Column:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, limit: int) -> Iterator[None]:
-    """Actions inside hand Arrow batches of about `limit` bytes to Python, where Spark counts rows only by default."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name, None)
-    spark.conf.set(name, str(limit))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -67,6 +65,16 @@ def small_batches(spark: SparkSession, limit: int) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def small_batches(spark: SparkSession, limit: int):
+    """Actions inside hand Arrow batches of about `limit` bytes to Python, where Spark counts rows only by default."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
+def short_lived_shuffles(spark: SparkSession):
+    """Shuffle files of an action inside go when it ends, and not when the driver happens to collect garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def record_batches(rows, schema, limit: int = 16 << 20):
     """Tuples as Arrow batches that hold about `limit` bytes of text, binary and arrays at most."""
     import numpy as np

@@ -1,7 +1,12 @@
+import glob
 import math
+import os
+import re
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import awkward, empty
 from pyspark.sql import functions as F
@@ -175,3 +180,54 @@ def test_chunks_and_batches_do_not_change_counts(spark, monkeypatch):
         rows = L.cross_entropy_difference(docs, good, L.LmSettings(chunk=chunk)).collect()
         got.append({r.doc_id: (r.n_tokens, round(r.score, 9)) for r in rows})
     assert got[0] == got[1] == got[2] and len(got[0]) == 60
+
+
+@pytest.mark.parametrize("sample", [20_000, 5, 0])
+def test_the_sample_changes_no_result(spark, monkeypatch, sample):
+    """Frequent words and bigrams that the sample misses are counted all the same."""
+    monkeypatch.setattr(L, "SAMPLE", sample)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.3, 80) if k < 400) for _ in range(60)] + ["zz1 zz2 " * 9, "zz1 zz2", None, ""]
+    target = [i % 3 == 1 for i in range(64)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = plain(texts, target, L.LmSettings())
+    got = L.cross_entropy_difference(docs, docs.where("doc_id % 3 = 1").select("doc_id")).collect()
+    assert len(got) == 64
+    for r in got:
+        assert np.allclose((r.target_loss, r.background_loss), want[r.doc_id], rtol=1e-9)
+
+
+def test_no_key_is_cut_in_two():
+    keys = np.sort(np.random.default_rng(5).zipf(1.5, 500) % 40)
+    batch = pa.record_batch({"key": keys, "at": np.arange(500)})
+    for most in (1, 20, 1000):
+        parts = list(L.whole_groups(iter([batch.slice(i, 7) for i in range(0, 500, 7)]), most))
+        assert np.concatenate([p[1] for p in parts]).tolist() == list(range(500))
+        assert sum(len(set(p[0])) for p in parts) == len(set(keys))
+    assert list(L.whole_groups(iter([]), 20)) == []
+
+
+def test_tokens_are_words_and_signs():
+    texts = ["Don't STOP, x_1... été  b\x1cc", "", " ", "!?", "İstanbul ΣΑΣ", "a​b \U0001f600c"]
+    texts += [f"a{chr(c)}b" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    assert [L.tokens(t) for t in texts] == [re.findall(r"\w+|[^\w\s]", t.lower()) for t in texts]
+
+
+def test_shuffle_files_go_when_an_action_ends(spark, folder):
+    """They stayed until the driver collected garbage: all exchanges of the query lay on the disk at once."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = [f for d in disk.localDirs() for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)]
+        return {f for f in found if os.path.getsize(f) > 0}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    value, before = spark.conf.get(name, None), files()
+    result = L.op10_cross_entropy_difference(spark, folder)
+    for _ in range(50):  # they are removed in the background
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name, None) == value
+    assert result.count() > 0
