@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import executed
 from pyspark.sql import functions as F
@@ -101,3 +103,41 @@ def test_embedding_by_join(spark):
     got = {r.k: r.embedding for r in FE.embed(words, "k", "words", vectors).collect()}
     assert got[1] == pytest.approx([2.0, 2 / 3]) and got[4] == pytest.approx([2.0, 1.0])
     assert got[2] == got[3] == []
+
+
+def test_embedding_by_broadcast_and_by_join_agree(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, [f"w{(i * j) % 17}" for j in range(i % 9)]) for i in range(300)]
+    words = spark.createDataFrame(rows, "k int, words array<string>")
+    vectors = spark.createDataFrame([(f"w{i}", Vectors.dense([float(i), 1.0 / (i + 1)])) for i in range(15)], ["word", "vector"])
+    small = FE.embed(words, "k", "words", vectors)
+    assert "ObjectHashAggregate" not in executed(small) and "BroadcastHashJoin [term" in executed(small)
+    monkeypatch.setattr(FE, "MAX_BROADCAST_NUMBERS", 0)
+    large = {r.k: r.embedding for r in FE.embed(words, "k", "words", vectors).collect()}
+    got = {r.k: r.embedding for r in small.collect()}
+    assert len(got) == 300 and all(got[k] == pytest.approx(large[k], abs=1e-12) for k in got)
+
+
+def test_embedding_is_fitted_in_parts(spark, monkeypatch):
+    """Large tables are fitted by several tasks, small ones by one, and words of one subject still lie together."""
+    subjects = [[f"{s}{i}" for i in range(6)] for s in "xy"]
+    rng = random.Random(3)
+    rows = [(i, [rng.choice(subjects[i % 2]) for _ in range(11)]) for i in range(1200)]
+    words = spark.createDataFrame(rows, "k int, words array<string>")
+    assert FE.fit_parts(words, "words") == 1 and FE.fit_parts(words.limit(0), "words") == 1
+    monkeypatch.setattr(FE, "WORDS_PER_PART", 5_000)
+    assert FE.fit_parts(words, "words") == 2
+    monkeypatch.setattr(FE, "WORDS_PER_PART", 100)
+    assert FE.fit_parts(words, "words") == spark.sparkContext.defaultParallelism
+    stage = FE.embedding_stages(8, parts=FE.fit_parts(words, "words"))[-1]
+    assert stage.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    v = {r.word: r.vector.toArray() for r in stage.setMaxIter(20).fit(words).getVectors().collect()}
+    assert set(v) == {w for s in subjects for w in s}
+
+    def near(a, b):
+        return float(a @ b / ((a @ a) * (b @ b)) ** 0.5)
+
+    same = [near(v[a], v[b]) for s in subjects for a in s for b in s if a < b]
+    other = [near(v[a], v[b]) for a in subjects[0] for b in subjects[1]]
+    assert min(same) > max(other)
