@@ -51,23 +51,29 @@ def stream_clean(
 FLAGS = T.StructType([T.StructField("state", T.StringType()), T.StructField("first", T.BooleanType())])
 
 
+# Groups that share what has been seen. Each is one call of Python and one state a batch, however many reviews it remembers.
+GROUPS = 8192
+
+
 def first_seen(
     rows: DataFrame, order: list[str], cfg: ReviewConfig = ReviewConfig(), keep_for: str | None = KEEP_FOR
 ) -> DataFrame:
     """Every arriving row with its cleaned text, its state (clean, malformed, empty_short) and whether it is the first of its kind.
 
     The first clean row of an entity and text is true, of several in a batch the one that comes first in `order`; all other rows are
-    false and keep their state only. Entity and digest are remembered in keyed state for keep_for after that row has arrived;
-    None keeps them for ever. Rejected rows pass through a few groups that keep no state. Rows of a group are
-    read in portions, and only the first found so far is held.
+    false and keep their state only. A digest of entity and text is remembered in keyed state for keep_for after that row has
+    arrived; None keeps it for ever. Digests are dealt to GROUPS groups by hash, and the state of a group is a list of them, as a
+    call for each review costs more than all else. A batch writes the lists of the groups that it meets, so many small batches
+    over a very long memory write more than a state for each review would. Rejected rows pass through a few groups that keep
+    no state. Rows of a group are read in portions, and only the first ones found so far are held.
     """
     states = review_states(rows, "business_id", "text", F.col(CORRUPT).isNotNull(), cfg).drop(CORRUPT)
     clean = F.col("state") == "clean"
-    spread = (F.xxhash64(*order) % 64).cast("string")
-    keyed = states.withColumns(
-        {"_e": F.when(clean, F.col("business_id")), "_d": F.when(clean, F.col("digest")).otherwise(spread)}
-    ).drop("digest")
-    kept = [f for f in keyed.schema.fields if f.name not in ("_e", "_d", "state")]
+    one = F.unhex(F.sha2(F.concat(F.sha2("business_id", 256), "digest"), 256))
+    dealt = F.pmod(F.xxhash64("business_id", "digest"), F.lit(GROUPS))
+    spread = -1 - F.pmod(F.xxhash64(*order), F.lit(64))
+    keyed = states.withColumns({"_g": F.when(clean, dealt).otherwise(spread).cast("int"), "_k": F.when(clean, one)}).drop("digest")
+    kept = [f for f in keyed.schema.fields if f.name not in ("_g", "_k", "state")]
     names = [f.name for f in kept]
     # State expires by the time of arrival, which never runs ahead of itself: no row is late.
     timed = keyed.withColumn("_at", F.current_timestamp()).withColumn("_ms", F.unix_millis("_at"))
@@ -76,36 +82,56 @@ def first_seen(
     wait = None if keep_for is None else _milliseconds(rows.sparkSession, keep_for)
 
     def flag(key, frames, state):
+        import numpy as np
         import pandas as pd
 
+        entry = np.dtype([("k", "V32"), ("expires", "<i8")])
+        known = np.frombuffer(bytes(state.get[0]) if state.exists else b"", dtype=entry)
         if state.hasTimedOut:
-            state.remove()
+            keep(state, known[known["expires"] > state.getCurrentWatermarkMs()])
             return
-        expires = state.get[0] if state.exists else None
+        if key[0] >= 0:
+            expires = dict(zip((bytes(k) for k in known["k"]), known["expires"].tolist()))
         best, now = None, 0
         for frame in frames:
             now = int(frame["_ms"].max())
             out = pd.DataFrame({n: pd.Series([None] * len(frame), dtype=object) for n in names})
             out["state"], out["first"] = frame["state"].to_numpy(), False
-            if key[0] is not None and (expires is None or (wait is not None and expires <= now)):
-                top = frame.sort_values(order, kind="stable").iloc[[0]]
-                if best is None or tuple(top[order].iloc[0]) < tuple(best[order].iloc[0]):
-                    best = top
+            if key[0] >= 0:
+                ids = [bytes(k) for k in frame["_k"]]
+                until = [expires.get(k) for k in ids]
+                new = [u is None or (wait is not None and u <= now) for u in until]
+                if any(new):
+                    top = frame[names].assign(_k=ids)[new]
+                    both = top if best is None else pd.concat([best, top])
+                    best = both.sort_values(order, kind="stable").drop_duplicates("_k")
             yield out
+        if key[0] < 0:
+            return
+        if wait is not None:
+            known = known[known["expires"] > now]
         if best is not None:
-            # The first was passed on above as one of many; this row takes its place.
+            # The firsts were passed on above as some of many; these rows take their places.
             out = best[names].reset_index(drop=True).astype(object)
             out["state"], out["first"] = "clean", True
             yield out
-            expires = now + (wait or 0)
-        if key[0] is not None:
-            state.update((expires,))
-            if wait is not None:
-                state.setTimeoutTimestamp(expires)
+            more = np.zeros(len(best), dtype=entry)
+            more["k"] = np.frombuffer(b"".join(best["_k"]), dtype="V32")
+            more["expires"] = now + (wait or 0)
+            known = np.concatenate([known, more])
+        keep(state, known)  # also without new ones, as a call forgets when the state is to expire
+
+    def keep(state, known):
+        if len(known) == 0:
+            state.remove()
+            return
+        state.update((bytearray(known.tobytes()),))
+        if wait is not None:
+            state.setTimeoutTimestamp(int(known["expires"].min()))
 
     out_schema = T.StructType([*kept, *FLAGS.fields])
     timeout = "NoTimeout" if keep_for is None else "EventTimeTimeout"
-    return timed.groupBy("_e", "_d").applyInPandasWithState(flag, out_schema, "expires long", "update", timeout)
+    return timed.groupBy("_g").applyInPandasWithState(flag, out_schema, "known binary", "update", timeout)
 
 
 def _milliseconds(spark: SparkSession, interval: str) -> int:

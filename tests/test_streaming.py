@@ -137,3 +137,32 @@ def test_no_batch_reads_what_another_wrote(spark, tmp_path, monkeypatch):
     query = S.stream_quality(rows, str(tmp_path / "q"), str(tmp_path / "c"))
     query.awaitTermination(120)
     assert query.exception() is None
+
+
+def test_many_reviews_share_few_states(spark, tmp_path, monkeypatch):
+    """Reviews of a group share a state, are read in portions, and expire one by one."""
+    monkeypatch.setattr(S, "GROUPS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        src = tmp_path / "in"
+        first = [(i, f"b{i % 40}", f"{FINE} {i % 80}") for i in range(199, -1, -1)] + [(300, "b", "short"), (301, None, FINE)]
+        assert one_wave(spark, src, tmp_path, "one", first, "20 seconds") == (list(range(80)), (80, 2, 120))
+        ended = time.time()
+        time.sleep(11)
+        second = [(i, f"b{i % 40}", f"{FINE} {i}") for i in range(70, 90)]
+        assert one_wave(spark, src, tmp_path, "two", second, "20 seconds") == (list(range(80, 90)), (10, 0, 10))
+        time.sleep(max(0, ended + 21 - time.time()))
+        third = [(i, f"b{i % 40}", f"{FINE} {i}") for i in (5, 85)]
+        assert one_wave(spark, src, tmp_path, "three", third, "20 seconds") == ([5], (1, 0, 1))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_call_for_a_group_not_for_a_review(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "GROUPS", 2)
+    src = tmp_path / "in"
+    arriving(src, [[(i, f"b{i}", f"{FINE} {i}", None) for i in range(60)]])
+    query = S.stream_quality(S.read_stream(spark, str(src)), str(tmp_path / "q"), str(tmp_path / "c"))
+    query.awaitTermination(120)
+    assert sum(o["numRowsTotal"] for p in query.recentProgress[:1] for o in p["stateOperators"]) == 2
+    assert spark.read.parquet(str(tmp_path / "q")).first().records_written == 60
