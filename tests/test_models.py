@@ -194,3 +194,39 @@ def test_models_score_after_an_observed_write(spark, tmp_path):
     for c in (M.lr_candidate(5, (0.1,), (0.0,)), M.rf_candidate((3,), (2,)), M.gbt_candidate((2,), (2,))):
         assert M.grid_search(c, rows, rows).best_score > 0.5
         assert M.score_table(c.estimator.fit(rows), rows, ["label"]).count() == 40
+
+
+def test_linear_models_are_fitted_once_a_fold_and_point(spark, monkeypatch):
+    """The held-out rows are scored by models of the search, which are those of one more fit."""
+    rows = prepared(spark)
+    linear = M.lr_candidate(max_iter=15, reg=(0.01, 0.1), elastic=(0.0,))
+    fits, fit = [], M.LeanLogisticRegression.fit
+
+    def counted(self, *args):
+        fits.append(1)
+        return fit(self, *args)
+
+    monkeypatch.setattr(M.LeanLogisticRegression, "fit", counted)
+    found = M.keyed_cross_validation(rows, "review_id", feature_stages(CFG), linear, 3, CFG)
+    scores = {r.review_id: r.score for r in found.held_out.collect()}
+    assert len(fits) == 6 and len(scores) == 240
+    search = M.grid_search
+    monkeypatch.setattr(M, "grid_search", lambda c, a, b, n, keep: search(c, a, b, n))
+    again = M.keyed_cross_validation(rows, "review_id", feature_stages(CFG), linear, 3, CFG)
+    assert len(fits) == 15 and again.result.scores == pytest.approx(found.result.scores, abs=1e-9)
+    assert {r.review_id: r.score for r in again.held_out.collect()} == pytest.approx(scores, abs=1e-9)
+
+
+def test_metrics_read_scores_that_were_made_once(spark, folder, monkeypatch):
+    from revmill.plans import catalog_metrics
+    from revmill.plans.views import Views
+
+    seen, small = [], M.lr_candidate(5, (0.1,), (0.0,))
+    monkeypatch.setattr(catalog_metrics.M, "lr_candidate", lambda: small)
+    monkeypatch.setattr(catalog_metrics.EV, "evaluate", lambda df: seen.append(df) or df)
+    monkeypatch.setattr(catalog_metrics.EV, "gap_report", lambda train, test: train)
+    catalog_metrics.gap_report(Views(spark, folder))
+    assert len(seen) == 2
+    for df in seen:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "UDF" not in plan and "Project" not in plan and "Relation" in plan
